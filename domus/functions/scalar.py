@@ -124,8 +124,13 @@ def sig_round(c: ColumnOrName, digits: int = 6) -> Column:
     engines whatever their magnitude. (The same expression is written in the
     oracle SQL.)"""
     x = _c(c).cast("double")
-    p = F.pow(F.lit(10.0), F.floor(F.log10(F.abs(x))))
-    return F.when(x == 0, F.lit(0.0)).otherwise(F.round(x / p, digits - 1) * p)
+    e = F.floor(F.log10(F.abs(x)))
+    # multiply/divide by exact powers of ten only (10^-k is not exact)
+    big = F.pow(F.lit(10.0), e)
+    small = F.pow(F.lit(10.0), -e)
+    return (F.when(x == 0, F.lit(0.0))
+            .when(e >= 0, F.round(x / big, digits - 1) * big)
+            .otherwise(F.round(x * small, digits - 1) / small))
 
 
 def inv_norm_cdf(p: ColumnOrName) -> Column:

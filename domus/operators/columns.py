@@ -239,15 +239,15 @@ def numeric_if_all_parse(df: DataFrame, subset: Sequence[str] | None = None) ->
     aggs = []
     for c in texts:
         s = F.trim(F.col(_q(c)))
-        aggs.append(F.count_if(s.isNotNull() & F.try_cast(s, "double").isNull()).alias(c + "\u0001bad"))
-        aggs.append(F.count_if(s.isNotNull() & F.try_cast(s, "bigint").isNull()).alias(c + "\u0001frac"))
+        aggs.append(F.count_if(s.isNotNull() & s.try_cast("double").isNull()).alias(c + "\u0001bad"))
+        aggs.append(F.count_if(s.isNotNull() & s.try_cast("bigint").isNull()).alias(c + "\u0001frac"))
     r = df.agg(*aggs).first().asDict()
     out = []
     for f in df.schema.fields:
         c = f.name
         if c in texts and r[c + "\u0001bad"] == 0:
             t = "bigint" if r[c + "\u0001frac"] == 0 else "double"
-            out.append(F.try_cast(F.trim(F.col(_q(c))), t).alias(c))
+            out.append(F.trim(F.col(_q(c))).try_cast(t).alias(c))
         else:
             out.append(F.col(_q(c)))
     return df.select(*out)

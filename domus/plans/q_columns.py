@@ -69,7 +69,7 @@ def flatten_structs_q(spark, sf):
 
 
 @query("flatten_explode", ids="C2", bench=True, sql="""
-SELECT id, vector_label, vector_points_pos, round(CAST(v AS DOUBLE), 6) AS vector_points_value FROM (
+SELECT id, vector_label, vector_points_pos, CAST(v AS DOUBLE) AS vector_points_value FROM (
   SELECT vec_id AS id, label AS vector_label,
          unnest(generate_series(0, len(embedding) - 1)) AS vector_points_pos, unnest(embedding) AS v
   FROM embeddings)""")
@@ -80,7 +80,7 @@ def flatten_explode_q(spark, sf):
         F.transform("embedding", lambda x, i: F.struct(i.alias("pos"), x.alias("value"))).alias("points"))
         .alias("vector"))
     out = C.flatten_explode(doc, explode=["vector_points"])
-    return out.withColumn("vector_points_value", F.round(F.col("vector_points_value").cast("double"), 6))
+    return out.withColumn("vector_points_value", F.col("vector_points_value").cast("double"))
 
 
 def _messy_customer(spark, sf):
@@ -189,11 +189,11 @@ def numeric_if_all_parse_q(spark, sf):
 
 @query("price_per_unit", ids="C17 I13", sql="WITH " + LI_NULLS_SQL + """
 SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber,
-       round(l_extendedprice / l_quantity, 6) AS price_per_unit,
+       l_extendedprice / l_quantity AS price_per_unit,
        CASE WHEN l_quantity IS NULL THEN 1 ELSE 0 END AS quantity_missing FROM li""")
 def price_per_unit_q(spark, sf):
     li = lineitem_with_nulls(spark, sf)
-    return li.select(*KEYS, F.round(ratio("l_extendedprice", "l_quantity"), 6).alias("price_per_unit"),
+    return li.select(*KEYS, ratio("l_extendedprice", "l_quantity").alias("price_per_unit"),
                      indicator(F.col("l_quantity").isNull()).alias("quantity_missing"))
 
 
@@ -201,7 +201,7 @@ def price_per_unit_q(spark, sf):
 SELECT p_partkey AS id, '/buy/' || CAST(p_partkey AS VARCHAR) AS link,
        replace(p_name, '''', '\\''') AS title,
        'CHF ' || CAST(CAST(round(p_retailprice) AS BIGINT) AS VARCHAR) AS price_text,
-       round(CAST(embedding[1] AS DOUBLE), 6) AS lat, round(CAST(embedding[2] AS DOUBLE), 6) AS lon
+       CAST(embedding[1] AS DOUBLE) AS lat, CAST(embedding[2] AS DOUBLE) AS lon
 FROM part JOIN embeddings ON p_partkey = vec_id""")
 def map_markers_q(spark, sf):
     p = load(spark, sf, "part")
@@ -210,8 +210,8 @@ def map_markers_q(spark, sf):
     return j.select(F.col("p_partkey").alias("id"), F.concat(F.lit("/buy/"), F.col("p_partkey").cast("string")).alias("link"),
                     escape_quotes("p_name").alias("title"),
                     F.concat(F.lit("CHF "), F.round("p_retailprice").cast("bigint").cast("string")).alias("price_text"),
-                    F.round(F.col("embedding")[0].cast("double"), 6).alias("lat"),
-                    F.round(F.col("embedding")[1].cast("double"), 6).alias("lon"))
+                    F.col("embedding")[0].cast("double").alias("lat"),
+                    F.col("embedding")[1].cast("double").alias("lon"))
 
 
 # ---------------------------------------------------------------- A5, A6, D10, I9

@@ -156,7 +156,7 @@ def _part_features(spark, sf):
 def gbt_grid_q(spark, sf):
     """Boosted-tree grid over the reference's 3 × 4 × 4 settings on the
     ``part`` table (price from size, brand, type, name length)."""
-    return M.gbt_grid(_part_features(spark, sf), "p_retailprice", PART_FEATS, ["p_partkey"], folds=3)
+    return M.gbt_grid(_part_features(spark, sf), "p_retailprice", PART_FEATS, ["p_partkey"], folds=3, parallelism=8)
 
 
 @query("gbt_importance", ids="J10")

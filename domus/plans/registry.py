@@ -41,5 +41,8 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def sql_sig(expr: str, digits: int = 6) -> str:
     """SQL twin of :func:`domus.functions.scalar.sig_round`."""
     x = f"CAST(({expr}) AS DOUBLE)"
-    p = f"pow(10.0, floor(log10(abs({x}))))"
-    return f"(CASE WHEN {x} = 0 THEN 0.0 ELSE round({x} / {p}, {digits - 1}) * {p} END)"
+    e = f"floor(log10(abs({x})))"
+    big = f"pow(10.0, {e})"
+    small = f"pow(10.0, -{e})"
+    return (f"(CASE WHEN {x} = 0 THEN 0.0 WHEN {e} >= 0 THEN round({x} / {big}, {digits - 1}) * {big} "
+            f"ELSE round({x} * {small}, {digits - 1}) / {small} END)")
