@@ -3,6 +3,7 @@
 from domus.functions.scalar import (  # noqa: F401
     bin_right_closed,
     digits_only,
+    dround,
     escape_quotes,
     fingerprint,
     first_digit_run,

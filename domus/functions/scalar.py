@@ -116,21 +116,34 @@ def ratio(num: ColumnOrName, den: ColumnOrName) -> Column:
     return F.try_divide(_c(num).cast("double"), _c(den).cast("double"))
 
 
+def dround(c: ColumnOrName, digits: int) -> Column:
+    """Round to ``digits`` decimals as ``round(x·10^d) / 10^d``.
+
+    Spark's ``round(x, d)`` rounds the shortest decimal text of ``x`` while
+    other engines scale first; scaling by an exact power of ten first gives
+    the same double everywhere, ties included."""
+    x = _c(c).cast("double")
+    if digits >= 0:
+        p = float(10 ** digits)
+        return F.round(x * F.lit(p)) / F.lit(p)
+    p = float(10 ** -digits)
+    return F.round(x / F.lit(p)) * F.lit(p)
+
+
 def sig_round(c: ColumnOrName, digits: int = 6) -> Column:
     """Round to ``digits`` significant digits.
 
     Statistics computed by different algorithms agree to many digits but not
     bit for bit; rounding on significant digits makes them comparable across
     engines whatever their magnitude. (The same expression is written in the
-    oracle SQL.)"""
+    oracle SQL.) Only exact powers of ten are used as factors."""
     x = _c(c).cast("double")
-    e = F.floor(F.log10(F.abs(x)))
-    # multiply/divide by exact powers of ten only (10^-k is not exact)
-    big = F.pow(F.lit(10.0), e)
-    small = F.pow(F.lit(10.0), -e)
+    k = F.lit(digits - 1) - F.floor(F.log10(F.abs(x)))
+    up = F.pow(F.lit(10.0), k)
+    down = F.pow(F.lit(10.0), -k)
     return (F.when(x == 0, F.lit(0.0))
-            .when(e >= 0, F.round(x / big, digits - 1) * big)
-            .otherwise(F.round(x * small, digits - 1) / small))
+            .when(k >= 0, F.round(x * up) / up)
+            .otherwise(F.round(x / down) * down))
 
 
 def inv_norm_cdf(p: ColumnOrName) -> Column:

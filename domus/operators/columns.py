@@ -162,7 +162,10 @@ def enrich(df: DataFrame, struct_name: str, fields: Mapping[str, Column]) -> Dat
     """Set fields of a nested struct, creating the struct when it is absent
     or null (C11)."""
     if struct_name in df.columns:
-        base = F.coalesce(F.col(_q(struct_name)), F.struct())
+        cur = F.col(_q(struct_name))
+        st = df.schema[struct_name].dataType
+        empty = F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in st.fields])
+        base = F.when(cur.isNull(), empty).otherwise(cur)
     else:
         base = F.struct()
     for name, value in fields.items():

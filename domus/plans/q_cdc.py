@@ -172,7 +172,7 @@ def _from_flat(flat: DataFrame) -> DataFrame:
                        F.col("order_date").alias("o_orderdate"), F.col("order_priority").alias("o_orderpriority"))
 
 
-@query("stream_upsert", ids="K1 C1 B2 E1 B7", sql=UPSERT_SQL)
+@query("stream_upsert", ids="K1 C1 B2 E1 B7", bench=True, sql=UPSERT_SQL)
 def stream_upsert(spark, sf):
     """The incoming run lands as gz JSON drops (one per order year); a
     Structured Streaming query ingests them drop by drop (flatten → detect

@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 
 from domus.functions.scalar import (bin_right_closed, escape_quotes, indicator, json_path, ln_or_null,
                                     name_part, ratio, run_date_text, run_datetime_text, search_key,
-                                    sig_round, zero_aware_log)
+                                    dround, sig_round, zero_aware_log)
 from domus.operators import columns as C
 from domus.operators import filters as D
 from domus.operators.setops import attach_by_key, flatten_lists, left_join, union_many
-from domus.plans.registry import load, query, sql_sig
+from domus.plans.registry import load, query, sql_round, sql_sig
 from domus.sources.readers import object_of_records, sub_document
 
 # ---------------------------------------------------------------- helpers
@@ -171,12 +171,12 @@ def fill_constant_q(spark, sf):
 
 @query("fill_mean", ids="C14", sql="WITH " + LI_NULLS_SQL + """
 SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber,
-       round(coalesce(l_quantity, avg(l_quantity) OVER ()), 6) AS l_quantity,
-       round(coalesce(l_discount, avg(l_discount) OVER ()), 6) AS l_discount FROM li""")
+       """ + sql_round("coalesce(l_quantity, avg(l_quantity) OVER ())", 6) + """ AS l_quantity,
+       """ + sql_round("coalesce(l_discount, avg(l_discount) OVER ())", 6) + """ AS l_discount FROM li""")
 def fill_mean_q(spark, sf):
     li = lineitem_with_nulls(spark, sf).select(*KEYS, "l_quantity", "l_discount")
     out = C.fill_mean(li, subset=["l_quantity", "l_discount"])
-    return out.select(*KEYS, F.round("l_quantity", 6).alias("l_quantity"), F.round("l_discount", 6).alias("l_discount"))
+    return out.select(*KEYS, dround("l_quantity", 6).alias("l_quantity"), dround("l_discount", 6).alias("l_discount"))
 
 
 @query("numeric_if_all_parse", ids="C15", sql="""
@@ -337,24 +337,24 @@ def point_lookup_q(spark, sf):
 # ---------------------------------------------------------------- E, H: joins and sets
 
 @query("left_join_routes", ids="E2", sql="""
-WITH r AS (SELECT o_custkey, count(*) AS n_orders, round(avg(o_totalprice), 4) AS avg_price
+WITH r AS (SELECT o_custkey, count(*) AS n_orders, """ + sql_round("avg(o_totalprice)", 4) + """ AS avg_price
            FROM orders GROUP BY o_custkey)
 SELECT c_custkey, c_name, r.n_orders, r.avg_price FROM customer LEFT JOIN r ON c_custkey = r.o_custkey""")
 def left_join_routes_q(spark, sf):
     routes = load(spark, sf, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
-        F.count(F.lit(1)).alias("n_orders"), F.round(F.avg("o_totalprice"), 4).alias("avg_price"))
+        F.count(F.lit(1)).alias("n_orders"), dround(F.avg("o_totalprice"), 4).alias("avg_price"))
     return left_join(load(spark, sf, "customer").select("c_custkey", "c_name"), routes, "c_custkey")
 
 
 @query("attach_by_key", ids="E3 I7", sql="""
 SELECT c_custkey, c_name,
-       CASE WHEN c_acctbal > 0 THEN round(ln(c_acctbal), 6) END AS log_acctbal,
+       CASE WHEN c_acctbal > 0 THEN ln(c_acctbal) END AS log_acctbal,
        CASE WHEN c_mktsegment = 'BUILDING' THEN 1 ELSE 0 END AS is_building
 FROM customer""")
 def attach_by_key_q(spark, sf):
     c = load(spark, sf, "customer")
     a = c.select("c_custkey", "c_name")
-    b = c.select("c_custkey", F.round(ln_or_null("c_acctbal"), 6).alias("log_acctbal"),
+    b = c.select("c_custkey", ln_or_null("c_acctbal").alias("log_acctbal"),
                  indicator(F.col("c_mktsegment") == "BUILDING").alias("is_building"))
     return attach_by_key(a, b, "c_custkey")
 

@@ -6,10 +6,10 @@ import math
 
 from pyspark.sql import functions as F
 
-from domus.functions.scalar import sig_round
+from domus.functions.scalar import dround, sig_round
 from domus.operators import profile as P
 from domus.plans.q_columns import KEYS, LI_NULLS_SQL, lineitem_with_nulls
-from domus.plans.registry import load, query, sql_sig
+from domus.plans.registry import load, query, sql_round, sql_sig
 
 LI_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 JOIN_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "p_size", "p_retailprice"]
@@ -32,13 +32,13 @@ def count_rows_q(spark, sf):
 
 
 @query("group_two_keys", ids="F2", sql="""
-SELECT l_returnflag, l_linestatus, count(*) AS n, round(avg(l_extendedprice), 4) AS avg_price,
-       round(avg(l_quantity), 4) AS avg_quantity
+SELECT l_returnflag, l_linestatus, count(*) AS n, """ + sql_round("avg(l_extendedprice)", 4) + """ AS avg_price,
+       """ + sql_round("avg(l_quantity)", 4) + """ AS avg_quantity
 FROM lineitem GROUP BY l_returnflag, l_linestatus""")
 def group_two_keys_q(spark, sf):
     return load(spark, sf, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.avg("l_extendedprice"), 4).alias("avg_price"),
-        F.round(F.avg("l_quantity"), 4).alias("avg_quantity"))
+        F.count(F.lit(1)).alias("n"), dround(F.avg("l_extendedprice"), 4).alias("avg_price"),
+        dround(F.avg("l_quantity"), 4).alias("avg_quantity"))
 
 
 @query("group_city", ids="F3 L1", sql="""
@@ -93,10 +93,10 @@ LI_ALL = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
 
 @query("missing_report", ids="F8", bench=True, sql="WITH " + LI_NULLS_SQL + "\n" + "\nUNION ALL\n".join(
     f"SELECT '{c}' AS column_name, count(*) - count({c}) AS total, "
-    f"round((count(*) - count({c})) / count(*), 6) AS percent FROM li" for c in LI_ALL))
+    f"{sql_round(f'(count(*) - count({c})) / count(*)', 6)} AS percent FROM li" for c in LI_ALL))
 def missing_report_q(spark, sf):
     r = P.missing_report(lineitem_with_nulls(spark, sf))
-    return r.withColumn("percent", F.round("percent", 6))
+    return r.withColumn("percent", dround("percent", 6))
 
 
 @query("drop_sparse", ids="F9", sql="WITH " + LI_NULLS_SQL + """
@@ -160,12 +160,11 @@ def box_by_category_q(spark, sf):
 WITH s AS (SELECT min(o_totalprice) AS lo, max(o_totalprice) AS hi, avg(o_totalprice) AS m,
                   stddev_samp(o_totalprice) AS sd FROM orders),
 b AS (SELECT CAST(least(floor((o_totalprice - lo) / ((hi - lo) / 20)), 19) AS INTEGER) AS bin FROM orders, s)
-SELECT bin, round(lo + bin * ((hi - lo) / 20), 4) AS lo, round(lo + (bin + 1) * ((hi - lo) / 20), 4) AS hi,
+SELECT bin, lo + bin * ((hi - lo) / 20) AS lo, lo + (bin + 1) * ((hi - lo) / 20) AS hi,
        count(*) AS count, """ + sql_sig("m") + " AS mean, " + sql_sig("sd") + """ AS std
 FROM b, s GROUP BY bin, s.lo, s.hi, s.m, s.sd""")
 def histogram_q(spark, sf):
     h = P.histogram(load(spark, sf, "orders"), "o_totalprice", 20)
-    h = h.withColumn("lo", F.round("lo", 4)).withColumn("hi", F.round("hi", 4))
     return _sig_cols(h, ["mean", "std"])
 
 
@@ -187,12 +186,12 @@ def density_by_category_q(spark, sf):
 @query("grid_heatmap", ids="F15", sql="""
 SELECT CAST(floor(CAST(embedding[1] AS DOUBLE) / 0.05) AS BIGINT) AS cell_x,
        CAST(floor(CAST(embedding[2] AS DOUBLE) / 0.05) AS BIGINT) AS cell_y,
-       count(*) AS count, round(avg(label), 6) AS mean_value
+       count(*) AS count, """ + sql_round("avg(label)", 6) + """ AS mean_value
 FROM embeddings GROUP BY 1, 2""")
 def grid_heatmap_q(spark, sf):
     e = load(spark, sf, "embeddings").select(F.col("embedding")[0].cast("double").alias("x"),
                                              F.col("embedding")[1].cast("double").alias("y"), "label")
-    return P.grid_heatmap(e, "x", "y", 0.05, "label").withColumn("mean_value", F.round("mean_value", 6))
+    return P.grid_heatmap(e, "x", "y", 0.05, "label").withColumn("mean_value", dround("mean_value", 6))
 
 
 @query("scatter_bins", ids="F22", sql="""

@@ -41,8 +41,14 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def sql_sig(expr: str, digits: int = 6) -> str:
     """SQL twin of :func:`domus.functions.scalar.sig_round`."""
     x = f"CAST(({expr}) AS DOUBLE)"
-    e = f"floor(log10(abs({x})))"
-    big = f"pow(10.0, {e})"
-    small = f"pow(10.0, -{e})"
-    return (f"(CASE WHEN {x} = 0 THEN 0.0 WHEN {e} >= 0 THEN round({x} / {big}, {digits - 1}) * {big} "
-            f"ELSE round({x} * {small}, {digits - 1}) / {small} END)")
+    k = f"({digits - 1} - floor(log10(abs({x}))))"
+    up = f"pow(10.0, {k})"
+    down = f"pow(10.0, -{k})"
+    return (f"(CASE WHEN {x} = 0 THEN 0.0 WHEN {k} >= 0 THEN round({x} * {up}) / {up} "
+            f"ELSE round({x} / {down}) * {down} END)")
+
+
+def sql_round(expr: str, digits: int) -> str:
+    """SQL twin of :func:`domus.functions.scalar.dround`."""
+    p = float(10 ** digits)
+    return f"(round(CAST(({expr}) AS DOUBLE) * {p!r}) / {p!r})"

@@ -76,7 +76,7 @@ def read_object_of_records(spark: SparkSession, path: str, record_schema: str,
                            key_name: str = "id") -> DataFrame:
     """Files each holding one JSON object of objects (A6); each file is read
     whole (``wholetext``), so one file is one task."""
-    raw = spark.read.option("wholetext", True).text(path)
+    raw = spark.read.text(path, wholetext=True)
     return object_of_records(raw, "value", record_schema, key_name)
 
 
