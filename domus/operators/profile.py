@@ -308,15 +308,35 @@ def ols_one(df: DataFrame, y: str, x: str) -> DataFrame:
 
 def ols_screen(df: DataFrame, y: str, xs: Sequence[str]) -> DataFrame:
     """Every column screened by one-predictor OLS, sorted by adj. R² (F17):
-    one aggregate for all columns, not a job per column."""
-    yy = F.col(y).cast("double")
-    parts = {"n": lambda c: F.regr_count(yy, F.col(_q(c)).cast("double")),
-             "slope": lambda c: F.regr_slope(yy, F.col(_q(c)).cast("double")),
-             "intercept": lambda c: F.regr_intercept(yy, F.col(_q(c)).cast("double")),
-             "r2": lambda c: F.regr_r2(yy, F.col(_q(c)).cast("double")),
-             "syy": lambda c: F.regr_syy(yy, F.col(_q(c)).cast("double"))}
-    rows = _long_rows(df, list(xs), parts)
-    return _ols_one_finish(rows).orderBy(F.desc("adj_r2"), "column_name")
+    one aggregate for all columns, not a job per column.
+
+    Uses plain ``sum`` moments over the complete (x, y) pairs (six sums per
+    column) instead of ``regr_*`` aggregates: dozens of ``regr_*`` buffers
+    produce a generated method too large for the JIT, plain sums stay small.
+    The raw moments are centred in the one-row result (c_xy = Σxy − n·x̄·ȳ);
+    this loses digits only when a column's mean dwarfs its spread."""
+    yy = F.col(_q(y)).cast("double")
+    aggs = []
+    for i, c in enumerate(xs):
+        x = F.col(_q(c)).cast("double")
+        ok = x.isNotNull() & yy.isNotNull()
+        xo, yo = F.when(ok, x), F.when(ok, yy)
+        aggs += [F.count_if(ok).alias(f"n{i}"), F.sum(xo).alias(f"sx{i}"), F.sum(yo).alias(f"sy{i}"),
+                 F.sum(xo * xo).alias(f"sxx{i}"), F.sum(yo * yo).alias(f"syy{i}"), F.sum(xo * yo).alias(f"sxy{i}")]
+    one = df.agg(*aggs)
+    rows = []
+    for i, c in enumerate(xs):
+        n = F.col(f"n{i}").cast("double")
+        mx, my = F.col(f"sx{i}") / n, F.col(f"sy{i}") / n
+        cxx = F.col(f"sxx{i}") - n * mx * mx
+        cyy = F.col(f"syy{i}") - n * my * my
+        cxy = F.col(f"sxy{i}") - n * mx * my
+        slope = cxy / cxx
+        rows.append(F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("n"), slope.alias("slope"),
+                             (my - slope * mx).alias("intercept"), (cxy * cxy / (cxx * cyy)).alias("r2"),
+                             cyy.alias("syy")))
+    long = one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    return _ols_one_finish(long).orderBy(F.desc("adj_r2"), "column_name")
 
 
 def rmse(df: DataFrame, label: str, prediction: str) -> DataFrame:

@@ -5,10 +5,11 @@ one task. Here ranks are built from *counts per distinct value*:
 
 1. ``groupBy(group, value).count()`` — partial aggregation, so a value that
    holds a third of all rows collapses to one row map-side;
-2. the distinct values are cut into buckets at approximate quantiles *of the
-   distinct values* (a bounded list of cut points; a hot value is one entry,
-   so no bucket is hot); each bucket is ranked by a window partitioned by
-   (group, bucket), and bucket offsets come from a tiny per-bucket count table;
+2. the distinct values are cut into buckets at approximate quantiles of a
+   sample of the values (a bounded list of cut points; a hot value is one
+   distinct row, so no bucket is hot); each bucket is ranked by a window
+   partitioned by (group, bucket), and bucket offsets come from a tiny
+   per-bucket count table;
 3. each distinct value then knows the 0-based rank of its first row
    (``start``) and its multiplicity (``cnt``).
 
@@ -27,11 +28,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _cut_points(counts: DataFrame, value: str, buckets: int) -> list[float]:
+def _cut_points(values: DataFrame, value: str, buckets: int, sample_fraction: float) -> list[float]:
+    """Approximate quantiles of a deterministic sample of the raw values.
+
+    Cut points only balance the buckets (correctness never depends on
+    them), so a sample is enough; a value repeated in many cut points (a hot
+    value) collapses into one bucket boundary."""
     if buckets <= 1:
         return []
     probs = [i / buckets for i in range(1, buckets)]
-    cuts = counts.approxQuantile(value, probs, 0.5 / buckets)
+    sample = values if sample_fraction >= 1 else values.sample(False, sample_fraction, seed=17)
+    cuts = sample.approxQuantile(value, probs, 0.5 / buckets)
     out: list[float] = []
     for c in cuts:
         if c is None:
@@ -42,15 +49,15 @@ def _cut_points(counts: DataFrame, value: str, buckets: int) -> list[float]:
 
 
 def distinct_value_ranks(df: DataFrame, value: str, groups: Sequence[str] = (),
-                         buckets: int = 64) -> DataFrame:
+                         buckets: int = 64, sample_fraction: float = 0.02) -> DataFrame:
     """One row per (groups, distinct non-null value): ``cnt`` rows with that
     value, ``start`` = rows of the group with a smaller value, ``n`` = rows
     of the group (non-null values only)."""
     g = list(groups)
-    counts = (df.select(*g, F.col(value).cast("double").alias("__v"))
-              .where(F.col("__v").isNotNull() & ~F.isnan("__v"))
-              .groupBy(*g, "__v").agg(F.count(F.lit(1)).alias("cnt")))
-    cuts = _cut_points(counts, "__v", buckets)
+    vals = (df.select(*g, F.col(value).cast("double").alias("__v"))
+            .where(F.col("__v").isNotNull() & ~F.isnan("__v")))
+    counts = vals.groupBy(*g, "__v").agg(F.count(F.lit(1)).alias("cnt"))
+    cuts = _cut_points(vals, "__v", buckets, sample_fraction)
     splits = [float("-inf")] + cuts + [float("inf")]
     if len(splits) > 2:
         b = Bucketizer(splits=splits, inputCol="__v", outputCol="__b", handleInvalid="keep")

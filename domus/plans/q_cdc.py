@@ -14,12 +14,14 @@ from domus.operators.cdc import changed_or_new, changed_or_new_unique, skip_land
 from domus.operators.columns import flatten_structs
 from domus.plans.registry import load, query
 from domus.session import scratch_path
-from domus.sinks.writers import latest_version_path, upsert_table, write_json_drops, write_version
+from domus.sinks.writers import (latest_version_path, upsert_table, write_bucketed, write_json_drops,
+                                 write_version)
 from domus.sources.readers import COLD_START_SCHEMA, read_table_or_empty
 from domus.streaming.ingest import ingest_drops
 
 STORED_BEFORE = "1999-01-01 00:00:00"
 INCOMING_FROM = "1998-01-01 00:00:00"
+STREAM_BUCKETS = 8  # size buckets to ~0.1–1 GB each at scale
 COLS = ["o_orderkey", "price", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"]
 
 
@@ -176,15 +178,18 @@ def _from_flat(flat: DataFrame) -> DataFrame:
 def stream_upsert(spark, sf):
     """The incoming run lands as gz JSON drops (one per order year); a
     Structured Streaming query ingests them drop by drop (flatten → detect
-    change → upsert into a new table version). The final table equals the
-    batch ``cdc_upsert``."""
+    change → upsert). The table is partitioned by a hash bucket of the key,
+    so each batch rewrites only the buckets it touches. The final table
+    equals the batch ``cdc_upsert``."""
     base = scratch_path(spark, "stream_upsert")
     table, landing = f"{base}/table", f"{base}/landing"
-    write_version(stored_orders(spark, sf), table)
-    write_json_drops(_as_docs(incoming_orders(spark, sf)), landing, partition_by=["year"], mode="overwrite")
+    write_bucketed(stored_orders(spark, sf), table, "o_orderkey", STREAM_BUCKETS)
+    # one landed file per drop (one run = one file), as the job lands them
+    write_json_drops(_as_docs(incoming_orders(spark, sf)).repartition("year"), landing,
+                     partition_by=["year"], mode="overwrite")
     ingest_drops(spark, landing, _doc_schema(), table, "o_orderkey", "price", f"{base}/checkpoint",
-                 prepare=_from_flat, files_per_batch=1)
-    return spark.read.parquet(latest_version_path(spark, table)).select(*COLS)
+                 prepare=_from_flat, files_per_batch=1, buckets=STREAM_BUCKETS)
+    return spark.read.parquet(table).select(*COLS)
 
 
 @query("table_upsert", ids="B7 B1 A4", sql=UPSERT_SQL)

@@ -348,13 +348,13 @@ def left_join_routes_q(spark, sf):
 
 @query("attach_by_key", ids="E3 I7", sql="""
 SELECT c_custkey, c_name,
-       CASE WHEN c_acctbal > 0 THEN ln(c_acctbal) END AS log_acctbal,
+       CASE WHEN c_acctbal > 0 THEN """ + sql_sig("ln(c_acctbal)") + """ END AS log_acctbal,
        CASE WHEN c_mktsegment = 'BUILDING' THEN 1 ELSE 0 END AS is_building
 FROM customer""")
 def attach_by_key_q(spark, sf):
     c = load(spark, sf, "customer")
     a = c.select("c_custkey", "c_name")
-    b = c.select("c_custkey", ln_or_null("c_acctbal").alias("log_acctbal"),
+    b = c.select("c_custkey", sig_round(ln_or_null("c_acctbal")).alias("log_acctbal"),
                  indicator(F.col("c_mktsegment") == "BUILDING").alias("is_building"))
     return attach_by_key(a, b, "c_custkey")
 

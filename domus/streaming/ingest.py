@@ -11,18 +11,24 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from domus.operators.cdc import changed_or_new_unique, upsert
 from domus.operators.columns import flatten_structs
-from domus.sinks.writers import latest_version_path, write_version
+from domus.sinks.writers import BUCKET_COL, bucket_of, latest_version_path, merge_bucketed, write_version
 
 
 def ingest_drops(spark: SparkSession, landing: str, schema: T.StructType | str, table: str, key: str,
                  price: str, checkpoint: str, prepare: Callable[[DataFrame], DataFrame] | None = None,
-                 files_per_batch: int | None = 1, available_now: bool = True):
+                 files_per_batch: int | None = 1, available_now: bool = True, buckets: int | None = None):
     """Start (and, with ``available_now``, finish) the stream; returns the
-    query. ``prepare`` maps a flattened batch to the table's columns."""
+    query. ``prepare`` maps a flattened batch to the table's columns.
+
+    With ``buckets`` the table is a bucket-partitioned table written by
+    :func:`domus.sinks.writers.write_bucketed`, and each batch rewrites only
+    the buckets it touches (staged under the checkpoint, one folder per
+    batch id). Without it every batch writes a new full version."""
     reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
@@ -32,13 +38,26 @@ def ingest_drops(spark: SparkSession, landing: str, schema: T.StructType | str,
         flat = flatten_structs(batch)
         if prepare is not None:
             flat = prepare(flat)
-        cur = latest_version_path(spark, table)
-        if cur is None:
-            write_version(flat, table)
-            return
-        target = spark.read.parquet(cur)
-        changed = changed_or_new_unique(flat, target, key, price).drop("fingerprint")
-        write_version(upsert(target, changed, key, dedupe="latest", order_by=[key]), table)
+        flat = flat.persist()  # the batch is used by several actions below
+        try:
+            if buckets:
+                # read only the buckets this batch can touch (at most ``buckets`` ids)
+                touched = sorted(r[0] for r in flat.select(bucket_of(key, buckets).alias("b")).distinct().collect())
+                current = (spark.read.parquet(table).where(F.col(BUCKET_COL).isin(touched)).drop(BUCKET_COL)
+                           .join(flat.select(key).distinct(), key, "left_semi"))
+                changed = changed_or_new_unique(flat, current, key, price).drop("fingerprint")
+                merge_bucketed(spark, changed, table, key, buckets, f"{checkpoint}/staging/batch={batch_id}",
+                               dedupe="latest", order_by=[key], touched=touched)
+                return
+            cur = latest_version_path(spark, table)
+            if cur is None:
+                write_version(flat, table)
+                return
+            target = spark.read.parquet(cur)
+            changed = changed_or_new_unique(flat, target, key, price).drop("fingerprint")
+            write_version(upsert(target, changed, key, dedupe="latest", order_by=[key]), table)
+        finally:
+            flat.unpersist()
 
     w = stream.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w

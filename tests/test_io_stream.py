@@ -73,3 +73,19 @@ def test_gz_json_round_trip(spark, tmp):
     write_json_drops(df, f"{tmp}/j", partition_by=["city"])
     back = read_json_drops(spark, f"{tmp}/j", "id long, t string, city string", partitions=2)
     assert sorted(tuple(r) for r in back.collect()) == [(1, "a", "zurich"), (2, "b", "bern")]
+
+
+def test_bucketed_merge_rewrites_only_touched(spark, tmp):
+    import os
+
+    from domus.sinks.writers import BUCKET_COL, bucket_of, merge_bucketed, write_bucketed
+    base = spark.range(0, 1000).select(F.col("id").cast("string").alias("id"), (F.col("id") * 2).alias("price"))
+    write_bucketed(base, f"{tmp}/t", "id", 16)
+    src = spark.createDataFrame([("5", 1), ("2000", 7)], "id string, price bigint")
+    touched = merge_bucketed(spark, src, f"{tmp}/t", "id", 16, f"{tmp}/stage")
+    expect = sorted({r[0] for r in src.select(bucket_of("id", 16)).collect()})
+    assert touched == expect
+    parts = [d for d in os.listdir(f"{tmp}/t") if d.startswith(BUCKET_COL)]
+    assert len(parts) == 16
+    got = {r["id"]: r["price"] for r in spark.read.parquet(f"{tmp}/t").collect()}
+    assert len(got) == 1001 and got["5"] == 1 and got["2000"] == 7 and got["6"] == 12
