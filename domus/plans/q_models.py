@@ -118,7 +118,7 @@ def ols_summary_q(spark, sf):
 
 
 @query("poisson_fit", ids="J12", sql="""
-SELECT count(*) AS n, CAST(sum(l_quantity) AS BIGINT) AS sum_label, 1.0 AS pred_over_label FROM lineitem""")
+SELECT count(*) AS n, CAST(sum(l_quantity) AS BIGINT) AS sum_label, CAST(1.0 AS DOUBLE) AS pred_over_label FROM lineitem""")
 def poisson_fit_q(spark, sf):
     """Poisson GLM (log link) of quantity on discount and tax. With an
     intercept the fitted means add up to the labels (the score equation of
@@ -183,3 +183,17 @@ def score_holdout_q(spark, sf):
 @query("residual_bins", ids="F21 J6")
 def residual_bins_q(spark, sf):
     return P.residual_bins(_holdout(spark, sf), "l_extendedprice", "prediction", 10, "split")
+
+
+@query("score_test_csv", ids="J14 J6 B3 A2")
+def score_test_csv_q(spark, sf):
+    """Score the held-out rows and hand them over as a CSV result file
+    (row key + prediction), read back with a declared schema."""
+    from domus.session import scratch_path
+    from domus.sinks.writers import write_csv
+    from domus.sources.readers import read_delimited
+    pred = _holdout(spark, sf).where(F.col("split") == "test").select(*KEYS, "prediction")
+    p = scratch_path(spark, "scores")
+    write_csv(pred, p)
+    return read_delimited(spark, p, "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                                    "prediction double", sep=",")

@@ -85,3 +85,16 @@ def list_dir(spark: SparkSession, path: str) -> list[str]:
 
 def env_sf_dir(default: str = "/root/testdata/sf0.1") -> str:
     return os.environ.get("BENCH_SF_DIR", default)
+
+
+def spread(df):
+    """Spread a frame over the cores when its scan yields fewer partitions
+    than the session's default parallelism (a small file is one split).
+
+    A round-robin ``repartition`` so per-row work (regexes, explodes, the map
+    side of aggregates, ML gradients) runs on every core. Large inputs are
+    already split into many partitions, so there this is a no-op."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < par:
+        return df.repartition(par)
+    return df

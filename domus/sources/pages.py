@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from domus.functions.scalar import CURRENCIES
+from domus.session import spread
 
 HREF_PATTERN = r'href="([^"]*)"'
 LINK_TEXT_PATTERN = r"<a[^>]*>([^<]{1,3})</a>"
@@ -45,8 +46,9 @@ def page_listings(pages: DataFrame, prefix: str, page_key: str = "page_id", html
     link (I4), price = the amount at the same position (E4). Ids without a
     price at their position are dropped (inner pairing; the reference fails
     there); a repeated id keeps the *last* price and its first position
-    (F20). Returns (id, price, page_id, pos)."""
-    d = pages.select(F.col(page_key), item_links(html_col, prefix).alias("__ids"),
+    (F20). Returns (id, price, page_id, pos). Regex work is per row, so a
+    frame with fewer partitions than cores is spread first."""
+    d = spread(pages).select(F.col(page_key), item_links(html_col, prefix).alias("__ids"),
                      price_texts(html_col).alias("__prices"))
     z = d.select(page_key, F.posexplode(F.arrays_zip(F.col("__ids").alias("link"),
                                                      F.col("__prices").alias("price"))).alias("pos", "z"))
@@ -72,5 +74,5 @@ def unpaired_counts(pages: DataFrame, prefix: str, page_key: str = "page_id", ht
 
 def page_links(pages: DataFrame, prefix: str = "/", page_key: str = "page_id", html_col: str = "html") -> DataFrame:
     """One row per link with the prefix: (page_id, pos, href, first digit run)."""
-    d = pages.select(page_key, F.posexplode(item_links(html_col, prefix)).alias("pos", "href"))
+    d = spread(pages).select(page_key, F.posexplode(item_links(html_col, prefix)).alias("pos", "href"))
     return d.withColumn("digits", F.nullif(F.regexp_extract("href", r"(\d+)", 1), F.lit("")))

@@ -115,3 +115,30 @@ def test_select_by_type(spark):
     df = spark.createDataFrame([(1, "a", 2.0)], "k int, s string, d double")
     assert C.select_by_type(df, "string", keep=["k"]).columns == ["k", "s"]
     assert C.select_by_type(df, "number").columns == ["k", "d"]
+
+
+def test_nested_lists_and_search_key(spark):
+    from domus.functions.scalar import search_key
+    from domus.operators.setops import flatten_lists
+    df = spark.createDataFrame([([[111, 222, 333], [55, 666666, 7777], [99, 999, 9999]],)], "xs array<array<int>>")
+    assert len(df.select(flatten_lists("xs").alias("f")).first()["f"]) == 9
+    s = spark.createDataFrame([("twann", "real-estate", 0, "buy"), ("Bern", "real-estate", 0, "buy")],
+                              "city string, propertyType string, radius int, rentOrBuy string")
+    keys = [r[0] for r in s.select(search_key("city", "rentOrBuy", "propertyType", "radius")).collect()]
+    assert keys == ["twann_buy_real_estate_0", "bern_buy_real_estate_0"]
+
+
+def test_valid_json_and_quarantine(spark):
+    from domus.operators.filters import quarantine, valid_json
+    df = spark.createDataFrame([(1, '{"a": 1}'), (2, '{"a": 1'), (3, None)], "k int, t string")
+    assert [r[0] for r in valid_json(df, "t").collect()] == [1]
+    q = quarantine(df, {"has_text": F.col("t").isNotNull(), "small": F.col("k") < 3})
+    got = {r["k"]: (r["ok"], r["reasons"]) for r in q.collect()}
+    assert got[1] == (True, []) and got[3] == (False, ["has_text", "small"])
+
+
+def test_bins_right_closed(spark):
+    from domus.functions.scalar import bin_right_closed
+    df = spark.createDataFrame([(0.0,), (0.5,), (4.0,), (4.01,), (48.0,), (49.0,)], "x double")
+    got = [r[0] for r in df.select(bin_right_closed("x", [0.0, 4.0, 8.0, 48.0])).collect()]
+    assert got == [None, 0, 0, 1, 2, None]
