@@ -12,7 +12,6 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -24,10 +23,9 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     only = set(filter(None, os.environ.get("BENCH_ONLY", "").split(",")))
     from domus.session import build_session
-    extra = {"spark.eventLog.enabled": "false"}
-    if not os.environ.get("SPARK_CHECKPOINT_DIR"):
-        extra["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="domus-bench-")
-    spark = build_session(f"local[{cpus}]", "domus-bench", shuffle_partitions=int(cpus), extra=extra)
+    # spark.checkpoint.dir: taken from the session; only set (to a fresh
+    # temporary folder) by build_session when the deployment names none
+    spark = build_session(f"local[{cpus}]", "domus-bench", shuffle_partitions=int(cpus))
     from domus import plans
     timings: dict[str, float] = {}
     for name, fn in plans.bench_queries().items():

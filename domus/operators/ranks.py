@@ -78,29 +78,59 @@ def distinct_value_ranks(df: DataFrame, value: str, groups: Sequence[str] = (),
                       (F.col("__boff") + F.col("__inb")).alias("start"), "n")
 
 
+def _bucketize(vals: DataFrame, cuts: list[float]) -> DataFrame:
+    splits = [float("-inf")] + cuts + [float("inf")]
+    if len(splits) > 2:
+        return Bucketizer(splits=splits, inputCol="__v", outputCol="__b", handleInvalid="keep").transform(vals)
+    return vals.withColumn("__b", F.lit(0.0))
+
+
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], groups: Sequence[str] = (),
-                    buckets: int = 64) -> DataFrame:
+                    buckets: int = 64, sample_fraction: float = 0.02) -> DataFrame:
     """Quantiles with linear interpolation between order statistics (the
     pandas / ``percentile_cont`` rule), exact, one row per (groups, prob)
-    with column ``q``. Never gathers a group into one task."""
+    with column ``q``. Never gathers a group into one task.
+
+    Only the buckets that hold a wanted rank are ranked:
+
+    1. rows per (group, bucket) — one pass, tiny result; bucket offsets by a
+       window over that small table;
+    2. each wanted rank (⌊h⌋ and ⌈h⌉ of h = (n−1)p) is located in its bucket;
+    3. the rows of those buckets only are counted per distinct value (a hot
+       value collapses map-side) and ranked inside their bucket."""
     g = list(groups)
-    dv = distinct_value_ranks(df, value, g, buckets)
-    # target ranks (0-based) per group and prob: h = (n-1)p, need floor & ceil
-    sizes = dv.select(*g, "n").distinct()
-    targets = sizes.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-    targets = (targets.withColumn("__h", (F.col("n") - 1) * F.col("prob"))
-               .withColumn("__lo", F.floor("__h")).withColumn("__hi", F.ceil("__h")))
-    t_long = targets.select(*g, "prob", "__h", F.explode(F.array(
-        F.struct(F.lit(0).alias("side"), F.col("__lo").alias("r")),
-        F.struct(F.lit(1).alias("side"), F.col("__hi").alias("r")))).alias("t"))
-    t_long = t_long.select(*g, "prob", "__h", "t.side", "t.r")
-    cond = [t_long[c] == dv[c] for c in g] + [t_long["r"] >= dv["start"],
-                                             t_long["r"] < dv["start"] + dv["cnt"]]
-    hit = t_long.join(dv.select(*g, value, "start", "cnt"), cond, "inner").select(
-        *[t_long[c] for c in g], "prob", "__h", "side", F.col(value).alias("__x"))
+    vals = (df.select(*g, F.col(value).cast("double").alias("__v"))
+            .where(F.col("__v").isNotNull() & ~F.isnan("__v")))
+    cuts = _cut_points(vals, "__v", buckets, sample_fraction)
+    vb = _bucketize(vals, cuts)
+    per_bucket = vb.groupBy(*g, "__b").agg(F.count(F.lit(1)).alias("__bcnt"))
+    wb = Window.partitionBy(*g).orderBy("__b") if g else Window.orderBy("__b")
+    per_bucket = (per_bucket
+                  .withColumn("__boff", F.coalesce(F.sum("__bcnt").over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+                  .withColumn("n", F.sum("__bcnt").over(Window.partitionBy(*g) if g else Window.partitionBy())))
+    # wanted ranks (0-based) per group and prob, located in their bucket
+    targets = per_bucket.select(*g, "n").distinct().withColumn(
+        "prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
+    targets = targets.withColumn("__h", (F.col("n") - 1) * F.col("prob")).select(
+        *g, "prob", "__h", F.explode(F.array(
+            F.struct(F.lit(0).alias("side"), F.floor("__h").alias("r")),
+            F.struct(F.lit(1).alias("side"), F.ceil("__h").alias("r")))).alias("t")).select(
+        *g, "prob", "__h", "t.side", "t.r")
+    located = targets.join(per_bucket.select(*g, "__b", "__boff", "__bcnt"), g, "inner") if g else \
+        targets.join(per_bucket.select("__b", "__boff", "__bcnt"))
+    located = located.where((F.col("r") >= F.col("__boff")) & (F.col("r") < F.col("__boff") + F.col("__bcnt")))
+    located = located.select(*g, "prob", "__h", "side", "__b", (F.col("r") - F.col("__boff")).alias("__rin"))
+    wanted = located.select(*g, "__b").distinct()
+    # rank inside the wanted buckets only, by counts per distinct value
+    dv = (vb.join(wanted, [*g, "__b"], "left_semi")
+          .groupBy(*g, "__b", "__v").agg(F.count(F.lit(1)).alias("cnt")))
+    wv = Window.partitionBy(*g, "__b").orderBy("__v").rowsBetween(Window.unboundedPreceding, -1)
+    dv = dv.withColumn("start", F.coalesce(F.sum("cnt").over(wv), F.lit(0)))
+    hit = located.join(dv, [*g, "__b"], "inner").where(
+        (F.col("__rin") >= F.col("start")) & (F.col("__rin") < F.col("start") + F.col("cnt")))
     agg = hit.groupBy(*g, "prob", "__h").agg(
-        F.max(F.when(F.col("side") == 0, F.col("__x"))).alias("__xl"),
-        F.max(F.when(F.col("side") == 1, F.col("__x"))).alias("__xh"))
+        F.max(F.when(F.col("side") == 0, F.col("__v"))).alias("__xl"),
+        F.max(F.when(F.col("side") == 1, F.col("__v"))).alias("__xh"))
     frac = F.col("__h") - F.floor("__h")
     return agg.select(*g, "prob", (F.col("__xl") + (F.col("__xh") - F.col("__xl")) * frac).alias("q"))
 
