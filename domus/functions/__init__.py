@@ -11,6 +11,7 @@ from domus.functions.scalar import (  # noqa: F401
     inv_norm_cdf,
     json_path,
     ln_or_null,
+    money_avg,
     name_part,
     price_after_currency,
     ratio,

@@ -116,6 +116,16 @@ def ratio(num: ColumnOrName, den: ColumnOrName) -> Column:
     return F.try_divide(_c(num).cast("double"), _c(den).cast("double"))
 
 
+def money_avg(c: ColumnOrName, decimals: int = 2) -> Column:
+    """Average of money amounts written with ``decimals`` decimals, summed in
+    exact integer minor units (cents): the result does not depend on the
+    order of summation, so it is the same for any partitioning (a floating
+    sum is not, which matters when the exact mean sits on a rounding tie)."""
+    scale = float(10 ** decimals)
+    x = _c(c)
+    return (F.sum(F.round(x * F.lit(scale)).cast("bigint")).cast("double") / F.count(x)) / F.lit(scale)
+
+
 def dround(c: ColumnOrName, digits: int) -> Column:
     """Round to ``digits`` decimals as ``round(x·10^d) / 10^d``.
 

@@ -108,18 +108,16 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], groups: S
     per_bucket = (per_bucket
                   .withColumn("__boff", F.coalesce(F.sum("__bcnt").over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
                   .withColumn("n", F.sum("__bcnt").over(Window.partitionBy(*g) if g else Window.partitionBy())))
-    # wanted ranks (0-based) per group and prob, located in their bucket
-    targets = per_bucket.select(*g, "n").distinct().withColumn(
-        "prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-    targets = targets.withColumn("__h", (F.col("n") - 1) * F.col("prob")).select(
-        *g, "prob", "__h", F.explode(F.array(
-            F.struct(F.lit(0).alias("side"), F.floor("__h").alias("r")),
-            F.struct(F.lit(1).alias("side"), F.ceil("__h").alias("r")))).alias("t")).select(
-        *g, "prob", "__h", "t.side", "t.r")
-    located = targets.join(per_bucket.select(*g, "__b", "__boff", "__bcnt"), g, "inner") if g else \
-        targets.join(per_bucket.select("__b", "__boff", "__bcnt"))
-    located = located.where((F.col("r") >= F.col("__boff")) & (F.col("r") < F.col("__boff") + F.col("__bcnt")))
-    located = located.select(*g, "prob", "__h", "side", "__b", (F.col("r") - F.col("__boff")).alias("__rin"))
+    # wanted ranks (0-based) per group and prob, located in their bucket:
+    # every per-bucket row expands to the 2·len(probs) candidate ranks of its
+    # group and keeps those that fall inside it (no join needed)
+    located = per_bucket.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
+    located = located.withColumn("__h", (F.col("n") - 1) * F.col("prob")).withColumn("t", F.explode(F.array(
+        F.struct(F.lit(0).alias("side"), F.floor("__h").alias("r")),
+        F.struct(F.lit(1).alias("side"), F.ceil("__h").alias("r")))))
+    located = located.where((F.col("t.r") >= F.col("__boff")) & (F.col("t.r") < F.col("__boff") + F.col("__bcnt")))
+    located = located.select(*g, "prob", "__h", F.col("t.side").alias("side"), "__b",
+                             (F.col("t.r") - F.col("__boff")).alias("__rin"))
     wanted = located.select(*g, "__b").distinct()
     # rank inside the wanted buckets only, by counts per distinct value
     dv = (vb.join(wanted, [*g, "__b"], "left_semi")

@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 
 from domus.functions.scalar import (bin_right_closed, escape_quotes, indicator, json_path, ln_or_null,
                                     name_part, ratio, run_date_text, run_datetime_text, search_key,
-                                    dround, sig_round, zero_aware_log)
+                                    dround, money_avg, sig_round, zero_aware_log)
 from domus.operators import columns as C
 from domus.operators import filters as D
 from domus.operators.setops import attach_by_key, flatten_lists, left_join, union_many
-from domus.plans.registry import load, query, sql_round, sql_sig
+from domus.plans.registry import load, query, sql_money_avg, sql_round, sql_sig
 from domus.sources.readers import object_of_records, sub_document
 
 # ---------------------------------------------------------------- helpers
@@ -337,12 +337,12 @@ def point_lookup_q(spark, sf):
 # ---------------------------------------------------------------- E, H: joins and sets
 
 @query("left_join_routes", ids="E2", sql="""
-WITH r AS (SELECT o_custkey, count(*) AS n_orders, """ + sql_round("avg(o_totalprice)", 4) + """ AS avg_price
+WITH r AS (SELECT o_custkey, count(*) AS n_orders, """ + sql_round(sql_money_avg("o_totalprice"), 4) + """ AS avg_price
            FROM orders GROUP BY o_custkey)
 SELECT c_custkey, c_name, r.n_orders, r.avg_price FROM customer LEFT JOIN r ON c_custkey = r.o_custkey""")
 def left_join_routes_q(spark, sf):
     routes = load(spark, sf, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
-        F.count(F.lit(1)).alias("n_orders"), dround(F.avg("o_totalprice"), 4).alias("avg_price"))
+        F.count(F.lit(1)).alias("n_orders"), dround(money_avg("o_totalprice"), 4).alias("avg_price"))
     return left_join(load(spark, sf, "customer").select("c_custkey", "c_name"), routes, "c_custkey")
 
 

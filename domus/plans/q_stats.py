@@ -6,10 +6,10 @@ import math
 
 from pyspark.sql import functions as F
 
-from domus.functions.scalar import dround, sig_round
+from domus.functions.scalar import dround, money_avg, sig_round
 from domus.operators import profile as P
 from domus.plans.q_columns import KEYS, LI_NULLS_SQL, lineitem_with_nulls
-from domus.plans.registry import load, query, sql_round, sql_sig
+from domus.plans.registry import load, query, sql_money_avg, sql_round, sql_sig
 
 LI_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 JOIN_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "p_size", "p_retailprice"]
@@ -32,12 +32,12 @@ def count_rows_q(spark, sf):
 
 
 @query("group_two_keys", ids="F2", sql="""
-SELECT l_returnflag, l_linestatus, count(*) AS n, """ + sql_round("avg(l_extendedprice)", 4) + """ AS avg_price,
+SELECT l_returnflag, l_linestatus, count(*) AS n, """ + sql_round(sql_money_avg("l_extendedprice"), 4) + """ AS avg_price,
        """ + sql_round("avg(l_quantity)", 4) + """ AS avg_quantity
 FROM lineitem GROUP BY l_returnflag, l_linestatus""")
 def group_two_keys_q(spark, sf):
     return load(spark, sf, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(
-        F.count(F.lit(1)).alias("n"), dround(F.avg("l_extendedprice"), 4).alias("avg_price"),
+        F.count(F.lit(1)).alias("n"), dround(money_avg("l_extendedprice"), 4).alias("avg_price"),
         dround(F.avg("l_quantity"), 4).alias("avg_quantity"))
 
 

@@ -52,3 +52,9 @@ def sql_round(expr: str, digits: int) -> str:
     """SQL twin of :func:`domus.functions.scalar.dround`."""
     p = float(10 ** digits)
     return f"(round(CAST(({expr}) AS DOUBLE) * {p!r}) / {p!r})"
+
+
+def sql_money_avg(expr: str, decimals: int = 2) -> str:
+    """SQL twin of :func:`domus.functions.scalar.money_avg`."""
+    scale = float(10 ** decimals)
+    return f"((CAST(sum(CAST(round(({expr}) * {scale!r}) AS BIGINT)) AS DOUBLE) / count({expr})) / {scale!r})"
