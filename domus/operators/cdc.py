@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from domus.functions.scalar import fingerprint
+from domus.session import ensure_checkpoint_dir
 
 
 def with_fingerprint(df: DataFrame, key: str, price: str, out: str = "fingerprint",
@@ -39,6 +40,9 @@ def changed_or_new(incoming: DataFrame, existing: DataFrame, key: str, price: st
     * stored duplicates are collapsed with ``distinct`` (partial aggregation,
       so a key holding a third of the table is combined map-side) instead of
       multiplying the output as a plain left join would;
+    * the reduced (key, fingerprint) set is checkpointed (eager) so the
+      stored side is scanned once; use :func:`changed_or_new_unique` for a
+      table kept unique by key — one lazy join;
     * the result is one anti join on (key, fingerprint): nothing is gathered
       per key.
     """
@@ -47,10 +51,15 @@ def changed_or_new(incoming: DataFrame, existing: DataFrame, key: str, price: st
     inc = incoming if fingerprint_col in incoming.columns else with_fingerprint(
         incoming, key, price, fingerprint_col, sep)
     keys = inc.select(F.col(key).alias("__k")).where(F.col("__k").isNotNull())
+    ensure_checkpoint_dir(existing.sparkSession)
+    # the stored (key, fingerprint) pairs of the incoming keys, materialised
+    # once in the shared checkpoint folder: both uses below read it, so the
+    # stored table is scanned once (and lineage is cut)
     ex = (existing.select(F.col(ek).alias("__k"), fingerprint(ek, ep, sep).alias("__efp"))
-          .join(keys, "__k", "left_semi").distinct())
-    null_keys = ex.where(F.col("__efp").isNull()).select("__k")
-    same = ex.where(F.col("__efp").isNotNull()).join(null_keys, "__k", "left_anti")
+          .join(keys, "__k", "left_semi").distinct().checkpoint(eager=True))
+    null_keys = (ex.groupBy("__k").agg(F.max(F.col("__efp").isNull().cast("int")).alias("__nul"))
+                 .where(F.col("__nul") == 1).select("__k"))
+    same = ex.join(null_keys, "__k", "left_anti")
     cond = (inc[key] == same["__k"]) & (inc[fingerprint_col] == same["__efp"])
     return inc.join(same, cond, "left_anti")
 
