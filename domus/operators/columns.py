@@ -63,7 +63,7 @@ def flatten_structs(df: DataFrame, sep: str = "_", drop: Iterable[str] = ()) ->
 
 
 def flatten_explode(df: DataFrame, explode: Sequence[str] | None = None, sep: str = "_",
-                    max_rounds: int = 16) -> DataFrame:
+                    max_rounds: int = 16, prefix: str | None = None) -> DataFrame:
     """Flatten structs and turn array columns into rows, repeating until no
     struct (and no chosen array) is left (C2).
 
@@ -71,7 +71,11 @@ def flatten_explode(df: DataFrame, explode: Sequence[str] | None = None, sep: st
     of a row, as the notebook form does); otherwise only arrays whose
     flattened name is listed (or starts with a listed name) are exploded and
     the others stay as one cell. ``explode_outer`` keeps a row for an empty
-    or null array. One ``Generate`` per array; structs are one projection."""
+    or null array. One ``Generate`` per array; structs are one projection.
+    ``prefix`` keeps only the top-level columns whose name starts with it
+    (the notebook form flattens the ``propertyDetails`` sub-document)."""
+    if prefix is not None:
+        df = df.select(*[_q(c) for c in df.columns if c.startswith(prefix)])
     def wanted(name: str) -> bool:
         if explode is None:
             return True

@@ -275,8 +275,9 @@ def grid_heatmap(df: DataFrame, x: str, y: str, step: float, value: str | None =
 
 def scatter_bins(df: DataFrame, x: str, y: str, bins: int = 10) -> DataFrame:
     """Two-variable point cloud as 2-D binned counts."""
-    xl, xh = minmax(df, x)
-    yl, yh = minmax(df, y)
+    r = df.agg(F.min(F.col(x)).cast("double"), F.max(F.col(x)).cast("double"),
+               F.min(F.col(y)).cast("double"), F.max(F.col(y)).cast("double")).first()
+    xl, xh, yl, yh = r[0], r[1], r[2], r[3]
     d = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
     return d.groupBy(bin_index(F.col(x), xl, xh, bins).alias("bin_x"),
                      bin_index(F.col(y), yl, yh, bins).alias("bin_y")).agg(F.count(F.lit(1)).alias("count"))

@@ -69,7 +69,7 @@ def flatten_structs_q(spark, sf):
 
 
 @query("flatten_explode", ids="C2", bench=True, sql="""
-SELECT id, vector_label, vector_points_pos, CAST(v AS DOUBLE) AS vector_points_value FROM (
+SELECT id, vector_label, CAST(vector_points_pos AS INTEGER) AS vector_points_pos, CAST(v AS DOUBLE) AS vector_points_value FROM (
   SELECT vec_id AS id, label AS vector_label,
          unnest(generate_series(0, len(embedding) - 1)) AS vector_points_pos, unnest(embedding) AS v
   FROM embeddings)""")
@@ -378,8 +378,8 @@ def union_many_q(spark, sf):
 WITH x AS (SELECT conv_id, turn,
                   list_transform(string_split(text, chr(10)), lambda l: string_split(l, ' ')) AS lists
            FROM conversations),
-y AS (SELECT conv_id, turn, len(lists) AS n_lists, flatten(lists) AS items FROM x)
-SELECT conv_id, turn, n_lists, len(items) AS n_items, items[1] AS first_item, items[len(items)] AS last_item
+y AS (SELECT conv_id, turn, CAST(len(lists) AS INTEGER) AS n_lists, flatten(lists) AS items FROM x)
+SELECT conv_id, turn, n_lists, CAST(len(items) AS INTEGER) AS n_items, items[1] AS first_item, items[len(items)] AS last_item
 FROM y""")
 def gather_lists_q(spark, sf):
     cv = load(spark, sf, "conversations")

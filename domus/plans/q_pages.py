@@ -70,7 +70,7 @@ def page_last_web_q(spark, sf):
 @query("page_links", ids="D9 I4", sql="""
 WITH l AS (SELECT page_id, list_filter(regexp_extract_all(html, 'href="([^"]*)"', 1),
                                        lambda h: starts_with(h, '/')) AS hrefs FROM pages),
-u AS (SELECT page_id, unnest(generate_series(0, len(hrefs) - 1)) AS pos, unnest(hrefs) AS href FROM l)
+u AS (SELECT page_id, CAST(unnest(generate_series(0, len(hrefs) - 1)) AS INTEGER) AS pos, unnest(hrefs) AS href FROM l)
 SELECT page_id, pos, href, nullif(regexp_extract(href, '(\\d+)', 1), '') AS digits FROM u""")
 def page_links_q(spark, sf):
     return page_links(load(spark, sf, "pages"), "/")

@@ -72,7 +72,7 @@ def describe_numeric_q(spark, sf):
 
 
 @query("describe_text", ids="F6", sql="\nUNION ALL\n".join(f"""
-SELECT '{c}' AS column_name, sum(cnt) AS count, count(*) AS "unique",
+SELECT '{c}' AS column_name, CAST(sum(cnt) AS BIGINT) AS count, count(*) AS "unique",
        first(v ORDER BY cnt DESC, v) AS top, max(cnt) AS freq
 FROM (SELECT {c} AS v, count(*) AS cnt FROM part WHERE {c} IS NOT NULL GROUP BY {c})""" for c in
                                                                 ["p_name", "p_brand", "p_type"]))
@@ -210,7 +210,7 @@ def _ols_one_sql(y: str, x: str, name: str | None = None, src: str = "lp") -> st
     ssr = f"(regr_syy({y}, {x}) * (1 - {r2}))"
     llf = f"(-{n} / 2 * ({math.log(2 * math.pi)!r} + ln({ssr} / {n}) + 1))"
     head = f"'{name}' AS column_name, " if name else ""
-    return (f"SELECT {head}regr_count({y}, {x}) AS n, {sql_sig(f'regr_slope({y}, {x})')} AS slope, "
+    return (f"SELECT {head}CAST(regr_count({y}, {x}) AS BIGINT) AS n, {sql_sig(f'regr_slope({y}, {x})')} AS slope, "
             f"{sql_sig(f'regr_intercept({y}, {x})')} AS intercept, {sql_sig(r2)} AS r2, "
             f"{sql_sig(f'1 - (1 - {r2}) * ({n} - 1) / ({n} - 2)')} AS adj_r2, "
             f"{sql_sig(f'{r2} / (1 - {r2}) * ({n} - 2)')} AS f_stat, {sql_sig(llf)} AS llf, "

@@ -14,7 +14,9 @@ import __spark_entry__ as entry  # noqa: E402
 from check_oracle import TABLES, rows_of  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-SLOW = {"gbt_grid"}  # exercised with a small grid in test_models
+SLOW = {"gbt_grid"}
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+         "timestamp_ntz": "TIMESTAMP", "float": "FLOAT"}  # exercised with a small grid in test_models
 
 
 @pytest.fixture(scope="module")
@@ -38,6 +40,11 @@ def test_oracle(spark, con, name):
     b = rows_of([d[0] for d in cur.description], cur.fetchall())
     assert sorted(df.columns) == sorted(d[0] for d in cur.description)
     assert Counter(a) == Counter(b)
+    # column types agree too (Spark name → DuckDB name)
+    duck_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {entry.oracle_sql()[name]}").fetchall()}
+    for f in df.schema.fields:
+        t = f.dataType.simpleString()
+        assert TYPES.get(t, t) == duck_types[f.name], (f.name, t, duck_types[f.name])
 
 
 @pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(entry.oracle_sql()) - SLOW))

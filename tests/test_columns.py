@@ -142,3 +142,8 @@ def test_bins_right_closed(spark):
     df = spark.createDataFrame([(0.0,), (0.5,), (4.0,), (4.01,), (48.0,), (49.0,)], "x double")
     got = [r[0] for r in df.select(bin_right_closed("x", [0.0, 4.0, 8.0, 48.0])).collect()]
     assert got == [None, 0, 0, 1, 2, None]
+
+
+def test_flatten_explode_prefix(doc):
+    out = C.flatten_explode(doc, explode=["listing_platforms"], prefix="listing")
+    assert out.count() == 5 and all(c.startswith("listing") for c in out.columns)
