@@ -103,6 +103,20 @@ def _present(df: DataFrame, name: str) -> bool:
     return name in df.columns
 
 
+def prepare_source(source: DataFrame, key: str, dedupe: str = "error", order_by: Sequence[str] = ()) -> DataFrame:
+    """Apply the repeated-key rule of :func:`upsert` to a source frame."""
+    if dedupe == "latest":
+        return dedupe_latest(source, key, order_by)
+    if dedupe == "error":
+        dup = source.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1").limit(1).collect()
+        if dup:
+            raise ValueError(f"upsert: repeated key in source: {dup[0][0]!r}")
+        return source
+    if dedupe != "none":
+        raise ValueError(f"dedupe must be error|latest|none, not {dedupe!r}")
+    return source
+
+
 def upsert(target: DataFrame, source: DataFrame, key: str, dedupe: str = "error",
            order_by: Sequence[str] = ()) -> DataFrame:
     """MERGE on ``key``: matched → update all, not matched → insert all.
@@ -119,15 +133,7 @@ def upsert(target: DataFrame, source: DataFrame, key: str, dedupe: str = "error"
     When the source has every target column the plan is one anti join and a
     union (the source is never joined to its own payload). Otherwise it is one
     full outer join, with every column taken by *presence*, not by null."""
-    if dedupe == "latest":
-        source = dedupe_latest(source, key, order_by)
-    elif dedupe == "error":
-        dup = source.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1").limit(1).collect()
-        if dup:
-            raise ValueError(f"upsert: repeated key in source: {dup[0][0]!r}")
-    elif dedupe != "none":
-        raise ValueError(f"dedupe must be error|latest|none, not {dedupe!r}")
-
+    source = prepare_source(source, key, dedupe, order_by)
     missing_in_source = [c for c in target.columns if not _present(source, c)]
     if not missing_in_source:
         kept = target.join(source.select(key).where(F.col(key).isNotNull()), key, "left_anti")

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from domus.operators.cdc import upsert
+from domus.operators.cdc import prepare_source, upsert
 from domus.session import list_dir, path_exists
 
 VERSION_PREFIX = "version="
@@ -120,7 +120,7 @@ def upsert_table(spark: SparkSession, source: DataFrame, path: str, key: str,
     from domus.sources.readers import read_table_or_empty
     cur = latest_version_path(spark, path)
     if cur is None:
-        return write_version(source if dedupe == "none" else upsert(source.limit(0), source, key, dedupe, order_by), path)
+        return write_version(prepare_source(source, key, dedupe, order_by), path)
     target = read_table_or_empty(spark, path)
     return write_version(upsert(target, source, key, dedupe, order_by), path)
 
@@ -135,16 +135,27 @@ def bucket_of(key: str, buckets: int) -> Column:
     return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
 
 
-def write_bucketed(df: DataFrame, path: str, key: str, buckets: int) -> None:
+def _by_bucket(df: DataFrame, key: str, null_key_files: int) -> DataFrame:
+    """One task per bucket, except for rows with a null key: a merged table
+    is unique by key apart from null keys (MERGE inserts them every time), so
+    those are the only rows that can pile up in one bucket. They are spread
+    over ``null_key_files`` tasks by a deterministic hash of the whole row
+    (a retried task gets the same rows)."""
+    salt = F.when(F.col(key).isNull(),
+                  F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(max(null_key_files, 1))))
+    return df.repartition(BUCKET_COL, F.coalesce(salt, F.lit(0)))
+
+
+def write_bucketed(df: DataFrame, path: str, key: str, buckets: int, null_key_files: int = 16) -> None:
     """Write a table partitioned by a hash bucket of its key, so that later
     merges rewrite only the buckets they touch."""
-    (df.withColumn(BUCKET_COL, bucket_of(key, buckets))
-     .repartition(BUCKET_COL).write.mode("overwrite").partitionBy(BUCKET_COL).parquet(path))
+    (_by_bucket(df.withColumn(BUCKET_COL, bucket_of(key, buckets)), key, null_key_files)
+     .write.mode("overwrite").partitionBy(BUCKET_COL).parquet(path))
 
 
 def merge_bucketed(spark: SparkSession, source: DataFrame, path: str, key: str, buckets: int,
                    staging: str, dedupe: str = "latest", order_by: Sequence[str] = (),
-                   touched: Sequence[int] | None = None) -> list[int]:
+                   touched: Sequence[int] | None = None, null_key_files: int = 16) -> list[int]:
     """Upsert ``source`` into a bucketed table, rewriting only the touched
     buckets (B7 at scale: a small drop into a huge table does not rewrite
     the table).
@@ -166,7 +177,7 @@ def merge_bucketed(spark: SparkSession, source: DataFrame, path: str, key: str,
         return []
     target = spark.read.parquet(path).where(F.col(BUCKET_COL).isin(touched))
     merged = upsert(target.drop(BUCKET_COL), src.drop(BUCKET_COL), key, dedupe, order_by)
-    (merged.withColumn(BUCKET_COL, bucket_of(key, buckets)).repartition(BUCKET_COL)
+    (_by_bucket(merged.withColumn(BUCKET_COL, bucket_of(key, buckets)), key, null_key_files)
      .write.mode("overwrite").partitionBy(BUCKET_COL).parquet(staging))
     (spark.read.parquet(staging).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(BUCKET_COL).parquet(path))
