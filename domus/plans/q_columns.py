@@ -443,3 +443,13 @@ EDGES = [float(x) for x in range(0, 52, 4)]  # 13 edges, 12 right-closed bins
 def bins_range_q(spark, sf):
     li = load(spark, sf, "lineitem")
     return li.select(*KEYS, bin_right_closed("l_quantity", EDGES).alias("quantity_bin"))
+
+
+@query("id_membership", ids="D1 E6", sql="""
+SELECT o_orderkey, o_custkey FROM orders
+WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')""")
+def id_membership_q(spark, sf):
+    """Orders of the customers in one segment: the id list is a frame joined
+    with ``left_semi``, never text spliced into SQL."""
+    keys = load(spark, sf, "customer").where(F.col("c_mktsegment") == "BUILDING")
+    return D.in_keys(load(spark, sf, "orders"), keys, "o_custkey", "c_custkey").select("o_orderkey", "o_custkey")

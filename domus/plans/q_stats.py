@@ -301,3 +301,16 @@ def top_n_q(spark, sf):
 SELECT o_orderkey, o_orderdate FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 20""")
 def sorted_limit_q(spark, sf):
     return load(spark, sf, "orders").select("o_orderkey", "o_orderdate").orderBy("o_orderdate", "o_orderkey").limit(20)
+
+
+@query("last_wins", ids="F20 G1", sql="""
+SELECT o_custkey, o_totalprice AS last_price FROM (
+  SELECT o_custkey, o_totalprice,
+         row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+  FROM orders) WHERE rn = 1""")
+def last_wins_q(spark, sf):
+    """The latest price per customer (by order date, then key): a partial
+    ``max_by`` aggregate, not a per-group sort."""
+    o = load(spark, sf, "orders")
+    return P.last_wins(o, "o_custkey", "o_totalprice", ["o_orderdate", "o_orderkey"]).select(
+        "o_custkey", F.col("o_totalprice").alias("last_price"))

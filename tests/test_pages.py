@@ -32,3 +32,9 @@ def test_links(spark):
     df = spark.createDataFrame(PAGES, "page_id long, url string, html string")
     rows = page_links(df, "/buy/").where("page_id = 2").orderBy("pos").collect()
     assert [r["digits"] for r in rows] == ["5", "5", "6"]
+
+
+def test_price_after_currency(spark):
+    from domus.functions.scalar import price_after_currency
+    df = spark.createDataFrame([("CHF 570,000.—",), ("CHF 570,000",), ("EUR 1'250",), ("on request",)], "t string")
+    assert [r[0] for r in df.select(price_after_currency("t")).collect()] == [570000, 570000, 1250, None]
