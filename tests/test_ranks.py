@@ -98,3 +98,12 @@ def test_density_integrates_to_one(spark):
     xs = np.array([x for x, _ in d])
     ys = np.array([y for _, y in d])
     assert float(np.sum((ys[1:] + ys[:-1]) / 2 * np.diff(xs))) == pytest.approx(1.0, abs=0.01)
+
+
+def test_binned_density_close_to_exact(spark):
+    df, _, _ = _data(spark, 3)
+    exact = {(r["g"], r["point"]): r["density"] for r in P.density_by_category(df, "g", "v", 40).collect()}
+    binned = {(r["g"], r["point"]): r["density"] for r in P.density_by_category(df, "g", "v", 40, binned=4000).collect()}
+    assert exact.keys() == binned.keys()
+    peak = max(exact.values())
+    assert max(abs(exact[k] - binned[k]) for k in exact) < 1e-3 * peak
