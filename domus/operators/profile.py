@@ -154,12 +154,41 @@ def table_profile(df: DataFrame) -> DataFrame:
                        F.lit(len(df.columns)).cast("long").alias("columns"))
 
 
-def corr_long(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """Pearson correlation for every ordered pair, pairwise-complete (F10):
-    one aggregate of ``corr`` expressions, chunked; long form
-    (var1, var2, r). The diagonal is 1."""
+def corr_long(df: DataFrame, cols: Sequence[str] | None = None, method: str = "auto") -> DataFrame:
+    """Pearson correlation for every ordered pair (F10), long form
+    (var1, var2, r); the diagonal is 1.
+
+    * ``pairwise`` — pairwise-complete (pandas semantics): one aggregate of
+      ``corr`` expressions per AGG_CHUNK pairs, i.e. one pass per chunk;
+    * ``complete`` — complete cases in ONE pass for any number of columns:
+      Spark ML ``Correlation`` (a tree-aggregated Gram matrix, p×p numbers);
+    * ``auto`` — ``pairwise`` when one chunk holds every pair, otherwise
+      ``complete`` if the columns have no missing values (one cheap count
+      aggregate decides; then both definitions agree), else ``pairwise``."""
     cols = list(cols) if cols is not None else numeric_columns(df)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+    if method == "auto":
+        method = "pairwise"
+        if len(pairs) > AGG_CHUNK:
+            x = F.col
+            cnt = df.agg(F.count(F.lit(1)).alias("__n"),
+                         *[F.count_if(x(_q(c)).isNull() | F.isnan(x(_q(c)).cast("double"))).alias(f"m{i}")
+                           for i, c in enumerate(cols)]).first()
+            if all(cnt[f"m{i}"] == 0 for i in range(len(cols))):
+                method = "complete"
+    spark = df.sparkSession
+    diag = spark.range(1).select(F.explode(F.array(*[F.lit(c) for c in cols])).alias("var1")).select(
+        "var1", F.col("var1").alias("var2"), F.lit(1.0).alias("r"))
+    if method == "complete":
+        from pyspark.ml.feature import VectorAssembler
+        from pyspark.ml.stat import Correlation
+        vec = VectorAssembler(inputCols=[c for c in cols], outputCol="__f", handleInvalid="skip").transform(
+            df.select(*[F.col(_q(c)).cast("double").alias(c) for c in cols]))
+        m = Correlation.corr(vec, "__f", "pearson").first()[0].toArray()
+        rows = [(a, b, float(m[i, j])) for i, a in enumerate(cols) for j, b in enumerate(cols) if i != j]
+        return spark.createDataFrame(rows, "var1 string, var2 string, r double").unionByName(diag)
+    if method != "pairwise":
+        raise ValueError(f"method must be auto|pairwise|complete, not {method!r}")
     out = None
     for i in range(0, len(pairs), AGG_CHUNK):
         chunk = pairs[i:i + AGG_CHUNK]
@@ -169,9 +198,6 @@ def corr_long(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
         rows = one.select(F.explode(F.array(*[F.col(f"s{j}") for j in range(len(chunk))])).alias("x")).select("x.*")
         out = rows if out is None else out.unionByName(rows)
     sym = out.select(F.col("var2").alias("var1"), F.col("var1").alias("var2"), "r")
-    spark = df.sparkSession
-    diag = spark.range(1).select(F.explode(F.array(*[F.lit(c) for c in cols])).alias("var1")).select(
-        "var1", F.col("var1").alias("var2"), F.lit(1.0).alias("r"))
     return out.unionByName(sym).unionByName(diag)
 
 

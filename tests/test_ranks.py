@@ -107,3 +107,18 @@ def test_binned_density_close_to_exact(spark):
     assert exact.keys() == binned.keys()
     peak = max(exact.values())
     assert max(abs(exact[k] - binned[k]) for k in exact) < 1e-3 * peak
+
+
+def test_corr_complete_equals_pairwise_without_nulls(spark):
+    rng = np.random.default_rng(5)
+    X = rng.normal(size=(500, 16))
+    X[:, 1] += X[:, 0]
+    cols = [f"c{i}" for i in range(16)]
+    df = spark.createDataFrame([tuple(map(float, r)) for r in X], ", ".join(f"{c} double" for c in cols))
+    pw = {(r[0], r[1]): r[2] for r in P.corr_long(df, cols, "pairwise").collect()}
+    cc = {(r[0], r[1]): r[2] for r in P.corr_long(df, cols, "complete").collect()}
+    auto = {(r[0], r[1]): r[2] for r in P.corr_long(df, cols).collect()}  # 120 pairs > one chunk
+    assert pw.keys() == cc.keys() == auto.keys() and len(pw) == 256
+    for k in pw:
+        assert cc[k] == pytest.approx(pw[k], abs=1e-12) and auto[k] == pytest.approx(pw[k], abs=1e-12)
+    assert cc[("c0", "c1")] == pytest.approx(np.corrcoef(X[:, 0], X[:, 1])[0, 1], abs=1e-12)
