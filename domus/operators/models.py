@@ -54,23 +54,32 @@ def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> D
 def gram(df: DataFrame, label: str, features: Sequence[str], group: str | None = None) -> dict:
     """One aggregate: for z = [1, x1..xp, y], every Σ z_i z_j (upper triangle),
     optionally per ``group`` (e.g. fold). Rows with a null in any used column
-    are skipped (complete cases). Returns {group: (p+2)x(p+2) matrix}."""
+    are skipped (complete cases). Returns {group: (p+2)x(p+2) matrix}.
+
+    Each row emits its products as ONE vector and Spark ML's ``Summarizer``
+    sums the vectors: a single aggregate buffer however many features there
+    are (one ``sum`` per entry would be ~(p+2)²/2 buffers, past what
+    generated code handles well for dozens of features)."""
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.stat import Summarizer
     cols = [F.lit(1.0)] + [F.col(_q(c)).cast("double") for c in features] + [F.col(_q(label)).cast("double")]
     names = ["__one"] + [f"__x{i}" for i in range(len(features))] + ["__y"]
     d = df.select(*([F.col(_q(group)).alias("__g")] if group else []),
                   *[c.alias(n) for c, n in zip(cols, names)])
     d = d.na.drop(subset=names[1:])
     m = len(names)
-    aggs = [F.sum(F.col(names[i]) * F.col(names[j])).alias(f"s_{i}_{j}") for i in range(m) for j in range(i, m)]
-    rows = (d.groupBy("__g") if group else d.groupBy()).agg(*aggs).collect()
+    idx = [(i, j) for i in range(m) for j in range(i, m)]
+    prods = array_to_vector(F.array(*[F.col(names[i]) * F.col(names[j]) for i, j in idx])).alias("__p")
+    d = d.select(*(["__g"] if group else []), prods)
+    agg = Summarizer.metrics("sum").summary(F.col("__p")).alias("__s")
+    rows = (d.groupBy("__g") if group else d.groupBy()).agg(agg).collect()
     out = {}
     for r in rows:
         g = r["__g"] if group else None
+        v = r["__s"]["sum"].toArray()
         a = np.zeros((m, m))
-        for i in range(m):
-            for j in range(i, m):
-                v = r[f"s_{i}_{j}"] or 0.0
-                a[i, j] = a[j, i] = v
+        for (i, j), x in zip(idx, v):
+            a[i, j] = a[j, i] = x
         out[g] = a
     return out
 

@@ -101,3 +101,17 @@ def test_gbt_grid_prefix_scoring(spark, data):
     assert set(r) == {5, 10} and r[10] < r[5]
     imp = M.importances(spark, M.fit_gbt(df, "y", ["x1", "x2"], 2, 0.1, 10), ["x1", "x2"]).collect()
     assert imp[0]["feature"] == "x1"
+
+
+def test_gram_wide_matches_numpy(spark):
+    rng = np.random.default_rng(11)
+    X = rng.normal(size=(300, 40))
+    y = X @ rng.normal(size=40) + rng.normal(size=300)
+    cols = [f"x{i}" for i in range(40)]
+    df = spark.createDataFrame([tuple(map(float, r)) + (float(v),) for r, v in zip(X, y)],
+                               ", ".join(f"{c} double" for c in cols) + ", y double")
+    g = M.gram(df, "y", cols)[None]
+    Z = np.column_stack([np.ones(300), X, y])
+    assert np.allclose(g, Z.T @ Z, rtol=1e-12, atol=1e-9)
+    b = M.solve_ridge(g, list(range(1, 41)))
+    assert np.allclose(b[1:], np.linalg.lstsq(np.column_stack([np.ones(300), X]), y, rcond=None)[0][1:], atol=1e-8)
