@@ -147,3 +147,10 @@ def test_bins_right_closed(spark):
 def test_flatten_explode_prefix(doc):
     out = C.flatten_explode(doc, explode=["listing_platforms"], prefix="listing")
     assert out.count() == 5 and all(c.startswith("listing") for c in out.columns)
+
+
+def test_dummy_values_cap(spark):
+    df = spark.range(0, 300).select(F.col("id").cast("string").alias("c"))
+    with pytest.raises(ValueError):
+        C.dummy_values(df, ["c"], max_values=50)
+    assert len(C.dummy_values(df, ["c"], max_values=1000)["c"]) == 300

@@ -89,3 +89,12 @@ def test_bucketed_merge_rewrites_only_touched(spark, tmp):
     assert len(parts) == 16
     got = {r["id"]: r["price"] for r in spark.read.parquet(f"{tmp}/t").collect()}
     assert len(got) == 1001 and got["5"] == 1 and got["2000"] == 7 and got["6"] == 12
+
+
+def test_overwrite_partitions_replaces_only_present(spark, tmp):
+    from domus.sinks.writers import overwrite_partitions
+    t = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "v int, d string")
+    t.write.partitionBy("d").parquet(f"{tmp}/p")
+    overwrite_partitions(spark.createDataFrame([(9, "b")], "v int, d string"), f"{tmp}/p", ["d"])
+    got = sorted((r["d"], r["v"]) for r in spark.read.parquet(f"{tmp}/p").collect())
+    assert got == [("a", 1), ("b", 9), ("c", 3)]
