@@ -118,7 +118,7 @@ def prepare_source(source: DataFrame, key: str, dedupe: str = "error", order_by:
 
 
 def upsert(target: DataFrame, source: DataFrame, key: str, dedupe: str = "error",
-           order_by: Sequence[str] = ()) -> DataFrame:
+           order_by: Sequence[str] = (), materialize: bool = False) -> DataFrame:
     """MERGE on ``key``: matched → update all, not matched → insert all.
 
     * null keys never match (equality join), so they are inserted;
@@ -128,12 +128,19 @@ def upsert(target: DataFrame, source: DataFrame, key: str, dedupe: str = "error"
     * repeated source keys: ``dedupe='error'`` checks with one partial
       aggregate (an action, at most one row comes back) and raises;
       ``'latest'`` keeps the greatest ``order_by`` row; ``'none'`` trusts the
-      caller.
+      caller;
+    * ``materialize=True`` checkpoints the prepared source once (for eager
+      writers), instead of evaluating it for the keys and again for the rows.
 
     When the source has every target column the plan is one anti join and a
     union (the source is never joined to its own payload). Otherwise it is one
     full outer join, with every column taken by *presence*, not by null."""
     source = prepare_source(source, key, dedupe, order_by)
+    if materialize:
+        # the source feeds both the anti join (keys) and the union (rows):
+        # compute it once, into the shared checkpoint folder (eager)
+        ensure_checkpoint_dir(source.sparkSession)
+        source = source.checkpoint(eager=True)
     missing_in_source = [c for c in target.columns if not _present(source, c)]
     if not missing_in_source:
         kept = target.join(source.select(key).where(F.col(key).isNotNull()), key, "left_anti")

@@ -122,7 +122,7 @@ def upsert_table(spark: SparkSession, source: DataFrame, path: str, key: str,
     if cur is None:
         return write_version(prepare_source(source, key, dedupe, order_by), path)
     target = read_table_or_empty(spark, path)
-    return write_version(upsert(target, source, key, dedupe, order_by), path)
+    return write_version(upsert(target, source, key, dedupe, order_by, materialize=True), path)
 
 
 # ------------------------------------------------------------ bucketed tables
@@ -176,7 +176,7 @@ def merge_bucketed(spark: SparkSession, source: DataFrame, path: str, key: str,
     if not touched:
         return []
     target = spark.read.parquet(path).where(F.col(BUCKET_COL).isin(touched))
-    merged = upsert(target.drop(BUCKET_COL), src.drop(BUCKET_COL), key, dedupe, order_by)
+    merged = upsert(target.drop(BUCKET_COL), src.drop(BUCKET_COL), key, dedupe, order_by, materialize=True)
     (_by_bucket(merged.withColumn(BUCKET_COL, bucket_of(key, buckets)), key, null_key_files)
      .write.mode("overwrite").partitionBy(BUCKET_COL).parquet(staging))
     (spark.read.parquet(staging).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
