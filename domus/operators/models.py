@@ -51,15 +51,18 @@ def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> D
 
 # ---------------------------------------------------------------- Gram pass
 
+GRAM_SUMS_MAX = 120
+
 def gram(df: DataFrame, label: str, features: Sequence[str], group: str | None = None) -> dict:
     """One aggregate: for z = [1, x1..xp, y], every Σ z_i z_j (upper triangle),
     optionally per ``group`` (e.g. fold). Rows with a null in any used column
     are skipped (complete cases). Returns {group: (p+2)x(p+2) matrix}.
 
-    Each row emits its products as ONE vector and Spark ML's ``Summarizer``
-    sums the vectors: a single aggregate buffer however many features there
-    are (one ``sum`` per entry would be ~(p+2)²/2 buffers, past what
-    generated code handles well for dozens of features)."""
+    Up to GRAM_SUMS_MAX entries this is one plain ``sum`` per entry (fast,
+    generated code). Wider designs emit each row's products as ONE vector
+    that Spark ML's ``Summarizer`` sums: a single aggregate buffer however
+    many features there are (hundreds of ``sum`` buffers are past what
+    generated code handles well)."""
     from pyspark.ml.functions import array_to_vector
     from pyspark.ml.stat import Summarizer
     cols = [F.lit(1.0)] + [F.col(_q(c)).cast("double") for c in features] + [F.col(_q(label)).cast("double")]
@@ -69,14 +72,20 @@ def gram(df: DataFrame, label: str, features: Sequence[str], group: str | None =
     d = d.na.drop(subset=names[1:])
     m = len(names)
     idx = [(i, j) for i in range(m) for j in range(i, m)]
-    prods = array_to_vector(F.array(*[F.col(names[i]) * F.col(names[j]) for i, j in idx])).alias("__p")
-    d = d.select(*(["__g"] if group else []), prods)
-    agg = Summarizer.metrics("sum").summary(F.col("__p")).alias("__s")
-    rows = (d.groupBy("__g") if group else d.groupBy()).agg(agg).collect()
+    grouped = d.groupBy("__g") if group else d.groupBy()
+    if len(idx) <= GRAM_SUMS_MAX:
+        # small designs: plain sums, compiled into the aggregate's generated code
+        rows = grouped.agg(*[F.sum(F.col(names[i]) * F.col(names[j])).alias(f"s{k}")
+                             for k, (i, j) in enumerate(idx)]).collect()
+        vecs = [(r["__g"] if group else None, [r[f"s{k}"] or 0.0 for k in range(len(idx))]) for r in rows]
+    else:
+        prods = array_to_vector(F.array(*[F.col(names[i]) * F.col(names[j]) for i, j in idx])).alias("__p")
+        d = d.select(*(["__g"] if group else []), prods)
+        agg = Summarizer.metrics("sum").summary(F.col("__p")).alias("__s")
+        rows = (d.groupBy("__g") if group else d.groupBy()).agg(agg).collect()
+        vecs = [(r["__g"] if group else None, r["__s"]["sum"].toArray()) for r in rows]
     out = {}
-    for r in rows:
-        g = r["__g"] if group else None
-        v = r["__s"]["sum"].toArray()
+    for g, v in vecs:
         a = np.zeros((m, m))
         for (i, j), x in zip(idx, v):
             a[i, j] = a[j, i] = x
