@@ -11,11 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from domus.operators.cdc import changed_or_new, changed_or_new_unique, skip_landed, upsert
-from domus.operators.columns import flatten_structs
 from domus.plans.registry import load, query
 from domus.session import scratch_path
-from domus.sinks.writers import (latest_version_path, upsert_table, write_bucketed, write_json_drops,
-                                 write_version)
+from domus.sinks.writers import upsert_table, write_bucketed, write_json_drops, write_version
 from domus.sources.readers import COLD_START_SCHEMA, read_table_or_empty
 from domus.streaming.ingest import ingest_drops
 

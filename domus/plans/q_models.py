@@ -6,12 +6,12 @@ import math
 
 from pyspark.sql import functions as F
 
-from domus.functions.scalar import dround, sig_round
+from domus.functions.scalar import dround
 from domus.operators import columns as C
 from domus.operators import models as M
 from domus.operators import profile as P
 from domus.plans.q_columns import KEYS
-from domus.plans.q_stats import JOIN_SQL, _lineitem_part, _sig_cols
+from domus.plans.q_stats import _lineitem_part, _sig_cols
 from domus.plans.registry import load, query, sql_sig
 
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]

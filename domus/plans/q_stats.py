@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from domus.functions.scalar import dround, money_avg, sig_round
 from domus.operators import profile as P
-from domus.plans.q_columns import KEYS, LI_NULLS_SQL, lineitem_with_nulls
+from domus.plans.q_columns import LI_NULLS_SQL, lineitem_with_nulls
 from domus.plans.registry import load, query, sql_money_avg, sql_round, sql_sig
 
 LI_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]

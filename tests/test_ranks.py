@@ -2,7 +2,6 @@
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from domus.operators import profile as P
 from domus.operators.ranks import exact_quantiles, order_statistics
