@@ -192,13 +192,14 @@ def corr_long(df: DataFrame, cols: Sequence[str] | None = None, method: str = "a
     out = None
     for i in range(0, len(pairs), AGG_CHUNK):
         chunk = pairs[i:i + AGG_CHUNK]
-        one = df.agg(*[F.struct(F.lit(a).alias("var1"), F.lit(b).alias("var2"),
-                                F.corr(F.col(_q(a)).cast("double"), F.col(_q(b)).cast("double")).alias("r"))
-                       .alias(f"s{j}") for j, (a, b) in enumerate(chunk)])
-        rows = one.select(F.explode(F.array(*[F.col(f"s{j}") for j in range(len(chunk))])).alias("x")).select("x.*")
+        one = df.agg(*[F.corr(F.col(_q(a)).cast("double"), F.col(_q(b)).cast("double")).alias(f"r{j}")
+                       for j, (a, b) in enumerate(chunk)])
+        # both orientations come from the same one-row result: one pass per chunk
+        both = [F.struct(F.lit(x).alias("var1"), F.lit(y).alias("var2"), F.col(f"r{j}").alias("r"))
+                for j, (a, b) in enumerate(chunk) for x, y in ((a, b), (b, a))]
+        rows = one.select(F.explode(F.array(*both)).alias("x")).select("x.*")
         out = rows if out is None else out.unionByName(rows)
-    sym = out.select(F.col("var2").alias("var1"), F.col("var1").alias("var2"), "r")
-    return out.unionByName(sym).unionByName(diag)
+    return out.unionByName(diag)
 
 
 def corr_topk(df: DataFrame, target: str, cols: Sequence[str] | None = None, k: int = 10) -> DataFrame:

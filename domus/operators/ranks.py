@@ -27,6 +27,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from domus.session import ensure_checkpoint_dir
+
 
 def _cut_points(values: DataFrame, value: str, buckets: int, sample_fraction: float) -> list[float]:
     """Approximate quantiles of a deterministic sample of the raw values.
@@ -118,6 +120,10 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], groups: S
     located = located.where((F.col("t.r") >= F.col("__boff")) & (F.col("t.r") < F.col("__boff") + F.col("__bcnt")))
     located = located.select(*g, "prob", "__h", F.col("t.side").alias("side"), "__b",
                              (F.col("t.r") - F.col("__boff")).alias("__rin"))
+    # at most 2·len(probs) rows per group, used twice below: materialise it
+    # once (shared checkpoint folder) instead of recomputing the bucket counts
+    ensure_checkpoint_dir(df.sparkSession)
+    located = located.checkpoint(eager=True)
     wanted = located.select(*g, "__b").distinct()
     # rank inside the wanted buckets only, by counts per distinct value
     dv = (vb.join(wanted, [*g, "__b"], "left_semi")
