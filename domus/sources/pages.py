@@ -10,12 +10,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from domus.functions.scalar import CURRENCIES
 from domus.session import spread
 
 HREF_PATTERN = r'href="([^"]*)"'
 LINK_TEXT_PATTERN = r"<a[^>]*>([^<]{1,3})</a>"
+POS_BITS = 20  # links per page are far below 2^20
 
 
 def item_links(html_col: str, prefix: str) -> F.Column:
@@ -55,10 +57,20 @@ def page_listings(pages: DataFrame, prefix: str, page_key: str = "page_id", html
     z = z.where(F.col("z.link").isNotNull() & F.col("z.price").isNotNull())
     z = z.select(page_key, "pos", F.nullif(F.regexp_extract(F.col("z.link"), r"(\d+)", 1), F.lit("")).alias("id"),
                  F.col("z.price").alias("price")).where(F.col("id").isNotNull())
-    order = F.struct(F.col(page_key), F.col("pos"))
-    out = z.groupBy("id").agg(F.max_by("price", order).alias("price"),
-                              F.min(order).alias("__first"))
-    out = out.select("id", "price", F.col("__first")[page_key].alias(page_key), F.col("__first.pos").alias("pos"))
+    if isinstance(z.schema[page_key].dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
+        # (page, position) as one bigint: fixed-width buffers keep this a hash
+        # aggregate (a struct ordering forces a sort aggregate); ANSI overflow
+        # raises rather than mis-orders for page keys beyond 2^43
+        order = F.col(page_key).cast("long") * F.lit(1 << POS_BITS) + F.col("pos").cast("long")
+        out = z.groupBy("id").agg(F.max_by("price", order).alias("price"), F.min(order).alias("__first"))
+        out = out.select("id", "price", F.floor(F.col("__first") / F.lit(1 << POS_BITS)).cast(
+            z.schema[page_key].dataType).alias(page_key),
+            F.pmod(F.col("__first"), F.lit(1 << POS_BITS)).cast("int").alias("pos"))
+    else:
+        order = F.struct(F.col(page_key), F.col("pos"))
+        out = z.groupBy("id").agg(F.max_by("price", order).alias("price"),
+                                  F.min(order).alias("__first"))
+        out = out.select("id", "price", F.col("__first")[page_key].alias(page_key), F.col("__first.pos").alias("pos"))
     if rent_or_buy is not None:
         out = out.withColumn("rentOrBuy", F.lit(rent_or_buy))
     return out
