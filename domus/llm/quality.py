@@ -19,7 +19,10 @@ from domus.llm.common import SPACE, free_name, stored, words_of
 SYMBOLS = "[#*$%&|<>]"
 LEAST_WORDS, MOST_REPEATED_PERCENT = 50, 50
 VOTES = (-1, 0, 1)
-ROUNDS, SMOOTHING, PRIOR_GOOD, KEEP_FROM = 50, 1.0, 0.8, 0.5
+ROUNDS, STRENGTH, PRIOR_GOOD, KEEP_FROM = 50, 0.2, 0.8, 0.5
+#: Chances of a vote by a good and by a bad document before the data are seen: bad votes are rare
+#: and tell much, good votes are common and tell little.
+BELIEFS = {True: {-1: 0.01, 0: 0.19, 1: 0.8}, False: {-1: 0.2, 0: 0.1, 1: 0.7}}
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_ended_lines",
             "n_letters", "n_upper", "n_marks", "n_distinct")
 
@@ -37,7 +40,9 @@ RULES: dict[str, Column | object] = {
     "length": lambda: _vote(F.col("n_words") >= 80, F.col("n_words") < 20),
     "word_length": lambda: _vote(_per("word_chars", "n_words").between(3, 12), ~_per("word_chars", "n_words").between(2, 20)),
     "symbols": lambda: _vote(_per("n_symbols", "n_words") < 0.05, _per("n_symbols", "n_words") > 0.25),
-    "dup_lines": lambda: _vote((F.col("n_dup_lines") == 0) & (F.col("n_lines") >= 3), _per("n_dup_lines", "n_lines") > 0.3),
+    "letters": lambda: _vote(_per("n_letters", "word_chars") >= 0.94, _per("n_letters", "word_chars") < 0.85),
+    "symbol_share": lambda: _vote(_per("n_symbols", "word_chars") < 0.01, _per("n_symbols", "word_chars") > 0.05),
+    "dup_lines": lambda: _vote((F.col("n_dup_lines") == 0) & (F.col("n_lines") >= 3), _per("n_dup_lines", "n_lines") > 0.5),
     "repeats": lambda: _vote(_per("n_repeat_words", "n_words") < 0.1, _per("n_repeat_words", "n_words") > 0.35),
     "line_ends": lambda: _vote(_per("n_ended_lines", "n_lines") >= 0.6, _per("n_ended_lines", "n_lines") < 0.2),
     "upper_case": lambda: _vote(_per("n_upper", "n_letters") < 0.15, _per("n_upper", "n_letters") > 0.5),
@@ -103,32 +108,30 @@ class LabelModel:
 
 
 def fit_label_model(patterns: list[tuple[tuple[int, ...], int]], names: list[str]) -> LabelModel:
-    """EM for two classes and rules that are independent given the class, from counts of vote patterns.
+    """EM (for the most probable parameters) over two classes, with rules that vote independently
+    given the class, from counts of vote patterns.
 
-    The first posterior is the share of good votes, which ties the first class to "good". A rule's
-    chances are smoothed; that a rule votes against its own name on average (a bad vote more likely
-    on good documents) is not learned: such a rule counts for nothing."""
+    ``BELIEFS`` are the chances of each vote before the data are seen; they start EM, weigh
+    ``STRENGTH`` times the documents (so results are alike at every size) and tie the classes to
+    their names. No documents: the beliefs alone."""
     total = sum(n for _, n in patterns)
-    if not total:
-        return LabelModel(PRIOR_GOOD, {r: dict.fromkeys(VOTES, 0.0) for r in names})
-    good = []
-    for p, _ in patterns:
-        cast = [v for v in p if v]
-        good.append((2 * PRIOR_GOOD + sum(v > 0 for v in cast)) / (2 + len(cast)) if -1 not in cast else 0.3 / sum(v < 0 for v in cast))
-    prior, logs = PRIOR_GOOD, {}
-    for _ in range(ROUNDS):
-        n_good = sum(g * n for g, (_, n) in zip(good, patterns))
-        prior = min(0.999, max(0.001, (n_good + SMOOTHING) / (total + 2 * SMOOTHING)))
-        for r, name in enumerate(names):
-            yes, no = dict.fromkeys(VOTES, SMOOTHING), dict.fromkeys(VOTES, SMOOTHING)
-            for g, (p, n) in zip(good, patterns):
-                yes[p[r]] += g * n
-                no[p[r]] += (1 - g) * n
-            ratio = {v: math.log(yes[v] / sum(yes.values())) - math.log(no[v] / sum(no.values())) for v in VOTES}
-            logs[name] = {-1: min(0.0, ratio[-1]), 0: 0.0, 1: max(0.0, ratio[1])}
+    mass = {c: max(STRENGTH * total, 1.0) * share for c, share in ((True, PRIOR_GOOD), (False, 1 - PRIOR_GOOD))}
+    chance = {c: [dict(BELIEFS[c]) for _ in names] for c in (True, False)}
+    prior = PRIOR_GOOD
+    for _ in range(ROUNDS if total else 0):
         start = math.log(prior / (1 - prior))
-        good = [1 / (1 + math.exp(-max(-500, min(500, start + sum(logs[name][v] for name, v in zip(names, p)))))) for p, _ in patterns]
-    return LabelModel(prior, logs)
+        counts = {c: [{v: mass[c] * BELIEFS[c][v] for v in VOTES} for _ in names] for c in (True, False)}
+        weight = dict(mass)
+        for p, n in patterns:
+            odds = start + sum(math.log(chance[True][r][v] / chance[False][r][v]) for r, v in enumerate(p))
+            good = n / (1 + math.exp(-max(-500.0, min(500.0, odds))))
+            for c, share in ((True, good), (False, n - good)):
+                weight[c] += share
+                for r, v in enumerate(p):
+                    counts[c][r][v] += share
+        chance = {c: [{v: x / sum(by.values()) for v, x in by.items()} for by in counts[c]] for c in counts}
+        prior = weight[True] / (weight[True] + weight[False])
+    return LabelModel(prior, {name: {v: math.log(chance[True][r][v] / chance[False][r][v]) for v in VOTES} for r, name in enumerate(names)})
 
 
 def judge(docs: DataFrame, text: str = "text", *, carry: tuple[str, ...] | None = None,
