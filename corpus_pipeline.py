@@ -40,8 +40,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, n_tokens, ids, and whether the ids decode to the text."""
     rows = docs.select("doc_id", "source", F.coalesce("text", F.lit("")).alias("text"))
-    path = tokenizer_path()
-    done = pieces.decode_documents(pieces.encode_documents(rows, path), path)
+    done = pieces.encode_documents(rows, tokenizer_path(), decoded="decoded")
     return done.select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", (F.col("decoded") == F.col("text")).alias("decodes"))
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 SPACE = "▁"
 #: Words kept with their ids by a task, and characters encoded in one go.
-MEMO_WORDS, ROUND_CHARS = 400_000, 1_000_000
+MEMO_WORDS, ROUND_CHARS = 200_000, 1_000_000
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 NONE = np.int64(1) << 62
 
@@ -81,7 +81,7 @@ class PieceModel:
         body = "".join(re.escape(c) for c in chars if c != SPACE)
         run = self._greedy_run()
         self.words = re.compile((f"{SPACE}{{{run}}}(?={SPACE})|" if run else "") + (f"{SPACE}*[{body}]+|{SPACE}+|(?s:.)" if self._space_leads(long) else f"[{body}{SPACE}]+|(?s:.)"))
-        self.memo: dict[str, np.ndarray] = {}
+        self.memo: dict[str, bytes] = {}
         self.bytes_of = [self._as_bytes(p, kind) for p, _, kind in self.pieces]
 
     @staticmethod
@@ -140,8 +140,8 @@ class PieceModel:
         order = np.argsort(place, kind="stable")
         return symbols[order], word[order]
 
-    def encode_words(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of each word."""
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids (packed int32) of each word."""
         flat = "".join(words)
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         get, n = self.symbol.get, self.width - 1
@@ -151,7 +151,8 @@ class PieceModel:
         if (merged >= len(self.pieces)).any():
             merged, of = self._as_byte_pieces(merged, of, flat)
         ends = np.cumsum(np.bincount(of, minlength=len(words))).tolist()
-        return [merged[x:y].astype(np.int32) for x, y in zip([0, *ends], ends)]
+        packed = merged.astype(np.int32).tobytes()
+        return [packed[4 * x:4 * y] for x, y in zip([0, *ends], ends)]
 
     def _as_byte_pieces(self, symbols: np.ndarray, word: np.ndarray, flat: str) -> tuple[np.ndarray, np.ndarray]:
         """Characters left over without a piece become their UTF-8 bytes. Lengths of the symbols
@@ -180,8 +181,7 @@ class PieceModel:
             fresh = list({w for ws in split for w in ws if w not in memo})
             for lo in range(0, len(fresh), 100_000):
                 memo.update(zip(fresh[lo:lo + 100_000], self.encode_words(fresh[lo:lo + 100_000])))
-            empty = np.empty(0, np.int32)
-            out += [np.concatenate([memo[w] for w in ws]) if ws else empty for ws in split]
+            out += [np.frombuffer(b"".join(map(memo.__getitem__, ws)), np.int32) for ws in split]
             if len(memo) > MEMO_WORDS:
                 memo.clear()
         return out
@@ -248,28 +248,33 @@ def _ready(shared) -> PieceModel:
     return model
 
 
-def encode_documents(docs: DataFrame, model_path: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """``docs`` with a column ``ids`` (array of int): the pieces of column ``text``, without begin or end ids.
+def encode_documents(docs: DataFrame, model_path: str, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
+    """``docs`` with a column ``ids`` (array of int): the pieces of column ``text``, without begin or end
+    ids; with ``decoded`` also a column of that name, the text that the ids decode to.
 
     Null and empty texts: an empty array. Every row is encoded; the other columns stay; a column
-    that is already called ``ids`` raises ValueError. Empty table: empty result."""
-    if ids.lower() in {c.lower() for c in docs.columns}:
-        raise ValueError(f"column {ids} exists")
+    that is already called so raises ValueError. Empty table: empty result."""
+    added = [ids, decoded] if decoded else [ids]
+    if {c.lower() for c in added} & {c.lower() for c in docs.columns}:
+        raise ValueError(f"a column of {added} exists")
     shared, at = _in_tasks(docs, model_path), docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for part in _slices(b, at):
-                encoded = _ready(shared).encode([t or "" for t in part.column(at).to_pylist()])
+                model = _ready(shared)
+                encoded = model.encode([t or "" for t in part.column(at).to_pylist()])
                 ends = np.r_[0, np.cumsum([len(e) for e in encoded])].astype(np.int32)
-                flat = np.concatenate(encoded) if encoded else np.empty(0, np.int32)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()))],
-                                                 names=[*part.schema.names, ids])
+                new = [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(encoded), pa.int32()))]
+                if decoded:
+                    new.append(pa.array([model.decode(e) for e in encoded], pa.string()))
+                yield pa.RecordBatch.from_arrays([*part.columns, *new], names=[*part.schema.names, *added])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))]))
+    kinds = (T.ArrayType(T.IntegerType()), T.StringType())
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *[T.StructField(c, kind) for c, kind in zip(added, kinds)]]))
 
 
-def _slices(batch: pa.RecordBatch, at: int, size: int = 8_000_000) -> Iterator[pa.RecordBatch]:
+def _slices(batch: pa.RecordBatch, at: int, size: int = 4_000_000) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with about ``size`` bytes of text each."""
     lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(at)), 0).to_numpy()
     part = np.cumsum(lengths) // size
@@ -296,8 +301,7 @@ def decode_documents(df: DataFrame, model_path: str, ids: str = "ids", text: str
 def digests(docs: DataFrame, model_path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key``, n_tokens, ids_sha256, decoded_sha256 of every row: the texts are encoded, then decoded from their ids."""
     rows = docs.select(F.col(key), F.col(text).cast("string").alias("_text"))
-    encoded = encode_documents(rows, model_path, "_text", "_ids").drop("_text")
-    decoded = decode_documents(encoded, model_path, "_ids", "_decoded")
-    return decoded.select(key, F.size("_ids").cast("long").alias("n_tokens"),
+    done = encode_documents(rows, model_path, "_text", "_ids", "_decoded")
+    return done.select(key, F.size("_ids").cast("long").alias("n_tokens"),
                           F.sha2(F.array_join(F.col("_ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
                           F.sha2(F.col("_decoded"), 256).alias("decoded_sha256"))
