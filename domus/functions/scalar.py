@@ -52,8 +52,10 @@ def price_after_currency(c: ColumnOrName, currencies: Sequence[str] = CURRENCIES
 
     Takes the run of digits and thousands separators that follows the marker
     and stops at the decimal point (``CHF 570,000.—`` → 570000); an amount
-    without the ``.—`` suffix keeps all its digits."""
-    pat = "(?:" + "|".join(currencies) + r")\s*([0-9][0-9,'’ ]*[0-9]|[0-9])"
+    without the ``.—`` suffix keeps all its digits. A space separates
+    thousands only before three digits (``CHF 1 234 000``, not ``CHF 5 20``);
+    null when no digit follows the marker."""
+    pat = "(?:" + "|".join(currencies) + r")\s*([0-9](?:[0-9]|[,'’][0-9]|[ \u00a0][0-9]{3}(?![0-9]))*)"
     run = F.regexp_extract(_c(c), pat, 1)
     return F.nullif(F.regexp_replace(run, r"[^0-9]", ""), F.lit("")).cast("bigint")
 

@@ -28,51 +28,42 @@ def with_fingerprint(df: DataFrame, key: str, price: str, out: str = "fingerprin
 
 def changed_or_new(incoming: DataFrame, existing: DataFrame, key: str, price: str,
                    existing_key: str | None = None, existing_price: str | None = None,
-                   sep: str = "-", fingerprint_col: str = "fingerprint") -> DataFrame:
+                   sep: str = "-", fingerprint_col: str = "fingerprint", latest_by: Sequence[str] = ()) -> DataFrame:
     """Rows of ``incoming`` whose key is new or whose fingerprint differs.
 
-    An incoming row is *unchanged* iff the stored table holds the same
-    (key, fingerprint) and no row with a null price for that key (a null
-    price gives a null fingerprint, which always counts as changed).
-
-    * ``existing`` is first reduced to the incoming keys (E6, ``left_semi``)
-      and to two columns (pruned down to the scan by Catalyst);
-    * stored duplicates are collapsed with ``distinct`` (partial aggregation,
-      so a key holding a third of the table is combined map-side) instead of
-      multiplying the output as a plain left join would;
-    * the reduced (key, fingerprint) set is checkpointed (eager) so the
-      stored side is scanned once; use :func:`changed_or_new_unique` for a
-      table kept unique by key — one lazy join;
-    * the result is one anti join on (key, fingerprint): nothing is gathered
-      per key.
-    """
+    The stored table may repeat keys. With ``latest_by`` (columns of ``existing``) only the latest
+    stored row of a key counts, so a price that returns to an older value is a change. Without an
+    order an incoming row is unchanged only if *all* stored rows of its key have its fingerprint.
+    A null price, stored or incoming, always counts as changed.
+
+    ``existing`` is reduced to the incoming keys (E6, ``left_semi``) and to one row a key by a
+    partial aggregate (a key holding a third of the table is combined map-side); the result is one
+    anti join on (key, fingerprint)."""
     ek = existing_key or key
     ep = existing_price or price
     inc = incoming if fingerprint_col in incoming.columns else with_fingerprint(
         incoming, key, price, fingerprint_col, sep)
     keys = inc.select(F.col(key).alias("__k")).where(F.col("__k").isNotNull())
-    ensure_checkpoint_dir(existing.sparkSession)
-    # the stored (key, fingerprint) pairs of the incoming keys, materialised
-    # once in the shared checkpoint folder: both uses below read it, so the
-    # stored table is scanned once (and lineage is cut)
-    ex = (existing.select(F.col(ek).alias("__k"), fingerprint(ek, ep, sep).alias("__efp"))
-          .join(keys, "__k", "left_semi").distinct().checkpoint(eager=True))
-    null_keys = (ex.groupBy("__k").agg(F.max(F.col("__efp").isNull().cast("int")).alias("__nul"))
-                 .where(F.col("__nul") == 1).select("__k"))
-    same = ex.join(null_keys, "__k", "left_anti")
-    cond = (inc[key] == same["__k"]) & (inc[fingerprint_col] == same["__efp"])
-    return inc.join(same, cond, "left_anti")
+    efp = fingerprint(ek, ep, sep)
+    ex = existing.select(F.col(ek).alias("__k"), efp.alias("__efp"), F.struct(*latest_by, efp).alias("__at"))
+    ex = ex.join(keys, "__k", "left_semi")
+    if latest_by:
+        one = F.max_by(F.struct("__efp"), "__at")["__efp"]
+    else:
+        one = F.when((F.min("__efp") == F.max("__efp")) & (F.count_if(F.col("__efp").isNull()) == 0), F.min("__efp"))
+    same = ex.groupBy("__k").agg(one.alias("__efp"))
+    return inc.join(same, (inc[key] == same["__k"]) & (inc[fingerprint_col] == same["__efp"]), "left_anti")
 
 
 def changed_or_new_unique(incoming: DataFrame, existing: DataFrame, key: str, price: str,
                           sep: str = "-", fingerprint_col: str = "fingerprint") -> DataFrame:
     """Same as :func:`changed_or_new` when ``existing`` is unique by key (a
     table that is only ever written through :func:`upsert`): a single left
-    join, no aggregation of the existing side."""
+    join (which also reduces the stored side to the incoming keys, E6), no
+    aggregation."""
     inc = incoming if fingerprint_col in incoming.columns else with_fingerprint(
         incoming, key, price, fingerprint_col, sep)
-    ex = (existing.select(F.col(key).alias("__k"), fingerprint(key, price, sep).alias("__efp"))
-          .join(inc.select(F.col(key).alias("__k")), "__k", "left_semi"))
+    ex = existing.select(F.col(key).alias("__k"), fingerprint(key, price, sep).alias("__efp"))
     j = inc.join(ex, inc[key] == ex["__k"], "left")
     keep = (F.col("__k").isNull() | F.col("__efp").isNull()
             | (F.col("__efp") != F.col(fingerprint_col)) | F.col(fingerprint_col).isNull())
@@ -88,15 +79,20 @@ def skip_landed(incoming: DataFrame, landed: DataFrame, key: str,
 
 def dedupe_latest(df: DataFrame, key: str | Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """One row per key: the row with the greatest ``order_by`` tuple, ties
-    broken by the remaining columns (deterministic).
+    broken by the remaining columns (deterministic). Rows with a null key
+    match nothing, so each of them stays.
 
     ``max_by`` over a struct is a partial aggregate, so a key holding a third
     of all rows is combined map-side and never gathered into one task."""
     keys = [key] if isinstance(key, str) else list(key)
     rest = [c for c in df.columns if c not in keys]
+    null_key = F.lit(False)
+    for k in keys:
+        null_key = null_key | F.col(k).isNull()
     order_struct = F.struct(*[F.col(c) for c in order_by], *[F.col(c) for c in rest])
-    agg = df.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in rest]), order_struct).alias("__r"))
-    return agg.select(*keys, *[F.col("__r")[c].alias(c) for c in rest])
+    agg = df.where(~null_key).groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in rest]), order_struct).alias("__r"))
+    one = agg.select(*keys, *[F.col("__r")[c].alias(c) for c in rest])
+    return one.unionByName(df.where(null_key))
 
 
 def _present(df: DataFrame, name: str) -> bool:

@@ -63,7 +63,7 @@ def flatten_structs(df: DataFrame, sep: str = "_", drop: Iterable[str] = ()) ->
 
 
 def flatten_explode(df: DataFrame, explode: Sequence[str] | None = None, sep: str = "_",
-                    max_rounds: int = 16, prefix: str | None = None) -> DataFrame:
+                    prefix: str | None = None) -> DataFrame:
     """Flatten structs and turn array columns into rows, repeating until no
     struct (and no chosen array) is left (C2).
 
@@ -81,7 +81,7 @@ def flatten_explode(df: DataFrame, explode: Sequence[str] | None = None, sep: st
             return True
         return any(name == e or name.startswith(e + sep) for e in explode)
 
-    for _ in range(max_rounds):
+    while True:  # a schema is finite, so each round removes a level
         df = flatten_structs(df, sep=sep)
         arrays = [f.name for f in df.schema.fields
                   if isinstance(f.dataType, T.ArrayType) and wanted(f.name)]
@@ -94,7 +94,6 @@ def flatten_explode(df: DataFrame, explode: Sequence[str] | None = None, sep: st
                     if isinstance(f.dataType, T.ArrayType) and wanted(f.name)]
             if not more:
                 return df
-    raise ValueError("flatten_explode: nesting deeper than max_rounds")
 
 
 def clean_names(df: DataFrame, pattern: str = PARQUET_SPECIAL_CHARACTERS) -> DataFrame:
@@ -105,18 +104,6 @@ def clean_names(df: DataFrame, pattern: str = PARQUET_SPECIAL_CHARACTERS) -> Dat
     return df.toDF(*names)
 
 
-def dots_to_underscores(df: DataFrame) -> DataFrame:
-    """``.`` → ``_`` in names (C4)."""
-    names = [c.replace(".", "_") for c in df.columns]
-    _check_unique(names)
-    return df.toDF(*names)
-
-
-def drop_if_present(df: DataFrame, names: Iterable[str]) -> DataFrame:
-    """Drop columns; missing names are ignored."""
-    return df.drop(*[n for n in names if n in df.columns])
-
-
 def lower_names(df: DataFrame) -> DataFrame:
     """Lower-case all names."""
     names = [c.lower() for c in df.columns]
@@ -232,6 +219,11 @@ def fill_mean(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
     return clean.select(*out)
 
 
+#: What counts as a number in text: no suffixes (``12d``), no words.
+NUMBER = r"^[+-]?(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
+WHOLE = r"^[+-]?[0-9]+$"
+
+
 def numeric_if_all_parse(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
     """Turn a text column into numbers only if every non-null value parses
     (C15): bigint when every value is a whole number, double otherwise; a
@@ -246,8 +238,9 @@ def numeric_if_all_parse(df: DataFrame, subset: Sequence[str] | None = None) ->
     aggs = []
     for c in texts:
         s = F.trim(F.col(_q(c)))
-        aggs.append(F.count_if(s.isNotNull() & s.try_cast("double").isNull()).alias(c + "\u0001bad"))
-        aggs.append(F.count_if(s.isNotNull() & s.try_cast("bigint").isNull()).alias(c + "\u0001frac"))
+        number, whole = s.rlike(NUMBER), s.rlike(WHOLE) & s.try_cast("bigint").isNotNull()
+        aggs.append(F.count_if(s.isNotNull() & ~number).alias(c + "\u0001bad"))
+        aggs.append(F.count_if(s.isNotNull() & ~whole).alias(c + "\u0001frac"))
     r = df.agg(*aggs).first().asDict()
     out = []
     for f in df.schema.fields:
@@ -260,29 +253,29 @@ def numeric_if_all_parse(df: DataFrame, subset: Sequence[str] | None = None) ->
     return df.select(*out)
 
 
-def dummy_values(df: DataFrame, columns: Sequence[str], max_values: int = 1000) -> dict[str, list[str]]:
-    """Distinct values of each text column, learnt with one aggregate.
+def dummy_long(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """Dummies of any cardinality as long rows (key, column_name, value), one
+    for each non-null cell: what :func:`dummies` would mark with a 1."""
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(_q(c)).alias("value")) for c in columns]))
+    return df.select(key, cells.alias("__c")).select(key, "__c.*").where(F.col("value").isNotNull())
 
-    The answer must be small (it becomes column names): ``collect_set`` is
-    capped through a ``count_distinct`` check first, and more than
-    ``max_values`` values raise instead of building a huge projection."""
+
+def dummy_values(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
+    """Distinct values of each text column, sorted (one distinct over the
+    stacked columns). They become column names, so they have to fit a schema;
+    for columns of unbounded cardinality use :func:`dummy_long`."""
     if not columns:
         return {}
-    counts = df.agg(*[F.approx_count_distinct(F.col(_q(c))).alias(c) for c in columns]).first().asDict()
-    too_many = {c: n for c, n in counts.items() if n > max_values * 1.1}
-    if too_many:
-        raise ValueError(f"too many distinct values for dummies: {too_many}")
-    sets = df.agg(*[F.array_sort(F.collect_set(F.col(_q(c)))).alias(c) for c in columns]).first().asDict()
-    for c, vs in sets.items():
-        if len(vs) > max_values:
-            raise ValueError(f"too many distinct values for dummies in {c}: {len(vs)}")
-    return {c: list(vs) for c, vs in sets.items()}
+    pairs = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(_q(c)).alias("v")) for c in columns])).alias("p"))
+    out: dict[str, list[str]] = {c: [] for c in columns}
+    for c, v in pairs.select("p.*").where(F.col("v").isNotNull()).distinct().orderBy("c", "v").collect():
+        out[c].append(v)
+    return out
 
 
 def dummies(df: DataFrame, columns: Sequence[str] | None = None,
             values: Mapping[str, Sequence[str]] | None = None,
-            drop: Mapping[str, str] | None = None, sep: str = "_",
-            max_values: int = 1000) -> DataFrame:
+            drop: Mapping[str, str] | None = None, sep: str = "_") -> DataFrame:
     """Indicator columns ``col_value`` for text columns.
 
     ``columns=None`` takes every text column (``get_dummies``). A null value
@@ -292,7 +285,7 @@ def dummies(df: DataFrame, columns: Sequence[str] | None = None,
     if columns is None:
         columns = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     columns = list(columns)
-    vals = dict(values) if values is not None else dummy_values(df, columns, max_values)
+    vals = dict(values) if values is not None else dummy_values(df, columns)
     drop = dict(drop or {})
     out: list[Column] = []
     for f in df.schema.fields:

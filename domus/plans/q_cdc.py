@@ -13,13 +13,12 @@ from pyspark.sql import functions as F
 from domus.operators.cdc import changed_or_new, changed_or_new_unique, skip_landed, upsert
 from domus.plans.registry import load, query
 from domus.session import scratch_path
-from domus.sinks.writers import upsert_table, write_bucketed, write_json_drops, write_version
+from domus.sinks.writers import read_bucketed, upsert_table, write_bucketed, write_json_drops, write_version
 from domus.sources.readers import COLD_START_SCHEMA, read_table_or_empty
 from domus.streaming.ingest import ingest_drops
 
 STORED_BEFORE = "1999-01-01 00:00:00"
 INCOMING_FROM = "1998-01-01 00:00:00"
-STREAM_BUCKETS = 8  # size buckets to ~0.1–1 GB each at scale
 COLS = ["o_orderkey", "price", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"]
 
 
@@ -59,7 +58,7 @@ ex AS (
   FROM stored WHERE o_orderkey IN (SELECT o_orderkey FROM inc)),
 changed AS (
   SELECT inc.* FROM inc LEFT JOIN ex ON inc.o_orderkey = ex.o_orderkey
-  WHERE ex.o_orderkey IS NULL OR ex.efp IS NULL OR ex.efp <> inc.fingerprint)
+  WHERE ex.o_orderkey IS NULL OR ex.efp IS NULL OR inc.fingerprint IS NULL OR ex.efp <> inc.fingerprint)
 """
 
 
@@ -82,7 +81,7 @@ def cdc_changed_or_new_sql(spark, sf):
                     FROM {stored} s WHERE EXISTS (SELECT 1 FROM inc WHERE inc.o_orderkey = s.o_orderkey))
         SELECT inc.o_orderkey, inc.price, inc.fingerprint
         FROM inc LEFT JOIN ex ON inc.o_orderkey = ex.o_orderkey
-        WHERE ex.efp IS NULL OR ex.efp <> inc.fingerprint""",
+        WHERE ex.efp IS NULL OR inc.fingerprint IS NULL OR ex.efp <> inc.fingerprint""",
                      incoming=incoming_orders(spark, sf), stored=stored_orders(spark, sf))
 
 
@@ -174,20 +173,60 @@ def _from_flat(flat: DataFrame) -> DataFrame:
 
 @query("stream_upsert", ids="K1 C1 B2 E1 B7", bench=True, sql=UPSERT_SQL)
 def stream_upsert(spark, sf):
-    """The incoming run lands as gz JSON drops (one per order year); a
-    Structured Streaming query ingests them drop by drop (flatten → detect
-    change → upsert). The table is partitioned by a hash bucket of the key,
-    so each batch rewrites only the buckets it touches. The final table
-    equals the batch ``cdc_upsert``."""
+    """The incoming run lands as gz JSON drops (by order year); a Structured
+    Streaming query ingests them (flatten → detect change → upsert). The
+    table is split by a hash bucket of the key, and each batch adds a version
+    of the buckets it touches. The final table equals the batch
+    ``cdc_upsert``."""
     base = scratch_path(spark, "stream_upsert")
     table, landing = f"{base}/table", f"{base}/landing"
-    write_bucketed(stored_orders(spark, sf), table, "o_orderkey", STREAM_BUCKETS)
-    # one landed file per drop (one run = one file), as the job lands them
-    write_json_drops(_as_docs(incoming_orders(spark, sf)).repartition("year"), landing,
-                     partition_by=["year"], mode="overwrite")
-    ingest_drops(spark, landing, _doc_schema(), table, "o_orderkey", "price", f"{base}/checkpoint",
-                 prepare=_from_flat, files_per_batch=1, buckets=STREAM_BUCKETS)
-    return spark.read.parquet(table).select(*COLS)
+    write_bucketed(stored_orders(spark, sf), table, "o_orderkey")
+    write_json_drops(_as_docs(incoming_orders(spark, sf)), landing, partition_by=["year"], mode="overwrite")
+    ingest_drops(spark, landing, _doc_schema(), table, "o_orderkey", "price", f"{base}/checkpoint", ["o_orderdate"],
+                 prepare=_from_flat, files_per_batch=2, bucketed=True)
+    return read_bucketed(spark, table).select(*COLS)
+
+
+def _customer_docs(spark, sf) -> DataFrame:
+    """Drops that repeat ids: an order is a sighting of its customer's price;
+    every 50th sighting has no id."""
+    o = load(spark, sf, "orders")
+    key = F.when(F.col("o_orderkey") % 50 != 0, F.col("o_custkey"))
+    return o.select(F.struct(key.alias("id"), F.round("o_totalprice").cast("bigint").alias("price")).alias("propertyDetails"),
+                    F.struct(F.col("o_orderkey").alias("number"), F.col("o_orderdate").alias("date")).alias("search"))
+
+
+@query("stream_cold_start", ids="K1 A4 B7", sql="""
+WITH s AS (SELECT CASE WHEN o_orderkey % 50 <> 0 THEN o_custkey END AS id, CAST(round(o_totalprice) AS BIGINT) AS price,
+                  o_orderkey AS number, o_orderdate AS searched FROM orders),
+r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY searched DESC, number DESC) AS rn FROM s)
+SELECT id, price, number FROM r WHERE id IS NULL OR rn = 1""")
+def stream_cold_start(spark, sf):
+    """A table that does not exist yet, drops with repeated ids (the latest
+    search wins, whether its price rose or fell) and rows without an id (each
+    is kept)."""
+    base = scratch_path(spark, "stream_cold_start")
+    write_json_drops(_customer_docs(spark, sf), f"{base}/landing", mode="overwrite")
+    ingest_drops(spark, f"{base}/landing", "propertyDetails struct<id: bigint, price: bigint>, "
+                 "search struct<number: bigint, date: timestamp_ntz>", f"{base}/table", "id", "price", f"{base}/checkpoint",
+                 ["searched", "number"], files_per_batch=None, bucketed=True,
+                 prepare=lambda d: d.select(F.col("propertyDetails_id").alias("id"), F.col("propertyDetails_price").alias("price"),
+                                            F.col("search_number").alias("number"), F.col("search_date").alias("searched")))
+    return read_bucketed(spark, f"{base}/table").select("id", "price", "number")
+
+
+@query("cdc_price_returns", ids="E1 E6", sql="""
+WITH st AS (SELECT o_custkey AS id, CAST(o_orderkey % 3 AS BIGINT) AS price, o_orderdate AS seen, o_orderkey AS number FROM orders),
+l AS (SELECT id, price FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY seen DESC, number DESC) AS rn FROM st) WHERE rn = 1),
+i AS (SELECT c_custkey AS id, CAST(1 AS BIGINT) AS price FROM customer)
+SELECT i.id, i.price, CAST(i.id AS VARCHAR) || '-1' AS fingerprint FROM i LEFT JOIN l ON i.id = l.id WHERE l.id IS NULL OR l.price <> 1""")
+def cdc_price_returns(spark, sf):
+    """The store repeats ids with prices that come and go; only the latest
+    stored row counts, so a price that returns to an older value is a change."""
+    stored = load(spark, sf, "orders").select(F.col("o_custkey").alias("id"), (F.col("o_orderkey") % 3).alias("price"),
+                                              F.col("o_orderdate").alias("seen"), F.col("o_orderkey").alias("number"))
+    inc = load(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.lit(1).cast("bigint").alias("price"))
+    return changed_or_new(inc, stored, "id", "price", latest_by=["seen", "number"])
 
 
 @query("table_upsert", ids="B7 B1 A4", sql=UPSERT_SQL)

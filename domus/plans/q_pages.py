@@ -13,11 +13,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from domus.plans.registry import load, query
-from domus.sources.pages import last_page, page_links, page_listings
+from domus.sources.pages import last_page, page_links, page_listings, unpaired_counts
 
 
 def built_pages(spark, sf):
-    o = load(spark, sf, "orders")
+    # narrow rows are dealt over the cores before they grow into pages
+    o = load(spark, sf, "orders").repartition(spark.sparkContext.defaultParallelism)
     k = F.col("o_orderkey")
     p = F.round("o_totalprice").cast("bigint")
 
@@ -74,3 +75,38 @@ u AS (SELECT page_id, CAST(unnest(generate_series(0, len(hrefs) - 1)) AS INTEGER
 SELECT page_id, pos, href, nullif(regexp_extract(href, '(\\d+)', 1), '') AS digits FROM u""")
 def page_links_q(spark, sf):
     return page_links(load(spark, sf, "pages"), "/")
+
+
+def odd_pages(spark, sf):
+    """Pages with an unpriced item in the middle, both kinds of quotes,
+    amounts with spaces, and nested or padded page links."""
+    o = load(spark, sf, "orders").repartition(spark.sparkContext.defaultParallelism)
+    k, p = F.col("o_orderkey"), F.round("o_totalprice").cast("bigint")
+    spaced = F.replace(F.format_number(p, 0), F.lit(","), F.lit(" "))
+    item = lambda n: (k * 10 + n).cast("string")
+    html = F.concat(F.lit("<abbr>7</abbr><a href='/buy/a/"), item(1), F.lit("'>A</a><span class=\"p\">CHF "), spaced,
+                    F.lit('.—</span><p>from CHF 1 per day</p><a href="/buy/b/'), item(2),
+                    F.lit('">B</a><span>CHF on request</span><span>new</span><a href=\'/buy/c/'), item(3),
+                    F.lit("'>C</a><span><b>EUR</b> "), (p + 7).cast("string"), F.lit("</span>"),
+                    F.when(k % 2 == 0, F.lit('<a class="n"><span> 2 </span></a><a> 31 </a>')).otherwise(F.lit("<a>next</a>")))
+    return o.select(k.alias("page_id"), html.alias("html"))
+
+
+@query("page_listings_odd", ids="A8 E4 I5", sql="""
+SELECT CAST(o_orderkey * 10 + 1 AS VARCHAR) AS id, CAST(round(o_totalprice) AS BIGINT) AS price, o_orderkey AS page_id, 0 AS pos FROM orders
+UNION ALL
+SELECT CAST(o_orderkey * 10 + 3 AS VARCHAR), CAST(round(o_totalprice) AS BIGINT) + 7, o_orderkey, 2 FROM orders""")
+def page_listings_odd_q(spark, sf):
+    return page_listings(odd_pages(spark, sf), "/buy/")
+
+
+@query("page_unpaired", ids="A8 E4", sql="""
+SELECT o_orderkey AS page_id, 3 AS n_links, 3 AS n_prices, 1 AS n_unpriced, 0 AS unpaired FROM orders""")
+def page_unpaired_q(spark, sf):
+    return unpaired_counts(odd_pages(spark, sf), "/buy/")
+
+
+@query("page_last_odd", ids="A9", sql="""
+SELECT o_orderkey AS page_id, CASE WHEN o_orderkey % 2 = 0 THEN 31 ELSE 1 END AS last_page FROM orders""")
+def page_last_odd_q(spark, sf):
+    return odd_pages(spark, sf).select("page_id", last_page("html").alias("last_page"))

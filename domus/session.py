@@ -3,7 +3,6 @@ shared folder for checkpoints and written intermediate tables."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -39,12 +38,15 @@ def build_session(master: str = "local[8]", app: str = "domus", shuffle_partitio
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the deployment sets it to a shared filesystem; it is only
-    set here when unset (local tests), to a fresh temporary folder."""
+    On a cluster the deployment has to set it to a shared filesystem (an
+    error is raised otherwise); on a local master, as in tests, an unset one
+    is set to a fresh temporary folder."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="domus-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -58,14 +60,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def local_fs_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through Hadoop's FileSystem (works for any scheme)."""
     jvm = spark.sparkContext._jvm
@@ -81,20 +75,3 @@ def list_dir(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(p):
         return []
     return [st.getPath().getName() for st in fs.listStatus(p)]
-
-
-def env_sf_dir(default: str = "/root/testdata/sf0.1") -> str:
-    return os.environ.get("BENCH_SF_DIR", default)
-
-
-def spread(df):
-    """Spread a frame over the cores when its scan yields fewer partitions
-    than the session's default parallelism (a small file is one split).
-
-    A round-robin ``repartition`` so per-row work (regexes, explodes, the map
-    side of aggregates, ML gradients) runs on every core. Large inputs are
-    already split into many partitions, so there this is a no-op."""
-    par = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < par:
-        return df.repartition(par)
-    return df

@@ -2,33 +2,38 @@
 landing folder, each micro-batch flattened, change-detected against the
 current table and merged into a new table version.
 
-Replaying a batch after a failure is safe: the merge is idempotent for
-non-null keys (upsert(upsert(t, s), s) = upsert(t, s)), and a version only
-counts once fully committed."""
+Replaying a batch after a failure is safe: a version only counts once fully
+committed, and a bucketed table's batch writes the same version again. (A
+table of full versions is safe for non-null keys: upsert(upsert(t, s), s) =
+upsert(t, s).)"""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from domus.operators.cdc import changed_or_new_unique, upsert
+from domus.operators.cdc import changed_or_new_unique, prepare_source, upsert
 from domus.operators.columns import flatten_structs
-from domus.sinks.writers import BUCKET_COL, bucket_of, latest_version_path, merge_bucketed, write_version
+from domus.sinks.writers import latest_version_path, merge_bucketed, write_version
 
 
 def ingest_drops(spark: SparkSession, landing: str, schema: T.StructType | str, table: str, key: str,
-                 price: str, checkpoint: str, prepare: Callable[[DataFrame], DataFrame] | None = None,
-                 files_per_batch: int | None = 1, available_now: bool = True, buckets: int | None = None):
+                 price: str, checkpoint: str, order_by: Sequence[str],
+                 prepare: Callable[[DataFrame], DataFrame] | None = None,
+                 files_per_batch: int | None = 1, available_now: bool = True, bucketed: bool = False):
     """Start (and, with ``available_now``, finish) the stream; returns the
-    query. ``prepare`` maps a flattened batch to the table's columns.
+    query. ``prepare`` maps a flattened batch to the table's columns. Of
+    repeated keys in a batch the latest by ``order_by`` (such as the time of
+    the search) is merged; rows without a key are inserted each. A table that
+    does not exist yet is started by the first batch, under the same rule.
 
-    With ``buckets`` the table is a bucket-partitioned table written by
-    :func:`domus.sinks.writers.write_bucketed`, and each batch rewrites only
-    the buckets it touches (staged under the checkpoint, one folder per
-    batch id). Without it every batch writes a new full version."""
+    With ``bucketed`` the table is one of
+    :func:`domus.sinks.writers.write_bucketed`: batch ``b`` becomes version
+    ``b + 1``, which holds the touched buckets only, and a batch that runs
+    again writes its version again. Without it every batch writes a new full
+    version."""
     reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
@@ -38,24 +43,18 @@ def ingest_drops(spark: SparkSession, landing: str, schema: T.StructType | str,
         flat = flatten_structs(batch)
         if prepare is not None:
             flat = prepare(flat)
-        flat = flat.persist()  # the batch is used by several actions below
+        if bucketed:
+            merge_bucketed(spark, flat, table, key, batch_id + 1, "latest", order_by, price)
+            return
+        flat = prepare_source(flat, key, "latest", order_by).persist()  # used by several actions below
         try:
-            if buckets:
-                # read only the buckets this batch can touch (at most ``buckets`` ids)
-                touched = sorted(r[0] for r in flat.select(bucket_of(key, buckets).alias("b")).distinct().collect())
-                current = (spark.read.parquet(table).where(F.col(BUCKET_COL).isin(touched)).drop(BUCKET_COL)
-                           .join(flat.select(key).distinct(), key, "left_semi"))
-                changed = changed_or_new_unique(flat, current, key, price).drop("fingerprint")
-                merge_bucketed(spark, changed, table, key, buckets, f"{checkpoint}/staging/batch={batch_id}",
-                               dedupe="latest", order_by=[key], touched=touched)
-                return
             cur = latest_version_path(spark, table)
             if cur is None:
                 write_version(flat, table)
                 return
             target = spark.read.parquet(cur)
             changed = changed_or_new_unique(flat, target, key, price).drop("fingerprint")
-            write_version(upsert(target, changed, key, dedupe="latest", order_by=[key]), table)
+            write_version(upsert(target, changed, key, dedupe="none"), table)
         finally:
             flat.unpersist()
 

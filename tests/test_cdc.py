@@ -14,22 +14,34 @@ def ids(df, col="id"):
 
 
 def test_worked_rows(spark):
-    stored = spark.createDataFrame([("6246235", 1090000), ("6224170", 1400000), ("777", None)], ROW)
-    incoming = spark.createDataFrame([("6246235", 1090000), ("6224170", 1405000), ("123", 1405000),
+    stored = spark.createDataFrame([("41", 880000), ("52", 1250000), ("777", None)], ROW)
+    incoming = spark.createDataFrame([("41", 880000), ("52", 1260000), ("123", 1260000),
                                       ("777", 1)], ROW)
     for fn in (changed_or_new, changed_or_new_unique):
         out = fn(incoming, stored, "id", "price")
-        assert ids(out) == ["123", "6224170", "777"]
+        assert ids(out) == ["123", "52", "777"]
         fp = {r["id"]: r["fingerprint"] for r in out.collect()}
-        assert fp["6224170"] == "6224170-1405000"
+        assert fp["52"] == "52-1260000"
 
 
 def test_duplicates_in_store_do_not_multiply(spark):
     stored = spark.createDataFrame([("1", 10), ("1", 10), ("1", 11), ("2", 5), ("2", None)], ROW)
     incoming = spark.createDataFrame([("1", 10), ("2", 5), ("3", 1)], ROW)
     out = changed_or_new(incoming, stored, "id", "price")
-    # 1 is unchanged (a stored copy has the same fingerprint); 2 has a null-price copy
-    assert ids(out) == ["2", "3"]
+    # 1 has a stored copy with another price, 2 one without a price
+    assert ids(out) == ["1", "2", "3"]
+    assert ids(changed_or_new(incoming.where("id = '1'"), stored.where("price = 10"), "id", "price")) == []
+
+
+def test_latest_stored_row_counts(spark):
+    stored = spark.createDataFrame([("1", 10, 1), ("1", 11, 2), ("2", 7, 1), ("2", 5, 2), ("3", 4, 1), ("3", None, 2)], ROW + ", at int")
+    incoming = spark.createDataFrame([("1", 10), ("2", 5), ("3", 4), ("4", None)], ROW)
+    assert ids(changed_or_new(incoming, stored, "id", "price", latest_by=["at"])) == ["1", "3", "4"]
+
+
+def test_rows_without_a_key_stay(spark):
+    df = spark.createDataFrame([(None, 1), (None, 2), (None, 2), ("a", 5), ("a", 4)], ROW)
+    assert sorted(((r[0] or "", r[1]) for r in dedupe_latest(df, "id", ["price"]).collect())) == [("", 1), ("", 2), ("", 2), ("a", 5)]
 
 
 def test_float_price_text_matches_integer(spark):

@@ -149,8 +149,22 @@ def test_flatten_explode_prefix(doc):
     assert out.count() == 5 and all(c.startswith("listing") for c in out.columns)
 
 
-def test_dummy_values_cap(spark):
-    df = spark.range(0, 300).select(F.col("id").cast("string").alias("c"))
-    with pytest.raises(ValueError):
-        C.dummy_values(df, ["c"], max_values=50)
-    assert len(C.dummy_values(df, ["c"], max_values=1000)["c"]) == 300
+def test_dummies_of_any_cardinality(spark):
+    df = spark.range(0, 2000).select("id", F.concat(F.lit("v"), "id").alias("c"))
+    assert len(C.dummy_values(df, ["c"])["c"]) == 2000
+    long = C.dummy_long(df.union(spark.createDataFrame([(5000, None)], "id long, c string")), "id", ["c"])
+    assert long.count() == 2000 and long.where("id = 7").first()["value"] == "v7"
+
+
+def test_deep_nesting(spark):
+    value, kind = "x", "string"
+    for _ in range(17):
+        value, kind = [value], f"array<{kind}>"
+    df = spark.createDataFrame([(1, value)], f"id int, a {kind}")
+    assert [tuple(r) for r in C.flatten_explode(df).collect()] == [(1, "x")]
+
+
+def test_numbers_have_no_suffix(spark):
+    df = spark.createDataFrame([("12d", "1e3", "7"), ("5f", " 2.5 ", None)], "a string, b string, c string")
+    assert [t for _, t in C.numeric_if_all_parse(df).dtypes] == ["string", "double", "bigint"]
+

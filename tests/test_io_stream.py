@@ -59,7 +59,7 @@ def test_stream_equals_batch(spark, tmp):
     write_version(stored, f"{tmp}/table")
     write_json_drops(drops, f"{tmp}/landing", partition_by=["batch"])
     prep = lambda d: d.select(F.col("propertyDetails_id").alias("id"), F.col("propertyDetails_price").alias("price"))
-    ingest_drops(spark, f"{tmp}/landing", schema, f"{tmp}/table", "id", "price", f"{tmp}/ckpt", prepare=prep)
+    ingest_drops(spark, f"{tmp}/landing", schema, f"{tmp}/table", "id", "price", f"{tmp}/ckpt", ["price"], prepare=prep)
     got = sorted(tuple(r) for r in spark.read.parquet(latest_version_path(spark, f"{tmp}/table")).collect())
     src = prep(drops.select("propertyDetails.*", "batch").select(F.struct("id", "price").alias("propertyDetails")).select(
         F.col("propertyDetails.id").alias("propertyDetails_id"), F.col("propertyDetails.price").alias("propertyDetails_price")))
@@ -75,20 +75,50 @@ def test_gz_json_round_trip(spark, tmp):
     assert sorted(tuple(r) for r in back.collect()) == [(1, "a", "zurich"), (2, "b", "bern")]
 
 
-def test_bucketed_merge_rewrites_only_touched(spark, tmp):
+def test_bucketed_merge_writes_only_touched_buckets(spark, tmp):
     import os
 
-    from domus.sinks.writers import BUCKET_COL, bucket_of, merge_bucketed, write_bucketed
+    from domus.sinks.writers import merge_bucketed, read_bucketed, write_bucketed
     base = spark.range(0, 1000).select(F.col("id").cast("string").alias("id"), (F.col("id") * 2).alias("price"))
-    write_bucketed(base, f"{tmp}/t", "id", 16)
-    src = spark.createDataFrame([("5", 1), ("2000", 7)], "id string, price bigint")
-    touched = merge_bucketed(spark, src, f"{tmp}/t", "id", 16, f"{tmp}/stage")
-    expect = sorted({r[0] for r in src.select(bucket_of("id", 16)).collect()})
-    assert touched == expect
-    parts = [d for d in os.listdir(f"{tmp}/t") if d.startswith(BUCKET_COL)]
-    assert len(parts) == 16
-    got = {r["id"]: r["price"] for r in spark.read.parquet(f"{tmp}/t").collect()}
-    assert len(got) == 1001 and got["5"] == 1 and got["2000"] == 7 and got["6"] == 12
+    assert write_bucketed(base, f"{tmp}/t", "id", rows_per_bucket=63) == 16
+    src = spark.createDataFrame([("5", 1), ("2000", 7), (None, 3)], "id string, price bigint")
+    touched = merge_bucketed(spark, src, f"{tmp}/t", "id", 1, order_by=["price"], price="price")
+    assert 1 <= len(touched) <= 3
+    assert len([d for d in os.listdir(f"{tmp}/t/buckets=16/version=000001") if d.startswith("_bucket")]) == len(touched)
+    got = {r["id"]: r["price"] for r in read_bucketed(spark, f"{tmp}/t").collect()}
+    assert len(got) == 1002 and got["5"] == 1 and got["2000"] == 7 and got["6"] == 12 and got[None] == 3
+
+
+def test_a_stopped_batch_can_run_again(spark, tmp):
+    import os
+
+    from domus.sinks.writers import merge_bucketed, read_bucketed, write_bucketed
+    base = spark.range(0, 100).select(F.col("id").cast("string").alias("id"), F.lit(1).cast("long").alias("price"))
+    write_bucketed(base, f"{tmp}/t", "id", rows_per_bucket=25)
+    src = spark.createDataFrame([(str(i), 2) for i in range(50, 150)] + [(None, 9), (None, 9)], "id string, price bigint")
+    merge_bucketed(spark, src, f"{tmp}/t", "id", 1, order_by=["price"], price="price")
+    want = sorted(map(str, read_bucketed(spark, f"{tmp}/t").collect()))
+    assert len(want) == 152
+    version = f"{tmp}/t/buckets=4/version=000001"
+    # stopped before the commit marker, with a bucket missing: the table is as before, then as after
+    os.rename(f"{version}/_SUCCESS", f"{tmp}/marker")
+    gone = next(d for d in os.listdir(version) if d.startswith("_bucket"))
+    os.rename(f"{version}/{gone}", f"{tmp}/{gone}")
+    assert read_bucketed(spark, f"{tmp}/t").count() == 100
+    for _ in range(2):  # again, and once more after it was committed
+        merge_bucketed(spark, src, f"{tmp}/t", "id", 1, order_by=["price"], price="price")
+        assert sorted(map(str, read_bucketed(spark, f"{tmp}/t").collect())) == want
+
+
+def test_stream_keeps_the_latest_and_starts_cold(spark, tmp):
+    from domus.sinks.writers import read_bucketed
+    drops = spark.createDataFrame([("1", 500, "240101"), ("1", 450, "240202"), (None, 7, "240101"), (None, 7, "240101")], "id string, price long, at string")
+    for bucketed in (True, False):
+        base = f"{tmp}/{bucketed}"
+        write_json_drops(drops.coalesce(1), f"{base}/landing")
+        ingest_drops(spark, f"{base}/landing", "id string, price long, at string", f"{base}/t", "id", "price", f"{base}/c", ["at"], bucketed=bucketed)
+        table = read_bucketed(spark, f"{base}/t") if bucketed else spark.read.parquet(latest_version_path(spark, f"{base}/t"))
+        assert sorted((r["id"] or "", r["price"]) for r in table.collect()) == [("", 7), ("", 7), ("1", 450)]
 
 
 def test_overwrite_partitions_replaces_only_present(spark, tmp):

@@ -38,3 +38,13 @@ def test_price_after_currency(spark):
     from domus.functions.scalar import price_after_currency
     df = spark.createDataFrame([("CHF 570,000.—",), ("CHF 570,000",), ("EUR 1'250",), ("on request",)], "t string")
     assert [r[0] for r in df.select(price_after_currency("t")).collect()] == [570000, 570000, 1250, None]
+
+
+def test_odd_slots(spark):
+    rows = [(2**45, '<a href="/buy/1">a</a><span>CHF on request</span><a href=\'/buy/2\'>b</a><span>CHF 1 234 000.—</span>'),
+            (2**45 + 1, '<abbr>9</abbr><a><span>2</span></a><a class="x"> 7 </a><span>EUR 5 20</span><p>CHF 3</p>')]
+    df = spark.createDataFrame(rows, "page_id long, html string")
+    assert {r["id"]: (r["price"], r["page_id"], r["pos"]) for r in page_listings(df, "/buy/").collect()} == {"2": (1234000, 2**45, 1)}
+    assert [r[0] for r in df.orderBy("page_id").select(last_page("html")).collect()] == [1, 7]
+    un = [tuple(r)[1:] for r in unpaired_counts(df, "/buy/").orderBy("page_id").collect()]
+    assert un == [(2, 2, 1, 0), (0, 1, 0, 1)]
