@@ -215,12 +215,14 @@ def _rooted(marked: DataFrame, distance: int, part: int, least=None) -> DataFram
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", *, k: int = SHINGLE,
                          distance: int = DISTANCE, part: int = PART) -> DataFrame:
     """``docs`` with one document of each group of near-duplicates: that of the smallest id (nulls
-    last; of rows with equal ids, one). Columns and types stay; an empty table stays empty."""
-    fp, uid = free_name(docs, "fp"), free_name(docs, "uid")
-    base = fingerprints(docs, text, fp, k).withColumn(uid, F.monotonically_increasing_id())
-    base = stored(base, "simhash-docs")
+    last; of rows with equal ids, one). Columns and types stay; an empty table stays empty. The table
+    has to be read in the same order each time (a stored table is): only fingerprints are written to
+    the shared folder, and the rows that stay are found again by their place."""
+    uid = free_name(docs, "uid")
+    placed = docs.withColumn(uid, F.monotonically_increasing_id())
+    narrow = placed.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text"), F.col(uid).alias("uid"))
+    marked = stored(fingerprints(narrow, "text", "fp", k).drop("text"), "simhash-docs")
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("uid"))
-    marked = base.select(F.col(fp).alias("fp"), F.col(key).alias("doc_id"), F.col(uid).alias("uid"))
     rooted = _rooted(marked, distance, part, least=order)
     stay = rooted.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.uid").alias(uid))
-    return base.join(stay, uid, "left_semi").select(*docs.columns)
+    return placed.join(stay, uid, "left_semi").select(*docs.columns)
