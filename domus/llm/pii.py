@@ -26,7 +26,7 @@ PATTERNS = {
     "email": re.compile(r"(?<![\w.+%-])([A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9_])?|\w(?:[\w.%+-]*\w)?)@((?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,24})(?![\w-])"),
     "iban": re.compile(rf"{_L}[A-Z]{{2}}[0-9]{{2}}(?:[A-Z0-9]{{11,30}}|(?: [A-Z0-9]{{4}}){{2,7}}(?: [A-Z0-9]{{1,4}})?){_R}"),
     "card": re.compile(rf"(?<![0-9A-Za-z.])(?:[0-9]{{13,19}}|[0-9]{{4}}([ -])[0-9]{{4}}\1[0-9]{{4}}\1[0-9]{{4}}|[0-9]{{4}}([ -])[0-9]{{6}}\2[0-9]{{5}}){_R}"),
-    "phone": re.compile(rf"(?<![0-9A-Za-z+])\+[0-9]{{1,3}}(?:[ .-]?\(?[0-9]{{2,4}}\)?){{2,5}}{_R}|(?<![0-9A-Za-z(])\([0-9]{{3}}\) ?[0-9]{{3}}-[0-9]{{4}}{_R}|(?<![0-9A-Za-z.-])[0-9]{{3}}([.-])[0-9]{{3}}\1[0-9]{{4}}(?![0-9A-Za-z-])"),
+    "phone": re.compile(rf"(?<![0-9A-Za-z+])\+1[ .-]?(?:\([0-9]{{3}}\)|[0-9]{{3}})[ .-]?[0-9]{{3}}[ .-]?[0-9]{{4}}{_R}|(?<![0-9A-Za-z+])\+[0-9]{{1,3}}(?:[ .-]?\(?[0-9]{{2,4}}\)?){{2,5}}{_R}|(?<![0-9A-Za-z(])\([0-9]{{3}}\) ?[0-9]{{3}}-[0-9]{{4}}{_R}|(?<![0-9A-Za-z.-])[0-9]{{3}}([.-])[0-9]{{3}}\1[0-9]{{4}}(?![0-9A-Za-z-])"),
     "ssn": re.compile(r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])"),
     "ip": re.compile(r"(?<![0-9A-Za-z.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9A-Za-z])"),
     "date": re.compile(r"(?<![0-9A-Za-z./-])(?:[0-9]{4}([-/.])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([-/.])[0-9]{1,2}\2[0-9]{4})(?![0-9A-Za-z]|[./-][0-9])"),
@@ -130,8 +130,11 @@ class Pseudonyms:
         digits = re.sub(r"[ -]", "", m[0])
         if luhn_digit(digits[:-1]) != digits[-1] or len(set(digits)) == 1:
             return None
-        n = len(digits) - 1
-        inner = str(self.of["card"](int(digits[:-1]), 10**n)).zfill(n)
+        if not ("3" <= digits[0] <= "6" or "2221" <= digits[:4] <= "2720"):
+            return None  # no issuer's range
+        lead = 4 if digits[0] == "2" else 2  # the issuer stays, so the pseudonym is in a range too
+        n = len(digits) - 1 - lead
+        inner = digits[:lead] + str(self.of["card"](int(digits[lead:-1]), 10**n)).zfill(n)
         return _refill(inner + luhn_digit(inner), m[0])
 
     def phone(self, m: re.Match) -> str | None:
@@ -198,7 +201,7 @@ def pseudonymise(docs: DataFrame, secret: bytes, text: str = "text", spans: str
     pseudonym), places in the original text, code points, end exclusive.
 
     Kinds are checked, not guessed: e-mail addresses by form, IBANs by their remainder, cards by their
-    check digit, phones by length, social security numbers by range, IPv4 by octets, dates by the
+    issuer's range and check digit, phones by length, social security numbers by range, IPv4 by octets, dates by the
     calendar (1900 to 2099; day before month where both fit). What fails its check stays. Overlaps:
     the earlier start wins, then the kind listed first. Null texts stay null with no spans; equal
     rows have equal results; an empty table gives an empty result; a column already called

@@ -297,6 +297,11 @@ def test_pseudonyms_keep_format_and_links():
     assert pii.Pseudonyms(b"other").replace(text)[0] != new
 
 
+def test_phones_beside_other_numbers():
+    new, spans = pii.Pseudonyms(b"k").replace("Des +1 (826) 555-4081 190.137.223.204 d +44 20 7946 0958, 9400000000000003")
+    assert [s[0] for s in spans] == ["phone", "ip", "phone"] and new.endswith("9400000000000003")
+
+
 @given(st.integers(1, 10**30), st.data())
 def test_permutation(n, data):
     p = pii.Permutation(b"k", "card")
