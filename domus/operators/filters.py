@@ -22,8 +22,9 @@ def at_most(df: DataFrame, col: str, bound) -> DataFrame:
 
 
 def nonzero(df: DataFrame, col: str) -> DataFrame:
-    """Drop rows whose value is 0 or missing (D3: null counts as 0)."""
-    return df.where(F.coalesce(F.col(col), F.lit(0)) != 0)
+    """Drop rows whose value is 0 or missing (D3: null and NaN count as 0)."""
+    kept = F.coalesce(F.col(col), F.lit(0)) != 0
+    return df.where(kept & ~F.isnan(col) if df.schema[col].dataType.typeName() in ("double", "float") else kept)
 
 
 def one_of(df: DataFrame, col: str, values: Sequence) -> DataFrame:

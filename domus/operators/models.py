@@ -12,12 +12,13 @@
 
 from __future__ import annotations
 
+import functools
 import math
+import operator
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression, LinearRegression
 from pyspark.sql import Column, DataFrame
@@ -51,79 +52,94 @@ def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> D
 
 # ---------------------------------------------------------------- Gram pass
 
-GRAM_SUMS_MAX = 120
-
 def gram(df: DataFrame, label: str, features: Sequence[str], group: str | None = None) -> dict:
-    """One aggregate: for z = [1, x1..xp, y], every Σ z_i z_j (upper triangle),
-    optionally per ``group`` (e.g. fold). Rows with a null in any used column
-    are skipped (complete cases). Returns {group: (p+2)x(p+2) matrix}.
-
-    Up to GRAM_SUMS_MAX entries this is one plain ``sum`` per entry (fast,
-    generated code). Wider designs emit each row's products as ONE vector
-    that Spark ML's ``Summarizer`` sums: a single aggregate buffer however
-    many features there are (hundreds of ``sum`` buffers are past what
-    generated code handles well)."""
+    """Moments of z = [1, x1..xp, y] over the complete cases (no null or NaN in any used column),
+    optionally per ``group`` (e.g. fold). Returns {group: :class:`Moments`}.
+
+    Two passes: the means, then every Σ (z_i − m_i)(z_j − m_j) with the same shift m in all groups
+    (so groups can be added), each row's products as ONE vector that Spark ML's ``Summarizer`` sums:
+    a single aggregate buffer however many features there are."""
     from pyspark.ml.functions import array_to_vector
     from pyspark.ml.stat import Summarizer
-    cols = [F.lit(1.0)] + [F.col(_q(c)).cast("double") for c in features] + [F.col(_q(label)).cast("double")]
-    names = ["__one"] + [f"__x{i}" for i in range(len(features))] + ["__y"]
-    d = df.select(*([F.col(_q(group)).alias("__g")] if group else []),
-                  *[c.alias(n) for c, n in zip(cols, names)])
-    d = d.na.drop(subset=names[1:])
-    m = len(names)
+    names = [f"__x{i}" for i in range(len(features))] + ["__y"]
+    num = lambda c: F.nanvl(F.col(_q(c)).cast("double"), F.lit(None).cast("double"))
+    d = df.select((F.col(_q(group)) if group else F.lit(0)).alias("__g"), *[num(c).alias(n) for c, n in zip([*features, label], names)])
+    d = d.na.drop(subset=names)
+    shift = np.array([x or 0.0 for x in d.agg(*[F.avg(n).alias(n) for n in names]).first()])
+    z = [F.lit(1.0)] + [F.col(n) - F.lit(float(m)) for n, m in zip(names, shift)]
+    m = len(z)
     idx = [(i, j) for i in range(m) for j in range(i, m)]
-    grouped = d.groupBy("__g") if group else d.groupBy()
-    if len(idx) <= GRAM_SUMS_MAX:
-        # small designs: plain sums, compiled into the aggregate's generated code
-        rows = grouped.agg(*[F.sum(F.col(names[i]) * F.col(names[j])).alias(f"s{k}")
-                             for k, (i, j) in enumerate(idx)]).collect()
-        vecs = [(r["__g"] if group else None, [r[f"s{k}"] or 0.0 for k in range(len(idx))]) for r in rows]
-    else:
-        prods = array_to_vector(F.array(*[F.col(names[i]) * F.col(names[j]) for i, j in idx])).alias("__p")
-        d = d.select(*(["__g"] if group else []), prods)
-        agg = Summarizer.metrics("sum").summary(F.col("__p")).alias("__s")
-        rows = (d.groupBy("__g") if group else d.groupBy()).agg(agg).collect()
-        vecs = [(r["__g"] if group else None, r["__s"]["sum"].toArray()) for r in rows]
-    out = {}
-    for g, v in vecs:
+    d = d.select("__g", *[c.alias(f"z{i}") for i, c in enumerate(z)])
+    prods = array_to_vector(F.array(*[F.col(f"z{i}") * F.col(f"z{j}") for i, j in idx])).alias("__p")
+    rows = d.select("__g", prods).groupBy("__g").agg(Summarizer.metrics("sum").summary(F.col("__p")).alias("__s")).collect()
+    out = {} if group else {None: Moments(np.zeros((m, m)), shift)}
+    for r in rows:
         a = np.zeros((m, m))
-        for (i, j), x in zip(idx, v):
+        for (i, j), x in zip(idx, r["__s"]["sum"].toArray()):
             a[i, j] = a[j, i] = x
-        out[g] = a
+        out[r["__g"] if group else None] = Moments(a, shift)
     return out
 
 
-def solve_ridge(g: np.ndarray, idx: Sequence[int], alpha: float = 0.0) -> np.ndarray:
-    """Coefficients [intercept, b...] for predictors at Gram indices ``idx``
-    (1-based into z), intercept not penalised."""
-    sel = [0] + list(idx)
-    xtx = g[np.ix_(sel, sel)]
-    xty = g[sel, -1]
-    pen = np.eye(len(sel)) * alpha
-    pen[0, 0] = 0.0
-    return np.linalg.solve(xtx + pen, xty)
+class Moments:
+    """Shifted second moments of [1, x, y]; adding two joins their rows, subtracting takes rows out."""
+
+    def __init__(self, sums: np.ndarray, shift: np.ndarray):
+        self.sums, self.shift = sums, shift
+
+    def __add__(self, other: "Moments") -> "Moments":
+        return Moments(self.sums + other.sums, self.shift)
+
+    def __sub__(self, other: "Moments") -> "Moments":
+        return Moments(self.sums - other.sums, self.shift)
+
+    @property
+    def n(self) -> float:
+        return self.sums[0, 0]
+
+    def centred(self) -> np.ndarray:
+        """Σ (z − mean)(z − mean)ᵀ of the rows themselves."""
+        s = self.sums[0, 1:]
+        return self.sums[1:, 1:] - np.outer(s, s) / max(self.n, 1.0)
 
+    def fit(self, idx: Sequence[int], alpha: float = 0.0) -> np.ndarray:
+        """[intercept, b...] for predictors ``idx`` (1-based), intercept not
+        penalised; collinear or constant predictors share the smallest
+        solution (pseudo-inverse of the scaled moments)."""
+        c, sel = self.centred(), [i - 1 for i in idx]
+        xx, xy = c[np.ix_(sel, sel)], c[sel, -1]
+        scale = np.sqrt(np.diag(xx))
+        scale[scale == 0] = 1.0
+        b = np.linalg.pinv((xx + alpha * np.eye(len(sel))) / np.outer(scale, scale), rcond=1e-12, hermitian=True) @ (xy / scale) / scale
+        mean = self.shift + (self.sums[0, 1:] / max(self.n, 1.0))
+        return np.r_[mean[-1] - b @ mean[sel], b]
 
-def sse_from_gram(g: np.ndarray, idx: Sequence[int], b: np.ndarray) -> float:
-    sel = [0] + list(idx)
-    xtx = g[np.ix_(sel, sel)]
-    xty = g[sel, -1]
-    yy = g[-1, -1]
-    return float(yy - 2 * b @ xty + b @ xtx @ b)
+    def sse(self, idx: Sequence[int], b: np.ndarray) -> float:
+        """Σ (y − ŷ)² of these rows under coefficients ``b`` (fitted on any rows)."""
+        sel = [0, *idx, self.sums.shape[0] - 1]
+        # ŷ in shifted terms: y − ŷ = (y − m_y) − Σ b (x − m_x) − (b0 + Σ b m_x − m_y)
+        w = np.r_[-(b[0] + b[1:] @ self.shift[[i - 1 for i in idx]] - self.shift[-1]), -b[1:], 1.0]
+        return max(0.0, float(w @ self.sums[np.ix_(sel, sel)] @ w))
 
+    def rank(self, idx: Sequence[int]) -> int:
+        c, sel = self.centred(), [i - 1 for i in idx]
+        xx = c[np.ix_(sel, sel)]
+        scale = np.sqrt(np.diag(xx))
+        scale[scale == 0] = 1.0
+        return int(np.linalg.matrix_rank(xx / np.outer(scale, scale), tol=1e-12, hermitian=True)) if sel else 0
 
-def ols_gram_stats(g: np.ndarray, idx: Sequence[int]) -> dict:
+
+def ols_gram_stats(g: Moments, idx: Sequence[int]) -> dict:
     """R², adj. R², log-likelihood, AIC for an OLS with intercept on the
-    predictors ``idx`` (statsmodels' definitions: AIC = −2·llf + 2(k+1))."""
-    n = g[0, 0]
-    b = solve_ridge(g, idx)
-    sse = sse_from_gram(g, idx, b)
-    ybar = g[0, -1] / n
-    sst = g[-1, -1] - n * ybar * ybar
-    k = len(idx)
-    r2 = 1 - sse / sst if sst > 0 else float("nan")
-    adj = 1 - (1 - r2) * (n - 1) / (n - k - 1)
-    llf = -n / 2 * (math.log(2 * math.pi) + math.log(sse / n) + 1)
+    predictors ``idx`` (statsmodels' definitions: AIC = −2·llf + 2(k+1)); NaN
+    where not defined."""
+    n, k = g.n, g.rank(idx)
+    b = g.fit(idx)
+    sse, sst = g.sse(idx, b), g.centred()[-1, -1]
+    nan = float("nan")
+    r2 = 1 - sse / sst if sst > 0 else nan
+    adj = 1 - (1 - r2) * (n - 1) / (n - k - 1) if n > k + 1 else nan
+    llf = -n / 2 * (math.log(2 * math.pi) + math.log(sse / n) + 1) if n and sse > 0 else nan
     return {"n": int(n), "k": k, "r2": float(r2), "adj_r2": float(adj), "llf": float(llf),
             "aic": float(-2 * llf + 2 * (k + 1)), "coef": b}
 
@@ -148,23 +164,52 @@ def nested_models(df: DataFrame, label: str, formulas: Sequence[Sequence[str]])
         rows, "formula string, k int, n long, r2 double, adj_r2 double, llf double, aic double")
 
 
+def fit_gram(df: DataFrame, label: str, features: Sequence[str], alpha: float = 0.0) -> np.ndarray:
+    """[intercept, b...] of OLS or ridge (J4, J7) from one Gram pass."""
+    return gram(df, label, features)[None].fit(range(1, len(features) + 1), alpha)
+
+
+def coefficients(spark, features: Sequence[str], b: np.ndarray) -> DataFrame:
+    """term, coef: the intercept, then the features by name."""
+    return spark.createDataFrame([("(intercept)", float(b[0])), *sorted(zip(features, map(float, b[1:])))], "term string, coef double")
+
+
+def predict_linear(df: DataFrame, features: Sequence[str], b: np.ndarray, out: str = "prediction") -> DataFrame:
+    """Score every row (J6): a plain expression; null where a feature is missing."""
+    y = F.lit(float(b[0]))
+    for c, w in zip(features, b[1:]):
+        x = F.col(_q(c)).cast("double")
+        y = y + F.lit(float(w)) * F.when(~F.isnan(x), x)
+    return df.withColumn(out, y)
+
+
+def ols_summary(df: DataFrame, label: str, features: Sequence[str]) -> DataFrame:
+    """term, coef, std_err, t (J11) from one Gram pass: (XᵀX)⁻¹ s² with n − k − 1 degrees of freedom."""
+    g = gram(df, label, features)[None]
+    idx = list(range(1, len(features) + 1))
+    b = g.fit(idx)
+    s2 = g.sse(idx, b) / (g.n - g.rank(idx) - 1)
+    inv = np.linalg.pinv(g.centred()[:-1, :-1], hermitian=True)
+    mean = (g.shift + g.sums[0, 1:] / g.n)[:-1]
+    se = np.sqrt(np.r_[s2 * (1 / g.n + mean @ inv @ mean), s2 * np.diag(inv)])
+    rows = [(t, float(c), float(e), float(c / e)) for t, c, e in zip(["(intercept)", *features], b, se)]
+    return df.sparkSession.createDataFrame(rows, "term string, coef double, std_err double, t double")
+
+
 def ridge_cv(df: DataFrame, label: str, features: Sequence[str], alphas: Sequence[float],
-             keys: Sequence[str], folds: int = 5, seed: int = 666) -> DataFrame:
+             keys: Sequence[str], folds: int = 5, seed: int = 666, fold: Column | None = None) -> DataFrame:
     """Mean RMSE over ``folds`` for every ridge ``alpha`` (J8): one Gram
     aggregate per fold (one scan); train Gram = total − fold Gram; the
     held-out SSE comes from the fold's Gram. Mean of per-fold RMSE, as
-    ``sqrt(-cross_val_score(...)).mean()`` computes it."""
-    d = add_folds(df, keys, folds, seed, "__fold")
+    ``sqrt(-cross_val_score(...)).mean()`` computes it. ``fold`` overrides
+    the hash of the row keys by a column of one's own."""
+    d = df.withColumn("__fold", fold) if fold is not None else add_folds(df, keys, folds, seed, "__fold")
     per = gram(d, label, features, "__fold")
-    total = sum(per.values())
+    total = functools.reduce(operator.add, per.values())
     idx = list(range(1, len(features) + 1))
     rows = []
     for a in alphas:
-        rm = []
-        for f, gf in sorted(per.items()):
-            b = solve_ridge(total - gf, idx, a)
-            sse = sse_from_gram(gf, idx, b)
-            rm.append(math.sqrt(max(sse, 0.0) / gf[0, 0]))
+        rm = [math.sqrt(gf.sse(idx, (total - gf).fit(idx, a)) / gf.n) for _, gf in sorted(per.items())]
         rows.append((float(a), float(np.mean(rm)), len(rm)))
     return df.sparkSession.createDataFrame(rows, "alpha double, rmse double, folds int")
 
@@ -201,17 +246,6 @@ def coefficient_table(spark, model, features: Sequence[str], with_summary: bool
     return spark.createDataFrame(rows, "term string, coef double, std_err double, t double, p_value double")
 
 
-def model_summary_row(spark, model, n_features: int) -> DataFrame:
-    s = model.summary
-    n = s.numInstances
-    r2 = s.r2
-    sse = s.meanSquaredError * n
-    llf = -n / 2 * (math.log(2 * math.pi) + math.log(sse / n) + 1)
-    return spark.createDataFrame(
-        [(int(n), float(r2), float(s.r2adj), float(llf), float(-2 * llf + 2 * (n_features + 1)))],
-        "n long, r2 double, adj_r2 double, llf double, aic double")
-
-
 def fit_poisson(df: DataFrame, label: str, features: Sequence[str]):
     """Poisson GLM with log link."""
     d = assemble(df.na.drop(subset=[label, *features]), features)
@@ -221,15 +255,24 @@ def fit_poisson(df: DataFrame, label: str, features: Sequence[str]):
 
 
 def predict(model, df: DataFrame, features: Sequence[str], out: str = "prediction") -> DataFrame:
-    """Score rows (J6, J14); rows with a null feature are skipped."""
-    d = assemble(df, features)
-    return model.transform(d).drop("features").withColumnRenamed("prediction", out)
-
-
+    """Score every row with a Spark ML model (J6, J14). A row with a missing
+    feature is kept and has a null prediction."""
+    known = F.lit(True)
+    for c in features:
+        x = F.col(_q(c)).cast("double")
+        known = known & x.isNotNull() & ~F.coalesce(F.isnan(x), F.lit(False))
+    filled = df.select("*", known.alias("__known"), *[F.when(known, F.col(_q(c)).cast("double")).otherwise(0.0).alias(f"__f{i}")
+                                                     for i, c in enumerate(features)])
+    used = [f"__f{i}" for i in range(len(features))]
+    scored = model.transform(VectorAssembler(inputCols=used, outputCol="features").transform(filled))
+    return scored.withColumn("prediction", F.when(F.col("__known"), F.col("prediction"))).drop("features", "__known", *used).withColumnRenamed("prediction", out)
+
+
+# The grid of tree depths, learning rates and tree counts.
 def gbt_grid(df: DataFrame, label: str, features: Sequence[str], keys: Sequence[str],
              depths: Sequence[int] = (2, 4, 6), rates: Sequence[float] = (0.025, 0.05, 0.075, 0.1),
              trees: Sequence[int] = (25, 50, 75, 100), folds: int = 3, seed: int = 666,
-             parallelism: int = 4) -> DataFrame:
+             parallelism: int = 4, subsampling: float = 1.0) -> DataFrame:
     """Boosted-tree grid search (J9): mean held-out RMSE for every
     (depth, rate, trees) over hash folds.
 
@@ -264,6 +307,20 @@ def gbt_grid(df: DataFrame, label: str, features: Sequence[str], keys: Sequence[
     return df.sparkSession.createDataFrame(rows, "max_depth int, learning_rate double, n_trees int, rmse double")
 
 
+def refit_best(df: DataFrame, label: str, features: Sequence[str], grid: DataFrame, keys: Sequence[str], seed: int = 666,
+               test_fraction: float = 0.3) -> DataFrame:
+    """Refit with the best setting of a grid result on the train split (J9):
+    the setting, and the RMSE on train and test rows."""
+    best = grid.orderBy("rmse", "max_depth", "learning_rate", "n_trees").first()
+    d = split_train_test(df.na.drop(subset=[label, *features]), keys, seed, test_fraction)
+    model = fit_gbt(d.where(F.col("split") == "train"), label, features, best["max_depth"], best["learning_rate"], best["n_trees"], seed)
+    err = F.col("prediction") - F.col(_q(label)).cast("double")
+    rm = {r["split"]: r["rmse"] for r in predict(model, d, features).groupBy("split").agg(F.sqrt(F.avg(err * err)).alias("rmse")).collect()}
+    return df.sparkSession.createDataFrame(
+        [(best["max_depth"], best["learning_rate"], best["n_trees"], rm.get("train"), rm.get("test"))],
+        "max_depth int, learning_rate double, n_trees int, train_rmse double, test_rmse double")
+
+
 def fit_gbt(df: DataFrame, label: str, features: Sequence[str], depth: int, rate: float, n_trees: int,
             seed: int = 666):
     d = assemble(df.na.drop(subset=[label, *features]), features)
@@ -278,5 +335,3 @@ def importances(spark, model, features: Sequence[str]) -> DataFrame:
     return spark.createDataFrame(rows, "feature string, importance double")
 
 
-def evaluate_rmse(pred: DataFrame, label: str, prediction: str = "prediction") -> float:
-    return RegressionEvaluator(labelCol=label, predictionCol=prediction, metricName="rmse").evaluate(pred)

@@ -4,7 +4,10 @@ Every profile is one or two aggregates over the input with many
 expressions, never a loop of jobs per column. Wide inputs are chunked so a
 single aggregate keeps a bounded number of expressions (codegen limits).
 Results are in *long* form (one row per column or pair), which stays small
-however many rows the input has."""
+however many rows the input has.
+
+NaN counts as missing everywhere. A statistic that is not defined (a constant
+column's correlation, an empty table's share) is null, never an error."""
 
 from __future__ import annotations
 
@@ -16,7 +19,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from domus.functions.scalar import inv_norm_cdf
+from domus.operators.columns import nan_to_null
 from domus.operators.ranks import exact_quantiles, order_statistics
+from domus.session import ensure_checkpoint_dir
 
 AGG_CHUNK = 96
 
@@ -25,6 +30,12 @@ def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def _num(c: str) -> Column:
+    """A column as double, NaN as null."""
+    x = F.col(_q(c)).cast("double")
+    return F.when(~F.isnan(x), x)
+
+
 def numeric_columns(df: DataFrame) -> list[str]:
     num = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
     return [f.name for f in df.schema.fields if isinstance(f.dataType, num)]
@@ -69,6 +80,7 @@ def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None, exact: bo
     ``exact=True`` computes quartiles by distributed ranking (exact, bounded
     memory per task); ``exact=False`` uses ``percentile_approx``."""
     cols = list(cols) if cols is not None else numeric_columns(df)
+    df = nan_to_null(df)
     base = _long_rows(df, cols, {
         "count": lambda c: F.count(F.col(_q(c))),
         "mean": lambda c: F.avg(F.col(_q(c))),
@@ -114,11 +126,12 @@ def skew_kurt(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     estimators, from Spark's population moments:
     G1 = g1·√(n(n−1))/(n−2), G2 = (n−1)/((n−2)(n−3))·((n+1)·g2 + 6)."""
     cols = list(cols) if cols is not None else numeric_columns(df)
+    df = nan_to_null(df)
     rows = _long_rows(df, cols, {
         "n": lambda c: F.count(F.col(_q(c))),
         "g1": lambda c: F.skewness(F.col(_q(c))),
         "g2": lambda c: F.kurtosis(F.col(_q(c))),
-    })
+    }).withColumns({g: F.when(~F.isnan(g), F.col(g)) for g in ("g1", "g2")})
     n = F.col("n").cast("double")
     return rows.select(
         "column_name",
@@ -134,7 +147,7 @@ def missing_report(df: DataFrame) -> DataFrame:
         x = F.col(_q(c))
         return F.count_if(x.isNull() | F.isnan(x)) if c in fl else F.count_if(x.isNull())
     rows = _long_rows(df, df.columns, {"total": miss, "rows": lambda c: F.count(F.lit(1))})
-    return rows.select("column_name", "total", (F.col("total") / F.col("rows")).alias("percent"))
+    return rows.select("column_name", "total", F.try_divide(F.col("total").cast("double"), F.col("rows").cast("double")).alias("percent"))
 
 
 def drop_sparse(df: DataFrame, max_missing: int = 1) -> DataFrame:
@@ -154,52 +167,67 @@ def table_profile(df: DataFrame) -> DataFrame:
                        F.lit(len(df.columns)).cast("long").alias("columns"))
 
 
-def corr_long(df: DataFrame, cols: Sequence[str] | None = None, method: str = "auto") -> DataFrame:
+def _pair_moments(x: Column, y: Column, mx: Column, my: Column, i: str) -> list[Column]:
+    """Sums of the complete pairs, shifted by the pair's means so that a
+    mean which dwarfs the spread costs no digits."""
+    ok = x.isNotNull() & y.isNotNull()
+    a, b = F.when(ok, x - mx), F.when(ok, y - my)
+    return [F.count_if(ok).alias(f"n{i}"), F.sum(a).alias(f"sx{i}"), F.sum(b).alias(f"sy{i}"),
+            F.sum(a * a).alias(f"sxx{i}"), F.sum(b * b).alias(f"syy{i}"), F.sum(a * b).alias(f"sxy{i}")]
+
+
+def _centred(i: str) -> tuple[Column, Column, Column, Column]:
+    """n, c_xx, c_yy, c_xy from the shifted sums; c_xx or c_yy of a constant column is 0."""
+    n = F.col(f"n{i}").cast("double")
+    c = lambda s, a, b: F.col(s + i) - F.try_divide(F.col(a + i) * F.col(b + i), n)
+    zero = lambda v, s: F.when(v > F.lit(1e-12) * F.col(s + i), v).otherwise(F.lit(0.0))
+    return n, zero(c("sxx", "sx", "sx"), "sxx"), zero(c("syy", "sy", "sy"), "syy"), c("sxy", "sx", "sy")
+
+
+def _pair_means(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> list[tuple[Column, Column]]:
+    """A cheap first pass: the means of both columns over each pair's complete
+    rows, as literals (0 for a pair without rows)."""
+    out: list[tuple[Column, Column]] = []
+    for lo in range(0, len(pairs), AGG_CHUNK // 2):
+        aggs = []
+        for i, (a, b) in enumerate(pairs[lo:lo + AGG_CHUNK // 2]):
+            ok = _num(a).isNotNull() & _num(b).isNotNull()
+            aggs += [F.avg(F.when(ok, _num(a))).alias(f"a{i}"), F.avg(F.when(ok, _num(b))).alias(f"b{i}")]
+        row = df.agg(*aggs).first()
+        out += [(F.lit(row[2 * i] or 0.0), F.lit(row[2 * i + 1] or 0.0)) for i in range(len(aggs) // 2)]
+    return out
+
+
+def _corr_rows(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """var1, var2, r: pairwise-complete Pearson correlations, AGG_CHUNK / 4
+    pairs an aggregate (six sums each)."""
+    out = df.sparkSession.createDataFrame([], "var1 string, var2 string, r double")
+    step, means = AGG_CHUNK // 4, _pair_means(df, pairs)
+    for lo in range(0, len(pairs), step):
+        chunk = pairs[lo:lo + step]
+        aggs = [x for i, (a, b) in enumerate(chunk) for x in _pair_moments(_num(a), _num(b), *means[lo + i], str(i))]
+        rows = []
+        for i, (a, b) in enumerate(chunk):
+            _, cxx, cyy, cxy = _centred(str(i))
+            rows.append(F.struct(F.lit(a).alias("var1"), F.lit(b).alias("var2"), F.try_divide(cxy, F.sqrt(cxx) * F.sqrt(cyy)).alias("r")))
+        out = out.unionByName(df.agg(*aggs).select(F.explode(F.array(*rows)).alias("x")).select("x.*"))
+    return out
+
+
+def corr_long(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Pearson correlation for every ordered pair (F10), long form
-    (var1, var2, r); the diagonal is 1.
-
-    * ``pairwise`` — pairwise-complete (pandas semantics): one aggregate of
-      ``corr`` expressions per AGG_CHUNK pairs, i.e. one pass per chunk;
-    * ``complete`` — complete cases in ONE pass for any number of columns:
-      Spark ML ``Correlation`` (a tree-aggregated Gram matrix, p×p numbers);
-    * ``auto`` — ``pairwise`` when one chunk holds every pair, otherwise
-      ``complete`` if the columns have no missing values (one cheap count
-      aggregate decides; then both definitions agree), else ``pairwise``."""
+    (var1, var2, r), pairwise-complete; the diagonal is 1; null where a
+    column is constant over the pair's rows. Plain shifted sums, the same for
+    any number of columns: a first pass for the means, then one pass for each
+    chunk of pairs."""
     cols = list(cols) if cols is not None else numeric_columns(df)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    if method == "auto":
-        method = "pairwise"
-        if len(pairs) > AGG_CHUNK:
-            x = F.col
-            cnt = df.agg(F.count(F.lit(1)).alias("__n"),
-                         *[F.count_if(x(_q(c)).isNull() | F.isnan(x(_q(c)).cast("double"))).alias(f"m{i}")
-                           for i, c in enumerate(cols)]).first()
-            if all(cnt[f"m{i}"] == 0 for i in range(len(cols))):
-                method = "complete"
-    spark = df.sparkSession
-    diag = spark.range(1).select(F.explode(F.array(*[F.lit(c) for c in cols])).alias("var1")).select(
-        "var1", F.col("var1").alias("var2"), F.lit(1.0).alias("r"))
-    if method == "complete":
-        from pyspark.ml.feature import VectorAssembler
-        from pyspark.ml.stat import Correlation
-        vec = VectorAssembler(inputCols=[c for c in cols], outputCol="__f", handleInvalid="skip").transform(
-            df.select(*[F.col(_q(c)).cast("double").alias(c) for c in cols]))
-        m = Correlation.corr(vec, "__f", "pearson").first()[0].toArray()
-        rows = [(a, b, float(m[i, j])) for i, a in enumerate(cols) for j, b in enumerate(cols) if i != j]
-        return spark.createDataFrame(rows, "var1 string, var2 string, r double").unionByName(diag)
-    if method != "pairwise":
-        raise ValueError(f"method must be auto|pairwise|complete, not {method!r}")
-    out = None
-    for i in range(0, len(pairs), AGG_CHUNK):
-        chunk = pairs[i:i + AGG_CHUNK]
-        one = df.agg(*[F.corr(F.col(_q(a)).cast("double"), F.col(_q(b)).cast("double")).alias(f"r{j}")
-                       for j, (a, b) in enumerate(chunk)])
-        # both orientations come from the same one-row result: one pass per chunk
-        both = [F.struct(F.lit(x).alias("var1"), F.lit(y).alias("var2"), F.col(f"r{j}").alias("r"))
-                for j, (a, b) in enumerate(chunk) for x, y in ((a, b), (b, a))]
-        rows = one.select(F.explode(F.array(*both)).alias("x")).select("x.*")
-        out = rows if out is None else out.unionByName(rows)
-    return out.unionByName(diag)
+    half = _corr_rows(df, pairs)
+    # both orientations come from the same row: one pass for each chunk
+    both = half.select(F.explode(F.array(F.struct("var1", "var2", "r"),
+                                         F.struct(F.col("var2").alias("var1"), F.col("var1").alias("var2"), "r"))).alias("x")).select("x.*")
+    diag = df.sparkSession.createDataFrame([(c, c, 1.0) for c in cols], "var1 string, var2 string, r double")
+    return both.unionByName(diag)
 
 
 def corr_topk(df: DataFrame, target: str, cols: Sequence[str] | None = None, k: int = 10) -> DataFrame:
@@ -207,10 +235,8 @@ def corr_topk(df: DataFrame, target: str, cols: Sequence[str] | None = None, k:
     included (F11)."""
     cols = list(cols) if cols is not None else numeric_columns(df)
     others = [c for c in cols if c != target]
-    one = df.agg(*[F.corr(F.col(_q(c)).cast("double"), F.col(_q(target)).cast("double")).alias(c) for c in others])
-    rows = one.select(F.explode(F.array(
-        F.struct(F.lit(target).alias("column_name"), F.lit(1.0).alias("r")),
-        *[F.struct(F.lit(c).alias("column_name"), F.col(_q(c)).alias("r")) for c in others])).alias("x")).select("x.*")
+    rows = _corr_rows(df, [(c, target) for c in others]).select(F.col("var1").alias("column_name"), "r")
+    rows = rows.unionByName(df.sparkSession.createDataFrame([(target, 1.0)], "column_name string, r double"))
     return rows.orderBy(F.desc_nulls_last("r"), "column_name").limit(k)
 
 
@@ -223,10 +249,10 @@ def box_by_category(df: DataFrame, category: str, value: str) -> DataFrame:
          .groupBy(category).pivot("prob", probs).agg(F.first("q"))
          .select(category, F.col("`0.25`").alias("q1"), F.col("`0.5`").alias("median"), F.col("`0.75`").alias("q3")))
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
-    v = F.col(value).cast("double")
+    v = _num(value)
     lo = F.col("q1") - 1.5 * F.col("iqr")
     hi = F.col("q3") + 1.5 * F.col("iqr")
-    j = df.select(category, value).where(F.col(value).isNotNull()).join(q, category, "inner")
+    j = df.select(category, value).where(v.isNotNull()).join(_small(q), category, "inner")
     w = j.groupBy(category).agg(
         F.count(F.lit(1)).alias("n"),
         F.min(F.when(v >= lo, v)).alias("whisker_lo"),
@@ -235,8 +261,20 @@ def box_by_category(df: DataFrame, category: str, value: str) -> DataFrame:
     return q.join(w, category, "inner")
 
 
+#: Group tables of at most so many rows are broadcast instead of shuffling every row on its group.
+BROADCAST_GROUPS = 100_000
+
+
+def _small(groups: DataFrame) -> DataFrame:
+    """A per-group table, computed once into the shared checkpoint folder;
+    marked for broadcast if its counted size allows it."""
+    ensure_checkpoint_dir(groups.sparkSession)
+    groups = groups.checkpoint(eager=True)
+    return F.broadcast(groups) if groups.count() <= BROADCAST_GROUPS else groups
+
+
 def minmax(df: DataFrame, col: str) -> tuple[float, float]:
-    r = df.agg(F.min(F.col(col)).cast("double"), F.max(F.col(col)).cast("double")).first()
+    r = df.agg(F.min(_num(col)), F.max(_num(col))).first()
     return r[0], r[1]
 
 
@@ -249,8 +287,8 @@ def bin_index(x: Column, lo: float, hi: float, bins: int) -> Column:
 def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
     """Equal-width histogram with the normal fit's mean and std (F13). The
     range comes from one min/max aggregate (one row)."""
-    x = F.col(col)
-    st = df.agg(F.min(x).cast("double").alias("lo"), F.max(x).cast("double").alias("hi"),
+    x = _num(col)
+    st = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"),
                 F.avg(x).alias("mean"), F.stddev_samp(x).alias("std")).first()
     lo, hi = st["lo"], st["hi"]
     if lo is None:
@@ -278,18 +316,18 @@ def density_by_category(df: DataFrame, category: str, value: str, points: int =
     evaluations per category instead of rows·points. Each bin sits at the
     mean of its rows, so the error is of order (bin width / h)², negligible
     for N in the thousands."""
-    x = F.col(value).cast("double")
+    x = _num(value)
     stats = df.where(x.isNotNull()).groupBy(category).agg(
         F.count(F.lit(1)).alias("n"), F.stddev_samp(x).alias("sd"),
         F.min(x).alias("mn"), F.max(x).alias("mx"))
     stats = stats.withColumn("h", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
     stats = stats.withColumn("g0", F.col("mn") - 3 * F.col("h")).withColumn(
         "gstep", (F.col("mx") - F.col("mn") + 6 * F.col("h")) / F.lit(points - 1))
-    j = df.select(category, x.alias("__x")).where(F.col("__x").isNotNull()).join(stats, category, "inner")
+    j = df.select(category, x.alias("__x")).where(F.col("__x").isNotNull()).join(_small(stats), category, "inner")
     weight = F.lit(1.0)
     if binned:
         width = (F.col("mx") - F.col("mn")) / F.lit(binned)
-        b = F.least(F.floor((F.col("__x") - F.col("mn")) / width), F.lit(binned - 1))
+        b = F.least(F.floor(F.try_divide(F.col("__x") - F.col("mn"), width)), F.lit(binned - 1))
         b = F.when(width > 0, b).otherwise(F.lit(0))
         # each bin is placed at the mean of its rows (not its centre), so the
         # error is second order even when one value holds many rows
@@ -299,13 +337,13 @@ def density_by_category(df: DataFrame, category: str, value: str, points: int =
     sums = []
     for i in range(points):
         g = F.col("g0") + F.lit(i) * F.col("gstep")
-        z = (g - F.col("__x")) / F.col("h")
+        z = F.try_divide(g - F.col("__x"), F.col("h"))  # a category of one value has no density: null
         sums.append(F.sum(weight * F.exp(-0.5 * z * z)).alias(f"k{i}"))
     agg = j.groupBy(category, "n", "h", "g0", "gstep").agg(*sums)
     long = agg.select(category, "n", "h", "g0", "gstep", F.posexplode(F.array(*[F.col(f"k{i}") for i in range(points)])).alias("point", "ksum"))
     norm = F.col("n") * F.col("h") * F.lit(math.sqrt(2 * math.pi))
     return long.select(category, "point", (F.col("g0") + F.col("point") * F.col("gstep")).alias("x"),
-                       (F.col("ksum") / norm).alias("density"))
+                       F.try_divide(F.col("ksum"), norm).alias("density"))
 
 
 def grid_heatmap(df: DataFrame, x: str, y: str, step: float, value: str | None = None) -> DataFrame:
@@ -328,61 +366,45 @@ def scatter_bins(df: DataFrame, x: str, y: str, bins: int = 10) -> DataFrame:
                      bin_index(F.col(y), yl, yh, bins).alias("bin_y")).agg(F.count(F.lit(1)).alias("count"))
 
 
-def _ols_one_exprs(y: Column, x: Column) -> list[Column]:
-    return [F.regr_count(y, x).alias("n"), F.regr_slope(y, x).alias("slope"),
-            F.regr_intercept(y, x).alias("intercept"), F.regr_r2(y, x).alias("r2"),
-            F.regr_syy(y, x).alias("syy")]
-
-
 def _ols_one_finish(rows: DataFrame) -> DataFrame:
     n = F.col("n").cast("double")
     ssr = F.col("syy") * (1 - F.col("r2"))
-    llf = -n / 2 * (F.lit(math.log(2 * math.pi)) + F.ln(ssr / n) + 1)
+    llf = -n / 2 * (F.lit(math.log(2 * math.pi)) + F.ln(F.try_divide(ssr, n)) + 1)
     return rows.select(
         *[c for c in rows.columns if c not in ("syy",)],
-        (1 - (1 - F.col("r2")) * (n - 1) / (n - 2)).alias("adj_r2"),
-        (F.col("r2") / (1 - F.col("r2")) * (n - 2)).alias("f_stat"),
+        (1 - F.try_divide((1 - F.col("r2")) * (n - 1), n - 2)).alias("adj_r2"),
+        (F.try_divide(F.col("r2"), 1 - F.col("r2")) * (n - 2)).alias("f_stat"),
         llf.alias("llf"), (-2 * llf + 4).alias("aic"))
 
 
+def _ols_rows(df: DataFrame, y: str, xs: Sequence[str]) -> DataFrame:
+    """column_name and one-predictor OLS for each x: shifted sums over the
+    complete (x, y) pairs, six for each column, in one pass after the pass for
+    the means. A constant column has null estimates."""
+    means = _pair_means(df, [(c, y) for c in xs])
+    one = df.agg(*[m for i, c in enumerate(xs) for m in _pair_moments(_num(c), _num(y), *means[i], str(i))])
+    rows = []
+    for i, c in enumerate(xs):
+        n, cxx, cyy, cxy = _centred(str(i))
+        slope = F.try_divide(cxy, cxx)
+        mx, my = (m + F.try_divide(F.col(f"s{a}{i}"), n) for m, a in zip(means[i], "xy"))
+        rows.append(F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("n"), slope.alias("slope"),
+                             (my - slope * mx).alias("intercept"), F.try_divide(cxy * cxy, cxx * cyy).alias("r2"),
+                             cyy.alias("syy")))
+    return _ols_one_finish(one.select(F.explode(F.array(*rows)).alias("r")).select("r.*"))
+
+
 def ols_one(df: DataFrame, y: str, x: str) -> DataFrame:
     """One-predictor OLS with intercept (F16): slope, intercept, R², n,
-    adj. R², F, log-likelihood, AIC — from ``regr_*`` aggregates."""
-    yy, xx = F.col(y).cast("double"), F.col(x).cast("double")
-    return _ols_one_finish(df.agg(*_ols_one_exprs(yy, xx)))
+    adj. R², F, log-likelihood, AIC."""
+    return _ols_rows(df, y, [x]).drop("column_name")
 
 
 def ols_screen(df: DataFrame, y: str, xs: Sequence[str]) -> DataFrame:
     """Every column screened by one-predictor OLS, sorted by adj. R² (F17):
-    one aggregate for all columns, not a job per column.
-
-    Uses plain ``sum`` moments over the complete (x, y) pairs (six sums per
-    column) instead of ``regr_*`` aggregates: dozens of ``regr_*`` buffers
-    produce a generated method too large for the JIT, plain sums stay small.
-    The raw moments are centred in the one-row result (c_xy = Σxy − n·x̄·ȳ);
-    this loses digits only when a column's mean dwarfs its spread."""
-    yy = F.col(_q(y)).cast("double")
-    aggs = []
-    for i, c in enumerate(xs):
-        x = F.col(_q(c)).cast("double")
-        ok = x.isNotNull() & yy.isNotNull()
-        xo, yo = F.when(ok, x), F.when(ok, yy)
-        aggs += [F.count_if(ok).alias(f"n{i}"), F.sum(xo).alias(f"sx{i}"), F.sum(yo).alias(f"sy{i}"),
-                 F.sum(xo * xo).alias(f"sxx{i}"), F.sum(yo * yo).alias(f"syy{i}"), F.sum(xo * yo).alias(f"sxy{i}")]
-    one = df.agg(*aggs)
-    rows = []
-    for i, c in enumerate(xs):
-        n = F.col(f"n{i}").cast("double")
-        mx, my = F.col(f"sx{i}") / n, F.col(f"sy{i}") / n
-        cxx = F.col(f"sxx{i}") - n * mx * mx
-        cyy = F.col(f"syy{i}") - n * my * my
-        cxy = F.col(f"sxy{i}") - n * mx * my
-        slope = cxy / cxx
-        rows.append(F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("n"), slope.alias("slope"),
-                             (my - slope * mx).alias("intercept"), (cxy * cxy / (cxx * cyy)).alias("r2"),
-                             cyy.alias("syy")))
-    long = one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
-    return _ols_one_finish(long).orderBy(F.desc("adj_r2"), "column_name")
+    one aggregate for all columns, not a job per column. Columns without an
+    estimate (constant ones) come last."""
+    return _ols_rows(df, y, xs).orderBy(F.desc_nulls_last("adj_r2"), "column_name")
 
 
 def rmse(df: DataFrame, label: str, prediction: str) -> DataFrame:
@@ -399,22 +421,26 @@ def last_wins(df: DataFrame, key: str, value: str, order: Sequence[str]) -> Data
 
 
 def residual_bins(df: DataFrame, label: str, prediction: str, bins: int = 10,
-                  split: str | None = None) -> DataFrame:
-    """Residual (prediction − label) summary per prediction bin and split."""
-    lo, hi = minmax(df, prediction)
+                  split: str | None = None, by: str | None = None) -> DataFrame:
+    """Residual (prediction − label) summary per prediction bin (or bin of
+    column ``by``) and split (F21)."""
+    by = by or prediction
+    lo, hi = minmax(df, by)
     r = F.col(prediction).cast("double") - F.col(label).cast("double")
     keys = [split] if split else []
-    return (df.where(F.col(prediction).isNotNull()).groupBy(*keys, bin_index(F.col(prediction), lo, hi, bins).alias("bin"))
+    return (df.where(_num(prediction).isNotNull() & _num(by).isNotNull()).groupBy(*keys, bin_index(F.col(by), lo, hi, bins).alias("bin"))
             .agg(F.count(F.lit(1)).alias("n"), F.avg(r).alias("mean_residual"), F.stddev_samp(r).alias("sd_residual")))
 
 
 def zscore_tails(df: DataFrame, value: str, key: str, k: int = 10) -> DataFrame:
     """Z-scores with the *population* std; the ``k`` lowest and ``k`` highest
     rows (G3). Mean/std are one aggregate row; each tail is a
-    ``TakeOrderedAndProject`` (top-k, no full sort)."""
-    st = df.agg(F.avg(F.col(value)).alias("m"), F.stddev_pop(F.col(value)).alias("s")).first()
-    z = ((F.col(value) - F.lit(st["m"])) / F.lit(st["s"])).alias("z")
-    d = df.where(F.col(value).isNotNull()).select(key, value, z)
+    ``TakeOrderedAndProject`` (top-k, no full sort). The z of a constant
+    column is null."""
+    v = _num(value)
+    st = df.agg(F.avg(v).alias("m"), F.stddev_pop(v).alias("s")).first()
+    z = F.try_divide(v - F.lit(st["m"]).cast("double"), F.lit(st["s"]).cast("double")).alias("z")
+    d = df.where(v.isNotNull()).select(key, value, z)
     low = d.orderBy(F.asc("z"), F.asc(key)).limit(k).withColumn("tail", F.lit("low"))
     high = d.orderBy(F.desc("z"), F.asc(key)).limit(k).withColumn("tail", F.lit("high"))
     return low.unionByName(high)

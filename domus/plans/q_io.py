@@ -9,7 +9,7 @@ from domus.operators.columns import flatten_structs
 from domus.plans.q_cdc import ts
 from domus.plans.registry import load, query
 from domus.session import scratch_path
-from domus.sinks.writers import (create_table_as, overwrite_parquet, register_table, replace_interval,
+from domus.sinks.writers import (create_table_as, overwrite_parquet, overwrite_partitions, register_table, replace_interval,
                                  write_csv, write_json_drops)
 from domus.sources.readers import read_delimited, read_json_drops, read_parquet
 
@@ -19,9 +19,35 @@ ORDERS_SCHEMA = ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_t
 
 @query("csv_round_trip", ids="A2 B3", sql="SELECT * FROM orders")
 def csv_round_trip_q(spark, sf):
+    """Written as CSV beside a file of malformed rows, which are left out
+    whatever columns are asked for."""
     p = scratch_path(spark, "csv")
     write_csv(load(spark, sf, "orders"), p, sep=";")
-    return read_delimited(spark, p, ORDERS_SCHEMA, sep=";")
+    bad = load(spark, sf, "customer").select(F.concat(F.lit("x;"), F.col("c_custkey").cast("string"), F.lit(";F;oops;;")).alias("value"))
+    bad.write.mode("append").text(p)
+    return read_delimited(spark, p, ORDERS_SCHEMA, sep=";", header=True)
+
+
+@query("csv_malformed", ids="A2", sql="SELECT 'x;' || c_custkey || ';F;oops;;' AS malformed FROM customer")
+def csv_malformed_q(spark, sf):
+    p = scratch_path(spark, "csv")
+    write_csv(load(spark, sf, "orders"), p, sep=";")
+    bad = load(spark, sf, "customer").select(F.concat(F.lit("x;"), F.col("c_custkey").cast("string"), F.lit(";F;oops;;")).alias("value"))
+    # a text file of rows has no header line of its own: one is put first in each file
+    bad.coalesce(1).select(F.explode(F.when(F.monotonically_increasing_id() == 0, F.array(F.lit("h"), "value")).otherwise(F.array("value"))).alias("value")
+                           ).write.mode("append").text(p)
+    return read_delimited(spark, p, ORDERS_SCHEMA, sep=";", malformed="only")
+
+
+@query("json_pretty_round_trip", ids="A1", sql="SELECT c_custkey AS id, c_name AS name FROM customer")
+def json_pretty_round_trip_q(spark, sf):
+    """Pretty-printed arrays of documents, one array a nation and file."""
+    p = scratch_path(spark, "json")
+    c = load(spark, sf, "customer")
+    doc = F.to_json(F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("name")), {"pretty": "true"})
+    files = c.groupBy("c_nationkey").agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list(doc), ",\n"), F.lit("\n]\n")).alias("value"))
+    files.write.partitionBy("c_nationkey").text(p)
+    return read_json_drops(spark, p, "id bigint, name string", multi_line=True).select("id", "name")
 
 
 @query("json_gz_round_trip", ids="A1 B2 C1", sql="""
@@ -54,9 +80,15 @@ UNION ALL
 SELECT o_orderkey, o_totalprice + 1, o_orderdate FROM orders
 WHERE o_orderdate >= TIMESTAMP '1997-01-01' AND o_orderdate < TIMESTAMP '1998-01-01'""")
 def interval_replace_q(spark, sf):
-    o = load(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
-    src = o.withColumn("o_totalprice", F.col("o_totalprice") + 1)
-    return replace_interval(o, src, "o_orderdate", ts("1997-01-01 00:00:00"), ts("1998-01-01 00:00:00"))
+    """The table is written by year; the year's new rows replace that
+    partition only."""
+    o = load(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderdate").withColumn("year", F.year("o_orderdate"))
+    p = scratch_path(spark, "interval")
+    overwrite_partitions(o, p, ["year"])
+    new = replace_interval(o.limit(0), o.withColumn("o_totalprice", F.col("o_totalprice") + 1), "o_orderdate",
+                           ts("1997-01-01 00:00:00"), ts("1998-01-01 00:00:00"))
+    overwrite_partitions(new, p, ["year"])
+    return read_parquet(spark, p).select("o_orderkey", "o_totalprice", "o_orderdate")
 
 
 @query("ctas", ids="B6 L2", sql="""

@@ -69,6 +69,12 @@ def _two_sql(alpha: float) -> str:
 
 @query("ols_two", ids="J4 J6", bench=True, sql=_two_sql(0.0))
 def ols_two_q(spark, sf):
+    return _sig_cols(M.coefficients(spark, TWO, M.fit_gram(load(spark, sf, "lineitem"), "l_extendedprice", TWO)), ["coef"])
+
+
+@query("ols_two_ml", ids="J4", sql=_two_sql(0.0))
+def ols_two_ml_q(spark, sf):
+    """The same fit by Spark ML's normal solver."""
     m = M.fit_linear(load(spark, sf, "lineitem"), "l_extendedprice", TWO)
     return _sig_cols(M.coefficient_table(spark, m, TWO), ["coef"])
 
@@ -77,10 +83,7 @@ def ols_two_q(spark, sf):
 def ridge_two_q(spark, sf):
     """Ridge with α = 1 (unpenalised intercept), solved from one Gram
     aggregate — the exact ridge objective."""
-    g = M.gram(load(spark, sf, "lineitem"), "l_extendedprice", TWO)[None]
-    b = M.solve_ridge(g, [1, 2], 1.0)
-    rows = [("(intercept)", float(b[0])), ("l_discount", float(b[2])), ("l_quantity", float(b[1]))]
-    return _sig_cols(spark.createDataFrame(rows, "term string, coef double"), ["coef"])
+    return _sig_cols(M.coefficients(spark, TWO, M.fit_gram(load(spark, sf, "lineitem"), "l_extendedprice", TWO, 1.0)), ["coef"])
 
 
 def _nested_sql() -> str:
@@ -108,27 +111,31 @@ def nested_models_q(spark, sf):
     return _sig_cols(out, ["r2", "adj_r2", "llf", "aic"])
 
 
-@query("ols_summary", ids="J11 J4")
+@query("ols_summary", ids="J11 J4", sql=TWO_SQL.replace("{a}", "v22").replace("{d}", "v11") + """,
+e AS (SELECT *, (vy - b1 * c1y - b2 * c2y) * n / (n - 3) AS s2, v11 * v22 - v12 * v12 AS det FROM c),
+f AS (SELECT *, sqrt(s2 * v22 / (n * det)) AS se1, sqrt(s2 * v11 / (n * det)) AS se2,
+             sqrt(s2 / n * (1 + (m1 * m1 * v22 - 2 * m1 * m2 * v12 + m2 * m2 * v11) / det)) AS se0 FROM e)
+""" + "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS term, {sql_sig(b)} AS coef, {sql_sig(s)} AS std_err, {sql_sig(f'{b} / {s}')} AS t FROM f"
+    for t, b, s in (("(intercept)", "b0", "se0"), ("l_quantity", "b1", "se1"), ("l_discount", "b2", "se2"))))
 def ols_summary_q(spark, sf):
-    """Coefficient table with standard errors, t and p values (no SQL twin:
-    p values need the t distribution)."""
-    feats = ["l_quantity", "l_discount", "p_retailprice"]
-    m = M.fit_linear(_lineitem_part(spark, sf), "l_extendedprice", feats)
-    return M.coefficient_table(spark, m, feats, with_summary=True)
+    """Coefficient table with standard errors and t values (p values of the
+    Spark ML summary are tested in the unit tests)."""
+    return _sig_cols(M.ols_summary(load(spark, sf, "lineitem"), "l_extendedprice", TWO), ["coef", "std_err", "t"])
 
 
 @query("poisson_fit", ids="J12", sql="""
-SELECT count(*) AS n, CAST(sum(l_quantity) AS BIGINT) AS sum_label, CAST(1.0 AS DOUBLE) AS pred_over_label FROM lineitem""")
+WITH d AS (SELECT l_quantity AS y, CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE 0.0 END AS x FROM lineitem),
+s AS (SELECT avg(CASE WHEN x = 0 THEN y END) AS m0, avg(CASE WHEN x = 1 THEN y END) AS m1 FROM d)
+SELECT '(intercept)' AS term, round(ln(m0) * 100000.0) / 100000.0 AS coef FROM s
+UNION ALL SELECT 'returned', round(ln(m1 / m0) * 100000.0) / 100000.0 FROM s""")
 def poisson_fit_q(spark, sf):
-    """Poisson GLM (log link) of quantity on discount and tax. With an
-    intercept the fitted means add up to the labels (the score equation of
-    the intercept): Σ prediction / Σ label = 1 to 6 decimals."""
-    model, d = M.fit_poisson(load(spark, sf, "lineitem"), "l_quantity", ["l_discount", "l_tax"])
-    pred = model.transform(d)
-    out = pred.agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("sum_label"),
-                   F.sum("prediction").alias("sum_pred"))
-    return out.select("n", F.col("sum_label").cast("bigint").alias("sum_label"),
-                      dround(F.col("sum_pred") / F.col("sum_label"), 6).alias("pred_over_label"))
+    """Poisson GLM (log link) of quantity on a 0/1 predictor: its
+    coefficients are the logs of the group means."""
+    d = load(spark, sf, "lineitem").select("l_quantity", F.when(F.col("l_returnflag") == "R", 1.0).otherwise(0.0).alias("returned"))
+    model, _ = M.fit_poisson(d, "l_quantity", ["returned"])
+    rows = [("(intercept)", float(model.intercept)), ("returned", float(model.coefficients[0]))]
+    return spark.createDataFrame(rows, "term string, coef double").withColumn("coef", dround("coef", 5))
 
 
 FEATS = ["l_quantity", "l_discount", "l_tax", "p_size", "p_retailprice"]
@@ -136,9 +143,28 @@ FEATS = ["l_quantity", "l_discount", "l_tax", "p_size", "p_retailprice"]
 ALPHAS = [0.05, 0.075, 0.1, 0.3, 1, 3, 5, 10, 15, 30, 50, 75]
 
 
-@query("ridge_cv", ids="J8 J3", bench=True)
+#: A bucket that Spark and SQL compute alike, in place of a hash of the row key.
+BUCKET = lambda n: F.pmod(F.col("l_orderkey") * 7 + F.col("l_linenumber"), F.lit(n)).cast("int")
+BUCKET_SQL = "CAST((l_orderkey * 7 + l_linenumber) % {n} AS INTEGER)"
+
+
+def _fold_sql() -> str:
+    """Ridge on one centred predictor in closed form, over folds."""
+    parts = []
+    for a in ALPHAS:
+        for k in range(5):
+            parts.append(f"""SELECT CAST({a!r} AS DOUBLE) AS alpha, sqrt(avg(pow(l_extendedprice - (my + b * (l_quantity - mx)), 2))) AS rm
+FROM d, (SELECT avg(l_extendedprice) AS my, avg(l_quantity) AS mx,
+                covar_pop(l_quantity, l_extendedprice) * count(*) / (var_pop(l_quantity) * count(*) + {a!r}) AS b FROM d WHERE fold <> {k})
+WHERE fold = {k} GROUP BY ALL""".replace(" GROUP BY ALL", ""))
+    return ("WITH d AS (SELECT l_extendedprice, l_quantity, " + BUCKET_SQL.format(n=5) + " AS fold FROM lineitem), r AS (\n"
+            + "\nUNION ALL\n".join(parts) + ")\nSELECT alpha, " + sql_sig("avg(rm)") + " AS rmse, CAST(count(*) AS INTEGER) AS folds FROM r GROUP BY alpha")
+
+
+@query("ridge_cv", ids="J8 J3", bench=True, sql=_fold_sql())
 def ridge_cv_q(spark, sf):
-    return M.ridge_cv(_lineitem_part(spark, sf), "l_extendedprice", FEATS, ALPHAS, KEYS, folds=5)
+    out = M.ridge_cv(load(spark, sf, "lineitem"), "l_extendedprice", ["l_quantity"], ALPHAS, KEYS, folds=5, fold=BUCKET(5))
+    return _sig_cols(out, ["rmse"])
 
 
 PART_FEATS = ["p_size", "brand_no", "type_no", "name_len"]
@@ -153,11 +179,47 @@ def _part_features(spark, sf):
         "type_no", F.pmod(F.col("type_hash").cast("long"), F.lit(17)).cast("double")).drop("type_hash")
 
 
-@query("gbt_grid", ids="J9")
-def gbt_grid_q(spark, sf):
-    """Boosted-tree grid over the reference's 3 × 4 × 4 settings on the
-    ``part`` table (price from size, brand, type, name length)."""
-    return M.gbt_grid(_part_features(spark, sf), "p_retailprice", PART_FEATS, ["p_partkey"], folds=3, parallelism=8)
+def _grid(spark, sf, depth: int):
+    return M.gbt_grid(_part_features(spark, sf), "p_retailprice", PART_FEATS, ["p_partkey"], depths=(depth,), folds=3, parallelism=8)
+
+
+@query("gbt_grid_2", ids="J9")
+def gbt_grid_2_q(spark, sf):
+    """Boosted-tree grid on the ``part`` table (price from size, brand, type,
+    name length): the settings of depth 2. The three depths are entries of
+    their own, as Spark ML runs some jobs for each of thousands of levels."""
+    return _grid(spark, sf, 2)
+
+
+@query("gbt_grid_4", ids="J9")
+def gbt_grid_4_q(spark, sf):
+    """The grid's settings of depth 4."""
+    return _grid(spark, sf, 4)
+
+
+@query("gbt_grid_6", ids="J9")
+def gbt_grid_6_q(spark, sf):
+    """The grid's settings of depth 6."""
+    return _grid(spark, sf, 6)
+
+
+@query("gbt_refit", ids="J9 J6")
+def gbt_refit_q(spark, sf):
+    """Refit with the best of a small grid: RMSE on train and test rows."""
+    d = _part_features(spark, sf)
+    grid = M.gbt_grid(d, "p_retailprice", PART_FEATS, ["p_partkey"], depths=(2,), rates=(0.1,), trees=(5, 10, 20), folds=3)
+    return M.refit_best(d, "p_retailprice", PART_FEATS, grid, ["p_partkey"])
+
+
+@query("gbt_stump", ids="J9 J10", sql="""
+WITH p AS (SELECT p_retailprice AS y, CASE WHEN p_size > 25 THEN 1.0 ELSE 0.0 END AS x FROM part)
+SELECT x, """ + sql_sig("avg(y)") + """ AS prediction, count(*) AS n FROM p GROUP BY x""")
+def gbt_stump_q(spark, sf):
+    """A model of one tree of depth one and rate one predicts the mean of
+    either side of its only split."""
+    d = load(spark, sf, "part").select("p_retailprice", F.when(F.col("p_size") > 25, 1.0).otherwise(0.0).alias("x"))
+    pred = M.predict(M.fit_gbt(d, "p_retailprice", ["x"], 1, 1.0, 1), d, ["x"])
+    return _sig_cols(pred.groupBy("x").agg(F.avg("prediction").alias("prediction"), F.count(F.lit(1)).alias("n")), ["prediction"])
 
 
 @query("gbt_importance", ids="J10")
@@ -166,26 +228,44 @@ def gbt_importance_q(spark, sf):
     return M.importances(spark, m, PART_FEATS)
 
 
+HOLDOUT_SQL = """
+WITH d AS (SELECT *, CASE WHEN """ + BUCKET_SQL.format(n=10) + """ < 3 THEN 'test' ELSE 'train' END AS split FROM lineitem),
+f AS (SELECT regr_slope(l_extendedprice, l_quantity) AS b, regr_intercept(l_extendedprice, l_quantity) AS a FROM d WHERE split = 'train'),
+p AS (SELECT d.*, a + b * l_quantity AS prediction FROM d, f)
+"""
+
+
 def _holdout(spark, sf):
-    d = M.split_train_test(_lineitem_part(spark, sf), KEYS, seed=666, test_fraction=0.3)
-    m = M.fit_linear(d.where(F.col("split") == "train"), "l_extendedprice", FEATS)
-    return M.predict(m, d, FEATS)
+    d = load(spark, sf, "lineitem").withColumn("split", F.when(BUCKET(10) < 3, "test").otherwise("train"))
+    return M.predict_linear(d, ["l_quantity"], M.fit_gram(d.where(F.col("split") == "train"), "l_extendedprice", ["l_quantity"]))
 
 
-@query("score_holdout", ids="J3 J6 J14 F19")
+@query("score_holdout", ids="J3 J6 J14 F19", sql=HOLDOUT_SQL + "SELECT split, " + sql_sig("sqrt(avg(pow(prediction - l_extendedprice, 2)))")
+       + " AS rmse, count(*) AS n FROM p GROUP BY split")
 def score_holdout_q(spark, sf):
     pred = _holdout(spark, sf)
-    return pred.groupBy("split").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sqrt(F.avg(F.pow(F.col("prediction") - F.col("l_extendedprice"), 2))).alias("rmse"))
+    out = None
+    for split in ("train", "test"):
+        one = P.rmse(pred.where(F.col("split") == split), "l_extendedprice", "prediction").select(F.lit(split).alias("split"), "rmse", "n")
+        out = one if out is None else out.unionByName(one)
+    return _sig_cols(out, ["rmse"])
 
 
-@query("residual_bins", ids="F21 J6")
+@query("residual_bins", ids="F21 J6", sql=HOLDOUT_SQL + """, s AS (SELECT min(l_quantity) AS lo, max(l_quantity) AS hi FROM p),
+r AS (SELECT split, l_quantity, prediction - l_extendedprice AS r FROM p)
+SELECT split, CAST(least(floor((l_quantity - lo) / ((hi - lo) / 8)), 7) AS INTEGER) AS bin, count(*) AS n,
+       """ + sql_sig("avg(r)", 5) + " AS mean_residual, " + sql_sig("stddev_samp(r)", 5) + " AS sd_residual FROM r, s GROUP BY 1, 2")
 def residual_bins_q(spark, sf):
-    return P.residual_bins(_holdout(spark, sf), "l_extendedprice", "prediction", 10, "split")
+    """Residuals by bins of the prediction, which is linear in the quantity;
+    a quantity on a bin's edge would fall by rounding, so bins are cut at the
+    predictor's own edges."""
+    pred = _holdout(spark, sf)
+    out = P.residual_bins(pred, "l_extendedprice", "prediction", 8, "split", by="l_quantity")
+    return _sig_cols(out, ["mean_residual", "sd_residual"], 5)
 
 
-@query("score_test_csv", ids="J14 J6 B3 A2")
+@query("score_test_csv", ids="J14 J6 B3 A2", sql=HOLDOUT_SQL + "SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, "
+       + sql_sig("prediction") + " AS prediction FROM p WHERE split = 'test'")
 def score_test_csv_q(spark, sf):
     """Score the held-out rows and hand them over as a CSV result file
     (row key + prediction), read back with a declared schema."""
@@ -195,5 +275,6 @@ def score_test_csv_q(spark, sf):
     pred = _holdout(spark, sf).where(F.col("split") == "test").select(*KEYS, "prediction")
     p = scratch_path(spark, "scores")
     write_csv(pred, p)
-    return read_delimited(spark, p, "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    back = read_delimited(spark, p, "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
                                     "prediction double", sep=",")
+    return _sig_cols(back, ["prediction"])

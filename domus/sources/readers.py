@@ -15,14 +15,15 @@ COLD_START_SCHEMA = "propertyDetails_propertyId string, propertyDetails_normaliz
 
 
 def read_json_drops(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str | None = None,
-                    partitions: int | None = None, corrupt_col: str | None = None) -> DataFrame:
+                    partitions: int | None = None, corrupt_col: str | None = None, multi_line: bool = False) -> DataFrame:
     """Read gz (or plain) JSON drops: a top-level array becomes one row per
-    element, JSON lines one row per line (A1).
+    element, JSON lines one row per line (A1). ``multi_line`` reads each file
+    as one document (or array of documents), as pretty-printed drops need.
 
     gz is not splittable, so a big drop is one task: pass ``partitions`` to
     spread the rows after the read. ``PERMISSIVE`` keeps malformed records in
     ``corrupt_col`` when given (it must be in the schema)."""
-    r = spark.read.option("mode", "PERMISSIVE")
+    r = spark.read.option("mode", "PERMISSIVE").option("multiLine", multi_line)
     if corrupt_col:
         r = r.option("columnNameOfCorruptRecord", corrupt_col)
     if schema is not None:
@@ -32,10 +33,24 @@ def read_json_drops(spark: SparkSession, path: str | Sequence[str], schema: T.St
 
 
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType | str, sep: str = ";",
-                   header: bool = True, drop_malformed: bool = True) -> DataFrame:
-    """Delimited text with a header, malformed rows skipped (A2)."""
-    return (spark.read.schema(schema).option("header", header).option("sep", sep)
-            .option("mode", "DROPMALFORMED" if drop_malformed else "PERMISSIVE").csv(path))
+                   header: bool = True, malformed: str = "drop") -> DataFrame:
+    """Delimited text with a header (A2). Every row is parsed against the
+    whole schema, so which rows are malformed does not depend on the columns
+    a query selects: ``malformed="drop"`` leaves them out, ``"only"`` returns
+    their text (column ``malformed``), ``"keep"`` has both."""
+    st = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    full = T.StructType([*st.fields, T.StructField("malformed", T.StringType())])
+    df = (spark.read.schema(full).option("header", header).option("sep", sep).option("mode", "PERMISSIVE")
+          .option("columnNameOfCorruptRecord", "malformed").option("enableColumnPruning", False)
+          .csv(path))
+    # a query that asks for the record column alone is refused, so each condition also reads the
+    # fields (their hash is never below the least integer)
+    read = F.hash(*[F.col(f"`{f.name}`") for f in st.fields]) >= F.lit(-2147483648)
+    if malformed == "only":
+        return df.where(read & F.col("malformed").isNotNull()).select("malformed")
+    if malformed == "keep":
+        return df.where(read)
+    return df.where(read & F.col("malformed").isNull()).drop("malformed")
 
 
 def read_parquet(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
@@ -82,6 +97,6 @@ def read_object_of_records(spark: SparkSession, path: str, record_schema: str,
 
 def records(spark: SparkSession, rows: Sequence[dict], schema: T.StructType | str) -> DataFrame:
     """In-line records with a fixed column order; missing keys are null."""
-    st = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
+    st = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
     names = [f.name for f in st.fields]
     return spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], st)

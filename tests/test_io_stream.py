@@ -18,6 +18,15 @@ def test_csv_drops_malformed(spark, tmp):
         f.write("a;b\n1;2\n3;4;5\n6;7\n")
     df = read_delimited(spark, p, "a int, b int", sep=";")
     assert sorted(tuple(r) for r in df.collect()) == [(1, 2), (6, 7)]
+    assert df.count() == df.select("b").count() == 2 and sorted(r[0] for r in df.select("b").collect()) == [2, 7]
+    assert [r[0] for r in read_delimited(spark, p, "a int, b int", sep=";", malformed="only").collect()] == ["3;4;5"]
+
+
+def test_pretty_printed_documents(spark, tmp):
+    with open(f"{tmp}/d.json", "w") as f:
+        json.dump([{"id": 1, "p": {"x": 2}}, {"id": 3, "p": {"x": 4}}], f, indent=2)
+    df = read_json_drops(spark, f"{tmp}/d.json", "id int, p struct<x: int>", multi_line=True)
+    assert sorted((r["id"], r["p"]["x"]) for r in df.collect()) == [(1, 2), (3, 4)]
 
 
 def test_cold_start_and_versions(spark, tmp):

@@ -40,13 +40,13 @@ def test_ols_and_residuals(spark, data):
 def test_ridge_gram_and_ml_mapping(spark, data):
     df, X, y = data
     g = M.gram(df, "y", ["x1", "x2"])[None]
-    b = M.solve_ridge(g, [1, 2], 5.0)
+    b = g.fit([1, 2], 5.0)
     b0, bb = _ridge(X, y, 5.0)
     assert b[0] == pytest.approx(b0, rel=1e-8) and list(b[1:]) == pytest.approx(list(bb), rel=1e-8)
     m = M.fit_linear(df, "y", ["x1", "x2"], alpha=5.0)
     assert list(m.coefficients) == pytest.approx(list(bb), rel=1e-4)
     # alpha = 0 gives OLS
-    assert list(M.solve_ridge(g, [1, 2], 0.0)[1:]) == pytest.approx(list(_ridge(X, y, 0)[1]), rel=1e-9)
+    assert list(g.fit([1, 2], 0.0)[1:]) == pytest.approx(list(_ridge(X, y, 0)[1]), rel=1e-9)
 
 
 def test_ridge_cv_brute_force(spark, data):
@@ -111,7 +111,43 @@ def test_gram_wide_matches_numpy(spark):
     df = spark.createDataFrame([tuple(map(float, r)) + (float(v),) for r, v in zip(X, y)],
                                ", ".join(f"{c} double" for c in cols) + ", y double")
     g = M.gram(df, "y", cols)[None]
-    Z = np.column_stack([np.ones(300), X, y])
-    assert np.allclose(g, Z.T @ Z, rtol=1e-12, atol=1e-9)
-    b = M.solve_ridge(g, list(range(1, 41)))
+    Z = np.column_stack([X, y])
+    Z -= Z.mean(axis=0)
+    assert np.allclose(g.centred(), Z.T @ Z, rtol=1e-10, atol=1e-9)
+    b = g.fit(list(range(1, 41)))
     assert np.allclose(b[1:], np.linalg.lstsq(np.column_stack([np.ones(300), X]), y, rcond=None)[0][1:], atol=1e-8)
+
+
+def test_epoch_seconds_constant_and_collinear_columns(spark):
+    rng = np.random.default_rng(5)
+    t = 1.7e9 + rng.uniform(0, 1e5, 400)
+    y = 2 * t + rng.normal(0, 1, 400)
+    df = spark.createDataFrame([(float(a), float(b), 3.0, float(a) + 1) for a, b in zip(t, y)] + [(float("nan"), 1.0, 3.0, 1.0), (1.0, None, 3.0, 1.0)],
+                               "t double, y double, c double, d double")
+    from domus.operators import profile as P
+    one = P.ols_one(df.where("y is not null"), "y", "t").first()
+    assert one["n"] == 400 and one["slope"] == pytest.approx(2, abs=1e-4)
+    screen = {r["column_name"]: r for r in P.ols_screen(df, "y", ["t", "c", "d"]).collect()}
+    assert screen["t"]["slope"] == pytest.approx(one["slope"]) and screen["c"]["slope"] is None and screen["t"]["aic"] == pytest.approx(one["aic"], rel=1e-6)
+    nested = {r["formula"]: r for r in M.nested_models(df, "y", [["t"], ["t", "c"], ["t", "d"]]).collect()}
+    assert nested["y ~ t"]["k"] == nested["y ~ t + c"]["k"] == nested["y ~ t + d"]["k"] == 1
+    assert nested["y ~ t"]["aic"] == pytest.approx(one["aic"], rel=1e-4)
+    assert M.gram(df.limit(0), "y", ["t"])[None].n == 0
+
+
+def test_every_row_is_scored(spark, data):
+    df, _, _ = data
+    m = M.fit_linear(df, "y", ["x1", "x2"])
+    rows = spark.createDataFrame([(1.0, None), (1.0, float("nan")), (1.0, 0.5)], "x1 double, x2 double")
+    got = [r["prediction"] for r in M.predict(m, rows, ["x1", "x2"]).collect()]
+    assert got[:2] == [None, None] and got[2] is not None
+    plain = [r["prediction"] for r in M.predict_linear(rows, ["x1", "x2"], M.fit_gram(df, "y", ["x1", "x2"])).collect()]
+    assert plain[:2] == [None, None] and plain[2] == pytest.approx(got[2], rel=1e-9)
+
+
+def test_summary_matches_spark_ml(spark, data):
+    df, _, _ = data
+    mine = {r["term"]: r for r in M.ols_summary(df, "y", ["x1", "x2"]).collect()}
+    ml = {r["term"]: r for r in M.coefficient_table(spark, M.fit_linear(df, "y", ["x1", "x2"]), ["x1", "x2"], with_summary=True).collect()}
+    for t in ml:
+        assert mine[t]["std_err"] == pytest.approx(ml[t]["std_err"], rel=1e-6) and mine[t]["t"] == pytest.approx(ml[t]["t"], rel=1e-6)

@@ -108,16 +108,47 @@ def test_binned_density_close_to_exact(spark):
     assert max(abs(exact[k] - binned[k]) for k in exact) < 1e-3 * peak
 
 
-def test_corr_complete_equals_pairwise_without_nulls(spark):
+def test_corr_of_many_columns(spark):
     rng = np.random.default_rng(5)
     X = rng.normal(size=(500, 16))
     X[:, 1] += X[:, 0]
     cols = [f"c{i}" for i in range(16)]
     df = spark.createDataFrame([tuple(map(float, r)) for r in X], ", ".join(f"{c} double" for c in cols))
-    pw = {(r[0], r[1]): r[2] for r in P.corr_long(df, cols, "pairwise").collect()}
-    cc = {(r[0], r[1]): r[2] for r in P.corr_long(df, cols, "complete").collect()}
-    auto = {(r[0], r[1]): r[2] for r in P.corr_long(df, cols).collect()}  # 120 pairs > one chunk
-    assert pw.keys() == cc.keys() == auto.keys() and len(pw) == 256
-    for k in pw:
-        assert cc[k] == pytest.approx(pw[k], abs=1e-12) and auto[k] == pytest.approx(pw[k], abs=1e-12)
-    assert cc[("c0", "c1")] == pytest.approx(np.corrcoef(X[:, 0], X[:, 1])[0, 1], abs=1e-12)
+    r = {(a[0], a[1]): a[2] for a in P.corr_long(df, cols).collect()}
+    want = np.corrcoef(X.T)
+    assert len(r) == 256
+    assert all(r[a, b] == pytest.approx(want[i, j], abs=1e-12) for i, a in enumerate(cols) for j, b in enumerate(cols))
+
+
+def test_nan_and_constant_columns(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(i, x, 5.0, g) for i, (x, g) in enumerate([(1.0, "a"), (2.0, "a"), (nan, "a"), (4.0, "b"), (5.0, "b"), (None, "c"), (7.0, "d")])],
+                               "k long, x double, c double, g string")
+    d = {r["column_name"]: r for r in P.describe_numeric(df, ["x", "c"]).collect()}
+    assert (d["x"]["count"], d["x"]["mean"], d["x"]["max"], d["x"]["p50"]) == (5, pytest.approx(3.8), 7.0, 4.0)
+    assert {r["column_name"]: r["skew"] is None for r in P.skew_kurt(df, ["x", "c"]).collect()} == {"x": False, "c": True}
+    r = {(a["var1"], a["var2"]): a["r"] for a in P.corr_long(df, ["k", "x", "c"]).collect()}
+    xs = [(0, 1.0), (1, 2.0), (3, 4.0), (4, 5.0), (6, 7.0)]
+    assert r["k", "x"] == pytest.approx(np.corrcoef(*zip(*xs))[0, 1]) and r["x", "c"] is None and r["c", "c"] == 1.0
+    assert [t["column_name"] for t in P.corr_topk(df, "x", ["k", "x", "c"], 3).collect()] == ["k", "x", "c"]
+    assert sum(h["count"] for h in P.histogram(df, "x", 4).collect()) == 5
+    z = P.zscore_tails(df, "c", "k", 2).collect()
+    assert len(z) == 4 and all(t["z"] is None for t in z)
+    dens = P.density_by_category(df, "g", "x", 5).collect()
+    assert {x["g"] for x in dens if x["density"] is not None} == {"a", "b"}
+    box = {b["g"]: b["n"] for b in P.box_by_category(df, "g", "x").collect()}
+    assert box == {"a": 2, "b": 2, "d": 1}
+    assert P.missing_report(df.limit(0)).where("percent is null").count() == 4
+    from domus.operators.filters import nonzero
+    assert nonzero(df, "x").count() == 5
+
+
+def test_wide_correlations_use_the_same_rule(spark):
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(50, 15)) + 1e6
+    x[:, 3] = 7.0
+    cols = [f"c{i}" for i in range(15)]
+    df = spark.createDataFrame([tuple(map(float, r)) for r in x], ", ".join(f"{c} double" for c in cols))
+    r = {(a["var1"], a["var2"]): a["r"] for a in P.corr_long(df).collect()}
+    assert len(r) == 225 and r["c0", "c3"] is None and r["c3", "c3"] == 1.0
+    assert r["c0", "c1"] == pytest.approx(np.corrcoef(x[:, 0], x[:, 1])[0, 1], rel=1e-6)
