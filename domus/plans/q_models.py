@@ -212,7 +212,7 @@ def gbt_refit_q(spark, sf):
 
 
 @query("gbt_stump", ids="J9 J10", sql="""
-WITH p AS (SELECT p_retailprice AS y, CASE WHEN p_size > 25 THEN 1.0 ELSE 0.0 END AS x FROM part)
+WITH p AS (SELECT p_retailprice AS y, CAST(CASE WHEN p_size > 25 THEN 1 ELSE 0 END AS DOUBLE) AS x FROM part)
 SELECT x, """ + sql_sig("avg(y)") + """ AS prediction, count(*) AS n FROM p GROUP BY x""")
 def gbt_stump_q(spark, sf):
     """A model of one tree of depth one and rate one predicts the mean of
