@@ -52,7 +52,10 @@ def test_change_detection_hot_key(spark):
     stored = hot.unionByName(rest).repartition(8)
     inc = spark.createDataFrame([("hot", 17), ("hot", 5000), ("1", 1), ("2", 3), ("x", 1)], "id string, price bigint")
     got = sorted((r["id"], r["price"]) for r in changed_or_new(inc, stored, "id", "price").collect())
-    assert got == [("2", 3), ("hot", 5000), ("x", 1)]
+    # without an order, stored rows that disagree make every price a change
+    assert got == [("2", 3), ("hot", 17), ("hot", 5000), ("x", 1)]
+    latest = changed_or_new(inc.unionByName(spark.createDataFrame([("hot", 2999)], inc.schema)), stored, "id", "price", latest_by=["price"])
+    assert sorted((r["id"], r["price"]) for r in latest.collect()) == got
 
 
 def test_nested_models_agree_with_one_predictor_ols(spark):
