@@ -184,6 +184,12 @@ def _centred(i: str) -> tuple[Column, Column, Column, Column]:
     return n, zero(c("sxx", "sx", "sx"), "sxx"), zero(c("syy", "sy", "sy"), "syy"), c("sxy", "sx", "sy")
 
 
+def _narrow(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """The columns as doubles, NaN as null, under their names: computed once a
+    row, so the sums over them stay short expressions."""
+    return df.select(*[_num(c).alias(c) for c in dict.fromkeys(cols)])
+
+
 def _pair_means(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> list[tuple[Column, Column]]:
     """A cheap first pass: the means of both columns over each pair's complete
     rows, as literals (0 for a pair without rows)."""
@@ -191,21 +197,22 @@ def _pair_means(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> list[tuple[C
     for lo in range(0, len(pairs), AGG_CHUNK // 2):
         aggs = []
         for i, (a, b) in enumerate(pairs[lo:lo + AGG_CHUNK // 2]):
-            ok = _num(a).isNotNull() & _num(b).isNotNull()
-            aggs += [F.avg(F.when(ok, _num(a))).alias(f"a{i}"), F.avg(F.when(ok, _num(b))).alias(f"b{i}")]
+            ok = F.col(_q(a)).isNotNull() & F.col(_q(b)).isNotNull()
+            aggs += [F.avg(F.when(ok, F.col(_q(a)))).alias(f"a{i}"), F.avg(F.when(ok, F.col(_q(b)))).alias(f"b{i}")]
         row = df.agg(*aggs).first()
         out += [(F.lit(row[2 * i] or 0.0), F.lit(row[2 * i + 1] or 0.0)) for i in range(len(aggs) // 2)]
     return out
 
 
 def _corr_rows(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """var1, var2, r: pairwise-complete Pearson correlations, AGG_CHUNK / 4
+    """var1, var2, r: pairwise-complete Pearson correlations, AGG_CHUNK / 8
     pairs an aggregate (six sums each)."""
     out = df.sparkSession.createDataFrame([], "var1 string, var2 string, r double")
-    step, means = AGG_CHUNK // 4, _pair_means(df, pairs)
+    df = _narrow(df, [c for pair in pairs for c in pair])
+    step, means = AGG_CHUNK // 8, _pair_means(df, pairs)
     for lo in range(0, len(pairs), step):
         chunk = pairs[lo:lo + step]
-        aggs = [x for i, (a, b) in enumerate(chunk) for x in _pair_moments(_num(a), _num(b), *means[lo + i], str(i))]
+        aggs = [x for i, (a, b) in enumerate(chunk) for x in _pair_moments(F.col(_q(a)), F.col(_q(b)), *means[lo + i], str(i))]
         rows = []
         for i, (a, b) in enumerate(chunk):
             _, cxx, cyy, cxy = _centred(str(i))
@@ -381,8 +388,9 @@ def _ols_rows(df: DataFrame, y: str, xs: Sequence[str]) -> DataFrame:
     """column_name and one-predictor OLS for each x: shifted sums over the
     complete (x, y) pairs, six for each column, in one pass after the pass for
     the means. A constant column has null estimates."""
+    df = _narrow(df, [*xs, y])
     means = _pair_means(df, [(c, y) for c in xs])
-    one = df.agg(*[m for i, c in enumerate(xs) for m in _pair_moments(_num(c), _num(y), *means[i], str(i))])
+    one = df.agg(*[m for i, c in enumerate(xs) for m in _pair_moments(F.col(_q(c)), F.col(_q(y)), *means[i], str(i))])
     rows = []
     for i, c in enumerate(xs):
         n, cxx, cyy, cxy = _centred(str(i))
