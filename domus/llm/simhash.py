@@ -1,7 +1,7 @@
 """SimHash near-duplicates over a Gray-order hierarchical index.
 
-Distinct fingerprints are routed by blocks of bits (with at most d differing bits, one of d + 1
-blocks is equal), and every routed group is searched through a tree: codes sorted by Gray rank,
+Distinct fingerprints are routed by blocks of bits (with at most d differing bits, s of d + s
+blocks are equal), and every routed group is searched through a tree: codes sorted by Gray rank,
 runs of siblings factored into the bits they share (mask and pattern), the shared bits of siblings
 factored again into their parent. A search adds up differences on the way down and drops a whole
 group as soon as they exceed d. Links become spanning edges inside the task, components outside.
@@ -10,6 +10,7 @@ group as soon as they exceed d. Links become spanning edges inside the task, com
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -139,14 +140,33 @@ def _spanning(index: GrayIndex, group_sizes: np.ndarray, distance: int) -> Itera
     return index.codes[moved], index.codes[label[moved]]
 
 
-def links(fps: DataFrame, distance: int = DISTANCE, part: int = PART) -> DataFrame:
+def routes(distance: int, shared: int) -> list[int]:
+    """Bit masks of every choice of ``shared`` out of ``distance + shared`` blocks: two codes at
+    ``distance`` or fewer differing bits agree on one of them."""
+    n_blocks = distance + shared
+    ends = [64 * i // n_blocks for i in range(n_blocks + 1)]
+    blocks = [(1 << b) - (1 << a) for a, b in itertools.pairwise(ends)]
+    return [sum(some) for some in itertools.combinations(blocks, shared)]
+
+
+def shared_blocks(n: int, distance: int = DISTANCE, part: int = PART) -> int:
+    """How many blocks a route holds so that n codes make the fewest routed rows. More blocks make
+    more routes and smaller groups; a group of over ``part`` codes is routed once for each part."""
+    def rows(shared: int) -> float:
+        n_blocks = distance + shared
+        return math.comb(n_blocks, shared) * max(1.0, n / 2 ** (64 * shared / n_blocks) / part)
+
+    return min(range(1, 5), key=rows)
+
+
+def links(fps: DataFrame, distance: int = DISTANCE, part: int = PART, shared: int | None = None) -> DataFrame:
     """Edges ``u``, ``v`` (long) that connect whatever fingerprints (distinct long column ``fp``)
-    at ``distance`` or fewer differing bits connect. Every such pair is compared or already joined."""
-    n_blocks = distance + 1
-    width = [64 // n_blocks + (i < 64 % n_blocks) for i in range(n_blocks)]
-    shift = [sum(width[:i]) for i in range(n_blocks)]
-    block = F.explode(F.array(*[F.struct(F.lit(i).alias("block"), F.expr(f"shiftrightunsigned(fp, {s}) & {(1 << w) - 1}L").alias("bits"))
-                                for i, (s, w) in enumerate(zip(shift, width))]))
+    at ``distance`` or fewer differing bits connect. Every such pair is compared or already joined.
+    ``shared`` (blocks that a route holds) follows from the number of fingerprints; no result
+    depends on it."""
+    masks = routes(distance, shared or shared_blocks(fps.count(), distance, part))
+    block = F.explode(F.array(*[F.struct(F.lit(i).alias("block"), F.col("fp").bitwiseAND(F.lit(m - (m >> 63 << 64))).alias("bits"))
+                                for i, m in enumerate(masks)]))
     routed = fps.select("fp", block.alias("at")).select("fp", "at.block", "at.bits")
     counts = routed.groupBy("block", "bits").count().where("count > 1")
     routed = routed.join(counts, ["block", "bits"])
@@ -189,7 +209,7 @@ def _whole_groups(batches: Iterator[pa.RecordBatch], rows: int = 200_000) -> Ite
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", *, k: int = SHINGLE,
-                    distance: int = DISTANCE, part: int = PART) -> DataFrame:
+                    distance: int = DISTANCE, part: int = PART, shared: int | None = None) -> DataFrame:
     """``key``, ``fingerprint`` (16 hex digits), ``component_id`` (smallest id that links reach).
 
     One row for each row of ``docs``. Null, empty and blank texts have fingerprint zero, linked
@@ -198,17 +218,19 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", *,
     rows each get their row. Empty table: empty result. Other columns are ignored."""
     marked = stored(fingerprints(docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text")), "text", "fp", k)
                     .select("doc_id", "fp"), "simhash")
-    rooted = _rooted(marked, distance, part)
+    rooted = _rooted(marked, distance, part, shared=shared)
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     of = rooted.join(names, "root").select("fp", "component_id")
     return marked.join(of, "fp").select(
         F.col("doc_id").alias(key), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def _rooted(marked: DataFrame, distance: int, part: int, least=None) -> DataFrame:
-    """fp, root, least for every distinct fingerprint of ``marked``."""
+def _rooted(marked: DataFrame, distance: int, part: int, least=None, shared: int | None = None) -> DataFrame:
+    """fp, root, least for every distinct fingerprint of ``marked``, a stored table: its row count
+    stands in for that of its fingerprints."""
+    shared = shared or shared_blocks(marked.count(), distance, part)
     nodes = marked.groupBy("fp").agg(F.min(least if least is not None else "doc_id").alias("least"))
-    roots = components(links(nodes.select("fp"), distance, part))
+    roots = components(links(nodes.select("fp"), distance, part, shared))
     return nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
 
 

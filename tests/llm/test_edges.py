@@ -94,8 +94,9 @@ def test_simhash_of_odd_rows(odd):
     fps = [brute.simhash(r[1]) for r in rows]
     want = sorted(((r[0], f"{f:016x}", c) for r, f, c in zip(rows, fps, brute.components(fps, [r[0] for r in rows]))), key=str)
     assert sorted(map(tuple, simhash.near_duplicates(odd).collect()), key=str) == want
-    # parts of any size find the same links
+    # parts of any size and routes of any number of blocks find the same links
     assert sorted(map(tuple, simhash.near_duplicates(odd, part=2).collect()), key=str) == want
+    assert sorted(map(tuple, simhash.near_duplicates(odd, shared=3).collect()), key=str) == want
 
 
 def test_strings_of_odd_rows(odd):

@@ -1,5 +1,6 @@
 """The numbered queries against SQL or brute force on the small tables, and the operators' inner workings."""
 
+import math
 import os
 import random
 import re
@@ -107,6 +108,20 @@ def test_simhash_query(spark, docs):
     assert {tuple(r) for r in collected(spark, "op3_simhash")} == want
 
 
+def test_simhash_routes(spark, docs):
+    assert [simhash.shared_blocks(n) for n in (0, 10**6, 10**9, 10**11)] == [1, 1, 2, 3]
+    rng = random.Random(7)
+    for shared in (1, 2, 3, 4):
+        masks = simhash.routes(4, shared)
+        assert len(masks) == len(set(masks)) == math.comb(4 + shared, shared)
+        for _ in range(200):  # codes at 4 differing bits agree on a route
+            differ = sum(1 << b for b in rng.sample(range(64), 4))
+            assert any(differ & m == 0 for m in masks)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    want = {tuple(r) for r in collected(spark, "op3_simhash")}
+    assert {tuple(r) for r in simhash.near_duplicates(df, shared=2).collect()} == want
+
+
 @settings(max_examples=30, deadline=None)
 @given(st.lists(st.integers(0, 2**64 - 1), min_size=2, max_size=60), st.integers(0, 2**32))
 def test_gray_index_finds_every_pair(seeds, seed):
