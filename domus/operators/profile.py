@@ -167,58 +167,70 @@ def table_profile(df: DataFrame) -> DataFrame:
                        F.lit(len(df.columns)).cast("long").alias("columns"))
 
 
-def _pair_moments(x: Column, y: Column, mx: Column, my: Column, i: str) -> list[Column]:
+def _known(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, dict[str, str]]:
+    """The columns as doubles, 0 where missing (null, NaN), and 1/0 marks of
+    known values (``k_`` names), computed once a row; and their names there.
+    Infinities make a column's statistics NaN."""
+    at = {c: f"z{i}" for i, c in enumerate(dict.fromkeys(cols))}
+    known = [F.when(_num(c).isNull(), 0.0).otherwise(1.0).alias(f"k_{z}") for c, z in at.items()]
+    return df.select(*[F.coalesce(_num(c), F.lit(0.0)).alias(z) for c, z in at.items()], *known), at
+
+
+def _pair_means(df: DataFrame, pairs: Sequence[tuple[str, str]], at: dict[str, str]) -> list[tuple[float, float]]:
+    """A cheap first pass: the means of both columns over each pair's complete
+    rows (0 for a pair without rows)."""
+    out: list[tuple[float, float]] = []
+    for lo in range(0, len(pairs), AGG_CHUNK // 3):
+        chunk = [(at[a], at[b]) for a, b in pairs[lo:lo + AGG_CHUNK // 3]]
+        row = df.agg(*[F.expr(f"sum({v})") for x, y in chunk for v in (f"k_{x} * k_{y}", f"{x} * k_{y}", f"k_{x} * {y}")]).first()
+        out += [(row[3 * i + 1] / row[3 * i], row[3 * i + 2] / row[3 * i]) if row[3 * i] else (0.0, 0.0) for i in range(len(chunk))]
+    return out
+
+
+def _pair_moments(x: str, y: str, mx: float, my: float, i: str) -> list[Column]:
     """Sums of the complete pairs, shifted by the pair's means so that a
-    mean which dwarfs the spread costs no digits."""
-    ok = x.isNotNull() & y.isNotNull()
-    a, b = F.when(ok, x - mx), F.when(ok, y - my)
-    return [F.count_if(ok).alias(f"n{i}"), F.sum(a).alias(f"sx{i}"), F.sum(b).alias(f"sy{i}"),
-            F.sum(a * a).alias(f"sxx{i}"), F.sum(b * b).alias(f"syy{i}"), F.sum(a * b).alias(f"sxy{i}")]
+    mean which dwarfs the spread costs no digits; marks instead of a branch a
+    row. SQL text, as building hundreds of expressions piece by piece takes
+    longer than summing."""
+    k, a, b = f"k_{x} * k_{y}", f"({x} - double('{mx!r}'))", f"({y} - double('{my!r}'))"
+    terms = {"n": k, "sx": f"{k} * {a}", "sy": f"{k} * {b}", "sxx": f"{k} * {a} * {a}", "syy": f"{k} * {b} * {b}", "sxy": f"{k} * {a} * {b}"}
+    return [F.expr(f"coalesce(sum({v}), 0D) AS {name}{i}") for name, v in terms.items()]
 
 
-def _centred(i: str) -> tuple[Column, Column, Column, Column]:
-    """n, c_xx, c_yy, c_xy from the shifted sums; c_xx or c_yy of a constant column is 0."""
-    n = F.col(f"n{i}").cast("double")
-    c = lambda s, a, b: F.col(s + i) - F.try_divide(F.col(a + i) * F.col(b + i), n)
-    zero = lambda v, s: F.when(v > F.lit(1e-12) * F.col(s + i), v).otherwise(F.lit(0.0))
-    return n, zero(c("sxx", "sx", "sx"), "sxx"), zero(c("syy", "sy", "sy"), "syy"), c("sxy", "sx", "sy")
+SUMS = ("n", "sx", "sy", "sxx", "syy", "sxy")
 
 
-def _narrow(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """The columns as doubles, NaN as null, under their names: computed once a
-    row, so the sums over them stay short expressions."""
-    return df.select(*[_num(c).alias(c) for c in dict.fromkeys(cols)])
+def _pair_rows(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """place (of the pair in the list), n, mean_x, mean_y, cxx, cyy, cxy (centred moments): after the
+    pass for the means one aggregate for AGG_CHUNK / 6 pairs, then a row for each pair, so that the
+    statistics are short expressions. cxx or cyy of a constant column is 0."""
+    df, at = _known(df, [c for pair in pairs for c in pair])
+    means, out, step = _pair_means(df, pairs, at), None, AGG_CHUNK // 6
+    for lo in range(0, len(pairs), step):
+        chunk = list(enumerate(pairs[lo:lo + step]))
+        sums = df.agg(*[x for i, (a, b) in chunk for x in _pair_moments(at[a], at[b], *means[lo + i], str(i))])
+        rows = ", ".join(", ".join([str(lo + i), *[f"{c}{i}" for c in SUMS]]) for i, _ in chunk)
+        part = sums.selectExpr(f"stack({len(chunk)}, {rows}) AS (place, {', '.join(SUMS)})")
+        out = part if out is None else out.unionByName(part)
+    shift_x, shift_y = (_by_place(m) for m in zip(*means))
+    centred = lambda s, a, b: F.col(s) - F.try_divide(F.col(a) * F.col(b), F.col("n"))
+    zero = lambda v, s: F.when(v > F.lit(1e-12) * F.col(s), v).otherwise(F.lit(0.0))
+    return out.select("place", "n", (shift_x + F.try_divide("sx", "n")).alias("mean_x"), (shift_y + F.try_divide("sy", "n")).alias("mean_y"),
+                      zero(centred("sxx", "sx", "sx"), "sxx").alias("cxx"), zero(centred("syy", "sy", "sy"), "syy").alias("cyy"),
+                      centred("sxy", "sx", "sy").alias("cxy"))
 
 
-def _pair_means(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> list[tuple[Column, Column]]:
-    """A cheap first pass: the means of both columns over each pair's complete
-    rows, as literals (0 for a pair without rows)."""
-    out: list[tuple[Column, Column]] = []
-    for lo in range(0, len(pairs), AGG_CHUNK // 2):
-        aggs = []
-        for i, (a, b) in enumerate(pairs[lo:lo + AGG_CHUNK // 2]):
-            ok = F.col(_q(a)).isNotNull() & F.col(_q(b)).isNotNull()
-            aggs += [F.avg(F.when(ok, F.col(_q(a)))).alias(f"a{i}"), F.avg(F.when(ok, F.col(_q(b)))).alias(f"b{i}")]
-        row = df.agg(*aggs).first()
-        out += [(F.lit(row[2 * i] or 0.0), F.lit(row[2 * i + 1] or 0.0)) for i in range(len(aggs) // 2)]
-    return out
+def _by_place(values: Sequence) -> Column:
+    """The value that belongs to a row's place in the list."""
+    return F.get(F.lit(list(values)), F.col("place"))
 
 
 def _corr_rows(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """var1, var2, r: pairwise-complete Pearson correlations, AGG_CHUNK / 8
-    pairs an aggregate (six sums each)."""
-    out = df.sparkSession.createDataFrame([], "var1 string, var2 string, r double")
-    df = _narrow(df, [c for pair in pairs for c in pair])
-    step, means = AGG_CHUNK // 8, _pair_means(df, pairs)
-    for lo in range(0, len(pairs), step):
-        chunk = pairs[lo:lo + step]
-        aggs = [x for i, (a, b) in enumerate(chunk) for x in _pair_moments(F.col(_q(a)), F.col(_q(b)), *means[lo + i], str(i))]
-        rows = []
-        for i, (a, b) in enumerate(chunk):
-            _, cxx, cyy, cxy = _centred(str(i))
-            rows.append(F.struct(F.lit(a).alias("var1"), F.lit(b).alias("var2"), F.try_divide(cxy, F.sqrt(cxx) * F.sqrt(cyy)).alias("r")))
-        out = out.unionByName(df.agg(*aggs).select(F.explode(F.array(*rows)).alias("x")).select("x.*"))
-    return out
+    """var1, var2, r: pairwise-complete Pearson correlations."""
+    if not pairs:
+        return df.sparkSession.createDataFrame([], "var1 string, var2 string, r double")
+    r = F.try_divide(F.col("cxy"), F.sqrt("cxx") * F.sqrt("cyy"))
+    return _pair_rows(df, pairs).select(_by_place([a for a, _ in pairs]).alias("var1"), _by_place([b for _, b in pairs]).alias("var2"), r.alias("r"))
 
 
 def corr_long(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -388,18 +400,11 @@ def _ols_rows(df: DataFrame, y: str, xs: Sequence[str]) -> DataFrame:
     """column_name and one-predictor OLS for each x: shifted sums over the
     complete (x, y) pairs, six for each column, in one pass after the pass for
     the means. A constant column has null estimates."""
-    df = _narrow(df, [*xs, y])
-    means = _pair_means(df, [(c, y) for c in xs])
-    one = df.agg(*[m for i, c in enumerate(xs) for m in _pair_moments(F.col(_q(c)), F.col(_q(y)), *means[i], str(i))])
-    rows = []
-    for i, c in enumerate(xs):
-        n, cxx, cyy, cxy = _centred(str(i))
-        slope = F.try_divide(cxy, cxx)
-        mx, my = (m + F.try_divide(F.col(f"s{a}{i}"), n) for m, a in zip(means[i], "xy"))
-        rows.append(F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("n"), slope.alias("slope"),
-                             (my - slope * mx).alias("intercept"), F.try_divide(cxy * cxy, cxx * cyy).alias("r2"),
-                             cyy.alias("syy")))
-    return _ols_one_finish(one.select(F.explode(F.array(*rows)).alias("r")).select("r.*"))
+    slope, cxy = F.try_divide(F.col("cxy"), F.col("cxx")), F.col("cxy")
+    rows = _pair_rows(df, [(c, y) for c in xs]).select(
+        _by_place(list(xs)).alias("column_name"), F.col("n").cast("long").alias("n"), slope.alias("slope"), (F.col("mean_y") - slope * F.col("mean_x")).alias("intercept"),
+        F.try_divide(cxy * cxy, F.col("cxx") * F.col("cyy")).alias("r2"), F.col("cyy").alias("syy"))
+    return _ols_one_finish(rows)
 
 
 def ols_one(df: DataFrame, y: str, x: str) -> DataFrame:
