@@ -1,9 +1,10 @@
-"""Line dedup by content-defined line chunks.
+"""Line dedup by a rolling hash over lines.
 
-A rolling hash over the hashes of the last ``WINDOW`` lines ends a chunk where it is divisible by
-``DIVISOR``; so a passage is cut at the same lines wherever it stands. Chunks of two or more lines
-that occur again anywhere in the corpus are removed but for their first occurrence. Hashes find the
-candidates, the chunks' bytes decide.
+A rolling hash over the hashes of the last ``WINDOW`` lines brings equal neighbouring lines together:
+each place where ``WINDOW`` lines occur that also occur earlier is a match, and matches that overlap
+are one passage. So a passage goes from its first line to its last, whatever stands around it. The
+same hash ends a chunk where it is divisible by ``DIVISOR``; chunks are counted in the report. Hashes
+find the candidates, the lines' bytes decide.
 """
 
 from __future__ import annotations
@@ -16,20 +17,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from domus.llm import repeats as R
-from domus.llm.common import stored
+from domus.llm.common import bucket_count, shuffle_width
 
 WINDOW, DIVISOR, LEAST_LINES = 2, 4, 2
+#: Bytes of text a window, at a guess; batches whose first occurrences are compared before all are.
+BYTES_PER_KEY, GROUP_BATCHES = 150, 256
 
 
-def line_chunks(body: bytes) -> tuple[list[bytes], list[tuple[int, int]]]:
-    """The text's lines (split at \\n) and its chunks as ranges of them."""
-    lines = body.split(b"\n")
+def rolling_hashes(lines: list[bytes]) -> np.ndarray:
+    """For each line the hash of the ``WINDOW`` lines that end with it (fewer at the start)."""
     hashes = np.fromiter(map(xxhash.xxh64_intdigest, lines), np.uint64, len(lines))
     rolling = np.zeros(len(lines), np.uint64)
     for j in range(WINDOW):
-        rolling[j:] += hashes[:len(lines) - j] * np.uint64(pow(0x9E3779B97F4A7C15, j + 1, 1 << 64))
-    rolling ^= rolling >> np.uint64(31)
-    ends = (np.flatnonzero(rolling % np.uint64(DIVISOR) == 0) + 1).tolist()
+        rolling[j:] += hashes[:max(len(lines) - j, 0)] * np.uint64(pow(0x9E3779B97F4A7C15, j + 1, 1 << 64))
+    return rolling ^ rolling >> np.uint64(31)
+
+
+def line_chunks(body: bytes) -> tuple[list[bytes], list[tuple[int, int]]]:
+    """The text's lines (split at \\n) and its chunks as ranges of them."""
+    lines = body.split(b"\n")
+    ends = (np.flatnonzero(rolling_hashes(lines) % np.uint64(DIVISOR) == 0) + 1).tolist()
     if not ends or ends[-1] != len(lines):
         ends.append(len(lines))
     return lines, list(zip([0, *ends], ends))
@@ -42,69 +49,109 @@ def multi_line_chunks(body: bytes) -> list[tuple[int, bytes]]:
 
 
 def _keys(bodies: list[bytes]) -> np.ndarray:
-    return np.fromiter((xxhash.xxh64_intdigest(c) for b in bodies for _, c in multi_line_chunks(b)), np.uint64)
+    """Of every ``WINDOW`` neighbouring lines."""
+    return np.concatenate([rolling_hashes(b.split(b"\n"))[WINDOW - 1:] for b in bodies] or [np.empty(0, np.uint64)])
+
+
+WINDOWS = "bucket long, bid long, uid long, doc_id long, at long, content binary, places binary"
 
 
-CANDIDATES = "bid long, uid long, doc_id long, number int, content binary, hash long"
+def _table(rows: list[tuple]) -> pa.Table:
+    kinds = {"bucket": pa.int64(), "bid": pa.int64(), "uid": pa.int64(), "doc_id": pa.int64(), "at": pa.int64(), "content": pa.binary(), "places": pa.binary()}
+    return pa.table({c: pa.array(v, t) for (c, t), v in zip(kinds.items(), zip(*rows) if rows else [()] * len(kinds))})
 
 
-def _candidates(n_buckets: int, docs: pa.Table, answer: pa.Table) -> pa.Table:
-    """Of one batch: the first occurrence of each repeated chunk, and the numbers of the later ones (without content)."""
-    out: list[tuple] = []
+def _candidates(n_buckets: int, n_parts: int, docs: pa.Table, answer: pa.Table) -> pa.Table:
+    """Of one batch: the first occurrence of each repeated window, and the places of the later ones
+    (rows without content)."""
     order = R.documents_of(docs) if len(docs) else []
-    ids = docs.column("doc_id").to_pylist() if len(docs) else []
-    chunks = [(i, u, number, content) for i, u, body in order for number, content in multi_line_chunks(body)]
-    if chunks:
-        keys = np.fromiter((xxhash.xxh64_intdigest(c) for _, _, _, c in chunks), np.uint64, len(chunks))
-        seen: set[bytes] = set()
-        for (i, u, number, content), key, flag in zip(chunks, keys.view(np.int64).tolist(), R.lookup(keys, answer, n_buckets).tolist()):
-            if flag != R.ONCE:
-                out.append((u, ids[i], number, None if content in seen else content, key))
-                seen.add(content)
-    bid = docs.column("bid")[0].as_py() if out else None
-    u, d, n, c, h = zip(*out) if out else ((),) * 5
-    return pa.table({"bid": pa.array([bid] * len(out), pa.int64()), "uid": pa.array(u, pa.int64()), "doc_id": pa.array(d, pa.int64()),
-                     "number": pa.array(n, pa.int32()), "content": pa.array(c, pa.binary()), "hash": pa.array(h, pa.int64())})
+    if not order:
+        return _table([])
+    ids, bid = docs.column("doc_id").to_pylist(), docs.column("bid")[0].as_py()
+    lines = [body.split(b"\n") for _, _, body in order]
+    keys = _keys([body for _, _, body in order])
+    n_of = [max(len(x) - WINDOW + 1, 0) for x in lines]
+    owner = np.repeat(np.arange(len(order)), n_of)
+    place = np.arange(len(keys)) - np.repeat(np.cumsum([0, *n_of[:-1]]), n_of)
+    some = np.flatnonzero(R.lookup(keys, answer, n_buckets) != R.ONCE) if len(keys) else np.empty(0, np.int64)
+    rows: list[tuple] = []
+    seen: set[bytes] = set()
+    later: dict[int, list[int]] = {}
+    for bucket, d, at in zip(R.bucket_of(keys[some] & ~np.uint64(1), n_parts).tolist(), owner[some].tolist(), place[some].tolist()):
+        content = b"\n".join(lines[d][at:at + WINDOW])
+        if content in seen:
+            later.setdefault(d, []).append(at)
+        else:
+            seen.add(content)
+            rows.append((bucket, bid, order[d][1], ids[order[d][0]], at, content, None))
+    rows += [(order[d][1] % n_parts, bid, order[d][1], None, -1, None, np.array(at, np.int64).tobytes()) for d, at in later.items()]
+    return _table(rows)
+
+
+def _firsts(table: pa.Table) -> pa.Table:
+    """The first occurrence of each window, and the places of the others."""
+    entries, rows = [], []
+    for r in zip(*(table.column(c).to_pylist() for c in ("bucket", "bid", "uid", "doc_id", "at", "content", "places"))):
+        (rows if r[5] is None else entries).append(r)
+    seen: set[bytes] = set()
+    later: dict[tuple, list[int]] = {}
+    for r in sorted(entries, key=lambda r: (r[3] is not None, r[3] or 0, r[2], r[4])):
+        if r[5] in seen:
+            later.setdefault(r[:3], []).append(r[4])
+        else:
+            seen.add(r[5])
+            rows.append(r)
+    rows += [(*row, None, -1, None, np.array(at, np.int64).tobytes()) for row, at in later.items()]
+    return _table(rows)
 
 
 def _removed(docs: DataFrame, batches: DataFrame, text: str) -> DataFrame:
-    """bid, uid, numbers of the chunks to remove."""
-    n_buckets = R.key_buckets(docs, text, 500)
+    """bid, uid, places of the windows that occur earlier. First occurrences are compared among
+    neighbouring batches, then among all: a passage that stands everywhere costs a row a group."""
+    n_buckets = R.key_buckets(docs, text, BYTES_PER_KEY)
+    n_parts = bucket_count(n_buckets, 0.25, shuffle_width(docs.sparkSession))
     answer = R.repeated_keys(batches, _keys, n_buckets)
-    found = stored(batches.groupBy("bid").cogroup(answer.groupBy("bid")).applyInArrow(
-        lambda d, a: _candidates(n_buckets, d, a), CANDIDATES), "line-chunks")
-    place = F.struct(F.col("doc_id").isNotNull(), "doc_id", "uid", "number")  # nulls first
-    first = found.where("content is not null").groupBy("hash", "content").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
-    again = (found.where("content is not null").withColumn("place", place)
-             .join(first.where("n > 1").drop("n"), ["hash", "content"]).where(F.col("place") != F.col("first")))
-    gone = found.where("content is null").select("bid", "uid", "number").union(again.select("bid", "uid", "number"))
-    return gone.groupBy("bid", "uid").agg(F.collect_list("number").alias("numbers"))
+    found = batches.groupBy("bid").cogroup(answer.groupBy("bid")).applyInArrow(
+        lambda d, a: _candidates(n_buckets, n_parts, d, a), WINDOWS)
+    near = found.groupBy("bucket", F.expr(f"bid div {GROUP_BATCHES}")).applyInArrow(_firsts, WINDOWS)
+    return near.groupBy("bucket").applyInArrow(_firsts, WINDOWS).where("content is null").select("bid", "uid", "places")
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", *, report: bool = False) -> DataFrame:
-    """``docs`` with repeated multi-line chunks cut from column ``text``; rows and columns stay.
-
-    Of equal chunks the first stays: smallest id (nulls first), then place in the table, then place
-    in the text. With ``report=True`` the result is ``key``, n_lines, n_chunks, n_removed_lines,
-    n_removed_chunks and kept (the remaining text) instead. Null text: stays null (report: no lines,
-    kept empty). An empty text is one empty line. Repeated rows: all but the first lose their
-    multi-line chunks. Empty table: empty result. The table has to be read in the same order each
-    time (a stored table is)."""
+    """``docs`` with repeated passages of two or more lines cut from column ``text``; rows and columns stay.
+
+    Removes each line covered by two neighbouring lines that also stand next to each other earlier:
+    in a row of a smaller id (nulls first; rows with the same id: earlier place in the table), or
+    earlier in the same row. The first occurrence of every line stays. Blank lines are lines. With
+    ``report=True`` the result is ``key``, n_lines, n_chunks, n_removed_lines, n_removed_chunks
+    (chunks of two or more lines of which none is left) and kept (the remaining text) instead. Null
+    text: stays null (report: no lines, kept empty). An empty text is one empty line. Repeated rows:
+    all but the first lose their text, unless it is a single line. Empty table: empty result. The
+    table has to be read in the same order each time (a stored table is)."""
     columns = docs.columns
     others = tuple(c for c in columns if c != text) if not report else ()
     batches = R.in_batches(docs, key, text, others)
     gone = _removed(docs, batches, text)
 
-    def kept_lines(body: bytes | None, numbers: set[int]) -> tuple:
+    def kept_lines(body: bytes | None, places: list[bytes]) -> tuple:
         if body is None:
             return 0, 0, 0, 0, None
-        lines, chunks = line_chunks(body)
-        left = [x for i, (a, b) in enumerate(chunks) if i not in numbers for x in lines[a:b]] if numbers else lines
-        return len(lines), len(chunks), len(lines) - len(left), len(numbers), b"\n".join(left) if numbers else body
+        lines, chunks = line_chunks(body) if report else (body.split(b"\n") if places else [], [])
+        if not places:
+            return len(lines), len(chunks), 0, 0, body
+        out = np.zeros(len(lines), bool)
+        at = np.frombuffer(b"".join(places), np.int64)
+        for j in range(WINDOW):
+            out[at + j] = True
+        left = [x for x, o in zip(lines, out.tolist()) if not o]
+        cut_chunks = sum(b - a >= LEAST_LINES and bool(out[a:b].all()) for a, b in chunks)
+        return len(lines), len(chunks), len(lines) - len(left), cut_chunks, b"\n".join(left)
 
     def cut(table: pa.Table, answer: pa.Table) -> pa.Table:
-        numbers = {u: set(n) for u, n in zip(answer.column("uid").to_pylist(), answer.column("numbers").to_pylist())}
-        done = [kept_lines(b, numbers.get(u, set())) for b, u in zip(table.column("body").to_pylist(), table.column("uid").to_pylist())]
+        places: dict[int, list[bytes]] = {}
+        for u, p in zip(answer.column("uid").to_pylist(), answer.column("places").to_pylist()):
+            places.setdefault(u, []).append(p)
+        done = [kept_lines(b, places.get(u, [])) for b, u in zip(table.column("body").to_pylist(), table.column("uid").to_pylist())]
         kept = pa.array([d[4] for d in done], pa.binary()).cast(pa.string())
         if not report:
             return pa.table({c: kept if c == text else table.column(f"c{others.index(c)}") for c in columns})

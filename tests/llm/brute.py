@@ -63,6 +63,21 @@ def repeated_strings(rows: list[tuple[int | None, str | None]], length: int = 10
     return out
 
 
+def repeated_lines(rows: list[tuple[int | None, str | None]]) -> list[tuple]:
+    """(doc_id, n_lines, n_removed_lines, kept) in the order given: without the lines of any two neighbours that were neighbours before."""
+    seen: set[tuple] = set()
+    out: list[tuple] = [()] * len(rows)
+    for i in sorted(range(len(rows)), key=lambda i: (rows[i][0] is not None, rows[i][0] or 0, i)):
+        lines = (rows[i][1] or "").split("\n")
+        gone = [False] * len(lines)
+        for j, pair in enumerate(zip(lines, lines[1:])):
+            if pair in seen:
+                gone[j] = gone[j + 1] = True
+            seen.add(pair)
+        out[i] = (rows[i][0], len(lines) if rows[i][1] is not None else 0, sum(gone), "\n".join(x for x, g in zip(lines, gone) if not g))
+    return out
+
+
 def base_secrets(text: str | None) -> tuple:
     t = text or ""
     kinds = {"assign": r"""([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",

@@ -277,6 +277,28 @@ def test_line_query(spark, docs):
     assert got == set(brute_lines(docs)) and any(r[4] for r in got)
 
 
+def test_line_query_removes_every_run(spark, docs):
+    got = {(r["doc_id"], r["n_lines"], r["n_removed_lines"], r["kept_sha256"]) for r in collected(spark, "op7_line_dedup")}
+    assert got == {(i, n, gone, brute.sha(kept)) for i, n, gone, kept in brute.repeated_lines(docs)}
+
+
+def test_passages_go_from_their_first_line_to_their_last(spark):
+    rng = random.Random(8)
+    passages = [[f"passage {p} line {j}" for j in range(2 + p % 5)] for p in range(12)]
+    rows = []
+    for i in range(900):  # over several batches; one passage stands in a third of the rows
+        own = [f"{i} {rng.random()}" for _ in range(rng.randrange(4))]
+        text = own[:1] + (passages[0] if i % 3 == 0 else []) + own[1:] + rng.choice(passages) + own[3:]
+        rows.append((rng.choice([None, i, i // 2]), "\n".join(text)))
+    rows += [(950, ""), (951, None), (952, "one line"), (953, "one line"), (954, "x\nx\nx\nx"), (955, "\n\n"), (956, "a\n\n\n\nb")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(1)
+    rows = [tuple(r) for r in df.collect()]
+    got = sorted(((r["doc_id"], r["n_lines"], r["n_removed_lines"], r["kept"]) for r in line_dedup.dedup_lines(df, report=True).collect()), key=str)
+    assert got == sorted(brute.repeated_lines(rows), key=str)
+    texts = Counter((r["doc_id"], r["text"]) for r in line_dedup.dedup_lines(df).collect())
+    assert texts == Counter((w[0], w[3] if r[1] is not None else None) for r, w in zip(rows, brute.repeated_lines(rows)))
+
+
 def test_chunks_resist_shifts():
     rng = random.Random(4)
     lines = [f"{rng.random()}".encode() for _ in range(200)]
