@@ -237,14 +237,16 @@ def _rooted(marked: DataFrame, distance: int, part: int, least=None, shared: int
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", *, k: int = SHINGLE,
                          distance: int = DISTANCE, part: int = PART) -> DataFrame:
     """``docs`` with one document of each group of near-duplicates: that of the smallest id (nulls
-    last; of rows with equal ids, one). Columns and types stay; an empty table stays empty. The table
-    has to be read in the same order each time (a stored table is): only fingerprints are written to
-    the shared folder, and the rows that stay are found again by their place."""
-    uid = free_name(docs, "uid")
-    placed = docs.withColumn(uid, F.monotonically_increasing_id())
-    narrow = placed.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text"), F.col(uid).alias("uid"))
+    last; of rows with equal ids, one). Columns and types stay; an empty table stays empty. Only
+    fingerprints are written to the shared folder; the rows that stay are found again by a digest of
+    their id and text, so the table may be read in another order then."""
+    mark = free_name(docs, "mark")
+    doc_id, body = F.col(key).cast("long"), F.col(text).cast("string")
+    digest = F.unhex(F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("-")), F.lit(" "), F.coalesce(F.concat(F.lit("t"), body), F.lit("")))))
+    placed = docs.withColumn(mark, digest)
+    narrow = placed.select(doc_id.alias("doc_id"), body.alias("text"), F.col(mark).alias("mark"))
     marked = stored(fingerprints(narrow, "text", "fp", k).drop("text"), "simhash-docs")
-    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("uid"))
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("mark"))
     rooted = _rooted(marked, distance, part, least=order)
-    stay = rooted.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.uid").alias(uid))
-    return placed.join(stay, uid, "left_semi").select(*docs.columns)
+    stay = rooted.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.mark").alias(mark))
+    return placed.join(stay, mark, "left_semi").dropDuplicates([mark]).select(*docs.columns)

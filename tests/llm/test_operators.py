@@ -307,6 +307,26 @@ def test_chunks_resist_shifts():
     assert len(plain & moved) >= len(plain) - 3
 
 
+@pytest.mark.parametrize("run", [line_dedup.dedup_lines, simhash.drop_near_duplicates], ids=["lines", "near"])
+def test_splits_may_change_between_jobs(spark, tmp_path, run):
+    """As when executors come or go: the scan that applies what was decided has other splits."""
+    rng = random.Random(9)
+    texts = [f"{rng.random()} {rng.random()}\n{rng.random()} {rng.random()} {rng.random()}" for _ in range(60)]
+    rows = [(i, f"{texts[rng.randrange(60)]}\nown {i} {rng.random()}" if i % 2 else texts[rng.randrange(60)], f"s{i % 3}") for i in range(300)] + [(None, texts[0], "s")] * 2
+    path = str(tmp_path / "docs")
+    spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(7).write.parquet(path)
+    splits = "spark.sql.files.minPartitionNum"
+    try:
+        spark.conf.set(splits, "1")
+        want = sorted(map(tuple, run(spark.read.parquet(path)).collect()), key=str)
+        out = run(spark.read.parquet(path))
+        spark.conf.set(splits, "64")
+        assert sorted(map(tuple, out.collect()), key=str) == want
+        assert 0 < len(want) <= len(rows)
+    finally:
+        spark.conf.unset(splits)
+
+
 # ---- 8 ----
 
 def test_pseudonyms_of_the_table(spark, docs):
