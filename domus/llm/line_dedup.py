@@ -110,7 +110,7 @@ def _removed(docs: DataFrame, batches: DataFrame, text: str) -> DataFrame:
     neighbouring batches, then among all: a passage that stands everywhere costs a row a group."""
     n_buckets = R.key_buckets(docs, text, BYTES_PER_KEY)
     n_parts = bucket_count(n_buckets, 0.25, shuffle_width(docs.sparkSession))
-    answer = R.repeated_keys(batches, _keys, n_buckets)
+    answer = R.repeated_keys(batches, lambda bodies: R.counted(_keys(bodies)), n_buckets)
     found = batches.groupBy("bid").cogroup(answer.groupBy("bid")).applyInArrow(
         lambda d, a: _candidates(n_buckets, n_parts, d, a), WINDOWS)
     near = found.groupBy("bucket", F.expr(f"bid div {GROUP_BATCHES}")).applyInArrow(_firsts, WINDOWS)

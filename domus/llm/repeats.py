@@ -17,11 +17,11 @@ from pyspark.sql import functions as F
 
 from domus.llm.common import bucket_count, shuffle_width
 
-#: Documents of a batch: a power of two.
-BATCH_DOCS = 256
+#: Documents of a batch: a power of two. A longer text is a batch of its own.
+BATCH_DOCS, BATCH_BYTES = 256, 256 << 10
 ONCE, TWICE, HOT = 0, 1, 2
-#: Keys held by more batches than this are hot: what follows deals them out more finely.
-HOT_BATCHES = 20_000
+#: Keys with more entries than this, summed over batches, are hot: what follows deals them out more finely.
+HOT_ENTRIES = 100_000
 
 
 def in_batches(docs: DataFrame, key: str, text: str, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -32,7 +32,7 @@ def in_batches(docs: DataFrame, key: str, text: str, carry: tuple[str, ...] = ()
     numbered = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(key).cast("long").alias("doc_id"),
                            F.col(text).cast("string").cast("binary").alias("body"),
                            *[F.col(c).alias(f"c{i}") for i, c in enumerate(carry)])
-    bid = F.expr(f"shiftright(uid, {BATCH_DOCS.bit_length() - 1})")
+    bid = F.expr(f"if(octet_length(body) > {BATCH_BYTES}, -1 - uid, shiftright(uid, {BATCH_DOCS.bit_length() - 1}))")
     return numbered.select(bid.alias("bid"), *numbered.columns).repartition("bid")
 
 
@@ -63,16 +63,28 @@ def _by_bucket(keys: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.nda
     return keys[order], present, np.r_[begin, len(keys)]
 
 
-def repeated_keys(batches: DataFrame, keys_of: Callable[[list[bytes]], np.ndarray], n_buckets: int, hot: int = HOT_BATCHES) -> DataFrame:
+def counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys, how often each occurs, and one entry for each."""
+    keys, count = np.unique(keys & ~np.uint64(1), return_counts=True)
+    return keys, count, np.ones(len(keys), np.int64)
+
+
+def repeated_keys(batches: DataFrame, keys_of: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray, np.ndarray]], n_buckets: int,
+                  hot: int = HOT_ENTRIES) -> DataFrame:
     """bid, bucket, flags: for each batch's distinct keys in the bucket, ordered by value, a byte:
-    ONCE in the corpus, more often (TWICE), or in over ``hot`` batches (HOT)."""
+    ONCE in the corpus, more often (TWICE), or with over ``hot`` entries (HOT). ``keys_of`` gives a
+    batch's distinct keys, ordered (the last bit zero), how often each occurs, and how many entries
+    the batch has for it."""
 
     def send(table: pa.Table) -> pa.Table:
-        keys, count = np.unique(keys_of([d for _, _, d in documents_of(table)]) & ~np.uint64(1), return_counts=True)
+        keys, count, entries = keys_of([d for _, _, d in documents_of(table)])
         sent = keys | (count > 1).astype(np.uint64)  # the last bit says: twice in this batch
         sent, buckets, begin = _by_bucket(sent, n_buckets)
+        entries = entries[np.searchsorted(keys, sent & ~np.uint64(1))]
+        more = [np.flatnonzero(entries[a:b] > 1) for a, b in zip(begin, begin[1:])]  # place and number of further entries
         return pa.table({"bid": pa.array([table.column("bid")[0].as_py()] * len(buckets), pa.int64()), "bucket": pa.array(buckets, pa.int64()),
-                         "sent": pa.array([sent[a:b].tobytes() for a, b in zip(begin, begin[1:])], pa.binary())})
+                         "sent": pa.array([sent[a:b].tobytes() for a, b in zip(begin, begin[1:])], pa.binary()),
+                         "more": pa.array([pack_spans(m, entries[a + m] - 1) for a, m in zip(begin, more)], pa.binary())})
 
     def answer(table: pa.Table) -> pa.Table:
         blobs = table.column("sent").to_pylist()
@@ -80,12 +92,17 @@ def repeated_keys(batches: DataFrame, keys_of: Callable[[list[bytes]], np.ndarra
         _, place, count = np.unique(keys >> np.uint64(1), return_inverse=True, return_counts=True)
         twice = np.zeros(len(count), bool)
         twice[place[(keys & np.uint64(1)) > 0]] = True
-        flag = np.where(count > hot, HOT, np.where(twice | (count > 1), TWICE, ONCE)).astype(np.uint8)[place]
         ends = np.cumsum([len(b) // 8 for b in blobs])
+        total = count.copy()
+        blobs_more = table.column("more").to_pylist()
+        at, further = unpack_spans(blobs_more)
+        begin = np.repeat(ends - [len(b) // 8 for b in blobs], [len(m) // 16 for m in blobs_more])
+        np.add.at(total, place[begin + at], further)
+        flag = np.where(total > hot, HOT, np.where(twice | (count > 1), TWICE, ONCE)).astype(np.uint8)[place]
         flags = [flag[e - len(b) // 8:e].tobytes() for e, b in zip(ends, blobs)]
         return pa.table({"bid": table.column("bid"), "bucket": table.column("bucket"), "flags": pa.array(flags, pa.binary())})
 
-    sent = batches.groupBy("bid").applyInArrow(send, "bid long, bucket long, sent binary")
+    sent = batches.groupBy("bid").applyInArrow(send, "bid long, bucket long, sent binary, more binary")
     return sent.groupBy("bucket").applyInArrow(answer, "bid long, bucket long, flags binary")
 
 

@@ -95,8 +95,23 @@ def _parse(held, length: int, key: int, width: int):
     return doc[owner], first + off[owner], last + off[owner], keys
 
 
-def _keys(bodies: list[bytes]) -> np.ndarray:
-    return np.concatenate([k for _, _, _, k in phrases(bodies)] or [np.empty(0, np.uint64)])
+def _keys(bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A batch's distinct triggers, how often each occurs, and in how many different contents: each
+    is an entry, so a phrase between different neighbours counts as often as it occurs."""
+    parsed = list(phrases(bodies))
+    doc, first, last, keys = (np.concatenate(x) for x in zip(*parsed)) if parsed else (np.empty(0, np.uint64),) * 4
+    keys, of, count = np.unique(keys & ~np.uint64(1), return_inverse=True, return_counts=True)
+    entries = count.copy()
+    some = np.flatnonzero(count[of] > 1)
+    seen: set[bytes] = set()
+    again: list[int] = []
+    for k, d, lo, hi in zip(of[some].tolist(), doc[some].tolist(), first[some].tolist(), last[some].tolist()):
+        content = bodies[d][lo:hi + LENGTH]
+        if content in seen:
+            again.append(k)
+        seen.add(content)
+    np.subtract.at(entries, np.array(again, np.int64), 1)
+    return keys, count, entries
 
 
 ENTRIES = "bucket long, bid long, uid long, doc_id long, at long, content binary, spans binary"
@@ -203,7 +218,7 @@ def _covers(table: pa.Table) -> pa.Table:
     return pa.table({"bid": pa.array(bid, pa.int64()), "uid": pa.array(uid, pa.int64()), "spans": pa.array(packed, pa.binary())})
 
 
-def remove_repeated_strings(docs: DataFrame, key: str = "doc_id", text: str = "text", hot: int = R.HOT_BATCHES) -> DataFrame:
+def remove_repeated_strings(docs: DataFrame, key: str = "doc_id", text: str = "text", hot: int = R.HOT_ENTRIES) -> DataFrame:
     """``key``, n_bytes, spans (packed pairs of int64, removed runs), kept (binary: the bytes left).
 
     Removes each byte covered by a 100-byte string that also starts earlier: in a row of a smaller

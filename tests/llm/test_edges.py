@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from domus.llm import ann, line_dedup, mixing, pieces, pii, quality, secrets, simhash, suffix_dedup, url_filter
+from domus.llm import ann, line_dedup, mixing, pieces, pii, quality, repeats, secrets, simhash, suffix_dedup, url_filter
 from domus.llm import queries as Q
 from tests.llm import brute
 
@@ -107,6 +107,25 @@ def test_strings_of_odd_rows(odd):
         assert got == sorted(brute.repeated_strings(rows), key=str)
 
 
+def test_a_phrase_between_different_neighbours_is_hot(spark):
+    """A 60-byte phrase in every row: as many different contents as rows, in few batches."""
+    rng = random.Random(3)
+    noise = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=150))
+    phrase = noise()[:60]
+    rows = [(i, noise() + phrase + noise()) for i in range(600)]
+    rows += [(1000 + i, rows[0][1] + rows[1][1]) for i in range(300)] + [(2000, noise() * 3000), (2001, None), (None, phrase)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(1)
+    batches = repeats.in_batches(df, "doc_id", "text")
+    rows = [tuple(r) for r in df.collect()]
+    assert batches.select("bid").distinct().count() == 5  # 903 rows, and the long one by itself
+    flags = b"".join(bytes(r["flags"]) for r in repeats.repeated_keys(batches, suffix_dedup._keys, 3, 400).collect())
+    assert repeats.HOT in flags
+    want = sorted(brute.repeated_strings(rows), key=str)
+    for hot in (400, repeats.HOT_ENTRIES):
+        done = suffix_dedup.remove_repeated_strings(df, hot=hot).collect()
+        assert sorted(((r[0], r[1], r[1] - len(r[3]), len(r[2]) // 16, brute.sha(bytes(r[3]))) for r in done), key=str) == want
+
+
 def test_nulls_and_empties_are_defined(odd):
     null = [r for r in secrets.scan_secrets(odd).collect() if r["doc_id"] in (0, 1)]
     assert all(r["spans"] == [] for r in null)
