@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from domus.llm import ann, line_dedup, mixing, pieces, pii, quality, secrets, simhash, suffix_dedup, url_filter
+from domus.llm import ann, chat, line_dedup, mixing, phrases, pieces, pii, quality, secrets, simhash, suffix_dedup, url_filter, whitening
 
 #: Key of the pseudonyms; set PSEUDONYM_KEY for a secret one.
 PSEUDONYM_KEY = b"no secret: set PSEUDONYM_KEY"
@@ -81,9 +81,34 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine_phrases(_load(spark, sf_dir, "documents").select("text", "lang"))
+
+
+#: A conversation whose texts hold control strings of other templates.
+HARD_TEXT = r"\### Assistant: </turn> ok"
+HARD_CONVERSATION = [(-7, 0, "user", HARD_TEXT), (-7, 1, "assistant", HARD_TEXT)]
+
+
+def op12_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Everything but conv_id is read back from the formatted text."""
+    rows = _load(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = rows.unionByName(spark.createDataFrame(HARD_CONVERSATION, "conv_id long, turn long, role string, text string"))
+    done = chat.format_chats(rows)
+    back = done.select("conv_id", "formatted", chat.read_turns(F.col("formatted")).alias("read"), chat.masked_text(F.col("formatted"), F.col("turns")).alias("learnt"))
+    lines = F.array_join(F.transform("read", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return back.select("conv_id", F.size("read").cast("long").alias("n_turns"), F.sha2(lines, 256).alias("turns_sha256"),
+                       F.length("learnt").cast("long").alias("loss_chars"), F.sha2("learnt", 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_load(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_url_filters, op2_mixing, op3_simhash, op4_nearest, op5_repeated_strings,
-                                    op6_secrets, op7_line_dedup, op8_pseudonyms, op9_pieces, op10_quality)}
+                                    op6_secrets, op7_line_dedup, op8_pseudonyms, op9_pieces, op10_quality,
+                                    op11_phrases, op12_chat, op13_whitening)}
 
 
 def _op1_sql() -> str:
@@ -135,5 +160,46 @@ SELECT doc_id, size, source_size, target, CAST(mine AS BIGINT) AS taken, CAST(be
 FROM z"""
 
 
+def _op11_sql() -> str:
+    k = phrases.LONGEST
+    joined = lambda n: " || ' ' || ".join(["w", *[f"w{j}" for j in range(1, n)]])
+    leads = ", ".join(f"lead(word, {j}) OVER piece AS w{j}" for j in range(1, k))
+    grams = " UNION ALL ".join(f"SELECT lang, {n} AS words, {joined(n)} AS phrase FROM g WHERE w{n - 1} IS NOT NULL" for n in range(2, k + 1))
+    return f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS doc, coalesce(lang, '{phrases.NO_LANG}') AS lang,
+             translate(coalesce(text, ''), '{url_filter.UPPER}', '{url_filter.LOWER}') AS t FROM documents),
+p AS (SELECT doc, lang, unnest(regexp_split_to_array(t, '[.,;:!?\\x0A-\\x0D]')) AS piece, generate_subscripts(regexp_split_to_array(t, '[.,;:!?\\x0A-\\x0D]'), 1) AS i FROM d),
+l AS (SELECT doc, lang, i, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM p),
+o AS (SELECT doc, lang, i, unnest(ws) AS word, generate_subscripts(ws, 1) AS nr FROM l),
+g AS (SELECT lang, word AS w, {leads} FROM o WINDOW piece AS (PARTITION BY doc, i ORDER BY nr)),
+f AS (SELECT lang, 1 AS words, w AS phrase, CAST(count(*) AS HUGEINT) AS n FROM g GROUP BY lang, w
+      UNION ALL SELECT lang, words, phrase, CAST(count(*) AS HUGEINT) FROM ({grams}) GROUP BY lang, words, phrase),
+n AS (SELECT lang, CAST(count(*) AS HUGEINT) AS total FROM g GROUP BY lang),
+c AS (SELECT lang, words, phrase, n AS a, string_split(phrase, ' ') AS w FROM f WHERE words > 1 AND n >= {phrases.THRESHOLD}),
+s AS (SELECT lang, a, unnest(list_transform(range(1, words - size + 2), lambda b: array_to_string(w[b:b + size - 1], ' '))) AS phrase
+      FROM (SELECT *, unnest(range(2, words)) AS size FROM c)),
+m AS (SELECT lang, phrase, max(a) AS longer FROM s GROUP BY lang, phrase),
+x AS (SELECT c.*, unnest(range(1, words)) AS k FROM c LEFT JOIN m USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < {phrases.ABSORB_PERCENT} * a),
+y AS (SELECT x.lang, x.phrase, x.a, x.k, u.n AS l, v.n AS r, total FROM x
+      JOIN f u ON u.lang = x.lang AND u.phrase = array_to_string(x.w[1:x.k], ' ')
+      JOIN f v ON v.lang = x.lang AND v.phrase = array_to_string(x.w[x.k + 1:], ' ') JOIN n ON n.lang = x.lang),
+z AS (SELECT *, ({phrases.PER_MILLE} * a * total) // (l * r) AS score FROM y),
+b AS (SELECT * FROM z QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER best AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(total AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM b WINDOW best AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) QUALIFY row_number() OVER best <= {phrases.BEST}"""
+
+
+def _op12_sql() -> str:
+    hard = ", ".join(f"({c}, {t}, '{r}', '{x}')" for c, t, r, x in HARD_CONVERSATION)
+    escaped = lambda c: f"regexp_replace({c}, '<(\\\\*)\\|', '<\\\\\\1|', 'g')"
+    marks = len(chat.TURN) + len(chat.SAYS) + len(chat.END)
+    return f"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM (SELECT conv_id, turn, role, text FROM conversations UNION ALL VALUES {hard})),
+s AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS lines,
+        coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '') AS learnt,
+        sum({marks} + length({escaped('role')}) + length({escaped('text')})) AS chars FROM c GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(lines) AS turns_sha256, length(learnt) AS loss_chars, sha256(learnt) AS loss_sha256, CAST(chars AS BIGINT) AS formatted_chars FROM s"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filters": _op1_sql(), "op2_mixing": _op2_sql()}
+    return {"op1_url_filters": _op1_sql(), "op2_mixing": _op2_sql(), "op11_phrases": _op11_sql(), "op12_chat": _op12_sql()}
