@@ -93,7 +93,8 @@ HARD_CONVERSATION = [(-7, 0, "user", HARD_TEXT), (-7, 1, "assistant", HARD_TEXT)
 def op12_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Everything but conv_id is read back from the formatted text."""
     rows = _load(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    rows = rows.unionByName(spark.createDataFrame(HARD_CONVERSATION, "conv_id long, turn long, role string, text string"))
+    hard = [F.struct(F.lit(c).cast("long").alias("conv_id"), F.lit(t).cast("long").alias("turn"), F.lit(r).alias("role"), F.lit(x).alias("text")) for c, t, r, x in HARD_CONVERSATION]
+    rows = rows.unionByName(spark.range(1).select(F.inline(F.array(*hard))))
     done = chat.format_chats(rows)
     back = done.select("conv_id", "formatted", chat.read_turns(F.col("formatted")).alias("read"), chat.masked_text(F.col("formatted"), F.col("turns")).alias("learnt"))
     lines = F.array_join(F.transform("read", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")

@@ -34,7 +34,7 @@ def collected(spark, name):
 @pytest.mark.parametrize("name", sorted(Q.oracle_sql()))
 def test_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df = Q.queries()[name](spark, SF)
     cur = con.execute(Q.oracle_sql()[name])
