@@ -1,7 +1,7 @@
 """Secret scans: key-like strings by pattern and by entropy.
 
 Patterns find assignments, access keys and long hex runs. Candidate strings of each character class
-(hex, base32, base64) are further searched with a sliding window whose Shannon entropy is kept up to
+(hex, base32, base36 of one case, base64) are further searched with a sliding window whose Shannon entropy is kept up to
 date by incremental counts; windows above the class's threshold make a span, unless an allow-list
 pattern knows the string.
 """
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-KINDS = ("assign", "access", "hex", "entropy_hex", "entropy_base32", "entropy_base64")
+KINDS = ("assign", "access", "hex", "entropy_hex", "entropy_base32", "entropy_base64", "entropy_base36")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 #: One of these is in any text that has an assignment.
 ASSIGN_HINTS = ("passw", "secret", "token", "api")
@@ -29,6 +29,7 @@ CLASSES = (
     ("entropy_hex", re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{24,}(?![0-9A-Za-z])"), 24, 3.0, re.compile(r"(?=.*[0-9])(?=.*[A-Fa-f])")),
     ("entropy_base32", re.compile(r"(?<![A-Z2-7])[A-Z2-7]{24,}=*(?![0-9A-Za-z])"), 24, 3.4, re.compile(r"(?=.*[2-7])(?=.*[A-Z])")),
     ("entropy_base64", re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{24,}={0,2}"), 24, 4.0, re.compile(r"(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])")),
+    ("entropy_base36", re.compile(r"(?<![A-Za-z0-9])(?:[a-z0-9]{24,}|[A-Z0-9]{24,})(?![A-Za-z0-9])"), 24, 3.6, re.compile(r"(?=.*[0-9])(?=.*[g-zG-Z])")),
 )
 #: Strings that look random but are no secrets.
 ALLOW = tuple(re.compile(p) for p in (
@@ -47,14 +48,14 @@ def windows_above(text: str, width: int, least: float) -> Iterator[tuple[int, in
     counts: dict[str, int] = {}
     total, begin, end = 0.0, -1, -1
     for i, ch in enumerate(text):
-        c = counts.get(ch, 0)
-        total += cost[c + 1] - cost[c]
-        counts[ch] = c + 1
         if i >= width:
             old = text[i - width]
             c = counts[old]
             total += cost[c - 1] - cost[c]
             counts[old] = c - 1
+        c = counts.get(ch, 0)
+        total += cost[c + 1] - cost[c]
+        counts[ch] = c + 1
         if i >= width - 1 and math.log2(width) - total / width >= least - 1e-9:
             lo = i - width + 1
             if begin < 0:
