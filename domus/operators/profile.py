@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from domus.functions.scalar import inv_norm_cdf
+from domus.operators import gram as G
 from domus.operators.columns import nan_to_null
 from domus.operators.ranks import exact_quantiles, order_statistics
 from domus.session import ensure_checkpoint_dir
@@ -201,21 +202,58 @@ SUMS = ("n", "sx", "sy", "sxx", "syy", "sxy")
 
 
 def _pair_rows(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """place (of the pair in the list), n, mean_x, mean_y, cxx, cyy, cxy (centred moments): after the
-    pass for the means one aggregate for AGG_CHUNK / 6 pairs, then a row for each pair, so that the
-    statistics are short expressions. cxx or cyy of a constant column is 0."""
+    """place (of the pair in the list), n, mean_x, mean_y, cxx, cyy, cxy (centred moments) over the
+    rows that know both columns. cxx or cyy of a constant column is 0.
+
+    Two scans whatever the number of columns: the means, then products of the shifted columns and
+    of their masks of known values. Where a pair's own means lie so far from its columns' means that
+    digits were lost, the pair is summed again with shifts of its own."""
+    names = list(dict.fromkeys(c for pair in pairs for c in pair))
+    columns = [F.col(_q(c)) for c in names]
+    shift = G.column_means(df, columns)
+    sums = G.matrix_sums(df, columns, G.masked_products(shift)).get(0)
+    at = {c: i for i, c in enumerate(names)}
+    rows, again = [], []
+    for place, (x, y) in enumerate(pairs):
+        i, j = at[x], at[y]
+        n, sx, sy, sxx, syy, sxy = (0.0,) * 6 if sums is None else (float(v) for v in (
+            sums["n"][i, j], sums["x"][i, j], sums["x"][j, i], sums["xx"][i, j], sums["xx"][j, i], sums["xy"][i, j]))
+        if n:
+            cxx, cyy, cxy = sxx - sx * sx / n, syy - sy * sy / n, sxy - sx * sy / n
+            lost = (cxx < LOST * sxx and sxx > 0) or (cyy < LOST * syy and syy > 0)
+            if lost:
+                again.append((place, x, y))
+            rows.append((place, n, shift[i] + sx / n, shift[j] + sy / n, cxx if cxx > 1e-12 * sxx else 0.0, cyy if cyy > 1e-12 * syy else 0.0, cxy))
+        else:
+            rows.append((place, 0.0, None, None, None, None, None))
+    spark = df.sparkSession
+    schema = "place int, n double, mean_x double, mean_y double, cxx double, cyy double, cxy double"
+    if not again:
+        return spark.createDataFrame([tuple(None if v is None else float(v) if k else v for k, v in enumerate(r)) for r in rows], schema)
+    kept = {p for p, _, _ in again}
+    out = spark.createDataFrame([tuple(None if v is None else float(v) if k else v for k, v in enumerate(r)) for r in rows if r[0] not in kept], schema)
+    return out.unionByName(_pair_rows_again(df, again))
+
+
+#: A centred sum of squares below this part of the shifted one has lost digits worth summing again for.
+LOST = 1e-5
+
+
+def _pair_rows_again(df: DataFrame, placed: Sequence[tuple[int, str, str]]) -> DataFrame:
+    """:func:`_pair_rows` of few pairs, each shifted by its own means: after the pass for the means one
+    aggregate for AGG_CHUNK / 6 pairs, then a row for each pair."""
+    pairs = [(x, y) for _, x, y in placed]
     df, at = _known(df, [c for pair in pairs for c in pair])
     means, out, step = _pair_means(df, pairs, at), None, AGG_CHUNK // 6
     for lo in range(0, len(pairs), step):
         chunk = list(enumerate(pairs[lo:lo + step]))
         sums = df.agg(*[x for i, (a, b) in chunk for x in _pair_moments(at[a], at[b], *means[lo + i], str(i))])
-        rows = ", ".join(", ".join([str(lo + i), *[f"{c}{i}" for c in SUMS]]) for i, _ in chunk)
-        part = sums.selectExpr(f"stack({len(chunk)}, {rows}) AS (place, {', '.join(SUMS)})")
+        rows = ", ".join(", ".join([str(placed[lo + i][0]), f"double('{means[lo + i][0]!r}')", f"double('{means[lo + i][1]!r}')", *[f"{c}{i}" for c in SUMS]]) for i, _ in chunk)
+        part = sums.selectExpr(f"stack({len(chunk)}, {rows}) AS (place, shift_x, shift_y, {', '.join(SUMS)})")
         out = part if out is None else out.unionByName(part)
-    shift_x, shift_y = (_by_place(m) for m in zip(*means))
     centred = lambda s, a, b: F.col(s) - F.try_divide(F.col(a) * F.col(b), F.col("n"))
     zero = lambda v, s: F.when(v > F.lit(1e-12) * F.col(s), v).otherwise(F.lit(0.0))
-    return out.select("place", "n", (shift_x + F.try_divide("sx", "n")).alias("mean_x"), (shift_y + F.try_divide("sy", "n")).alias("mean_y"),
+    return out.select("place", "n", (F.col("shift_x") + F.try_divide("sx", "n")).alias("mean_x"), (F.col("shift_y") + F.try_divide("sy", "n")).alias("mean_y"),
                       zero(centred("sxx", "sx", "sx"), "sxx").alias("cxx"), zero(centred("syy", "sy", "sy"), "syy").alias("cyy"),
                       centred("sxy", "sx", "sy").alias("cxy"))
 
@@ -236,9 +274,8 @@ def _corr_rows(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
 def corr_long(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Pearson correlation for every ordered pair (F10), long form
     (var1, var2, r), pairwise-complete; the diagonal is 1; null where a
-    column is constant over the pair's rows. Plain shifted sums, the same for
-    any number of columns: a first pass for the means, then one pass for each
-    chunk of pairs."""
+    column is constant over the pair's rows. Two scans for any number of
+    columns."""
     cols = list(cols) if cols is not None else numeric_columns(df)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
     half = _corr_rows(df, pairs)
@@ -367,22 +404,23 @@ def density_by_category(df: DataFrame, category: str, value: str, points: int =
 
 def grid_heatmap(df: DataFrame, x: str, y: str, step: float, value: str | None = None) -> DataFrame:
     """Counts (and mean value) per grid cell of size ``step``."""
-    cx = F.floor(F.col(x) / F.lit(step)).cast("long").alias("cell_x")
-    cy = F.floor(F.col(y) / F.lit(step)).cast("long").alias("cell_y")
+    cx = F.floor(_num(x) / F.lit(step)).cast("long").alias("cell_x")
+    cy = F.floor(_num(y) / F.lit(step)).cast("long").alias("cell_y")
     aggs = [F.count(F.lit(1)).alias("count")]
     if value:
-        aggs.append(F.avg(F.col(value)).alias("mean_value"))
-    return df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(cx, cy).agg(*aggs)
+        aggs.append(F.avg(_num(value)).alias("mean_value"))
+    return df.where(_num(x).isNotNull() & _num(y).isNotNull()).groupBy(cx, cy).agg(*aggs)
 
 
 def scatter_bins(df: DataFrame, x: str, y: str, bins: int = 10) -> DataFrame:
-    """Two-variable point cloud as 2-D binned counts."""
-    r = df.agg(F.min(F.col(x)).cast("double"), F.max(F.col(x)).cast("double"),
-               F.min(F.col(y)).cast("double"), F.max(F.col(y)).cast("double")).first()
-    xl, xh, yl, yh = r[0], r[1], r[2], r[3]
-    d = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-    return d.groupBy(bin_index(F.col(x), xl, xh, bins).alias("bin_x"),
-                     bin_index(F.col(y), yl, yh, bins).alias("bin_y")).agg(F.count(F.lit(1)).alias("count"))
+    """Two-variable point cloud as 2-D binned counts over the rows that know
+    both (F22); no rows without any."""
+    both = df.select(_num(x).alias("x"), _num(y).alias("y")).na.drop()
+    xl, xh, yl, yh = both.agg(F.min("x"), F.max("x"), F.min("y"), F.max("y")).first()
+    if xl is None:
+        return df.sparkSession.createDataFrame([], "bin_x int, bin_y int, count long")
+    return both.groupBy(bin_index(F.col("x"), xl, xh, bins).alias("bin_x"),
+                        bin_index(F.col("y"), yl, yh, bins).alias("bin_y")).agg(F.count(F.lit(1)).alias("count"))
 
 
 def _ols_one_finish(rows: DataFrame) -> DataFrame:
@@ -397,9 +435,9 @@ def _ols_one_finish(rows: DataFrame) -> DataFrame:
 
 
 def _ols_rows(df: DataFrame, y: str, xs: Sequence[str]) -> DataFrame:
-    """column_name and one-predictor OLS for each x: shifted sums over the
-    complete (x, y) pairs, six for each column, in one pass after the pass for
-    the means. A constant column has null estimates."""
+    """column_name and one-predictor OLS for each x over the complete (x, y)
+    pairs, in one pass after the pass for the means. A constant column has
+    null estimates."""
     slope, cxy = F.try_divide(F.col("cxy"), F.col("cxx")), F.col("cxy")
     rows = _pair_rows(df, [(c, y) for c in xs]).select(
         _by_place(list(xs)).alias("column_name"), F.col("n").cast("long").alias("n"), slope.alias("slope"), (F.col("mean_y") - slope * F.col("mean_x")).alias("intercept"),
@@ -436,12 +474,15 @@ def last_wins(df: DataFrame, key: str, value: str, order: Sequence[str]) -> Data
 def residual_bins(df: DataFrame, label: str, prediction: str, bins: int = 10,
                   split: str | None = None, by: str | None = None) -> DataFrame:
     """Residual (prediction − label) summary per prediction bin (or bin of
-    column ``by``) and split (F21)."""
+    column ``by``) and split (F21). Rows without a prediction have no bin;
+    a missing label counts in ``n`` only."""
     by = by or prediction
+    df = df.where(_num(prediction).isNotNull() & _num(by).isNotNull())
     lo, hi = minmax(df, by)
-    r = F.col(prediction).cast("double") - F.col(label).cast("double")
+    lo, hi = (0.0, 0.0) if lo is None else (lo, hi)
+    r = _num(prediction) - _num(label)
     keys = [split] if split else []
-    return (df.where(_num(prediction).isNotNull() & _num(by).isNotNull()).groupBy(*keys, bin_index(F.col(by), lo, hi, bins).alias("bin"))
+    return (df.groupBy(*keys, bin_index(_num(by), lo, hi, bins).alias("bin"))
             .agg(F.count(F.lit(1)).alias("n"), F.avg(r).alias("mean_residual"), F.stddev_samp(r).alias("sd_residual")))
 
 
@@ -459,12 +500,12 @@ def zscore_tails(df: DataFrame, value: str, key: str, k: int = 10) -> DataFrame:
     return low.unionByName(high)
 
 
-def qq_points(df: DataFrame, value: str, buckets: int = 64) -> DataFrame:
+def qq_points(df: DataFrame, value: str) -> DataFrame:
     """Normal probability-plot points (G4): the i-th order statistic against
     the standard-normal quantile at Filliben's position
     m_n = 0.5^(1/n), m_1 = 1 − m_n, m_i = (i − 0.3175)/(n + 0.365).
     Ranks come from :func:`order_statistics` (no one-task window)."""
-    os = order_statistics(df, value, (), buckets)
+    os = order_statistics(df, value)
     i = F.col("rank").cast("double")
     n = F.col("n").cast("double")
     mn = F.pow(F.lit(0.5), 1 / n)
@@ -473,8 +514,14 @@ def qq_points(df: DataFrame, value: str, buckets: int = 64) -> DataFrame:
     return os.select("rank", inv_norm_cdf(m).alias("osm"), F.col(value).alias("osr"))
 
 
-def qq_fit(df: DataFrame, value: str, buckets: int = 64) -> DataFrame:
-    """Least-squares line through the QQ points: slope, intercept, r."""
-    p = qq_points(df, value, buckets)
-    return p.agg(F.regr_slope("osr", "osm").alias("slope"), F.regr_intercept("osr", "osm").alias("intercept"),
-                 F.corr("osr", "osm").alias("r"), F.count(F.lit(1)).alias("n"))
+def qq_fit(df: DataFrame, value: str) -> DataFrame:
+    """Least-squares line through the QQ points: slope, intercept, r (G4). A
+    single point has no line and a constant column no r (null)."""
+    p = qq_points(df, value)
+    sums = p.agg(F.count(F.lit(1)).alias("n"), F.avg("osm").alias("mx"), F.avg("osr").alias("my"), F.min("osr").alias("lo"), F.max("osr").alias("hi"),
+                 F.var_pop("osm").alias("vx"), F.var_pop("osr").alias("vy"), F.covar_pop("osm", "osr").alias("c"))
+    flat = F.col("lo") == F.col("hi")
+    slope = F.when(flat, F.when(F.col("vx") > 0, F.lit(0.0))).otherwise(F.try_divide("c", F.col("vx")))
+    sums = sums.withColumn("slope", slope)
+    return sums.select("slope", (F.col("my") - F.col("slope") * F.col("mx")).alias("intercept"),
+                       F.when(~flat, F.try_divide(F.col("c"), F.sqrt("vx") * F.sqrt("vy"))).alias("r"), "n")

@@ -1,145 +1,151 @@
-"""Distributed order statistics without a one-partition window.
-
-A global ``row_number()`` over an unpartitioned window pulls every row into
-one task. Here ranks are built from *counts per distinct value*:
-
-1. ``groupBy(group, value).count()`` — partial aggregation, so a value that
-   holds a third of all rows collapses to one row map-side;
-2. the distinct values are cut into buckets at approximate quantiles of a
-   sample of the values (a bounded list of cut points; a hot value is one
-   distinct row, so no bucket is hot); each bucket is ranked by a window
-   partitioned by (group, bucket), and bucket offsets come from a tiny
-   per-bucket count table;
-3. each distinct value then knows the 0-based rank of its first row
-   (``start``) and its multiplicity (``cnt``).
-
-From that, exact quantiles pick the values at the needed ranks (no row
-expansion at all), and order statistics (QQ points) expand each value to its
-ranks in chunks of bounded size, spread over the cluster by a repartition.
-Cut points are computed once (an action) and become literals, so the plan is
-deterministic and a retried task recomputes the same answer."""
+"""Distributed order statistics: exact selection by digits, global ranks by a sample sort.
+
+*Selection* (:func:`exact_quantiles`): a double becomes a whole number of the same order (its bits),
+and that number is read 16 bits at a time. A pass counts the rows of each digit behind the digits
+already known, in a partial aggregate (at most 65,536 counts for each wanted place), and the counts
+tell which digit holds the wanted rank. Rows are never exchanged, no sample and no cut points are
+needed, and columns of any scale share the passes. Four passes at most; a pass takes all digits that
+are left once few rows stand behind the known ones.
+
+*Ranks* (:func:`distinct_value_ranks`): rows are counted by distinct value, the distinct values are
+range-partitioned (``repartitionByRange``) and sorted inside partitions; running counts inside a
+partition plus the sums of the partitions before it give each value its global rank. The sorted
+partitions are written to the shared folder first, so partition numbers stay what they were."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from domus.session import ensure_checkpoint_dir
 
+DIGIT_BITS = 16
+#: Places with at most so many rows behind them are read to the end in one pass.
+FEW_ROWS = 1 << DIGIT_BITS
+#: Tables of at most so many rows are broadcast.
+BROADCAST_ROWS = 100_000
+#: Distinct values of a sorted partition, at a guess.
+PART_VALUES = 1_000_000
 
-def _cut_points(values: DataFrame, value: str, buckets: int, sample_fraction: float) -> list[float]:
-    """Approximate quantiles of a deterministic sample of the raw values.
-
-    Cut points only balance the buckets (correctness never depends on
-    them), so a sample is enough; a value repeated in many cut points (a hot
-    value) collapses into one bucket boundary."""
-    if buckets <= 1:
-        return []
-    probs = [i / buckets for i in range(1, buckets)]
-    sample = values if sample_fraction >= 1 else values.sample(False, sample_fraction, seed=17)
-    cuts = sample.approxQuantile(value, probs, 0.5 / buckets)
-    out: list[float] = []
-    for c in cuts:
-        if c is None:
-            continue
-        if not out or c > out[-1]:
-            out.append(float(c))
-    return out
-
-
-def distinct_value_ranks(df: DataFrame, value: str, groups: Sequence[str] = (),
-                         buckets: int = 64, sample_fraction: float = 0.02) -> DataFrame:
-    """One row per (groups, distinct non-null value): ``cnt`` rows with that
-    value, ``start`` = rows of the group with a smaller value, ``n`` = rows
-    of the group (non-null values only)."""
-    g = list(groups)
-    vals = (df.select(*g, F.col(value).cast("double").alias("__v"))
-            .where(F.col("__v").isNotNull() & ~F.isnan("__v")))
-    counts = vals.groupBy(*g, "__v").agg(F.count(F.lit(1)).alias("cnt"))
-    cuts = _cut_points(vals, "__v", buckets, sample_fraction)
-    splits = [float("-inf")] + cuts + [float("inf")]
-    if len(splits) > 2:
-        b = Bucketizer(splits=splits, inputCol="__v", outputCol="__b", handleInvalid="keep")
-        counts = b.transform(counts)
-    else:
-        counts = counts.withColumn("__b", F.lit(0.0))
-    # per-(group, bucket) totals: at most groups x buckets rows
-    per_bucket = counts.groupBy(*g, "__b").agg(F.sum("cnt").alias("__bcnt"))
-    wb = Window.partitionBy(*g).orderBy("__b") if g else Window.orderBy("__b")
-    per_bucket = (per_bucket
-                  .withColumn("__boff", F.sum("__bcnt").over(wb.rowsBetween(Window.unboundedPreceding, -1)))
-                  .withColumn("n", F.sum("__bcnt").over(Window.partitionBy(*g) if g else Window.partitionBy()))
-                  .select(*g, "__b", F.coalesce("__boff", F.lit(0)).alias("__boff"), "n"))
-    wv = Window.partitionBy(*g, "__b").orderBy("__v").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = counts.withColumn("__inb", F.coalesce(F.sum("cnt").over(wv), F.lit(0)))
-    out = ranked.join(per_bucket, [*g, "__b"], "inner")
-    return out.select(*g, F.col("__v").alias(value), "cnt",
-                      (F.col("__boff") + F.col("__inb")).alias("start"), "n")
-
-
-def _bucketize(vals: DataFrame, cuts: list[float]) -> DataFrame:
-    splits = [float("-inf")] + cuts + [float("inf")]
-    if len(splits) > 2:
-        return Bucketizer(splits=splits, inputCol="__v", outputCol="__b", handleInvalid="keep").transform(vals)
-    return vals.withColumn("__b", F.lit(0.0))
-
-
-def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], groups: Sequence[str] = (),
-                    buckets: int = 64, sample_fraction: float = 0.02) -> DataFrame:
-    """Quantiles with linear interpolation between order statistics (the
-    pandas / ``percentile_cont`` rule), exact, one row per (groups, prob)
-    with column ``q``. Never gathers a group into one task.
-
-    Only the buckets that hold a wanted rank are ranked:
-
-    1. rows per (group, bucket) — one pass, tiny result; bucket offsets by a
-       window over that small table;
-    2. each wanted rank (⌊h⌋ and ⌈h⌉ of h = (n−1)p) is located in its bucket;
-    3. the rows of those buckets only are counted per distinct value (a hot
-       value collapses map-side) and ranked inside their bucket."""
+
+def order_code(c: Column) -> Column:
+    """A whole number that orders doubles as they are (0.0 and -0.0 alike): sign, exponent and
+    mantissa put together by exact arithmetic. Null stays null; NaN has no place, take it out before."""
+    a = F.abs(c.cast("double"))
+    e0 = F.greatest(F.floor(F.log2(a)), F.lit(-1022))
+    # the logarithm may be off by one beside a power of two
+    e1 = F.when(a / F.pow(F.lit(2.0), e0) >= 2.0, e0 + 1).when(a < F.pow(F.lit(2.0), e0), e0 - 1).otherwise(e0)
+    e = F.least(F.greatest(e1, F.lit(-1022)), F.lit(1023))
+    whole = float(2**52)
+    small = (a / F.lit(2.0**-1074)).cast("long")
+    mantissa = ((a / F.pow(F.lit(2.0), e) - 1.0) * F.lit(whole)).cast("long")
+    code = (F.when(a == 0.0, F.lit(0)).when(a == float("inf"), F.lit(2047 << 52)).when(a < 2.0**-1022, small)
+            .otherwise((e + 1023).cast("long") * F.lit(2**52) + mantissa))
+    return F.when(c < 0, -code).otherwise(code)
+
+
+def code_value(code: Column) -> Column:
+    """The double of an :func:`order_code`."""
+    a = F.abs(code)
+    field = F.shiftright(a, 52)
+    rest = a.bitwiseAND(F.lit(2**52 - 1)).cast("double")
+    value = (F.when(field == 2047, F.lit(float("inf"))).when(field == 0, rest * F.lit(2.0**-1074))
+             .otherwise(F.pow(F.lit(2.0), (field - 1023).cast("double")) * (1.0 + rest / float(2**52))))
+    return F.when(code < 0, -value).otherwise(value)
+
+
+def _known_values(df: DataFrame, value: str, g: Sequence[str]) -> DataFrame:
+    return (df.select(*g, F.col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull() & ~F.isnan("__v")))
+
+
+def _over(g: Sequence[str], *more: str):
+    keys = [*g, *more]
+    return Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+
+
+def _same(a: DataFrame, b: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on keys that may be null (a null group is a group)."""
+    b = b.select(*[F.col(c).alias("__r_" + c) if c in keys else F.col(c) for c in b.columns])
+    on = [a[c].eqNullSafe(b["__r_" + c]) for c in keys]
+    return a.join(b, on, how).drop(*["__r_" + c for c in keys])
+
+
+def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], groups: Sequence[str] = ()) -> DataFrame:
+    """Quantiles with linear interpolation between order statistics (the pandas / ``percentile_cont``
+    rule), exact, one row per (groups, prob) with column ``q``. Null and NaN values are left out; a
+    group without any has no row.
+
+    Each pass is one scan with a partial aggregate. What is wanted (2 places for each prob and group)
+    is counted and broadcast up to ``BROADCAST_ROWS`` places; for more groups than that Spark joins it."""
+    ensure_checkpoint_dir(df.sparkSession)
     g = list(groups)
-    vals = (df.select(*g, F.col(value).cast("double").alias("__v"))
-            .where(F.col("__v").isNotNull() & ~F.isnan("__v")))
-    cuts = _cut_points(vals, "__v", buckets, sample_fraction)
-    vb = _bucketize(vals, cuts)
-    per_bucket = vb.groupBy(*g, "__b").agg(F.count(F.lit(1)).alias("__bcnt"))
-    wb = Window.partitionBy(*g).orderBy("__b") if g else Window.orderBy("__b")
-    per_bucket = (per_bucket
-                  .withColumn("__boff", F.coalesce(F.sum("__bcnt").over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-                  .withColumn("n", F.sum("__bcnt").over(Window.partitionBy(*g) if g else Window.partitionBy())))
-    # wanted ranks (0-based) per group and prob, located in their bucket:
-    # every per-bucket row expands to the 2·len(probs) candidate ranks of its
-    # group and keeps those that fall inside it (no join needed)
-    located = per_bucket.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-    located = located.withColumn("__h", (F.col("n") - 1) * F.col("prob")).withColumn("t", F.explode(F.array(
-        F.struct(F.lit(0).alias("side"), F.floor("__h").alias("r")),
-        F.struct(F.lit(1).alias("side"), F.ceil("__h").alias("r")))))
-    located = located.where((F.col("t.r") >= F.col("__boff")) & (F.col("t.r") < F.col("__boff") + F.col("__bcnt")))
-    located = located.select(*g, "prob", "__h", F.col("t.side").alias("side"), "__b",
-                             (F.col("t.r") - F.col("__boff")).alias("__rin"))
-    # at most 2·len(probs) rows per group, used twice below: materialise it
-    # once (shared checkpoint folder) instead of recomputing the bucket counts
+    codes = _known_values(df, value, g).select(*g, order_code(F.col("__v")).alias("__code"))
+    shift = 64 - DIGIT_BITS
+    first = codes.groupBy(*g, F.shiftright("__code", shift).alias("__at")).agg(F.count(F.lit(1)).alias("cnt"))
+    running = _over(g).orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
+    counted = first.withColumn("start", F.coalesce(F.sum("cnt").over(running), F.lit(0))).withColumn("n", F.sum("cnt").over(_over(g)))
+    wanted = counted.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
+    wanted = wanted.withColumn("h", (F.col("n") - 1) * F.col("prob")).withColumn("t", F.explode(F.array(
+        F.struct(F.lit(0).alias("side"), F.floor("h").alias("r")), F.struct(F.lit(1).alias("side"), F.ceil("h").alias("r")))))
+    wanted = wanted.where((F.col("t.r") >= F.col("start")) & (F.col("t.r") < F.col("start") + F.col("cnt")))
+    wanted = wanted.select(*g, "prob", "h", F.col("t.side").alias("side"), "__at", (F.col("t.r") - F.col("start")).alias("r"), "cnt").checkpoint(eager=True)
+    while shift > 0:
+        size = wanted.agg(F.max("cnt"), F.count(F.lit(1))).first()
+        if not size[1]:
+            break
+        deeper = 0 if size[0] <= FEW_ROWS else max(0, shift - DIGIT_BITS)
+        places = wanted.select(*g, "__at").distinct()
+        places = F.broadcast(places) if size[1] <= BROADCAST_ROWS else places
+        inside = _same(codes.withColumn("__at", F.shiftright("__code", shift)), places, [*g, "__at"], "left_semi")
+        counts = inside.groupBy(*g, "__at", F.shiftright("__code", deeper).alias("__next")).agg(F.count(F.lit(1)).alias("__cnt"))
+        running = _over(g, "__at").orderBy("__next").rowsBetween(Window.unboundedPreceding, -1)
+        counts = counts.withColumn("__start", F.coalesce(F.sum("__cnt").over(running), F.lit(0)))
+        found = _same(counts, F.broadcast(wanted) if size[1] <= BROADCAST_ROWS else wanted, [*g, "__at"], "inner")
+        found = found.where((F.col("r") >= F.col("__start")) & (F.col("r") < F.col("__start") + F.col("__cnt")))
+        wanted = found.select(*g, "prob", "h", "side", F.col("__next").alias("__at"), (F.col("r") - F.col("__start")).alias("r"), F.col("__cnt").alias("cnt")).checkpoint(eager=True)
+        shift = deeper
+    v = code_value(F.col("__at"))
+    agg = wanted.groupBy(*g, "prob", "h").agg(F.max(F.when(F.col("side") == 0, v)).alias("__xl"), F.max(F.when(F.col("side") == 1, v)).alias("__xh"))
+    frac = F.col("h") - F.floor("h")
+    between = F.when(F.col("__xl") == F.col("__xh"), F.col("__xl")).otherwise(F.col("__xl") + (F.col("__xh") - F.col("__xl")) * frac)
+    return agg.select(*g, "prob", between.alias("q"))
+
+
+def distinct_value_ranks(df: DataFrame, value: str, groups: Sequence[str] = (), part_values: int = PART_VALUES) -> DataFrame:
+    """One row per (groups, distinct non-null value): ``cnt`` rows with that value, ``start`` = rows of
+    the group with a smaller value, ``n`` = rows of the group (null and NaN values left out). The
+    number of sorted partitions follows the number of distinct values."""
     ensure_checkpoint_dir(df.sparkSession)
-    located = located.checkpoint(eager=True)
-    wanted = located.select(*g, "__b").distinct()
-    # rank inside the wanted buckets only, by counts per distinct value
-    dv = (vb.join(wanted, [*g, "__b"], "left_semi")
-          .groupBy(*g, "__b", "__v").agg(F.count(F.lit(1)).alias("cnt")))
-    wv = Window.partitionBy(*g, "__b").orderBy("__v").rowsBetween(Window.unboundedPreceding, -1)
-    dv = dv.withColumn("start", F.coalesce(F.sum("cnt").over(wv), F.lit(0)))
-    hit = located.join(dv, [*g, "__b"], "inner").where(
-        (F.col("__rin") >= F.col("start")) & (F.col("__rin") < F.col("start") + F.col("cnt")))
-    agg = hit.groupBy(*g, "prob", "__h").agg(
-        F.max(F.when(F.col("side") == 0, F.col("__v"))).alias("__xl"),
-        F.max(F.when(F.col("side") == 1, F.col("__v"))).alias("__xh"))
-    frac = F.col("__h") - F.floor("__h")
-    return agg.select(*g, "prob", (F.col("__xl") + (F.col("__xh") - F.col("__xl")) * frac).alias("q"))
-
-
-def order_statistics(df: DataFrame, value: str, groups: Sequence[str] = (), buckets: int = 64,
+    spark = df.sparkSession
+    g = list(groups)
+    counts = _known_values(df, value, g).groupBy(*g, "__v").agg(F.count(F.lit(1)).alias("cnt")).checkpoint(eager=True)
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-counts.count() // part_values))
+    ordered = counts.repartitionByRange(parts, *g, "__v").sortWithinPartitions(*g, "__v").withColumn("__part", F.spark_partition_id())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done = 0
+        for b in batches:
+            cnt = b.column("cnt").to_numpy()
+            ends = done + np.cumsum(cnt)
+            done = int(ends[-1]) if len(ends) else done
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ends - cnt, pa.int64())], names=[*b.schema.names, "__in"])
+
+    placed = ordered.mapInArrow(run, T.StructType([*ordered.schema.fields, T.StructField("__in", T.LongType())])).checkpoint(eager=True)
+    # a row for each group in each partition that has it
+    sums = placed.groupBy(*g, "__part").agg(F.min("__in").alias("__from"), F.sum("cnt").alias("__sum"))
+    before = _over(g).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(*g, "__part", "__from", F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias("__before"), F.sum("__sum").over(_over(g)).alias("n")).checkpoint(eager=True)
+    sums = F.broadcast(sums) if sums.count() <= BROADCAST_ROWS else sums
+    out = _same(placed, sums, [*g, "__part"], "inner")
+    return out.select(*g, F.col("__v").alias(value), "cnt", (F.col("__before") + F.col("__in") - F.col("__from")).alias("start"), "n")
+
+
+def order_statistics(df: DataFrame, value: str, groups: Sequence[str] = (), part_values: int = PART_VALUES,
                      chunk: int = 100_000) -> DataFrame:
     """Every non-null value with its 1-based rank within its group (ties get
     consecutive ranks), plus ``n``. A value repeated ``cnt`` times is
@@ -147,7 +153,7 @@ def order_statistics(df: DataFrame, value: str, groups: Sequence[str] = (), buck
     repartition before the final expansion, so a hot value is generated by
     many tasks."""
     g = list(groups)
-    dv = distinct_value_ranks(df, value, g, buckets)
+    dv = distinct_value_ranks(df, value, g, part_values)
     nchunks = F.ceil(F.col("cnt") / F.lit(chunk)).cast("long")
     ch = dv.withColumn("__c", F.explode(F.sequence(F.lit(0).cast("long"), nchunks - 1)))
     ch = ch.repartition(*g, value, "__c")
