@@ -22,9 +22,9 @@ def fingerprint(key: ColumnOrName, price: ColumnOrName, sep: str = "-") -> Colum
 
     The price is cast to a whole number before it becomes text, so ``570000``
     and ``570000.0`` give the same fingerprint. ``concat`` (not ``concat_ws``)
-    is used on purpose: a null price gives a null fingerprint, which change
-    detection treats as "always changed"."""
-    return F.concat(_c(key).cast("string"), F.lit(sep), _c(price).cast("bigint").cast("string"))
+    is used on purpose: a null price (or one beyond a bigint) gives a null
+    fingerprint, which change detection treats as "always changed"."""
+    return F.concat(_c(key).cast("string"), F.lit(sep), _c(price).try_cast("bigint").cast("string"))
 
 
 def search_key(*parts: ColumnOrName) -> Column:
@@ -54,10 +54,10 @@ def price_after_currency(c: ColumnOrName, currencies: Sequence[str] = CURRENCIES
     and stops at the decimal point (``CHF 570,000.—`` → 570000); an amount
     without the ``.—`` suffix keeps all its digits. A space separates
     thousands only before three digits (``CHF 1 234 000``, not ``CHF 5 20``);
-    null when no digit follows the marker."""
+    null when no digit follows the marker, or more than a bigint holds."""
     pat = "(?:" + "|".join(currencies) + r")\s*([0-9](?:[0-9]|[,'’][0-9]|[ \u00a0][0-9]{3}(?![0-9]))*)"
     run = F.regexp_extract(_c(c), pat, 1)
-    return F.nullif(F.regexp_replace(run, r"[^0-9]", ""), F.lit("")).cast("bigint")
+    return F.nullif(F.regexp_replace(run, r"[^0-9]", ""), F.lit("")).try_cast("bigint")
 
 
 def run_date_text(ts: ColumnOrName) -> Column:

@@ -308,8 +308,8 @@ def ridge_cv(df: DataFrame, label: str, features: Sequence[str], alphas: Sequenc
     idx = list(range(1, len(features) + 1))
     rows = []
     for a in alphas:
-        rm = [math.sqrt(gf.sse(idx, (total - gf).fit(idx, a)) / gf.n) for _, gf in sorted(per.items())]
-        rows.append((float(a), float(np.mean(rm)), len(rm)))
+        rm = [math.sqrt(gf.sse(idx, (total - gf).fit(idx, a)) / gf.n) for _, gf in sorted(per.items()) if gf.n and (total - gf).n]
+        rows.append((float(a), float(np.mean(rm)) if rm else None, len(rm)))
     return df.sparkSession.createDataFrame(rows, "alpha double, rmse double, folds int")
 
 

@@ -187,6 +187,44 @@ def stream_upsert(spark, sf):
     return read_bucketed(spark, table).select(*COLS)
 
 
+@query("stream_restart", ids="K1 B7", sql=UPSERT_SQL)
+def stream_restart(spark, sf):
+    """The drops arrive in two landing folders, read by two streams with a checkpoint each over the
+    same table; the second one starts from nothing and loses nothing, and the first, started again,
+    merges nothing twice. Buckets are small, so the table splits as it grows."""
+    base = scratch_path(spark, "stream_restart")
+    write_bucketed(stored_orders(spark, sf), f"{base}/table", "o_orderkey", 2_000)
+    docs = _as_docs(incoming_orders(spark, sf))
+    for i in (0, 1):
+        write_json_drops(docs.where(F.col("year") % 2 == i), f"{base}/landing{i}", mode="overwrite")
+    for i in (0, 1, 0):
+        ingest_drops(spark, f"{base}/landing{i}", _doc_schema(), f"{base}/table", "o_orderkey", "price", f"{base}/checkpoint{i}", ["o_orderdate"],
+                     prepare=_from_flat, files_per_batch=None, bucketed=True, rows_per_bucket=2_000)
+    return read_bucketed(spark, f"{base}/table").select(*COLS)
+
+
+@query("stream_evolve", ids="B1 B7 K1 A4", sql="""
+WITH b AS (SELECT c_custkey AS id, CAST(floor(c_acctbal) AS BIGINT) AS price, c_mktsegment AS segment FROM customer WHERE c_custkey % 3 <> 0),
+s AS (SELECT o_custkey AS id, CAST(round(o_totalprice) AS BIGINT) AS price, o_orderstatus AS status, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders),
+d AS (SELECT * FROM s WHERE rn = 1)
+SELECT coalesce(d.id, b.id) AS id, coalesce(d.price, b.price) AS price, b.segment, CASE WHEN b.price IS NULL OR d.price <> b.price THEN d.status END AS status
+FROM b FULL JOIN d ON b.id = d.id""")
+def stream_evolve(spark, sf):
+    """A table that starts cold with customers (a segment, no status), then a drop of their latest
+    orders that lacks the segment and brings a status: old rows keep their segment, new ones have
+    none, and the price's type widens."""
+    base = scratch_path(spark, "stream_evolve")
+    c = load(spark, sf, "customer").where("c_custkey % 3 <> 0").select(
+        F.col("c_custkey").alias("id"), F.floor("c_acctbal").cast("int").alias("price"), F.col("c_mktsegment").alias("segment"), F.lit(0).alias("at"))
+    o = load(spark, sf, "orders").select(F.col("o_custkey").alias("id"), F.round("o_totalprice").cast("bigint").alias("price"), F.col("o_orderstatus").alias("status"),
+                                         F.date_format("o_orderdate", "yyyyMMddHHmmss").cast("bigint").alias("at"), F.col("o_orderkey").alias("number"))
+    for i, (df, order) in enumerate([(c, ["at"]), (o, ["at", "number"])]):
+        write_json_drops(df, f"{base}/landing{i}", mode="overwrite")
+        ingest_drops(spark, f"{base}/landing{i}", df.schema, f"{base}/table", "id", "price", f"{base}/checkpoint{i}", order,
+                     files_per_batch=None, bucketed=True, rows_per_bucket=300)
+    return read_bucketed(spark, f"{base}/table").select("id", "price", "segment", "status")
+
+
 def _customer_docs(spark, sf) -> DataFrame:
     """Drops that repeat ids: an order is a sighting of its customer's price;
     every 50th sighting has no id."""

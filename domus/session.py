@@ -75,3 +75,32 @@ def list_dir(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(p):
         return []
     return [st.getPath().getName() for st in fs.listStatus(p)]
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file, through Hadoop's FileSystem."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    stream = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small text file whole or not at all: written beside its place and renamed. False if
+    the file is there already."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    fs = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    beside = jvm.org.apache.hadoop.fs.Path(f"{path.rsplit('/', 1)[0]}/.{uuid.uuid4().hex}")
+    stream = fs.create(beside, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if not fs.exists(place) and fs.rename(beside, place):
+        return True
+    fs.delete(beside, False)
+    return False

@@ -13,10 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from domus.operators.cdc import changed_or_new_unique, prepare_source, upsert
+from domus.operators.cdc import prepare_source, upsert
 from domus.session import list_dir, path_exists
-
-VERSION_PREFIX = "version="
+from domus.sinks.buckets import VERSION_PREFIX, merge_bucketed, read_bucketed, write_bucketed  # noqa: F401
 
 
 def overwrite_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -123,104 +122,3 @@ def upsert_table(spark: SparkSession, source: DataFrame, path: str, key: str,
         return write_version(prepare_source(source, key, dedupe, order_by), path)
     target = read_table_or_empty(spark, path)
     return write_version(upsert(target, source, key, dedupe, order_by, materialize=True), path)
-
-
-# ------------------------------------------------------------ bucketed tables
-
-BUCKET_COL = "_bucket"
-BUCKETS_PREFIX = "buckets="
-ROWS_PER_BUCKET = 1_000_000
-
-
-def bucket_of(key: str, buckets: int) -> Column:
-    """Stable bucket of a key: ``pmod(xxhash64(key), buckets)``; rows without
-    a key are spread over all buckets by their content."""
-    return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
-
-
-def _with_bucket(df: DataFrame, key: str, buckets: int) -> DataFrame:
-    whole = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(buckets)).cast("int")
-    return df.withColumn(BUCKET_COL, F.when(F.col(key).isNull(), whole).otherwise(bucket_of(key, buckets)))
-
-
-def _bucketed_base(spark: SparkSession, path: str) -> tuple[str, int] | None:
-    for name in list_dir(spark, path):
-        if name.startswith(BUCKETS_PREFIX):
-            return f"{path}/{name}", int(name[len(BUCKETS_PREFIX):])
-    return None
-
-
-def _write_buckets(df: DataFrame, key: str, base: str, buckets: int, version: int) -> None:
-    (_with_bucket(df, key, buckets).repartition(BUCKET_COL).write.mode("overwrite").partitionBy(BUCKET_COL)
-     .parquet(f"{base}/{VERSION_PREFIX}{version:06d}"))
-
-
-def write_bucketed(df: DataFrame, path: str, key: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
-    """Write version 0 of a table split by a hash bucket of its key, so that
-    later merges rewrite only the buckets they touch. The number of buckets
-    follows from the row count (one count job) and stands in the folder's
-    name; it is returned."""
-    buckets = max(1, -(-df.count() // rows_per_bucket))
-    _write_buckets(df, key, f"{path}/{BUCKETS_PREFIX}{buckets}", buckets, 0)
-    return buckets
-
-
-def _bucket_paths(spark: SparkSession, base: str, below: int | None) -> dict[int, str]:
-    """Newest committed folder of each bucket, among versions before ``below``."""
-    out: dict[int, str] = {}
-    for v in _versions(spark, base):
-        p = f"{base}/{VERSION_PREFIX}{v:06d}"
-        if (below is None or v < below) and path_exists(spark, p + "/_SUCCESS"):
-            for name in list_dir(spark, p):
-                if name.startswith(BUCKET_COL + "="):
-                    out[int(name[len(BUCKET_COL) + 1:])] = f"{p}/{name}"
-    return out
-
-
-def read_bucketed(spark: SparkSession, path: str, below: int | None = None,
-                  only: Sequence[int] | None = None) -> DataFrame | None:
-    """The table as of the newest version (before ``below``), or its buckets
-    ``only``; None if there is nothing to read."""
-    found = _bucketed_base(spark, path)
-    paths = _bucket_paths(spark, found[0], below) if found else {}
-    wanted = [p for b, p in sorted(paths.items()) if only is None or b in set(only)]
-    return spark.read.parquet(*wanted) if wanted else None
-
-
-def merge_bucketed(spark: SparkSession, source: DataFrame, path: str, key: str, version: int,
-                   dedupe: str = "latest", order_by: Sequence[str] = (), price: str | None = None,
-                   rows_per_bucket: int = ROWS_PER_BUCKET) -> list[int]:
-    """Upsert ``source`` into a bucketed table as version ``version`` (B7 at
-    scale: a small drop into a huge table does not rewrite the table). A
-    table that does not exist yet is started with the prepared source.
-
-    The new version holds the touched buckets only; a bucket's content is
-    that of the newest committed version that has it. Nothing is replaced in
-    place: a version counts once its ``_SUCCESS`` marker exists, and a merge
-    reads older versions only, so running it again (after a stop at any
-    point, or of a batch that was already merged) writes the same version
-    again, rows without a key included.
-
-    ``price`` first drops the source rows that change nothing (E1)."""
-    source = prepare_source(source, key, dedupe, order_by).persist()
-    try:
-        found = _bucketed_base(spark, path)
-        if found is None or not _bucket_paths(spark, found[0], version):
-            buckets = found[1] if found else max(1, -(-source.count() // rows_per_bucket))
-            _write_buckets(source, key, f"{path}/{BUCKETS_PREFIX}{buckets}", buckets, version)
-            return list(range(buckets))
-        base, buckets = found
-        # at most ``buckets`` integers come back
-        touched = sorted(r[0] for r in _with_bucket(source, key, buckets).select(BUCKET_COL).distinct().collect())
-        if not touched:
-            return []
-        target = read_bucketed(spark, path, version, touched)
-        if target is None:
-            _write_buckets(source, key, base, buckets, version)
-            return touched
-        if price is not None:
-            source = changed_or_new_unique(source, target, key, price).drop("fingerprint")
-        _write_buckets(upsert(target, source, key, "none"), key, base, buckets, version)
-        return touched
-    finally:
-        source.unpersist()

@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from domus.operators.cdc import changed_or_new_unique, upsert
@@ -91,9 +92,9 @@ def test_bucketed_merge_writes_only_touched_buckets(spark, tmp):
     base = spark.range(0, 1000).select(F.col("id").cast("string").alias("id"), (F.col("id") * 2).alias("price"))
     assert write_bucketed(base, f"{tmp}/t", "id", rows_per_bucket=63) == 16
     src = spark.createDataFrame([("5", 1), ("2000", 7), (None, 3)], "id string, price bigint")
-    touched = merge_bucketed(spark, src, f"{tmp}/t", "id", 1, order_by=["price"], price="price")
+    touched = merge_bucketed(spark, src, f"{tmp}/t", "id", order_by=["price"], price="price", rows_per_bucket=500)
     assert 1 <= len(touched) <= 3
-    assert len([d for d in os.listdir(f"{tmp}/t/buckets=16/version=000001") if d.startswith("_bucket")]) == len(touched)
+    assert len([d for d in os.listdir(f"{tmp}/t/version=000001") if d.startswith("_bucket")]) == len(touched)
     got = {r["id"]: r["price"] for r in read_bucketed(spark, f"{tmp}/t").collect()}
     assert len(got) == 1002 and got["5"] == 1 and got["2000"] == 7 and got["6"] == 12 and got[None] == 3
 
@@ -105,18 +106,60 @@ def test_a_stopped_batch_can_run_again(spark, tmp):
     base = spark.range(0, 100).select(F.col("id").cast("string").alias("id"), F.lit(1).cast("long").alias("price"))
     write_bucketed(base, f"{tmp}/t", "id", rows_per_bucket=25)
     src = spark.createDataFrame([(str(i), 2) for i in range(50, 150)] + [(None, 9), (None, 9)], "id string, price bigint")
-    merge_bucketed(spark, src, f"{tmp}/t", "id", 1, order_by=["price"], price="price")
+    merge_bucketed(spark, src, f"{tmp}/t", "id", ("s", 0), order_by=["price"], price="price")
     want = sorted(map(str, read_bucketed(spark, f"{tmp}/t").collect()))
     assert len(want) == 152
-    version = f"{tmp}/t/buckets=4/version=000001"
-    # stopped before the commit marker, with a bucket missing: the table is as before, then as after
-    os.rename(f"{version}/_SUCCESS", f"{tmp}/marker")
-    gone = next(d for d in os.listdir(version) if d.startswith("_bucket"))
-    os.rename(f"{version}/{gone}", f"{tmp}/{gone}")
+    # stopped before the record was written, with a bucket missing: the table is as before, then as after
+    os.rename(f"{tmp}/t/_commits/000001.json", f"{tmp}/record")
+    gone = next(d for d in os.listdir(f"{tmp}/t/version=000001") if d.startswith("_bucket"))
+    os.rename(f"{tmp}/t/version=000001/{gone}", f"{tmp}/{gone}")
     assert read_bucketed(spark, f"{tmp}/t").count() == 100
     for _ in range(2):  # again, and once more after it was committed
-        merge_bucketed(spark, src, f"{tmp}/t", "id", 1, order_by=["price"], price="price")
+        merge_bucketed(spark, src, f"{tmp}/t", "id", ("s", 0), order_by=["price"], price="price")
         assert sorted(map(str, read_bucketed(spark, f"{tmp}/t").collect())) == want
+    assert sorted(os.listdir(f"{tmp}/t/_commits"))[-1] == "000001.json"
+
+
+def test_a_fresh_checkpoint_loses_nothing(spark, tmp):
+    from domus.sinks.writers import read_bucketed
+    schema = "id string, price long, at string"
+    for i in range(4):
+        write_json_drops(spark.createDataFrame([(str(i + 1), 10 * i, "a")], schema).coalesce(1), f"{tmp}/l{i // 2}", mode="append")
+    for run, (landing, checkpoint) in enumerate([("l0", "c0"), ("l1", "c1"), ("l1", "c1"), ("l1", "c2")]):
+        ingest_drops(spark, f"{tmp}/{landing}", schema, f"{tmp}/t", "id", "price", f"{tmp}/{checkpoint}", ["at"], bucketed=True)
+        assert sorted(r["id"] for r in read_bucketed(spark, f"{tmp}/t").collect()) == ["1", "2", "3", "4"][:2 if run == 0 else 4]
+
+
+def test_buckets_split_as_the_table_grows(spark, tmp):
+    from domus.sinks import buckets as B
+    want = {}
+    for i, (lo, hi) in enumerate([(0, 3), (0, 50), (40, 400), (395, 410), (0, 1)]):
+        src = spark.range(lo, hi).select(F.col("id").cast("string").alias("id"), (F.col("id") + i).alias("price"))
+        src = src.unionByName(spark.createDataFrame([(None, 1000 + i)], "id string, price long"))
+        B.merge_bucketed(spark, src, f"{tmp}/t", "id", order_by=["price"], rows_per_bucket=20)
+        want.update({str(k): k + i for k in range(lo, hi)})
+        want.update({f"null{i}": 1000 + i})
+        rows = B.read_bucketed(spark, f"{tmp}/t").collect()
+        got = {r["id"] if r["id"] is not None else f"null{r['price'] - 1000}": r["price"] for r in rows}
+        assert got == want and len(rows) == len(want)
+    record = B._Record.newest(spark, f"{tmp}/t")
+    assert record.buckets >= 32 and max(record.rows) <= 20 and sum(record.rows) >= len(want)
+
+
+def test_columns_that_come_and_go(spark, tmp):
+    from domus.sinks import buckets as B
+    merge = lambda rows, schema: B.merge_bucketed(spark, spark.createDataFrame(rows, schema), f"{tmp}/t", "id", order_by=["price"], rows_per_bucket=2)
+    merge([(1, 10, "a"), (2, 20, "b"), (3, 30, "c")], "id long, price int, t string")
+    merge([(2, 21, 7), (4, 2**40, 8), (None, 5, 9)], "id long, price long, extra int")
+    merge([(5, 1, 2.5)], "id long, price int, extra double")
+    got = {r["id"]: (r["price"], r["t"], r["extra"]) for r in B.read_bucketed(spark, f"{tmp}/t").collect()}
+    assert got == {1: (10, "a", None), 2: (21, "b", 7.0), 3: (30, "c", None), 4: (2**40, None, 8.0), None: (5, None, 9.0), 5: (1, None, 2.5)}
+    assert B.read_bucketed(spark, f"{tmp}/t").dtypes == [("id", "bigint"), ("price", "bigint"), ("t", "string"), ("extra", "double")]
+    with pytest.raises(ValueError, match="do not go together"):
+        merge([(1, "x")], "id long, price string")
+    assert B.read_bucketed(spark, f"{tmp}/t").count() == 6
+    merge([], "id long, price long")
+    assert B.read_bucketed(spark, f"{tmp}/nothing") is None and B.read_bucketed(spark, f"{tmp}/t").count() == 6
 
 
 def test_stream_keeps_the_latest_and_starts_cold(spark, tmp):
