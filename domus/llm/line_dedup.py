@@ -1,10 +1,11 @@
 """Line dedup by a rolling hash over lines.
 
-A rolling hash over the hashes of the last ``WINDOW`` lines brings equal neighbouring lines together:
-each place where ``WINDOW`` lines occur that also occur earlier is a match, and matches that overlap
-are one passage. So a passage goes from its first line to its last, whatever stands around it. The
-same hash ends a chunk where it is divisible by ``DIVISOR``; chunks are counted in the report. Hashes
-find the candidates, the lines' bytes decide.
+A rolling hash over the hashes of the last ``WINDOW`` filled lines (lines that hold more than white
+space; blank lines between two filled ones belong to the pair) brings equal neighbouring lines
+together: each place where such a pair stands that also stands earlier is a match, and matches that
+overlap are one passage. So a passage goes from its first filled line to its last, whatever stands
+around it, and blank lines alone are no passage. The same hash ends a chunk where it is divisible by
+``DIVISOR``; chunks are counted in the report. Hashes find the candidates, the lines' bytes decide.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from domus.llm import repeats as R
 from domus.llm.common import bucket_count, shuffle_width
 
 WINDOW, DIVISOR, LEAST_LINES = 2, 4, 2
+#: White space inside a line.
+SPACES = b" \t\v\f\r"
 #: Bytes of text a window, at a guess; batches whose first occurrences are compared before all are.
 BYTES_PER_KEY, GROUP_BATCHES = 150, 256
 
@@ -48,9 +51,18 @@ def multi_line_chunks(body: bytes) -> list[tuple[int, bytes]]:
     return [(i, b"\n".join(lines[a:b])) for i, (a, b) in enumerate(chunks) if b - a >= LEAST_LINES]
 
 
+def filled(lines: list[bytes]) -> list[int]:
+    """Which lines hold more than white space."""
+    return [i for i, x in enumerate(lines) if x.strip(SPACES)]
+
+
 def _keys(bodies: list[bytes]) -> np.ndarray:
-    """Of every ``WINDOW`` neighbouring lines."""
-    return np.concatenate([rolling_hashes(b.split(b"\n"))[WINDOW - 1:] for b in bodies] or [np.empty(0, np.uint64)])
+    """Of every ``WINDOW`` neighbouring filled lines."""
+    found = []
+    for b in bodies:
+        lines = b.split(b"\n")
+        found.append(rolling_hashes([lines[i] for i in filled(lines)])[WINDOW - 1:])
+    return np.concatenate(found or [np.empty(0, np.uint64)])
 
 
 WINDOWS = "bucket long, bid long, uid long, doc_id long, at long, content binary, places binary"
@@ -70,7 +82,8 @@ def _candidates(n_buckets: int, n_parts: int, docs: pa.Table, answer: pa.Table)
     ids, bid = docs.column("doc_id").to_pylist(), docs.column("bid")[0].as_py()
     lines = [body.split(b"\n") for _, _, body in order]
     keys = _keys([body for _, _, body in order])
-    n_of = [max(len(x) - WINDOW + 1, 0) for x in lines]
+    full = [filled(x) for x in lines]
+    n_of = [max(len(x) - WINDOW + 1, 0) for x in full]
     owner = np.repeat(np.arange(len(order)), n_of)
     place = np.arange(len(keys)) - np.repeat(np.cumsum([0, *n_of[:-1]]), n_of)
     some = np.flatnonzero(R.lookup(keys, answer, n_buckets) != R.ONCE) if len(keys) else np.empty(0, np.int64)
@@ -78,7 +91,7 @@ def _candidates(n_buckets: int, n_parts: int, docs: pa.Table, answer: pa.Table)
     seen: set[bytes] = set()
     later: dict[int, list[int]] = {}
     for bucket, d, at in zip(R.bucket_of(keys[some] & ~np.uint64(1), n_parts).tolist(), owner[some].tolist(), place[some].tolist()):
-        content = b"\n".join(lines[d][at:at + WINDOW])
+        content = b"\n".join(lines[d][full[d][at]:full[d][at + WINDOW - 1] + 1])
         if content in seen:
             later.setdefault(d, []).append(at)
         else:
@@ -120,9 +133,10 @@ def _removed(docs: DataFrame, batches: DataFrame, text: str) -> DataFrame:
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", *, report: bool = False) -> DataFrame:
     """``docs`` with repeated passages of two or more lines cut from column ``text``; rows and columns stay.
 
-    Removes each line covered by two neighbouring lines that also stand next to each other earlier:
-    in a row of a smaller id (nulls first; rows with the same id: earlier place in the table), or
-    earlier in the same row. The first occurrence of every line stays. Blank lines are lines. With
+    Removes each line covered by two neighbouring filled lines (and the blank ones between) that also
+    stand so earlier: in a row of a smaller id (nulls first; rows with the same id: earlier place in
+    the table), or earlier in the same row. The first occurrence of every passage stays, and so do
+    blank lines around a passage. Ids are whole numbers. Long texts are handled whole. With
     ``report=True`` the result is ``key``, n_lines, n_chunks, n_removed_lines, n_removed_chunks
     (chunks of two or more lines of which none is left) and kept (the remaining text) instead. Null
     text: stays null (report: no lines, kept empty). An empty text is one empty line. Repeated rows:
@@ -140,9 +154,9 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", *, rep
         if not places:
             return len(lines), len(chunks), 0, 0, body
         out = np.zeros(len(lines), bool)
-        at = np.frombuffer(b"".join(places), np.int64)
-        for j in range(WINDOW):
-            out[at + j] = True
+        full = filled(lines)
+        for at in np.frombuffer(b"".join(places), np.int64).tolist():
+            out[full[at]:full[at + WINDOW - 1] + 1] = True
         left = [x for x, o in zip(lines, out.tolist()) if not o]
         cut_chunks = sum(b - a >= LEAST_LINES and bool(out[a:b].all()) for a, b in chunks)
         return len(lines), len(chunks), len(lines) - len(left), cut_chunks, b"\n".join(left)
