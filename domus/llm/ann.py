@@ -25,7 +25,7 @@ SEED, LEVEL_BITS = 20240607, 8
 EPSILON = 3.0
 #: Rows of a slice and queries of a block that meet in one task; no result depends on them.
 SLICE_ROWS, BLOCK_QUERIES = 16_384, 4_096
-ENCODED = "vec_id long, dim int, code binary, norm double, align double, vector array<float>"
+ENCODED = "vec_id long, dim int, code binary, norm double, align double, vector array<double>"
 
 
 def rotation(dim: int, seed: int = SEED) -> np.ndarray:
@@ -53,7 +53,7 @@ def _rows(column: pa.Array) -> list[np.ndarray]:
 def encode_vectors(df: DataFrame, key: str, vector: str, seed: int = SEED) -> DataFrame:
     """The index: a row (``ENCODED``) for each row of ``df`` whose vector is not null, not zero and
     has no null or non-finite component; the others are left out."""
-    clean = df.select(F.col(key).cast("long").alias("vec_id"), F.col(vector).cast("array<float>").alias("vector"))
+    clean = df.select(F.col(key).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("vector"))
     unfit = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
     clean = clean.where(F.col("vector").isNotNull() & F.exists("vector", lambda x: x != 0) & ~F.exists("vector", unfit))
 
@@ -68,7 +68,7 @@ def encode_vectors(df: DataFrame, key: str, vector: str, seed: int = SEED) -> Da
                 code, norm, align = encode(matrix, turns.setdefault(int(dim), rotation(int(dim), seed)))
                 yield pa.RecordBatch.from_arrays(
                     [ids.take(some), pa.array(np.full(len(part), dim), pa.int32()), pa.array([c.tobytes() for c in code], pa.binary()),
-                     pa.array(norm), pa.array(align), part.cast(pa.list_(pa.float32()))],
+                     pa.array(norm), pa.array(align), part.cast(pa.list_(pa.float64()))],
                     names=["vec_id", "dim", "code", "norm", "align", "vector"])
 
     return clean.mapInArrow(run, ENCODED)
@@ -123,6 +123,7 @@ class CodeSlice:
             return np.empty(0, np.int64), np.empty(0)
         first = np.argpartition(-estimate, k - 1)[:k]
         reach = (self.vectors[first] * query).sum(axis=1).min()
+        upper[first] = np.inf  # they are scored already, and k of them always remain
         some = np.flatnonzero(upper >= reach)
         score = (self.vectors[some] * query).sum(axis=1)
         best = np.lexsort((self.ids[some], self.null_id[some], -score))[:k]
