@@ -3,11 +3,12 @@
 Texts are cut into words that no piece spans. The symbols of all words lie in one flat numpy array;
 each round finds the least pair rank of every word (a segmented minimum), merges that pair
 wherever it stands, leftmost first, and compacts the array, until no word has a pair left. Words met
-before are looked up.
+before are looked up. In long words the rounds look only at the places of the round's pairs.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections.abc import Iterator
 from itertools import chain
@@ -20,6 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SPACE = "▁"
+#: Words of more characters are merged one by one, by :meth:`PieceModel.merge_long`.
+LONG_WORD = 512
 #: Words kept with their ids by a task, and characters encoded in one go.
 MEMO_WORDS, ROUND_CHARS = 200_000, 1_000_000
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -76,6 +79,7 @@ class PieceModel:
         keys = np.array(left, np.int64) * self.width + np.array(right, np.int64)
         order = np.argsort(keys)
         self.pair, self.made, self.rank = keys[order], np.array(made, np.int64)[order], np.array(rank, np.int64)[order]
+        self.pair_index = {k: i for i, k in enumerate(self.pair.tolist())}
         self.single = np.zeros(self.width, bool)
         self.single[[self.id_of[p] for p, x in one.items() if x]] = True
         body = "".join(re.escape(c) for c in chars if c != SPACE)
@@ -140,6 +144,115 @@ class PieceModel:
         order = np.argsort(place, kind="stable")
         return symbols[order], word[order]
 
+    def merge_long(self, symbols: np.ndarray) -> np.ndarray:
+        """The rounds of :meth:`merge` for one long word: positions are filed under the rank of the
+        pair that begins there, and a round takes the least rank that is present, merges its pairs
+        and ranks only their neighbours anew. Pairs after which a better merge may follow are merged
+        one at a time, the leftmost first."""
+        n = len(symbols)
+        symbols, after, before = symbols.copy(), np.arange(1, n + 1), np.arange(-1, n - 1)
+        rank, made, dead = np.full(n, NONE), np.zeros(n, np.int64), np.zeros(n, bool)
+        filed: dict[int, list[np.ndarray]] = {}
+        queued: dict[int, list[int]] = {}  # ranks of single merges: a heap of positions
+        ranks: list[int] = []
+        index = self.pair_index
+
+        def file(at: np.ndarray) -> None:
+            rank[at] = NONE
+            at = at[after[at] < n]
+            keys = symbols[at] * self.width + symbols[after[at]]
+            found = np.minimum(np.searchsorted(self.pair, keys), len(self.pair) - 1)
+            ok = self.pair[found] == keys
+            at, found = at[ok], found[ok]
+            rank[at], made[at] = self.rank[found], self.made[found]
+            order = np.argsort(rank[at], kind="stable")
+            at = at[order]
+            r = rank[at]
+            begin = np.flatnonzero(np.r_[True, r[1:] != r[:-1]]) if len(at) else []
+            for x, y in zip(begin, [*begin[1:], len(at)]):
+                own = int(r[x])
+                if own in queued or self.single[made[at[x:y]]].any():
+                    if own not in queued:
+                        queued[own] = np.concatenate(filed.pop(own)).tolist() if own in filed else heapq.heappush(ranks, own) or []
+                    queued[own] += at[x:y].tolist()
+                    heapq.heapify(queued[own])
+                elif own in filed:
+                    filed[own].append(at[x:y])
+                else:
+                    filed[own] = [at[x:y]]
+                    heapq.heappush(ranks, own)
+
+        def file_one(p: int) -> None:
+            q = int(after[p])
+            found = index.get(int(symbols[p]) * self.width + int(symbols[q]), -1) if q < n else -1
+            if found < 0:
+                rank[p] = NONE
+                return
+            own = int(self.rank[found])
+            rank[p], made[p] = own, self.made[found]
+            if own in queued:
+                heapq.heappush(queued[own], p)
+            elif own in filed:
+                if self.single[made[p]]:
+                    queued[own] = [*np.concatenate(filed.pop(own)).tolist(), p]
+                    heapq.heapify(queued[own])
+                else:
+                    filed[own].append(np.array([p]))
+            else:
+                heapq.heappush(ranks, own)
+                if self.single[made[p]]:
+                    queued[own] = [p]
+                else:
+                    filed[own] = [np.array([p])]
+
+        file(np.arange(n))
+        while ranks:
+            now = ranks[0]
+            if now in queued:
+                heap = queued[now]
+                if not heap:
+                    heapq.heappop(ranks)
+                    del queued[now]
+                    continue
+                p = heapq.heappop(heap)
+                if dead[p] or rank[p] != now:
+                    continue
+                q = int(after[p])
+                symbols[p] = made[p]
+                dead[q], rank[q] = True, NONE
+                end = after[p] = after[q]
+                if end < n:
+                    before[end] = p
+                file_one(p)
+                if before[p] >= 0:
+                    file_one(int(before[p]))
+                continue
+            heapq.heappop(ranks)
+            hits = np.unique(np.concatenate(filed.pop(now)))
+            hits = hits[(rank[hits] == now) & ~dead[hits]]
+            if not len(hits):
+                continue
+            run = np.flatnonzero(np.r_[True, hits[1:] != after[hits[:-1]]])
+            nth = np.arange(len(hits)) - np.repeat(run, np.diff(np.r_[run, len(hits)]))
+            a = hits[nth % 2 == 0]
+            b = after[a]
+            symbols[a] = made[a]
+            dead[b], rank[b] = True, NONE
+            after[a] = after[b]
+            inner = after[a] < n
+            before[after[a][inner]] = a[inner]
+            left = before[a]
+            file(np.unique(np.r_[a, left[left >= 0]]))
+        return symbols[~dead]
+
+    def encode_long(self, word: str) -> bytes:
+        """Ids (packed int32) of one long word."""
+        get, n = self.symbol.get, self.width - 1
+        merged = self.merge_long(np.fromiter((get(c, n) for c in word), np.int64, len(word)))
+        if (merged >= len(self.pieces)).any():
+            merged, _ = self._as_byte_pieces(merged, np.zeros(len(merged), np.int64), word)
+        return merged.astype(np.int32).tobytes()
+
     def encode_words(self, words: list[str]) -> list[bytes]:
         """Ids (packed int32) of each word."""
         flat = "".join(words)
@@ -179,9 +292,12 @@ class PieceModel:
         for group in _portions(texts):
             split = [self.split(t) for t in group]
             fresh = list({w for ws in split for w in ws if w not in memo})
+            long = {w: self.encode_long(w) for w in fresh if len(w) > LONG_WORD}  # not kept: a few would fill the memory
+            fresh = [w for w in fresh if len(w) <= LONG_WORD]
             for lo in range(0, len(fresh), 100_000):
                 memo.update(zip(fresh[lo:lo + 100_000], self.encode_words(fresh[lo:lo + 100_000])))
-            out += [np.frombuffer(b"".join(map(memo.__getitem__, ws)), np.int32) for ws in split]
+            known = memo.__getitem__ if not long else lambda w: long[w] if w in long else memo[w]
+            out += [np.frombuffer(b"".join(map(known, ws)), np.int32) for ws in split]
             if len(memo) > MEMO_WORDS:
                 memo.clear()
         return out
