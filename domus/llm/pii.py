@@ -9,6 +9,7 @@ all documents, different values stay different, and a pseudonym is as valid as t
 from __future__ import annotations
 
 import datetime as dt
+import functools
 import hashlib
 import re
 from collections.abc import Iterator
@@ -77,23 +78,35 @@ def luhn_digit(payload: str) -> str:
     return str(-total % 10)
 
 
+@functools.cache
+def _alphabet(ch: str) -> str:
+    """The characters that may stand for this one: digits, small and capital letters; for a letter
+    outside A-Z those of its case in its block of 256 code points; others stay (empty)."""
+    if ch.isascii():
+        return next((x for x in ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ") if ch in x), "")
+    if not ch.isalpha():
+        return ""
+    block = range(ord(ch) & ~255, (ord(ch) | 255) + 1)
+    return "".join(c for c in map(chr, block) if not c.isascii() and c.isalpha() and c.islower() == ch.islower() and c.isupper() == ch.isupper())
+
+
 def _mixed(text: str) -> tuple[int, int, str]:
     """(value, size of the domain, radix classes) of a string whose letters and digits vary within their class."""
     value, size = 0, 1
     for ch in text:
-        base, radix = ("0", 10) if ch.isascii() and ch.isdigit() else ("a", 26) if "a" <= ch <= "z" else ("A", 26) if "A" <= ch <= "Z" else ("", 1)
-        if radix > 1:
-            value, size = value * radix + ord(ch) - ord(base), size * radix
+        own = _alphabet(ch)
+        if own:
+            value, size = value * len(own) + own.index(ch), size * len(own)
     return value, size, text
 
 
 def _unmixed(value: int, like: str) -> str:
     out = []
     for ch in reversed(like):
-        base, radix = ("0", 10) if ch.isascii() and ch.isdigit() else ("a", 26) if "a" <= ch <= "z" else ("A", 26) if "A" <= ch <= "Z" else ("", 1)
-        if radix > 1:
-            value, d = divmod(value, radix)
-            ch = chr(ord(base) + d)
+        own = _alphabet(ch)
+        if own:
+            value, d = divmod(value, len(own))
+            ch = own[d]
         out.append(ch)
     return "".join(reversed(out))
 
@@ -113,10 +126,7 @@ class Pseudonyms:
         return _unmixed(self.of[kind](value, size), like)
 
     def email(self, m: re.Match) -> str:
-        local = m[1]
-        odd = any(not c.isascii() for c in local)  # letters outside A-Z have no class: their bytes decide
-        plain = "".join(chr(97 + ord(c) % 26) if not c.isascii() else c for c in local) if odd else local
-        return f"{self._chars('email', plain)}@{m[2]}"
+        return f"{self._chars('email', m[1])}@{m[2]}"
 
     def iban(self, m: re.Match) -> str | None:
         compact = m[0].replace(" ", "")

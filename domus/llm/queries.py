@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -65,7 +66,10 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    secret = os.environ.get("PSEUDONYM_KEY", "").encode() or PSEUDONYM_KEY
+    secret = os.environ.get("PSEUDONYM_KEY", "").encode()
+    if not secret:
+        warnings.warn("PSEUDONYM_KEY is not set: the pseudonyms are made with a public key, and anyone can undo them", stacklevel=2)
+        secret = PSEUDONYM_KEY
     done = pii.pseudonymise(_load(spark, sf_dir, "documents").select("doc_id", "text"), secret)
     n = lambda kind: F.size(F.filter("pii", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return done.select("doc_id", "text", *[n(k) for k in pii.KINDS], "pii")
