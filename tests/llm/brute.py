@@ -64,16 +64,20 @@ def repeated_strings(rows: list[tuple[int | None, str | None]], length: int = 10
 
 
 def repeated_lines(rows: list[tuple[int | None, str | None]]) -> list[tuple]:
-    """(doc_id, n_lines, n_removed_lines, kept) in the order given: without the lines of any two neighbours that were neighbours before."""
+    """(doc_id, n_lines, n_removed_lines, kept) in the order given: every run of two or more filled lines (blank ones
+    between them included) goes if it stands in an earlier place; tried for all runs, longest or not."""
     seen: set[tuple] = set()
     out: list[tuple] = [()] * len(rows)
     for i in sorted(range(len(rows)), key=lambda i: (rows[i][0] is not None, rows[i][0] or 0, i)):
         lines = (rows[i][1] or "").split("\n")
+        full = [j for j, x in enumerate(lines) if x.strip(" \t\v\f\r")]
         gone = [False] * len(lines)
-        for j, pair in enumerate(zip(lines, lines[1:])):
-            if pair in seen:
-                gone[j] = gone[j + 1] = True
-            seen.add(pair)
+        for j, end in enumerate(full):  # runs that end here, against runs that ended before
+            runs = [tuple(lines[full[k]:end + 1]) for k in range(max(0, j - 6), j)]
+            for run in runs:
+                if run in seen:
+                    gone[end + 1 - len(run):end + 1] = [True] * len(run)
+            seen.update(runs)
         out[i] = (rows[i][0], len(lines) if rows[i][1] is not None else 0, sum(gone), "\n".join(x for x, g in zip(lines, gone) if not g))
     return out
 

@@ -1,5 +1,6 @@
 """The numbered queries against SQL or brute force on the small tables, and the operators' inner workings."""
 
+import hashlib
 import math
 import os
 import random
@@ -179,6 +180,18 @@ def test_bounds_hold():
     assert outside < 0.005 * 20 * 2000
 
 
+def test_few_candidates_are_all_found(spark):
+    """21 vectors: every query gets all 20 others, with their exact products, whatever the estimates."""
+    rng = np.random.default_rng(4)
+    rows = [(20 * i, (rng.standard_normal(8) * 10.0 ** rng.integers(-3, 3)).tolist()) for i in range(21)]
+    got: dict = {}
+    for r in ann.nearest_neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    want = brute.nearest(rows)
+    for q, _ in rows:
+        assert sorted(got[q]) == [(k + 1, i, pytest.approx(s, rel=1e-12)) for k, (i, s) in enumerate(want[q])]
+
+
 # ---- 5 ----
 
 def test_repeated_strings_query(spark, docs):
@@ -217,6 +230,26 @@ def test_later_strings():
         assert offsets.tolist() == want
 
 
+def test_parts_shared_with_an_earlier_entry():
+    rng = random.Random(11)
+    texts = [bytes(rng.choice(b"ab") for _ in range(40)) for _ in range(6)]
+    bodies = [b"".join(rng.choice(texts) for _ in range(8)) for _ in range(30)]
+    entries: dict[tuple, None] = {}
+    for doc, first, last, keys, place in suffix_dedup.triggered(bodies):
+        for d, a, b, k, t in zip(doc.tolist(), first.tolist(), last.tolist(), keys.view(np.int64).tolist(), place.tolist()):
+            entries.setdefault((k, t - a, bodies[d][a:b + 100]))
+    keys, triggers, contents = (list(x) for x in zip(*entries))
+    got: dict[int, set] = {}
+    for n, s, e in zip(*(x.tolist() for x in suffix_dedup.later_parts(contents, np.array(keys), np.array(triggers)))):
+        got.setdefault(n, set()).update(range(s, e))
+    seen: set = set()
+    for n, c in enumerate(contents):
+        grams = [(keys[n], c[i:i + 100]) for i in range(len(c) - 99)]
+        assert got.get(n, set()) == {j for i, g in enumerate(grams) if g in seen for j in range(i, i + 100)}
+        seen.update(grams)
+    assert got
+
+
 @given(st.lists(st.tuples(st.integers(0, 50), st.integers(1, 20)), max_size=20))
 def test_merge_spans(spans):
     s, e = np.array([a for a, _ in spans], np.int64), np.array([a + n for a, n in spans], np.int64)
@@ -253,28 +286,65 @@ def test_entropy_finds_and_the_allow_list_suppresses():
     assert [k for _, _, k in found] == ["entropy_base64"]
 
 
+def brute_entropy(text):
+    """Ranges of entropy spans, window by window."""
+    out = []
+    for kind, candidates, width, least, holds in secrets.CLASSES:
+        for m in candidates.finditer(text):
+            if not holds.match(m[0]) or any(a.search(m[0]) for a in secrets.ALLOW):
+                continue
+            hot = set()
+            for i in range(len(m[0]) - width + 1):
+                n = Counter(m[0][i:i + width])
+                if -sum(c / width * math.log2(c / width) for c in n.values()) >= least - 1e-9:
+                    hot |= set(range(m.start() + i, m.start() + i + width))
+            for j in sorted(hot):
+                if j - 1 not in hot:
+                    end = next(e for e in range(j, len(text) + 1) if e not in hot)
+                    out.append((j, end, kind))
+    return sorted(out)
+
+
+@given(st.lists(st.sampled_from(["A", "a", "0", "f", "iVBORw0KGgo1", "A" * 40, "0" * 25, "f0e1", "b2", " ", "Xk29dLq0ZzPw83mNvB7tYhR5", "3ax6xnjp29jd6fds4gc373sgvjxteol0", "KEY7QWERT2YUIOPASDFGHJKLZXC", "-", "="]), max_size=12).map("".join))
+def test_entropy_spans_equal_plain_windows(text):
+    merged = []
+    for s_, e, k in sorted(secrets.entropy_spans(text), key=lambda s: (s[2], s[0])):
+        if merged and merged[-1][2] == k and s_ <= merged[-1][1]:
+            merged[-1] = (merged[-1][0], max(e, merged[-1][1]), k)
+        else:
+            merged.append((s_, e, k))
+    plain = []
+    for s_, e, k in sorted(brute_entropy(text), key=lambda s: (s[2], s[0])):
+        if plain and plain[-1][2] == k and s_ <= plain[-1][1]:
+            plain[-1] = (plain[-1][0], max(e, plain[-1][1]), k)
+        else:
+            plain.append((s_, e, k))
+    assert merged == plain
+
+
+def test_tokens_of_one_case_and_runs_of_one_character():
+    assert [k for _, _, k in secrets.entropy_spans("key-3ax6xnjp29jd6fds4gc373sgvjxteol0 ")] == ["entropy_base36"]
+    for text in ("iVBORw0KGgo1" + "A" * 40 + "b2", "a" + "0" * 25 + "1", "f0e1" + "0" * 30):
+        secrets.entropy_spans(text)
+
+
 # ---- 7 ----
 
-def brute_lines(rows):
-    seen, out = set(), []
-    for i, text in rows:
+def test_line_query(spark, docs):
+    """The report's chunks are those of the text; one counts as removed if its lines are."""
+    got = {r["doc_id"]: r for r in collected(spark, "op7_line_dedup")}
+    for i, text in docs:
         lines, chunks = line_dedup.line_chunks((text or "").encode())
-        kept, gone, n = [], 0, 0
-        for a, b in chunks:
-            content = b"\n".join(lines[a:b])
-            if b - a >= 2 and content in seen:
-                gone, n = gone + b - a, n + 1
-                continue
-            if b - a >= 2:
-                seen.add(content)
-            kept += lines[a:b]
-        out.append((i, len(lines), len(chunks), gone, n, len(b"\n".join(kept)), brute.sha(b"\n".join(kept))))
-    return out
+        r = got[i]
+        assert (r["n_lines"], r["n_chunks"]) == ((len(lines), len(chunks)) if text is not None else (0, 0))
+        assert r["n_removed_chunks"] <= sum(b - a >= 2 for a, b in chunks) and (r["n_removed_chunks"] == 0 or r["n_removed_lines"] >= 2)
+    assert any(r["n_removed_chunks"] for r in got.values())
 
 
-def test_line_query(spark, docs):
-    got = {tuple(r) for r in collected(spark, "op7_line_dedup")}
-    assert got == set(brute_lines(docs)) and any(r[4] for r in got)
+def test_blank_lines_are_no_passage(spark):
+    rows = [(1, "a\n\n\nb"), (2, "x1\n\n\nx2\n\n\nx3"), (3, "x2\n\n\nx3\n\n \nend"), (4, "x2\n\nx3"), (5, "\n\n\n")]
+    got = {r["doc_id"]: r["kept"] for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), report=True).collect()}
+    assert got == {1: "a\n\n\nb", 2: "x1\n\n\nx2\n\n\nx3", 3: "\n \nend", 4: "x2\n\nx3", 5: "\n\n\n"}
 
 
 def test_line_query_removes_every_run(spark, docs):
@@ -372,6 +442,44 @@ def test_permutation_is_one_to_one(n):
     assert sorted(p(x, n) for x in range(n)) == list(range(n))
 
 
+def test_letters_outside_a_to_z_stay_apart():
+    """Every local part of the form jo?n@x.org has a pseudonym of its own, of the same form."""
+    p = pii.Pseudonyms(b"k")
+    letters = [chr(c) for c in range(0xC0, 0x180) if chr(c).isalpha() and chr(c).islower()]
+    out = [p._chars("email", f"jo{c}n") for c in letters]
+    assert len(set(out)) == len(letters) and all(len(x) == 4 and x[2].islower() and not x[2].isascii() for x in out)
+
+
+class PlainFeistel:
+    """The permutation written out plainly: ten or so rounds over two halves, walking until inside."""
+
+    def __init__(self, secret, name):
+        self.key, self.name = hashlib.blake2b(secret, digest_size=32).digest(), name
+
+    def __call__(self, x, n):
+        bits = max(1, ((n - 1).bit_length() + 1) // 2)
+        mask = (1 << bits) - 1
+        while n > 1:
+            left, right = divmod(x, 1 << bits)
+            for i in range(pii.ROUNDS):
+                data = b"".join(hashlib.blake2b(f"{self.name}|{n}|{i}|{right}|{k}".encode(), key=self.key, digest_size=64).digest() for k in range(0, -(-bits // 512) * 64, 64))
+                left, right = right, left ^ (int.from_bytes(data, "big") & mask)
+            x = (left << bits) + right
+            if x < n:
+                break
+        return x
+
+
+def test_permutation_equals_a_plain_one():
+    rng = random.Random(3)
+    for n in (1, 2, 3, 10, 97, 365, 10**6, 26**7, 10**40, 36**120):
+        fast, plain = pii.Permutation(b"key", "date"), PlainFeistel(b"key", "date")
+        for x in {0, n - 1, *(rng.randrange(n) for _ in range(20))}:
+            assert fast(x, n) == plain(x, n) and fast.inverse(fast(x, n), n) == x
+        if n <= 365:
+            assert sorted(fast(x, n) for x in range(n)) == list(range(n))
+
+
 # ---- 9 ----
 
 @pytest.fixture(scope="module")
@@ -412,6 +520,32 @@ def test_decode_any_ids(ids, model, library):
     assert model.decode(np.array(ids, np.int32)) == library.decode(ids)
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_long_words_equal_the_library(seed):
+    import sentencepiece
+    path = Q.tokenizer_path()
+    model, library = pieces.PieceModel(path), sentencepiece.SentencePieceProcessor(model_file=path)
+    model.build()
+    rng = random.Random(seed)
+    for letters, n in (("abcdefghijklmnopqrstuvwxyz", 20_000), ("etaoins", 5000), ("ab", 3000), ("a", 1500), ("aé漢𝒳z0", 2000), ("=-", 1000)):
+        word = "".join(rng.choice(letters) for _ in range(n))
+        text = f"before {word} after{word[:600]}"
+        assert model.encode([text])[0].tolist() == library.encode(text)
+        long = max(model.split(text), key=len)
+        symbols = np.array([model.symbol.get(c, model.width - 1) for c in long[:3000]], np.int64)
+        assert model.merge_long(symbols).tolist() == model.merge(symbols, np.zeros(len(symbols), np.int64))[0].tolist()
+
+
+def test_a_million_letters_end_in_time():
+    import time
+    model = pieces.PieceModel(Q.tokenizer_path())
+    model.build()
+    rng = random.Random(1)
+    word = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=1_000_000))
+    start = time.process_time()
+    assert 400_000 < len(model.encode([word])[0]) < 800_000 and time.process_time() - start < 60
+
+
 # ---- 10 ----
 
 def test_quality_query(spark, docs):
