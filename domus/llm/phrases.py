@@ -1,37 +1,46 @@
 """Phrase collocation mining by dynamic itemset counting.
 
-The corpus is dealt into shards that are scanned in a cycle. All words are counted from the first
-shard on; a longer phrase is counted from the first shard after both its subphrases (all but the
+The corpus is cut into words once and written as chunks (a vocabulary, and for each position its word
+and the words left in its piece), dealt into shards that are scanned in a cycle. All words are counted
+from the first shard on; a longer phrase is counted from the first shard after both its subphrases (all but the
 last word, all but the first) have reached the threshold, for one full cycle, so lengths interleave
 and every count is exact.
 
 Which phrases have reached the threshold, and after which scan, is told to the tasks by a table of
-at most ``SLOTS`` bytes that phrases are hashed into, whatever the corpus; phrases that share a slot can only start a count early or needlessly, never late, and a needless count
-falls at the threshold. So every phrase's first scan follows from the table alone, in all tasks
-alike. Counts are kept by the phrase's text, never by a hash.
+at most ``SLOTS`` bytes that phrases are hashed into, whatever the corpus; phrases that share a slot
+can only start a count early or needlessly, never late, and a needless count falls at the threshold.
+So every phrase's first scan follows from the table alone, in all tasks alike. Counts are kept by the
+phrase's text, never by a hash.
+
+Pairs of words are many and mostly rare. The first cycle therefore also counts all pairs by hash
+bucket; a pair waits until its bucket, which counts at least as much as the pair itself, has reached
+the threshold too. A frequent pair's bucket does so within that cycle, so no pair is lost.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from domus.llm.common import stored
+from domus.llm.common import shuffle_width, stored
 from domus.session import scratch_path
 
-LONGEST, THRESHOLD, SHARDS, BEST, ABSORB_PERCENT, PER_MILLE = 5, 100, 4, 2000, 100, 1000
-#: Slots of the table, a byte each, a power of two: one for so many bytes of text, within these bounds.
+LONGEST, THRESHOLD, SHARDS, BEST, ABSORB_PERCENT, PER_MILLE = 5, 100, 3, 2000, 100, 1000
+#: Slots (and pair buckets) of the table, a byte each, a power of two: one for so many bytes of text, within these bounds.
 SLOT_BYTES, LEAST_SLOTS, SLOTS = 64, 1 << 16, 1 << 24
-#: Bytes of text that a task counts at once; a longer text is cut between pieces.
-CHUNK_BYTES = 4 << 20
+#: Bytes of text of a chunk; a longer text is cut between pieces.
+CHUNK_BYTES = 8 << 20
 NO_LANG = "und"
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -54,8 +63,12 @@ def _lower() -> np.ndarray:
 KINDS, LOWER = _kinds(), _lower()
 
 
-def word_code(lang: str, word: str) -> int:
-    return xxhash.xxh64_intdigest(word.encode(), xxhash.xxh32_intdigest(lang.encode()))
+def lang_seed(lang: str) -> int:
+    return xxhash.xxh32_intdigest(lang.encode())
+
+
+def word_code(seed: int, word: bytes) -> int:
+    return xxhash.xxh64_intdigest(word, seed)
 
 
 def extend(code: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -70,10 +83,10 @@ def slot_of(code: np.ndarray, words: int, n_slots: int) -> np.ndarray:
     return (mixed >> np.uint64(65 - n_slots.bit_length())).astype(np.int64)
 
 
-def chunks(texts: list[bytes], langs: list[str]) -> Iterator[tuple[list[bytes], list[str]]]:
+def chunks(rows: Iterator[tuple[bytes, str]]) -> Iterator[tuple[list[bytes], list[str]]]:
     """Texts with their languages, about ``CHUNK_BYTES`` at a time; long texts are cut after a piece."""
     out, out_langs, size = [], [], 0
-    for text, lang in zip(texts, langs):
+    for text, lang in rows:
         begin = 0
         while begin < len(text):
             end = len(text)
@@ -91,79 +104,185 @@ def chunks(texts: list[bytes], langs: list[str]) -> Iterator[tuple[list[bytes],
         yield out, out_langs
 
 
-class Tokens:
-    """The words of a chunk: ``word`` (index into ``vocabulary``), ``lang`` and ``left`` (words that
-    the piece still has from here on), by position."""
-
-    def __init__(self, texts: list[bytes], langs: list[str]):
-        self.lang_names = sorted(set(langs))
-        raw = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
-        kinds = KINDS[raw]
-        inside = kinds == 0
-        edges = np.flatnonzero(np.diff(np.r_[False, inside, False].astype(np.int8)))
-        starts, ends = edges[::2], edges[1::2]
-        packed = LOWER[raw[inside]].tobytes()
-        offsets = np.r_[0, np.cumsum(ends - starts)].astype(np.int32)
-        words = pa.Array.from_buffers(pa.string(), len(starts), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(packed)]).dictionary_encode()
-        self.word = words.indices.to_numpy().astype(np.int64)
-        self.vocabulary = words.dictionary
-        piece = np.cumsum(kinds == 2)[starts]
-        last = np.flatnonzero(np.diff(np.r_[piece, -1])) if len(piece) else np.zeros(0, np.int64)
-        self.left = last[np.searchsorted(last, np.arange(len(piece)))] - np.arange(len(piece)) + 1
-        text_ends = np.cumsum([len(t) + 1 for t in texts])
-        code = {name: i for i, name in enumerate(self.lang_names)}
-        self.lang = np.array([code[x] for x in langs], np.int64)[np.searchsorted(text_ends, starts, side="right")]
-
-
-def count_chunk(texts: list[bytes], langs: list[str], slots: np.ndarray, scan: int, shards: int, longest: int) -> Iterator[tuple]:
+CHUNK = "shard int, langs array<string>, words binary, ends binary, word_lang binary, code binary, place binary, left binary"
+
+
+def cut_words(texts: list[bytes], langs: list[str]) -> tuple | None:
+    """A chunk: the languages; its distinct words by language (bytes, where each ends, language, code);
+    for each position the word and the number of words (255 at most) that its piece has from there on."""
+    names = sorted(set(langs))
+    raw = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
+    kinds = KINDS[raw]
+    inside = kinds == 0
+    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    edges = np.r_[0, edges] if inside[0] else edges
+    starts, ends = edges[::2], edges[1::2]
+    if not len(starts):
+        return None
+    packed = LOWER[raw[inside]]
+    offsets = np.r_[0, np.cumsum(ends - starts)].astype(np.int32)
+    words = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(packed)]).dictionary_encode()
+    text_ends = np.cumsum([len(t) + 1 for t in texts])
+    per_text = np.diff(np.r_[0, np.searchsorted(starts, text_ends)])
+    code = {name: i for i, name in enumerate(names)}
+    lang = np.repeat(np.array([code[x] for x in langs], np.int64), per_text)
+    size = len(words.dictionary)
+    pairs, place = _numbered(lang * size + words.indices.to_numpy(), size * len(names))
+    word_lang = pairs // size
+    text_of = words.dictionary.take(pa.array(pairs % size)).to_pylist()
+    seeds = [lang_seed(x) for x in names]
+    codes = np.fromiter((word_code(seeds[a], w) for a, w in zip(word_lang.tolist(), text_of)), np.uint64, len(pairs))
+    piece_ends = np.searchsorted(starts, np.flatnonzero(kinds == 2))  # a piece ends before this word
+    bounds = np.unique(np.r_[0, piece_ends, len(starts)])
+    left = np.repeat(bounds[1:], np.diff(bounds)) - np.arange(len(starts))
+    return (names, b"".join(text_of), np.cumsum([len(w) for w in text_of]).astype(np.int32).tobytes(), word_lang.astype(np.int32).tobytes(), codes.tobytes(),
+            place.astype(np.int32).tobytes(), np.minimum(left, 255).astype(np.uint8).tobytes())
+
+
+def _cut_corpus(rows: DataFrame, shards: int) -> DataFrame:
+    """The rows (lang, body) as chunks, dealt out over the shards."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs = (pair for b in batches for pair in zip(b.column("body").to_pylist(), b.column("lang").to_pylist()))
+        first = TaskContext.get().partitionId()
+        for i, (texts, langs) in enumerate(chunks(pairs)):
+            cut = cut_words(texts, langs)
+            if cut:
+                yield pa.RecordBatch.from_arrays([pa.array([(first + i) % shards], pa.int32()), pa.array([cut[0]], pa.list_(pa.string())), *[pa.array([x], pa.binary()) for x in cut[1:]]],
+                                                 names=["shard", "langs", "words", "ends", "word_lang", "code", "place", "left"])
+
+    return rows.mapInArrow(run, CHUNK)
+
+
+def count_chunk(langs: list[str], words: bytes, ends: bytes, word_lang: bytes, code: bytes, place: bytes, left: bytes,
+                slots: np.ndarray, buckets: np.ndarray, scan: int, shards: int, longest: int) -> Iterator[tuple]:
     """(lang, words, phrase, first scan, count) arrays of what is counted in this scan; words 0: the
     number of all words of the language."""
-    t = Tokens(texts, langs)
-    n = len(t.word)
-    if not n:
-        return
-    names = pa.array(t.lang_names, pa.string())
-    pairs, place = np.unique(t.lang * len(t.vocabulary) + t.word, return_inverse=True)  # the chunk's words by language
-    pair_lang, pair_word = pairs // len(t.vocabulary), pairs % len(t.vocabulary)
-    text_of = t.vocabulary.to_pylist()
-    pair_code = np.array([word_code(t.lang_names[a], text_of[b]) for a, b in zip(pair_lang.tolist(), pair_word.tolist())], np.uint64)
+    offsets = np.r_[np.int32(0), np.frombuffer(ends, np.int32)]
+    text = pa.Array.from_buffers(pa.string(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(words)])
+    names, of_lang = pa.array(langs, pa.string()), np.frombuffer(word_lang, np.int32)
+    word_code_, place, left = np.frombuffer(code, np.uint64), np.frombuffer(place, np.int32), np.frombuffer(left, np.uint8)
+    n = len(place)
     if scan < shards:
-        count = np.bincount(t.lang, minlength=len(t.lang_names))
-        yield names, 0, pa.array([""] * len(names)), np.zeros(len(names), np.int64), count
-        yield names.take(pa.array(pair_lang)), 1, t.vocabulary.take(pa.array(pair_word)), np.zeros(len(pairs), np.int64), np.bincount(place)
-    ids, code = place, pair_code[place]  # of the phrase that begins at each position
-    reach = slots[slot_of(code, 1, len(slots))].astype(np.int64)
-    at = np.arange(n)
-    for words in range(2, longest + 1):
+        count = np.bincount(place, minlength=len(text))
+        yield names, 0, pa.array([""] * len(names)), np.zeros(len(names), np.int64), np.bincount(of_lang, count, len(names)).astype(np.int64)
+        yield names.take(pa.array(of_lang)), 1, text, np.zeros(len(text), np.int64), count
+    at, codes = np.arange(n, dtype=np.int32), None  # of the phrases that begin at these positions
+    reach = slots[slot_of(word_code_, 1, len(slots))][place]
+    for size in range(2, longest + 1):
         # positions (a subset of the last round's) where both subphrases have reached the threshold
-        by_position = np.zeros(n + 1, np.int64)
+        by_position = np.zeros(n + 1, np.uint8)
         by_position[at] = reach
-        keep = (reach > 0) & (by_position[at + 1] > 0) & (t.left[at] >= words)
-        first = np.maximum(reach, by_position[at + 1])[keep]
-        at, ids, code = at[keep], ids[keep], code[keep]
-        if not len(at):
+        after = by_position[at + 1]
+        keep = np.flatnonzero((reach > 0) & (after > 0) & (left[at] >= size))
+        if not len(keep):
             return
-        ids = ids * len(pairs) + place[at + words - 1]
-        code = extend(code, pair_code[place[at + words - 1]])
-        reach = slots[slot_of(code, words, len(slots))].astype(np.int64)
-        reach = np.where(reach > 0, np.maximum(reach, first), 0)  # a shared slot may be set before this phrase is looked for
-        now = np.flatnonzero((first <= scan) & (scan < first + shards))
-        distinct, one, count = np.unique(ids[now], return_index=True, return_counts=True)
-        if len(distinct):
+        codes = word_code_[place[at[keep]]] if codes is None else codes[keep]
+        first, at = np.maximum(reach[keep], after[keep]), at[keep]
+        codes = extend(codes, word_code_[place[at + (size - 1)]])
+        if size == 2:
+            full = buckets[slot_of(codes, 0, len(buckets))]
+            keep = np.flatnonzero(full)
+            codes, at, first = codes[keep], at[keep], np.maximum(first[keep], full[keep])
+        reach = slots[slot_of(codes, size, len(slots))]
+        reach = np.where(reach > 0, np.maximum(reach, first), np.uint8(0))  # a shared slot may be set before this phrase is looked for
+        now = np.flatnonzero((first <= scan) & (scan - shards < first.astype(np.int16)))
+        if len(now):
+            one, count = _distinct_phrases(place, at[now], size, len(text))
             p = at[now][one]
-            parts = [t.vocabulary.take(pa.array(t.word[p + j])) for j in range(words)]
-            yield names.take(pa.array(t.lang[p])), words, pc.binary_join_element_wise(*parts, " "), first[now][one], count
-        _, ids = np.unique(ids, return_inverse=True)  # small again before the next word is multiplied in
+            parts = [text.take(pa.array(place[p + j])) for j in range(size)]
+            yield names.take(pa.array(of_lang[place[p]])), size, pc.binary_join_element_wise(*parts, " "), first[now][one].astype(np.int64), count
+
+
+def _numbered(keys: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys (below ``size``), rising, and each key's place among them."""
+    seen = np.zeros(size, bool)
+    seen[keys] = True
+    place = np.cumsum(seen) - 1
+    return np.flatnonzero(seen), place[keys]
+
+
+def _distinct_phrases(place: np.ndarray, at: np.ndarray, words: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """One index into ``at`` for each distinct phrase of ``words`` words, and how often it occurs."""
+    key, range_ = place[at].astype(np.int64), size
+    for j in range(1, words):
+        if range_ * size >= 2**62:
+            key, range_ = pd.factorize(key)[0].astype(np.int64), len(key)
+        key, range_ = key * size + place[at + j], range_ * size
+    codes, distinct = pd.factorize(key)
+    one = np.empty(len(distinct), np.int64)
+    one[codes[::-1]] = np.arange(len(codes))[::-1]
+    return one, np.bincount(codes)
+
+
+#: Slots of a part of the bucket table; a task sends a part's buckets as places in it and counts.
+PART = 1 << 12
+MOST = 65_535
+
+
+def pair_buckets(code: bytes, place: bytes, left: bytes, n_buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets of the chunk's pairs of words, rising, and how many pairs each has."""
+    codes, place, left = np.frombuffer(code, np.uint64), np.frombuffer(place, np.int32), np.frombuffer(left, np.uint8)
+    at = np.flatnonzero(left >= 2)
+    bucket = np.sort(slot_of(extend(codes[place[at]], codes[place[at + 1]]), 0, n_buckets).astype(np.uint32))
+    begin = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else np.zeros(0, np.int64)
+    return bucket[begin].astype(np.int64), np.diff(np.r_[begin, len(bucket)])
+
+
+def _bucket_counts(shard: DataFrame, n_buckets: int) -> DataFrame:
+    """part, at, n: packed places (uint16) and counts (uint16, ``MOST`` for more) of the shard's pairs,
+    added up in two levels, so no task adds more than about the root of the number of tasks."""
+    shape = "part int, at binary, n binary"
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for code, place, left in zip(*(b.column(c).to_pylist() for c in ("code", "place", "left"))):
+                bucket, n = pair_buckets(code, place, left, n_buckets)
+                n = np.minimum(n, MOST).astype(np.uint16)
+                parts, begin = np.unique(bucket // PART, return_index=True)
+                ends = np.r_[begin[1:], len(bucket)]
+                at = (bucket % PART).astype(np.uint16)
+                yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array([at[a:z].tobytes() for a, z in zip(begin, ends)], pa.binary()),
+                                                  pa.array([n[a:z].tobytes() for a, z in zip(begin, ends)], pa.binary())], names=["part", "at", "n"])
+
+    ways = max(1, math.isqrt(shuffle_width(shard.sparkSession)))
+    sent = shard.select("code", "place", "left").mapInArrow(send, shape).withColumn("salt", F.spark_partition_id() % ways)
+    return sent.groupBy("part", "salt").applyInArrow(_add_buckets, shape)
+
+
+def _add_buckets(table: pa.Table) -> pa.Table:
+    total = np.zeros(PART, np.int64)
+    for at, n in zip(table.column("at").to_pylist(), table.column("n").to_pylist()):
+        total[np.frombuffer(at, np.uint16)] += np.frombuffer(n, np.uint16)
+    at = np.flatnonzero(total)
+    return pa.table({"part": table.column("part")[:1], "at": pa.array([at.astype(np.uint16).tobytes()], pa.binary()),
+                     "n": pa.array([np.minimum(total[at], MOST).astype(np.uint16).tobytes()], pa.binary())})
+
+
+def _full_buckets(counts: DataFrame, n_buckets: int, threshold: int) -> np.ndarray:
+    """Which buckets have reached the threshold: a bit for each comes to the driver."""
+    def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for at, n in zip(b.column("at").to_pylist(), b.column("n").to_pylist()):
+                bits = np.zeros(PART, bool)
+                bits[np.frombuffer(at, np.uint16)] = np.frombuffer(n, np.uint16) >= min(threshold, MOST)
+                out.append(np.packbits(bits).tobytes())
+            yield pa.RecordBatch.from_arrays([b.column("part"), pa.array(out, pa.binary())], names=["part", "bits"])
+
+    found = np.zeros(max(n_buckets, PART), bool)
+    for r in counts.mapInArrow(full, "part int, bits binary").collect():
+        found[r["part"] * PART:(r["part"] + 1) * PART] = np.unpackbits(np.frombuffer(r["bits"], np.uint8)).astype(bool)
+    return found[:n_buckets]
 
 
 def _scan(shard: DataFrame, slots, scan: int, shards: int, longest: int) -> DataFrame:
     """lang, words, phrase, first, n: counts of one scan, summed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.frombuffer(slots.value, np.uint8)
+        table, buckets = (np.frombuffer(x, np.uint8) for x in slots.value)
         for b in batches:
-            for texts, langs in chunks(b.column("body").to_pylist(), b.column("lang").to_pylist()):
-                for lang, words, phrase, first, count in count_chunk(texts, langs, table, scan, shards, longest):
+            for chunk in zip(*(b.column(c).to_pylist() for c in ("langs", "words", "ends", "word_lang", "code", "place", "left"))):
+                for lang, words, phrase, first, count in count_chunk(*chunk, table, buckets, scan, shards, longest):
                     yield pa.RecordBatch.from_arrays([lang, pa.array(np.full(len(phrase), words, np.int32)), phrase, pa.array(first, pa.int64()), pa.array(count, pa.int64())],
                                                      names=["lang", "words", "phrase", "first", "n"])
 
@@ -179,7 +298,7 @@ def _reached_slots(reached: DataFrame, longest: int, n_slots: int) -> np.ndarray
         for b in batches:
             found = []
             for lang, words, phrase in zip(*(b.column(c).to_pylist() for c in ("lang", "words", "phrase"))):
-                codes = [np.array([word_code(lang, w)], np.uint64) for w in phrase.split(" ")]
+                codes = [np.array([word_code(lang_seed(lang), w.encode())], np.uint64) for w in phrase.split(" ")]
                 code = codes[0]
                 for w in codes[1:]:
                     code = extend(code, w)
@@ -207,19 +326,27 @@ def count_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", thres
     rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit(NO_LANG)).alias("lang"), F.col(text).cast("string").cast("binary").alias("body")).where("octet_length(body) > 0")
     size = Observation()
     rows = rows.observe(size, F.sum(F.octet_length("body")).alias("bytes"))
-    rows.withColumn("shard", F.pmod(F.xxhash64("body", "lang"), F.lit(shards)).cast("int")).write.partitionBy("shard").parquet(path)
-    corpus = spark.read.schema("lang string, body binary, shard int").parquet(path)
+    _cut_corpus(rows, shards).write.partitionBy("shard").parquet(path)
+    corpus = spark.read.schema(CHUNK).parquet(path)
     n_slots = min(SLOTS, max(LEAST_SLOTS, 1 << ((size.get["bytes"] or 0) // SLOT_BYTES).bit_length()))
     slots = np.zeros(n_slots, np.uint8)  # 1 + the scan after which a phrase of the slot had reached the threshold
-    done, still, scan, last_news = [], None, 0, -1
+    buckets = np.zeros(n_slots, np.uint8)  # likewise, of the buckets of pairs
+    done, still, pairs, scan, last_news = [], None, None, 0, -1
     while scan < shards or scan <= last_news + shards:
-        told = spark.sparkContext.broadcast(slots.tobytes())
-        counts = _scan(corpus.where(F.col("shard") == scan % shards), told, scan, shards, longest).withColumn("before", F.lit(0).cast("long"))
+        shard = corpus.where(F.col("shard") == scan % shards)
+        told = spark.sparkContext.broadcast((slots.tobytes(), buckets.tobytes()))
+        counts = _scan(shard, told, scan, shards, longest).withColumn("before", F.lit(0).cast("long"))
         if still is not None:
             counts = counts.unionByName(still)
         counts = stored(counts.groupBy("lang", "words", "phrase", "first").agg(F.sum("n").alias("n"), F.max("before").alias("before")), f"phrases-{scan}")
         news = _reached_slots(counts.where((F.col("n") >= threshold) & (F.col("before") < threshold) & (F.col("words") > 0)), longest, n_slots) & (slots == 0)
         told.unpersist()
+        if scan < shards and longest > 1:
+            now = _bucket_counts(shard, n_slots)
+            pairs = stored((now if pairs is None else now.unionByName(pairs)).groupBy("part").applyInArrow(_add_buckets, "part int, at binary, n binary"), f"pairs-{scan}")
+            full = _full_buckets(pairs, n_slots, threshold) & (buckets == 0)
+            buckets = np.where(full, np.uint8(scan + 1), buckets)
+            last_news = scan if full.any() else last_news
         if news.any():
             last_news = scan
             slots = np.where(news, np.uint8(scan + 1), slots)
