@@ -69,7 +69,8 @@ def gram(df: DataFrame, label: str, features: Sequence[str], group: str | None =
 
 def gram_of(df: DataFrame, columns: Sequence[Column], group: Column | None = None) -> dict:
     """:func:`gram` of expressions; the last one is the response."""
-    shift = G.column_means(df, columns)
+    whole = df.select(*[G.known(c).alias(f"c{i}") for i, c in enumerate(columns)]).na.drop()
+    shift = G.column_means(whole, [F.col(f"c{i}") for i in range(len(columns))])
     sums = G.matrix_sums(df, columns, G.complete_products(shift), group)
     m = len(columns) + 1
     if group is None:

@@ -235,8 +235,9 @@ def _pair_rows(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     return out.unionByName(_pair_rows_again(df, again))
 
 
-#: A centred sum of squares below this part of the shifted one has lost digits worth summing again for.
-LOST = 1e-5
+#: A centred sum of squares below this part of the shifted one (the pair's mean lies some standard
+#: deviations from the column's) has lost digits that a nearly perfect fit needs.
+LOST = 0.1
 
 
 def _pair_rows_again(df: DataFrame, placed: Sequence[tuple[int, str, str]]) -> DataFrame:

@@ -356,15 +356,15 @@ TREE_FEATS = ["p_size", "brand_no", "name_len"]
 def _tree_sql() -> str:
     """Every cut of every feature at the root, then at its two sides; the first best of each."""
     long = "SELECT id, g, node, unnest([1, 2, 3]) AS f, unnest([x1, x2, x3]) AS x"
-    best = """SELECT node, f, x + (nx - x) / 2 AS cut, ls / ln AS lv, (s - ls) / (n - ln) AS rv FROM (
+    best = """SELECT node, b.f, b.x + (v.nx - b.x) / 2 AS cut, ls / ln AS lv, (s - ls) / (n - ln) AS rv FROM (
   SELECT *, sum(hn) OVER w AS ln, sum(hs) OVER w AS ls, sum(hn) OVER (PARTITION BY node, f) AS n, sum(hs) OVER (PARTITION BY node, f) AS s, lead(x) OVER (PARTITION BY node, f ORDER BY x) AS nx
-  FROM (SELECT node, f, x, CAST(count(*) AS DOUBLE) AS hn, sum(g) AS hs FROM {long} GROUP BY node, f, x) WINDOW w AS (PARTITION BY node, f ORDER BY x))
-WHERE nx IS NOT NULL QUALIFY row_number() OVER (PARTITION BY node ORDER BY round(ls * ls / ln + (s - ls) * (s - ls) / (n - ln) - s * s / n, 7) DESC, f, x) = 1"""
+  FROM (SELECT node, f, x, CAST(count(*) AS DOUBLE) AS hn, sum(g) AS hs FROM {long} GROUP BY node, f, x) WINDOW w AS (PARTITION BY node, f ORDER BY x)) b JOIN v ON v.f = b.f AND v.x = b.x
+WHERE b.nx IS NOT NULL QUALIFY row_number() OVER (PARTITION BY node ORDER BY round(ls * ls / ln + (s - ls) * (s - ls) / (n - ln) - s * s / n, 7) DESC, b.f, b.x) = 1"""
     name = "CASE f " + " ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(TREE_FEATS, 1)) + " END"
     return f"""
 WITH d AS (SELECT p_partkey AS id, p_retailprice - avg(p_retailprice) OVER () AS g, CAST(p_size AS DOUBLE) AS x1, CAST(regexp_extract(p_brand, '(\\d+)', 1) AS DOUBLE) AS x2,
              CAST(length(p_name) AS DOUBLE) AS x3, 0 AS node FROM part),
-l0 AS ({long} FROM d), b0 AS ({best.format(long='l0')}),
+l0 AS ({long} FROM d), v AS (SELECT f, x, lead(x) OVER (PARTITION BY f ORDER BY x) AS nx FROM (SELECT DISTINCT f, x FROM l0)), b0 AS ({best.format(long='l0')}),
 d1 AS (SELECT d.* REPLACE (CASE WHEN (CASE f WHEN 1 THEN x1 WHEN 2 THEN x2 ELSE x3 END) <= cut THEN 1 ELSE 2 END AS node) FROM d, b0),
 l1 AS ({long} FROM d1), b1 AS ({best.format(long='l1')})
 SELECT node, {name} AS feature, {sql_sig('cut')} AS cut, CAST(NULL AS DOUBLE) AS value FROM (SELECT * FROM b0 UNION ALL SELECT * FROM b1)

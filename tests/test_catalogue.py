@@ -14,7 +14,6 @@ import __spark_entry__ as entry  # noqa: E402
 from check_oracle import TABLES, rows_of  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-SLOW = {"gbt_grid_4", "gbt_grid_6"}  # minutes each; the same code as gbt_grid_2
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
          "timestamp_ntz": "TIMESTAMP", "float": "FLOAT"}
 
@@ -47,6 +46,6 @@ def test_oracle(spark, con, name):
         assert TYPES.get(t, t) == duck_types[f.name], (f.name, t, duck_types[f.name])
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(entry.oracle_sql()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(entry.oracle_sql())))
 def test_rows_only(spark, name):
     assert entry.queries()[name](spark, SF).count() > 0
