@@ -3,8 +3,9 @@
 Triggers of a rolling hash cut every text into phrases. A suffix that starts in a phrase begins with
 the rest of that phrase and what follows it, so suffixes need not be sorted one by one: phrases are
 sorted (grouped) by the rolling hash at their trigger, equal phrases with equal context are one
-dictionary entry, and only entries that meet a different entry of the same trigger have the suffixes
-inside them put in order. A text that repeats costs one entry a phrase, however often it repeats.
+dictionary entry, and only entries that meet a different entry of the same trigger are compared: by
+the common prefix of the suffixes that begin at their triggers, and by what agrees before them. A text
+that repeats costs one entry a phrase, however often it repeats.
 
 The trigger is the least hash of a window instead of a hash divisible by a number: that puts a
 trigger into each ``LENGTH``-byte string, at the same place in each copy, which makes the result
@@ -58,6 +59,12 @@ def window_argmin(hashes: np.ndarray, width: int) -> np.ndarray:
 def phrases(bodies: list[bytes], length: int = LENGTH, key: int = KEY) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """(document, first, last, key): the ``length``-byte strings that start from first to last share
     the trigger that the key belongs to. Every string of every document is in one phrase."""
+    for doc, first, last, keys, _ in triggered(bodies, length, key):
+        yield doc, first, last, keys
+
+
+def triggered(bodies: list[bytes], length: int = LENGTH, key: int = KEY) -> Iterator[tuple[np.ndarray, ...]]:
+    """:func:`phrases` with the trigger's place."""
     width = length - key + 1
     held: list[tuple[int, int, bytes]] = []
     size = 0
@@ -92,7 +99,7 @@ def _parse(held, length: int, key: int, width: int):
     for j in range(0, key, 8):
         keys = _mix(keys ^ _words(buffer[j:], n)[t])
     doc, off = np.array([i for i, _, _ in held]), np.array([a for _, a, _ in held]) - begin
-    return doc[owner], first + off[owner], last + off[owner], keys
+    return doc[owner], first + off[owner], last + off[owner], keys, t + off[owner]
 
 
 def _keys(bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -114,38 +121,39 @@ def _keys(bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return keys, count, entries
 
 
-ENTRIES = "bucket long, bid long, uid long, doc_id long, at long, content binary, spans binary"
+ENTRIES = "bucket long, bid long, uid long, doc_id long, at long, key long, trigger int, content binary, spans binary"
 
 
 def _entries(n_buckets: int, n_parts: int, docs: pa.Table, answer: pa.Table) -> pa.Table:
     """Of one batch: the dictionary entries of repeated triggers, first occurrences only, and the
     spans that later occurrences in the batch cover (entries without content)."""
-    rows = {c: [] for c in ("bucket", "uid", "doc_id", "at", "content", "spans")}
+    rows = {c: [] for c in ("bucket", "uid", "doc_id", "at", "key", "trigger", "content", "spans")}
     order = R.documents_of(docs) if len(docs) else []
     bodies = [b for _, _, b in order]
     bid = docs.column("bid")[0].as_py() if len(docs) else 0
     ids = docs.column("doc_id").to_pylist() if len(docs) else []
-    parsed = list(phrases(bodies))
+    parsed = list(triggered(bodies))
     seen: set[bytes] = set()
     covered: dict[int, list[tuple[int, int]]] = {}
 
-    def add(bucket, d, at, content, spans):
-        for c, v in zip(rows, (bucket, order[d][1], ids[order[d][0]], at, content, spans)):
+    def add(bucket, d, at, key, trigger, content, spans):
+        for c, v in zip(rows, (bucket, order[d][1], ids[order[d][0]], at, key, trigger, content, spans)):
             rows[c].append(v)
 
     if parsed:
-        doc, first, last, keys = (np.concatenate(x) for x in zip(*parsed))
+        doc, first, last, keys, places = (np.concatenate(x) for x in zip(*parsed))
         flags = R.lookup(keys, answer, n_buckets)
         some = np.flatnonzero(flags != R.ONCE)
         buckets = R.bucket_of(keys[some], n_parts)
-        for b, d, lo, hi, flag in zip(buckets.tolist(), doc[some].tolist(), first[some].tolist(), last[some].tolist(), flags[some].tolist()):
+        signed = (keys[some] & ~np.uint64(1)).view(np.int64)
+        for b, d, lo, hi, flag, k, t in zip(buckets.tolist(), doc[some].tolist(), first[some].tolist(), last[some].tolist(), flags[some].tolist(), signed.tolist(), places[some].tolist()):
             content = bodies[d][lo:hi + LENGTH]
             if content in seen:
                 covered.setdefault(d, []).append((lo, hi + LENGTH))
                 continue
             seen.add(content)
             if flag != R.HOT:
-                add(b, d, lo, content, None)
+                add(b, d, lo, k, t - lo, content, None)
                 continue
             for i in range(hi - lo + 1):  # a hot trigger's strings are dealt out one by one
                 gram = content[i:i + LENGTH]
@@ -153,13 +161,13 @@ def _entries(n_buckets: int, n_parts: int, docs: pa.Table, answer: pa.Table) ->
                     covered.setdefault(d, []).append((lo + i, lo + i + LENGTH))
                     continue
                 seen.add(b"*" + gram)
-                add(int.from_bytes(hashlib.blake2b(gram, digest_size=7).digest(), "big") % n_parts, d, lo + i, gram, None)
+                add(int.from_bytes(hashlib.blake2b(gram, digest_size=7).digest(), "big") % n_parts, d, lo + i, None, None, gram, None)
     for d, spans in covered.items():
         s, e = R.merge_spans(*(np.array(x) for x in zip(*spans)))
-        add(order[d][1] % n_parts, d, -1, None, R.pack_spans(s, e))
+        add(order[d][1] % n_parts, d, -1, None, None, None, R.pack_spans(s, e))
     n = len(rows["uid"])
     return pa.table({"bucket": pa.array(rows["bucket"], pa.int64()), "bid": pa.array([bid] * n, pa.int64()), "uid": pa.array(rows["uid"], pa.int64()),
-                     "doc_id": pa.array(rows["doc_id"], pa.int64()), "at": pa.array(rows["at"], pa.int64()),
+                     "doc_id": pa.array(rows["doc_id"], pa.int64()), "at": pa.array(rows["at"], pa.int64()), "key": pa.array(rows["key"], pa.int64()), "trigger": pa.array(rows["trigger"], pa.int32()),
                      "content": pa.array(rows["content"], pa.binary()), "spans": pa.array(rows["spans"], pa.binary())})
 
 
@@ -199,20 +207,81 @@ def later_strings(contents: list[bytes], length: int = LENGTH) -> list[np.ndarra
     return [np.flatnonzero(is_later[e - k:e]) for e, k in zip(ends.tolist(), n_of.tolist())]
 
 
+#: Distinct entries of a trigger that are compared pair by pair; more have their strings hashed.
+PAIRED = 24
+#: Pairs compared at a time.
+PAIR_BLOCK = 20_000
+
+
+def later_parts(contents: list[bytes], keys: np.ndarray, triggers: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(content, start, end): parts of contents that ``length``-byte strings cover which an earlier
+    content of the same trigger holds too. The contents differ within a trigger.
+
+    Copies of a string have the trigger at the same place. So the strings that two entries share are
+    told by two numbers: how many bytes agree from the triggers on (the common prefix of two
+    suffixes), and how many agree before them."""
+    size = np.array([len(c) for c in contents])
+    text = np.frombuffer(b"".join(contents) + bytes(length), np.uint8)
+    begin = np.r_[0, np.cumsum(size)[:-1]]
+    order = np.lexsort((np.arange(len(keys)), keys))
+    head = np.flatnonzero(np.r_[True, keys[order][1:] != keys[order][:-1]])
+    count = np.diff(np.r_[head, len(order)])
+    rank = np.arange(len(order)) - np.repeat(head, count)
+    later = np.repeat(order, rank)  # each entry meets those before it in its group
+    place = np.repeat(np.arange(len(order)) - rank, rank) + (np.arange(rank.sum()) - np.repeat(np.cumsum(rank) - rank, rank))
+    earlier = order[place]
+    ahead, behind = np.arange(length), np.arange(1, length + 1)
+    out = []
+    for at in range(0, len(later), PAIR_BLOCK):
+        a, b = earlier[at:at + PAIR_BLOCK], later[at:at + PAIR_BLOCK]
+        ta, tb = begin[a] + triggers[a], begin[b] + triggers[b]
+        right = np.minimum(size[a] - triggers[a], size[b] - triggers[b])
+        same = (text[ta[:, None] + ahead] == text[tb[:, None] + ahead]) & (ahead < right[:, None])
+        prefix = np.where(same.all(axis=1), length, same.argmin(axis=1))
+        near = np.flatnonzero(prefix + np.minimum(triggers[a], triggers[b]) >= length)
+        a, b, ta, tb, prefix = a[near], b[near], ta[near], tb[near], prefix[near]
+        before = np.minimum(triggers[a], triggers[b])
+        same = (text[np.maximum(ta[:, None] - behind, 0)] == text[np.maximum(tb[:, None] - behind, 0)]) & (behind <= before[:, None])
+        suffix = np.where(same.all(axis=1), length, same.argmin(axis=1))
+        hit = np.flatnonzero(prefix + suffix >= length)
+        out.append((b[hit], triggers[b][hit] - np.minimum(suffix[hit], length), triggers[b][hit] + prefix[hit]))
+    return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.empty(0, np.int64),) * 3
+
+
 def _covers(table: pa.Table) -> pa.Table:
     """Of one bucket: the spans covered in each document."""
-    cols = {c: table.column(c).to_pylist() for c in ("bid", "uid", "doc_id", "at", "content", "spans")}
+    cols = {c: table.column(c).to_pylist() for c in ("bid", "uid", "doc_id", "at", "key", "trigger", "content", "spans")}
     entries = sorted((i for i, c in enumerate(cols["content"]) if c is not None),
                      key=lambda i: (cols["doc_id"][i] is not None, cols["doc_id"][i] or 0, cols["uid"][i], cols["at"][i]))
     spans: dict[tuple[int, int], list[bytes]] = {}
     for i, c in enumerate(cols["content"]):
         if c is None:
             spans.setdefault((cols["bid"][i], cols["uid"][i]), []).append(cols["spans"][i])
-    if entries:
-        for i, off in zip(entries, later_strings([cols["content"][i] for i in entries])):
-            if len(off):
-                s, e = R.merge_spans(cols["at"][i] + off, cols["at"][i] + off + LENGTH)
-                spans.setdefault((cols["bid"][i], cols["uid"][i]), []).append(R.pack_spans(s, e))
+
+    def covered(i: int, s, e) -> None:
+        spans.setdefault((cols["bid"][i], cols["uid"][i]), []).append(R.pack_spans(s, e))
+
+    first: dict[tuple, int] = {}
+    met: dict = {}
+    for i in entries:
+        key, content = cols["key"][i], cols["content"][i]
+        if first.setdefault((key, content), i) != i:
+            covered(i, [cols["at"][i]], [cols["at"][i] + len(content)])
+        else:
+            met.setdefault(key, []).append(i)
+    paired = sorted(i for key, own in met.items() if key is not None and 1 < len(own) <= PAIRED for i in own)
+    place = {i: n for n, i in enumerate(entries)}
+    paired.sort(key=place.__getitem__)
+    if paired:
+        keys, triggers = np.array([cols["key"][i] for i in paired]), np.array([cols["trigger"][i] for i in paired], np.int64)
+        for n, s, e in zip(*(x.tolist() for x in later_parts([cols["content"][i] for i in paired], keys, triggers))):
+            i = paired[n]
+            covered(i, [cols["at"][i] + s], [cols["at"][i] + e])
+    for key, own in met.items():
+        if key is not None and len(own) > PAIRED:
+            for i, off in zip(own, later_strings([cols["content"][i] for i in own])):
+                if len(off):
+                    covered(i, cols["at"][i] + off, cols["at"][i] + off + LENGTH)
     out = [(b, u, R.pack_spans(*R.merge_spans(*R.unpack_spans(x)))) for (b, u), x in spans.items()]
     bid, uid, packed = zip(*out) if out else ((), (), ())
     return pa.table({"bid": pa.array(bid, pa.int64()), "uid": pa.array(uid, pa.int64()), "spans": pa.array(packed, pa.binary())})
