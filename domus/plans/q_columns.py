@@ -11,7 +11,7 @@ from domus.operators import columns as C
 from domus.operators import filters as D
 from domus.operators.setops import attach_by_key, flatten_lists, left_join, union_many
 from domus.plans.registry import load, query, sql_money_avg, sql_round, sql_sig
-from domus.sources.readers import object_of_records, sub_document
+from domus.sources.readers import object_of_records, sub_document, typed_object_of_records
 
 # ---------------------------------------------------------------- helpers
 
@@ -228,6 +228,16 @@ def map_records_q(spark, sf):
     return C.numeric_if_all_parse(rows, subset=["id", "value", "user"])
 
 
+@query("map_records_typed", ids="A6", sql="""
+SELECT CAST(event_id AS VARCHAR) AS id, event_type AS "type", CAST(user_id AS BIGINT) AS "user", value FROM events""")
+def map_records_typed_q(spark, sf):
+    """Objects of up to 50 records each, a broken text among them, and no declared schema."""
+    ev = load(spark, sf, "events").withColumn("part", F.floor(F.col("event_id") / 50))
+    record = F.struct(F.col("event_type").alias("type"), F.col("user_id").cast("bigint").alias("user"), "value")
+    docs = ev.groupBy("part").agg(F.to_json(F.map_from_entries(F.collect_list(F.struct(F.col("event_id").cast("string"), record)))).alias("doc")).select("doc")
+    return typed_object_of_records(docs.unionByName(spark.range(1).select(F.lit('{"1": {"type": ').alias("doc"))), "doc").select("id", "type", "user", "value")
+
+
 def _broken_props(spark, sf):
     ev = load(spark, sf, "events")
     return ev.select("event_id", F.when(F.col("event_id") % 5 == 0, F.replace("props", F.lit("}"), F.lit("")))

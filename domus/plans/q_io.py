@@ -11,7 +11,7 @@ from domus.plans.registry import load, query
 from domus.session import scratch_path
 from domus.sinks.writers import (create_table_as, overwrite_parquet, overwrite_partitions, register_table, replace_interval,
                                  write_csv, write_json_drops)
-from domus.sources.readers import read_delimited, read_json_drops, read_parquet
+from domus.sources.readers import read_delimited, read_json_drops, read_parquet, typed_json
 
 ORDERS_SCHEMA = ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
                  "o_orderdate timestamp_ntz, o_orderpriority string")
@@ -66,6 +66,18 @@ def json_gz_round_trip_q(spark, sf):
     return flatten_structs(read_json_drops(spark, p, schema))
 
 
+@query("json_typed_drops", ids="A1 C1", sql="""
+SELECT o_custkey AS lister_id, o_orderkey AS listing_id, o_totalprice AS listing_price, CASE WHEN o_orderkey % 3 = 0 THEN o_orderstatus END AS listing_status FROM orders""")
+def json_typed_drops_q(spark, sf):
+    """gz JSON drops read without a schema; a field that only some documents have."""
+    p = scratch_path(spark, "json")
+    o = load(spark, sf, "orders")
+    docs = o.select(F.struct(F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("price"), F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderstatus")).alias("status")).alias("listing"),
+                    F.struct(F.col("o_custkey").alias("id")).alias("lister"))
+    write_json_drops(docs, p, mode="overwrite")
+    return flatten_structs(typed_json(spark.read.text(p), "value")).select("lister_id", "listing_id", "listing_price", "listing_status")
+
+
 @query("parquet_round_trip", ids="A3 B1", sql="SELECT * FROM orders")
 def parquet_round_trip_q(spark, sf):
     p = scratch_path(spark, "parquet")

@@ -314,3 +314,30 @@ def last_wins_q(spark, sf):
     o = load(spark, sf, "orders")
     return P.last_wins(o, "o_custkey", "o_totalprice", ["o_orderdate", "o_orderkey"]).select(
         "o_custkey", F.col("o_totalprice").alias("last_price"))
+
+
+SKETCHED = ["l_quantity", "l_extendedprice", "l_discount", "l_partkey"]
+
+
+@query("sketch_profile", ids="F5 F18", sql="\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, count(*) AS \"rows\", CAST(min({c}) AS DOUBLE) + 0.0 AS lo, CAST(max({c}) AS DOUBLE) + 0.0 AS hi, true AS ranks_agree, true AS distinct_agrees FROM lineitem" for c in SKETCHED))
+def sketch_profile_q(spark, sf):
+    """The lines in seven parts, each with its sketch rows; the merged profile against the exact one:
+    counts and extremes are equal, the ranks of the quartiles and the distinct counts within the
+    sketches' bounds (three times the stated error)."""
+    from domus.operators import sketches as S
+    li = load(spark, sf, "lineitem")
+    parts = None
+    for i in range(7):
+        one = S.sketch_columns(li.where(F.pmod("l_orderkey", F.lit(7)) == i), SKETCHED)
+        parts = one if parts is None else parts.unionByName(one)
+    got = F.broadcast(S.read_sketches(S.merge_sketches(parts)))
+    long = li.select(F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v")) for c in SKETCHED])).alias("p")).select("p.*")
+    at = long.join(got, long["c"] == got["column_name"])
+    below = [F.avg((F.col("v") < F.col(p)).cast("double")) for p in ("p25", "p50", "p75")]
+    upto = [F.avg((F.col("v") <= F.col(p)).cast("double")) for p in ("p25", "p50", "p75")]
+    off = 3 * 1.8 / S.K
+    ranks = [(b - off <= p) & (u + off >= p) for b, u, p in zip(below, upto, (0.25, 0.5, 0.75))]
+    exact = at.groupBy("column_name", "rows", "lo", "hi", "n_distinct").agg((ranks[0] & ranks[1] & ranks[2]).alias("ranks_agree"), F.count_distinct("v").alias("d"))
+    near = F.abs(F.col("n_distinct") - F.col("d")) <= F.greatest(F.col("d") * (3 * 1.04 / 2 ** (S.LG / 2)), F.lit(1))
+    return exact.select("column_name", "rows", (F.col("lo") + 0.0).alias("lo"), (F.col("hi") + 0.0).alias("hi"), "ranks_agree", near.alias("distinct_agrees"))

@@ -3,6 +3,7 @@ because it costs a full extra pass over the input."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -95,6 +96,36 @@ def read_object_of_records(spark: SparkSession, path: str, record_schema: str,
     return object_of_records(raw, "value", record_schema, key_name)
 
 
+def _ddl(variant_schema: str) -> str:
+    """The schema of a variant as a column type: numbers with a point are doubles, what has no one
+    type (or only nulls) is text."""
+    text = re.sub(r"\bOBJECT<", "STRUCT<", variant_schema)
+    text = re.sub(r"\bDECIMAL\(\d+,\s*\d+\)", "DOUBLE", text)
+    return re.sub(r"\b(VOID|VARIANT)\b", "STRING", text).replace("STRUCT<>", "STRING")
+
+
+def typed_json(df: DataFrame, text_col: str) -> DataFrame:
+    """JSON documents without a declared schema (A1): one aggregate finds the schema of all documents
+    (fields of any document, types that hold all values), then each is read by it. Texts that are no
+    JSON object are left out; a document without a field has null there. No documents: no columns."""
+    docs = df.select(F.try_parse_json(F.col(text_col)).alias("v")).where(F.schema_of_variant("v").startswith("OBJECT"))
+    found = docs.agg(F.schema_of_variant_agg("v")).first()[0]
+    if not found.startswith("OBJECT<"):
+        return df.sparkSession.createDataFrame([], T.StructType([]))
+    return docs.select(F.try_variant_get("v", "$", _ddl(found)).alias("r")).select("r.*")
+
+
+def typed_object_of_records(df: DataFrame, text_col: str, key_name: str = "id") -> DataFrame:
+    """JSON objects of records (A6) with any number of keys and no declared schema: one row a key, the
+    records' fields as columns by the schema that one aggregate finds."""
+    docs = df.select(F.try_parse_json(F.col(text_col)).alias("v")).where(F.schema_of_variant("v").startswith("OBJECT"))
+    rows = docs.select(F.explode(F.col("v").cast("map<string, variant>")).alias(key_name, "v")).where(F.schema_of_variant("v").startswith("OBJECT"))
+    found = rows.agg(F.schema_of_variant_agg("v")).first()[0]
+    if not found.startswith("OBJECT<"):
+        return df.sparkSession.createDataFrame([], f"`{key_name}` string")
+    return rows.select(key_name, F.try_variant_get("v", "$", _ddl(found)).alias("r")).select(key_name, "r.*")
+
+
 def records(spark: SparkSession, rows: Sequence[dict], schema: T.StructType | str) -> DataFrame:
     """In-line records with a fixed column order; missing keys are null."""
     st = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
