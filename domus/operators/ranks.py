@@ -33,20 +33,32 @@ BROADCAST_ROWS = 100_000
 PART_VALUES = 1_000_000
 
 
+def _exponent(a: Column) -> Column:
+    """The binary exponent of a size, off by one at most beside a power of two."""
+    return F.least(F.greatest(F.floor(F.log2(a)), F.lit(-1022)), F.lit(1023))
+
+
+def _put_together(v: Column, a: Column, e: Column, m: Column) -> Column:
+    """The code out of a value, its size, exponent and mantissa (size over 2 to the exponent)."""
+    unit = float(2**52)
+    bits = lambda e, m: e.cast("long") * F.lit(2**52) + ((m - 1.0) * F.lit(unit)).cast("long")
+    code = (F.when(a == 0.0, F.lit(0)).when(a == float("inf"), F.lit(2047 << 52)).when(a < 2.0**-1022, (a / F.lit(2.0**-1074)).cast("long"))
+            .when(m >= 2.0, bits(e + 1024, m / 2.0)).when(m < 1.0, bits(e + 1022, m * 2.0)).otherwise(bits(e + 1023, m)))
+    return F.when(v < 0, -code).otherwise(code)
+
+
 def order_code(c: Column) -> Column:
     """A whole number that orders doubles as they are (0.0 and -0.0 alike): sign, exponent and
     mantissa put together by exact arithmetic. Null stays null; NaN has no place, take it out before."""
     a = F.abs(c.cast("double"))
-    e0 = F.greatest(F.floor(F.log2(a)), F.lit(-1022))
-    # the logarithm may be off by one beside a power of two
-    e1 = F.when(a / F.pow(F.lit(2.0), e0) >= 2.0, e0 + 1).when(a < F.pow(F.lit(2.0), e0), e0 - 1).otherwise(e0)
-    e = F.least(F.greatest(e1, F.lit(-1022)), F.lit(1023))
-    whole = float(2**52)
-    small = (a / F.lit(2.0**-1074)).cast("long")
-    mantissa = ((a / F.pow(F.lit(2.0), e) - 1.0) * F.lit(whole)).cast("long")
-    code = (F.when(a == 0.0, F.lit(0)).when(a == float("inf"), F.lit(2047 << 52)).when(a < 2.0**-1022, small)
-            .otherwise((e + 1023).cast("long") * F.lit(2**52) + mantissa))
-    return F.when(c < 0, -code).otherwise(code)
+    return _put_together(c, a, _exponent(a), a / F.pow(F.lit(2.0), _exponent(a)))
+
+
+def with_order_code(df: DataFrame, value: str, out: str) -> DataFrame:
+    """:func:`order_code` of a column of doubles, step by step, so that no part is computed twice."""
+    v = F.col(value)
+    df = df.withColumn("__a", F.abs(v)).withColumn("__e", _exponent(F.col("__a"))).withColumn("__m", F.col("__a") / F.pow(F.lit(2.0), F.col("__e")))
+    return df.withColumn(out, _put_together(v, F.col("__a"), F.col("__e"), F.col("__m"))).drop("__a", "__e", "__m")
 
 
 def code_value(code: Column) -> Column:
@@ -84,7 +96,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], groups: S
     is counted and broadcast up to ``BROADCAST_ROWS`` places; for more groups than that Spark joins it."""
     ensure_checkpoint_dir(df.sparkSession)
     g = list(groups)
-    codes = _known_values(df, value, g).select(*g, order_code(F.col("__v")).alias("__code"))
+    codes = with_order_code(_known_values(df, value, g), "__v", "__code").drop("__v")
     shift = 64 - DIGIT_BITS
     first = codes.groupBy(*g, F.shiftright("__code", shift).alias("__at")).agg(F.count(F.lit(1)).alias("cnt"))
     running = _over(g).orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
