@@ -40,7 +40,7 @@ LONGEST, THRESHOLD, SHARDS, BEST, ABSORB_PERCENT, PER_MILLE = 5, 100, 3, 2000, 1
 #: Slots (and pair buckets) of the table, a byte each, a power of two: one for so many bytes of text, within these bounds.
 SLOT_BYTES, LEAST_SLOTS, SLOTS = 64, 1 << 16, 1 << 24
 #: Bytes of text of a chunk; a longer text is cut between pieces.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 NO_LANG = "und"
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -142,7 +142,7 @@ def cut_words(texts: list[bytes], langs: list[str]) -> tuple | None:
 def _cut_corpus(rows: DataFrame, shards: int) -> DataFrame:
     """The rows (lang, body) as chunks, dealt out over the shards."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs = (pair for b in batches for pair in zip(b.column("body").to_pylist(), b.column("lang").to_pylist()))
+        pairs = (pair for b in batches for pair in _chunks_of(b, "body", "lang"))
         first = TaskContext.get().partitionId()
         for i, (texts, langs) in enumerate(chunks(pairs)):
             cut = cut_words(texts, langs)
@@ -214,6 +214,12 @@ def _distinct_phrases(place: np.ndarray, at: np.ndarray, words: int, size: int)
     return one, np.bincount(codes)
 
 
+def _chunks_of(b: pa.RecordBatch, *columns: str) -> Iterator[tuple]:
+    """The chunks of a batch, one by one: a batch can hold a whole partition."""
+    for i in range(b.num_rows):
+        yield tuple(b.column(c)[i].as_py() for c in columns)
+
+
 #: Slots of a part of the bucket table; a task sends a part's buckets as places in it and counts.
 PART = 1 << 12
 MOST = 65_535
@@ -235,7 +241,7 @@ def _bucket_counts(shard: DataFrame, n_buckets: int) -> DataFrame:
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for code, place, left in zip(*(b.column(c).to_pylist() for c in ("code", "place", "left"))):
+            for code, place, left in _chunks_of(b, "code", "place", "left"):
                 bucket, n = pair_buckets(code, place, left, n_buckets)
                 n = np.minimum(n, MOST).astype(np.uint16)
                 parts, begin = np.unique(bucket // PART, return_index=True)
@@ -281,7 +287,7 @@ def _scan(shard: DataFrame, slots, scan: int, shards: int, longest: int) -> Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, buckets = (np.frombuffer(x, np.uint8) for x in slots.value)
         for b in batches:
-            for chunk in zip(*(b.column(c).to_pylist() for c in ("langs", "words", "ends", "word_lang", "code", "place", "left"))):
+            for chunk in _chunks_of(b, "langs", "words", "ends", "word_lang", "code", "place", "left"):
                 for lang, words, phrase, first, count in count_chunk(*chunk, table, buckets, scan, shards, longest):
                     yield pa.RecordBatch.from_arrays([lang, pa.array(np.full(len(phrase), words, np.int32)), phrase, pa.array(first, pa.int64()), pa.array(count, pa.int64())],
                                                      names=["lang", "words", "phrase", "first", "n"])
