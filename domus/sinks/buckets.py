@@ -6,6 +6,13 @@ of buckets, for each bucket the version that holds it, the table's columns, and
 stream. Nothing is replaced in place, and a version folder without a record (a stopped merge) is not
 read; its number is written anew.
 
+*Waiting rows.* A batch that is small beside a bucket does not rewrite it: its rows wait in the batch's
+version folder, and the record lists for each bucket the versions that wait, oldest first. Once they
+reach a share of the bucket (``SHARE``) they are merged into it, and a batch takes waiting ones no
+larger than itself into its own, so a row is written a few times however many batches come. Readers
+merge what waits. Rows wait as they came, with the rule of change detection kept: of a key's rows the
+last one counts that differs in price from the one before (see :func:`_folded`).
+
 *Growth.* A bucket that would pass ``rows_per_bucket`` doubles the number of buckets (again and again,
 if need be): bucket ``b`` becomes ``b`` and ``b + n`` by the same hash. Only touched buckets are
 rewritten; the others go on living in their old folder, of which a reader takes the rows of its bucket.
@@ -21,19 +28,25 @@ One writer at a time; of two merges that race, the later one fails on the record
 
 from __future__ import annotations
 
+import functools
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from domus.functions.scalar import fingerprint
 from domus.operators.cdc import changed_or_new_unique, prepare_source, upsert
 from domus.session import create_text, list_dir, read_text
 
 BUCKET_COL, HASH_COL = "_bucket", "_hash"
 VERSION_PREFIX, COMMITS = "version=", "_commits"
 ROWS_PER_BUCKET = 1_000_000
+#: Of rows that wait: they replace the key's stored row whatever its price; the version they came with.
+SURE_COL, AT_COL = "_sure", "_version"
+#: Waiting rows are merged into their bucket when they reach this share of its rows.
+SHARE = 0.5
 
 # Numbers from narrow to wide.
 _WHOLE = (T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType())
@@ -74,13 +87,16 @@ def _cast(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 class _Record:
     """The newest record of a table. ``owner[b]``: version that holds bucket b (-1: no rows yet);
-    ``sizes[v]``: number of buckets when version v was written; ``rows[b]``: rows of bucket b."""
+    ``sizes[v]``: number of buckets when version v was written; ``rows[b]``: rows of bucket b;
+    ``waiting[b]``: [version, rows] of those that wait for it, oldest first, counted in ``rows`` too;
+    ``by``: key and price by which they are to be merged."""
 
-    def __init__(self, version=-1, buckets=1, owner=None, rows=None, sizes=None, streams=None, schema=None):
+    def __init__(self, version=-1, buckets=1, owner=None, rows=None, sizes=None, streams=None, schema=None, waiting=None, by=None):
         self.version, self.buckets = version, buckets
         self.owner, self.rows = owner or [-1] * buckets, rows or [0] * buckets
         self.sizes, self.streams = {int(v): n for v, n in (sizes or {}).items()}, streams or {}
         self.schema = schema
+        self.waiting, self.by = waiting or [[] for _ in range(buckets)], by or [None, None]
 
     @staticmethod
     def newest(spark: SparkSession, path: str) -> "_Record":
@@ -88,11 +104,12 @@ class _Record:
         if not found:
             return _Record()
         d = json.loads(read_text(spark, f"{path}/{COMMITS}/{found[-1]}"))
-        return _Record(d["version"], d["buckets"], d["owner"], d["rows"], d["sizes"], d["streams"], T.StructType.fromJson(d["schema"]))
+        return _Record(d["version"], d["buckets"], d["owner"], d["rows"], d["sizes"], d["streams"], T.StructType.fromJson(d["schema"]),
+                       d.get("waiting"), d.get("by"))
 
     def commit(self, spark: SparkSession, path: str) -> None:
-        used = set(self.owner)
-        record = {"version": self.version, "buckets": self.buckets, "owner": self.owner, "rows": self.rows, "streams": self.streams, "schema": self.schema.jsonValue(),
+        used = {*self.owner, *(v for w in self.waiting for v, _ in w)}
+        record = {"version": self.version, "buckets": self.buckets, "owner": self.owner, "rows": self.rows, "streams": self.streams, "schema": self.schema.jsonValue(), "waiting": self.waiting, "by": self.by,
                   "sizes": {v: n for v, n in self.sizes.items() if v in used or v == self.version}}
         if not create_text(spark, f"{path}/{COMMITS}/{self.version:06d}.json", json.dumps(record)):
             raise RuntimeError(f"version {self.version} of {path} was written by another merge")
@@ -100,6 +117,7 @@ class _Record:
     def doubled(self, times: int) -> None:
         for _ in range(times):
             self.owner, self.rows, self.buckets = self.owner * 2, [(r + 1) // 2 for r in self.rows] * 2, self.buckets * 2
+            self.waiting = [[[v, (r + 1) // 2] for v, r in w] for w in self.waiting * 2]
 
 
 def _hashed(df: DataFrame, key: str) -> DataFrame:
@@ -113,30 +131,101 @@ def _bucket(n: int) -> Column:
     return F.pmod(F.col(HASH_COL), F.lit(n)).cast("int")
 
 
-def _folders(record: _Record, path: str, only: set[int] | None) -> list[tuple[str, list[int] | None]]:
-    """(folder, buckets to take of it; None: all its rows)."""
-    held: dict[tuple[int, int], list[int]] = {}
+def _in(n: int, buckets: Sequence[int]) -> Column:
+    """Is the row's bucket one of these?"""
+    return F.expr(f"cast(pmod({HASH_COL}, {n}) as int) in ({', '.join(map(str, buckets))})")
+
+
+def _folders(record: _Record, path: str, held: dict[int, list[int]]) -> dict[int, list[tuple[str, list[int] | None]]]:
+    """Of each version and the buckets to take of it: (folder, buckets; None: all its rows)."""
+    out: dict[int, list[tuple[str, list[int] | None]]] = {}
+    for v, buckets in sorted(held.items()):
+        own: dict[int, list[int]] = {}
+        for b in buckets:
+            own.setdefault(b % record.sizes[v], []).append(b)
+        out[v] = [(f"{path}/{VERSION_PREFIX}{v:06d}/{BUCKET_COL}={old}", None if len(bs) == record.buckets // record.sizes[v] else bs)
+                  for old, bs in sorted(own.items())]
+    return out
+
+
+def _rows_of(spark: SparkSession, path: str, record: _Record, schema: T.StructType, held: dict[int, list[int]]) -> dict[int, DataFrame]:
+    """The rows of the wanted buckets in each version that has some."""
+    out = {}
+    for v, folders in _folders(record, path, held).items():
+        there = _present(spark, path, {p for p, _ in folders})
+        whole = [p for p, own in folders if own is None and p in there]
+        parts = [(p, own) for p, own in folders if own is not None and p in there]
+        frames = [spark.read.schema(schema).parquet(*whole)] if whole else []
+        if parts:
+            # every row's bucket tells whether it is one of those that still live in the old folders
+            mine = sorted(b for _, own in parts for b in own)
+            frames.append(spark.read.schema(schema).parquet(*[p for p, _ in parts]).where(_in(record.buckets, mine)))
+        if frames:
+            out[v] = functools.reduce(DataFrame.unionByName, frames)
+    return out
+
+
+def _stored(spark: SparkSession, path: str, record: _Record, only: set[int] | None = None) -> DataFrame | None:
+    """The rows of the buckets, without those that wait."""
+    if record.schema is None:
+        return None
+    schema = T.StructType([*record.schema.fields, T.StructField(HASH_COL, T.LongType())])
+    held: dict[int, list[int]] = {}
     for b, v in enumerate(record.owner):
         if v >= 0 and (only is None or b in only):
-            held.setdefault((v, b % record.sizes[v]), []).append(b)
-    return [(f"{path}/{VERSION_PREFIX}{v:06d}/{BUCKET_COL}={old}", None if len(own) == record.buckets // record.sizes[v] else own)
-            for (v, old), own in sorted(held.items())]
+            held.setdefault(v, []).append(b)
+    frames = _rows_of(spark, path, record, schema, held).values()
+    return functools.reduce(DataFrame.unionByName, frames) if frames else spark.createDataFrame([], schema)
+
+
+def _waiting(spark: SparkSession, path: str, record: _Record, take: dict[int, list[int]]) -> DataFrame | None:
+    """The waiting rows of these versions (by bucket), with ``SURE_COL`` and ``AT_COL``."""
+    if not any(take.values()):
+        return None
+    schema = T.StructType([*record.schema.fields, T.StructField(HASH_COL, T.LongType()), T.StructField(SURE_COL, T.BooleanType())])
+    held: dict[int, list[int]] = {}
+    for b, versions in take.items():
+        for v in versions:
+            held.setdefault(v, []).append(b)
+    frames = [df.withColumn(AT_COL, F.lit(v)) for v, df in _rows_of(spark, path, record, schema, held).items()]
+    return functools.reduce(DataFrame.unionByName, frames) if frames else None
+
+
+def _folded(rows: DataFrame, key: str, price: str | None) -> DataFrame:
+    """One row a key of rows that came one version after the other; rows without a key stay, each. As
+    if they had been merged in turn: a row counts if its price differs from that of the key's row
+    before it (a null price always does), and the last one that counts is left. Whether a key's first
+    row counts depends on the stored row; a later one is sure."""
+    k, p = f"`{key}`", fingerprint(key, price) if price is not None else F.lit(None).cast("string")
+    turn = Window.partitionBy(F.col(k)).orderBy(AT_COL)
+    rest = [c for c in rows.columns if c not in (key, AT_COL)]
+    known = rows.where(F.col(k).isNotNull()).withColumn("__p", p).withColumn("__turn", F.row_number().over(turn)).withColumn("__before", F.lag("__p").over(turn))
+    first = F.col("__turn") == 1
+    counts = known.where(first | F.col(SURE_COL) | F.col("__p").isNull() | F.col("__before").isNull() | (F.col("__p") != F.col("__before")))
+    counts = counts.withColumn(SURE_COL, F.when(first, F.col(SURE_COL)).otherwise(True))
+    one = counts.groupBy(F.col(k)).agg(F.max_by(F.struct(*[F.col(f"`{c}`") for c in rest]), "__turn").alias("__r"))
+    one = one.select(F.col(k), *[F.col("__r")[c].alias(c) for c in rest])
+    return one.unionByName(rows.where(F.col(k).isNull()).drop(AT_COL))
+
+
+def _merged(target: DataFrame, rows: DataFrame, key: str, price: str | None) -> DataFrame:
+    """Change detection, then the upsert, of rows with ``SURE_COL``."""
+    if price is not None:
+        # a row without a fingerprint always counts as changed
+        rows = rows.withColumn("__new", F.when(~F.col(SURE_COL), fingerprint(key, price)))
+        rows = changed_or_new_unique(rows, target, key, price, fingerprint_col="__new").drop("__new")
+    return upsert(target, rows.drop(SURE_COL), key, "none")
 
 
 def _read(spark: SparkSession, path: str, record: _Record, only: set[int] | None = None) -> DataFrame | None:
-    if record.schema is None:
+    found = _stored(spark, path, record, only)
+    if found is None:
         return None
-    schema = T.StructType([*record.schema.fields, T.StructField(HASH_COL, T.LongType())])
-    folders = [(p, own) for p, own in _folders(record, path, only)]
-    there = _present(spark, path, {p for p, _ in folders})
-    whole = [p for p, own in folders if own is None and p in there]
-    parts = [(p, own) for p, own in folders if own is not None and p in there]
-    out = spark.read.schema(schema).parquet(*whole) if whole else spark.createDataFrame([], schema)
-    if parts:
-        # every row's bucket tells whether it is one of those that still live in the old folders
-        mine = sorted(b for _, own in parts for b in own)
-        out = out.unionByName(spark.read.schema(schema).parquet(*[p for p, _ in parts]).where(_bucket(record.buckets).isin(mine)))
-    return out
+    rows = _waiting(spark, path, record, {b: [v for v, _ in w] for b, w in enumerate(record.waiting) if only is None or b in only})
+    if rows is None:
+        return found
+    key, price = record.by
+    return _merged(found, _folded(rows, key, price), key, price).select(*[F.col(f"`{c}`") for c in found.columns])
 
 
 def _present(spark: SparkSession, path: str, folders: set[str]) -> set[str]:
@@ -151,8 +240,9 @@ def read_bucketed(spark: SparkSession, path: str) -> DataFrame | None:
     return None if found is None else found.drop(HASH_COL)
 
 
-def _write(rows: DataFrame, path: str, record: _Record, version: int, touched: list[int]) -> None:
-    """The rows of the touched buckets as a version folder, a task for each bucket (10,000 at most)."""
+def _write(rows: DataFrame, path: str, record: _Record, version: int, touched: list[int], later: dict[int, list] | None = None) -> None:
+    """The rows of the touched buckets as a version folder, a task for each bucket (10,000 at most). The
+    rows of the buckets ``later`` wait, after the waiting versions that it gives."""
     spark = rows.sparkSession
     place = f"{path}/{VERSION_PREFIX}{version:06d}"
     rows = rows.withColumn(BUCKET_COL, _bucket(record.buckets)).repartition(max(1, min(len(touched), 10_000)), BUCKET_COL)
@@ -160,7 +250,13 @@ def _write(rows: DataFrame, path: str, record: _Record, version: int, touched: l
     schema = T.StructType([T.StructField(HASH_COL, T.LongType()), T.StructField(BUCKET_COL, T.IntegerType())])
     counts = {r[0]: r[1] for r in spark.read.schema(schema).parquet(place).groupBy(BUCKET_COL).count().collect()} if list_dir(spark, place) != ["_SUCCESS"] else {}
     for b in touched:
-        record.owner[b], record.rows[b] = version, counts.get(b, 0)
+        n = counts.get(b, 0)
+        if later and b in later:
+            held = record.rows[b] - sum(r for _, r in record.waiting[b])
+            record.waiting[b] = [*later[b], *([[version, n]] if n else [])]
+            record.rows[b] = held + sum(r for _, r in record.waiting[b])
+        else:
+            record.owner[b], record.rows[b], record.waiting[b] = version, n, []
     record.sizes[version] = record.buckets
     record.version = version
 
@@ -181,10 +277,12 @@ def merge_bucketed(spark: SparkSession, source: DataFrame, path: str, key: str,
                    dedupe: str = "latest", order_by: Sequence[str] = (), price: str | None = None,
                    rows_per_bucket: int = ROWS_PER_BUCKET) -> list[int]:
     """Upsert ``source`` into a bucketed table as its next version (a small drop into a huge table does
-    not rewrite the table); a table that does not exist yet is started. Returns the buckets written:
-    none if ``batch`` (stream id, number) was merged before, or nothing came.
+    not rewrite the table, and many of them rewrite a bucket now and then); a table that does not exist
+    yet is started. Returns the buckets written: none if ``batch`` (stream id, number) was merged
+    before, or nothing came.
 
-    ``price`` first drops the source rows that change nothing (E1)."""
+    ``price`` first drops the source rows that change nothing (E1). Rows that lack columns of the table,
+    or may repeat keys (``dedupe='none'``), do not wait."""
     record = _Record.newest(spark, path)
     if batch is not None and record.streams.get(batch[0], -1) >= batch[1]:
         return []
@@ -201,17 +299,31 @@ def merge_bucketed(spark: SparkSession, source: DataFrame, path: str, key: str,
             times = max(0, -(-fullest // rows_per_bucket) - 1).bit_length()
             before = record.buckets
             record.doubled(times)
-            touched = sorted(b + before * k for b in coming for k in range(2 ** times))
-            target = _read(spark, path, record, set(touched))
-            rows = source
-            if target is not None and any(record.owner[b] >= 0 for b in touched):
-                target = _cast(target, T.StructType([*table_schema.fields, T.StructField(HASH_COL, T.LongType())]))
-                if price is not None:
-                    rows = changed_or_new_unique(rows, target, key, price).drop("fingerprint")
-                rows = upsert(target, rows, key, "none")
-            columns = [*table_schema.names, HASH_COL]
-            rows = rows.select(*[F.col(f"`{c}`") if c in rows.columns else F.lit(None).cast(table_schema[c].dataType).alias(c) for c in columns])
-            _write(rows, path, record, record.version + 1, touched)
+            coming = {b + before * k: -(-n // 2 ** times) for b, n in coming.items() for k in range(2 ** times)}
+            # what waits by another rule is merged by that rule first
+            other = {b for b, w in enumerate(record.waiting) if w} if record.by != [key, price] else set()
+            plain = dedupe != "none" and not other and set(table_schema.names) <= set(source.columns)
+            touched = sorted({*coming, *other})
+            now, later, taken = [], {}, {}
+            for b in touched:
+                waits = sum(n for _, n in record.waiting[b])
+                if not plain or record.owner[b] < 0 or waits + coming[b] >= SHARE * (record.rows[b] - waits):
+                    now.append(b)
+                    continue
+                kept, size = list(record.waiting[b]), coming[b]
+                while kept and kept[-1][1] <= size:
+                    size += kept.pop()[1]
+                later[b], taken[b] = kept, [v for v, _ in record.waiting[b][len(kept):]]
+            version = record.version + 1
+            rows = _for_buckets(spark, source, path, record, key, price, version, now, plain) if now else None
+            if later:
+                wait = source.withColumn(SURE_COL, F.lit(price is None)).where(_in(record.buckets, sorted(later)))
+                old = _waiting(spark, path, record, taken)
+                if old is not None:
+                    wait = _folded(old.unionByName(wait.withColumn(AT_COL, F.lit(version))), key, price)
+                rows = wait if rows is None else rows.unionByName(wait, allowMissingColumns=True)
+            _write(rows, path, record, version, touched, later)
+            record.by = [key, price]
         else:
             touched = []
             record.version += 1
@@ -221,3 +333,23 @@ def merge_bucketed(spark: SparkSession, source: DataFrame, path: str, key: str,
         return touched
     finally:
         source.unpersist()
+
+
+def _for_buckets(spark: SparkSession, source: DataFrame, path: str, record: _Record, key: str, price: str | None, version: int, buckets: list[int],
+                 plain: bool) -> DataFrame:
+    """All rows of the buckets to be written anew: stored, waiting and coming ones. ``plain``: the last
+    two are folded before they meet the stored ones."""
+    rows = source.withColumn(SURE_COL, F.lit(price is None)).where(_in(record.buckets, buckets))
+    target = None
+    if any(record.owner[b] >= 0 for b in buckets):
+        if plain:
+            old = _waiting(spark, path, record, {b: [v for v, _ in record.waiting[b]] for b in buckets})
+            if old is not None:
+                rows = _folded(old.unionByName(rows.withColumn(AT_COL, F.lit(version))), key, price)
+            target = _stored(spark, path, record, set(buckets))
+        else:
+            target = _read(spark, path, record, set(buckets))
+        target = _cast(target, T.StructType([*record.schema.fields, T.StructField(HASH_COL, T.LongType())]))
+        rows = _merged(target, rows, key, price)
+    columns = [*record.schema.names, HASH_COL]
+    return rows.select(*[F.col(f"`{c}`") if c in rows.columns else F.lit(None).cast(record.schema[c].dataType).alias(c) for c in columns])

@@ -180,3 +180,48 @@ def test_overwrite_partitions_replaces_only_present(spark, tmp):
     overwrite_partitions(spark.createDataFrame([(9, "b")], "v int, d string"), f"{tmp}/p", ["d"])
     got = sorted((r["d"], r["v"]) for r in spark.read.parquet(f"{tmp}/p").collect())
     assert got == [("a", 1), ("b", 9), ("c", 3)]
+
+
+def test_many_small_batches_do_not_rewrite_the_table(spark, tmp):
+    import random
+
+    from domus.sinks import buckets as B
+    rng = random.Random(5)
+    schema = "id long, price long, note string"
+    want = {i: (i % 7, "old") for i in range(1200)}
+    B.write_bucketed(spark.createDataFrame([(k, *v) for k, v in want.items()], schema).coalesce(1), f"{tmp}/t", "id")
+    loose, came = [], 0
+    for turn in range(12):
+        batch = {k: (rng.choice([None, 1, 2, 3]) if k % 10 == 0 else rng.randrange(7), f"n{turn}") for k in rng.sample([*range(40), *range(1190, 1240)], 30)}
+        B.merge_bucketed(spark, spark.createDataFrame([(k, *v) for k, v in batch.items()] + [(None, 1, f"x{turn}")], schema), f"{tmp}/t", "id", ("s", turn), order_by=["note"], price="price")
+        loose.append((1, f"x{turn}"))
+        came += 31
+        for k, v in batch.items():  # merged in turn: an unchanged price keeps the stored row
+            if k not in want or None in (v[0], want[k][0]) or v[0] != want[k][0]:
+                want[k] = v
+        if turn in (0, 3, 11):
+            rows = B.read_bucketed(spark, f"{tmp}/t").collect()
+            assert {r["id"]: (r["price"], r["note"]) for r in rows if r["id"] is not None} == want and len(rows) == len(want) + len(loose)
+            assert sorted((r["price"], r["note"]) for r in rows if r["id"] is None) == sorted(loose)
+    written = sum(spark.read.parquet(f"{tmp}/t/version={v:06d}").count() for v in range(13))
+    assert written <= 1200 + 5 * came  # every batch used to write the table again: some 16,000 rows
+
+
+def test_rows_of_old_folders_stay_out(spark, tmp):
+    from domus.sinks import buckets as B
+    of = lambda b, n: [i for i in range(4000) if keys[i] % n == b]
+    keys = [r[0] for r in spark.range(4000).select(F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(64))).collect()]
+    want = {}
+
+    def merge(ids, price):
+        df = spark.createDataFrame([(i, price) for i in ids], "id long, price long")
+        B.merge_bucketed(spark, df, f"{tmp}/t", "id", order_by=["price"], dedupe="latest", rows_per_bucket=30)
+        want.update(dict.fromkeys(ids, price))
+
+    merge(of(0, 8)[:10] + of(1, 8)[:60], 1)
+    merge(of(0, 16)[:10], 2)
+    merge(of(1, 8)[60:130], 3)
+    merge(of(8, 16)[:12], 4)
+    merge(of(0, 32)[:20], 5)
+    rows = B.read_bucketed(spark, f"{tmp}/t").collect()
+    assert {r["id"]: r["price"] for r in rows} == want and len(rows) == len(want)
