@@ -108,6 +108,8 @@ def learn_levels(df: DataFrame, formulas: Sequence[Formula], limit: int = MAX_LE
     names = sorted({c for f in formulas for c in f.categories()})
     if not names:
         return {}
+    # few combinations are left of many rows before each is taken apart
+    df = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in names]).distinct()
     pairs = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(f"`{c}`").cast("string").alias("v")) for c in names])).alias("p")).select("p.*")
     rows = pairs.where("v is not null").distinct().limit(limit * len(names) + 1).collect()
     out: dict[str, list[str]] = {c: sorted(r["v"] for r in rows if r["c"] == c) for c in names}

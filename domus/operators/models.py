@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from domus.functions.distributions import f_tail, normal_two_sided, t_two_sided
 from domus.operators import gram as G
 from domus.operators.boosting import DEPTHS, fit_gbt, gbt_grid, importances, predict_trees, refit_best, tree_table  # noqa: F401
-from domus.operators.formula import Formula, design_column, learn_levels, value_of
+from domus.operators.formula import Formula, column_of, design_column, learn_levels, value_of
 
 
 def _q(name: str) -> str:
@@ -212,27 +212,79 @@ def solve(g: Moments, idx: Sequence[int], names: Sequence[str], formula: Formula
                _defined(-2 * llf + 2 * params), _defined(-2 * llf + math.log(max(n, 1)) * params))
 
 
+#: More combinations of levels, or more different values, go through :func:`gram_of`.
+MAX_CELLS, MAX_VALUES = 10_000, 8
+
+
+def _moments_by_cells(df: DataFrame, design: Sequence[tuple], response: str, levels: dict) -> Moments | None:
+    """:func:`gram_of` of a design's columns (their parts) and the response, from one native aggregate: in
+    a cell (a combination of levels) a column is 0 or a product of plain values, so counts, means and
+    covariances of these few products in each cell give all sums. None if the design has no categories
+    or too many cells or values."""
+    products = [tuple(f for f, level in parts if level is None) for parts in design] + [(response,)]
+    values = [v for v in dict.fromkeys(products) if v]
+    groups = sorted({column_of(f) for parts in design for f, level in parts if level is not None})
+    if not groups or math.prod(len(levels[c]) for c in groups) > MAX_CELLS or len(values) > MAX_VALUES:
+        return None
+    marked = {v for v, parts in zip(products, design) if v and len(parts) > len(v)}
+
+    def value(v: tuple) -> Column:
+        x = G.known(functools.reduce(operator.mul, [value_of(f) for f in v]))
+        # an infinite value times a mark of 0 is not known
+        return F.when(F.abs(x) < math.inf, x) if v in marked else x
+
+    q, names = len(values), [f"u{i}" for i in range(len(values))]
+    rows = df.select(*[F.col(_q(c)).cast("string").alias(f"g{i}") for i, c in enumerate(groups)], *[value(v).alias(u) for v, u in zip(values, names)]).na.drop()
+    for i, c in enumerate(groups):
+        rows = rows.where(F.col(f"g{i}").isin(levels[c]))
+    both = [(i, j) for i in range(q) for j in range(i, q)]
+    cells = rows.groupBy(*[f"g{i}" for i in range(len(groups))]).agg(
+        F.count("*").alias("n"), *[F.avg(u).alias(f"m{i}") for i, u in enumerate(names)],
+        *[(F.var_pop(names[i]) if i == j else F.covar_pop(names[i], names[j])).alias(f"c{i}_{j}") for i, j in both]).collect()
+    width, total = len(products), sum(r["n"] for r in cells)
+    at = np.array([values.index(v) if v else q for v in products])  # q: the constant 1
+    found = []
+    for r in cells:
+        level = {c: r[f"g{i}"] for i, c in enumerate(groups)}
+        mark = np.array([float(all(x is None or level[column_of(f)] == x for f, x in parts)) for parts in design] + [1.0])
+        mean = np.array([*[r[f"m{i}"] for i in range(q)], 1.0])
+        c = np.zeros((q + 1, q + 1))
+        for i, j in both:
+            c[i, j] = c[j, i] = r[f"c{i}_{j}"]
+        found.append((r["n"], mark, np.where(mark > 0, mean[at], 0.0), c))
+    shift = sum((n * mean for n, _, mean, _ in found), np.zeros(width)) / max(total, 1)
+    sums = np.zeros((width + 1, width + 1))
+    for n, mark, mean, c in found:
+        k, on = np.r_[1.0, mean - shift], np.flatnonzero(mark)
+        sums += n * np.outer(k, k)
+        sums[np.ix_(on + 1, on + 1)] += n * c[np.ix_(at[on], at[on])]
+    return Moments(sums, shift)
+
+
 def fit_formulas(df: DataFrame, formulas: Sequence[str | Formula], train: DataFrame | None = None) -> list[Fit]:
     """Least-squares fits of formulas with one response (J4, J11, J13): the levels of categories in one
-    aggregate (of ``train``, if given), the means and ONE matrix of products over the complete cases
-    of all formulas' columns; every model is solved from its part of that matrix."""
+    aggregate (of ``train``, if given), and ONE matrix of products over the complete cases of all
+    formulas' columns; every model is solved from its part of that matrix. With categories of few
+    combinations the matrix comes from one aggregate by these."""
     parsed = [f if isinstance(f, Formula) else Formula.parse(f) for f in formulas]
     if len({f.response for f in parsed}) > 1:
         raise ValueError("the formulas have different responses")
     levels = learn_levels(df if train is None else train, parsed)
     place: dict[str, int] = {}
-    columns: list[Column] = []
+    design: list[tuple] = []
     own = []
     for f in parsed:
         named = f.columns(levels)
         for name, parts in named:
             if name not in place:
-                place[name] = len(columns) + 1
-                columns.append(design_column(parts, levels))
+                place[name] = len(design) + 1
+                design.append(parts)
         own.append([name for name, _ in named])
     if not parsed:
         return []
-    g = gram_of(df, [*columns, value_of(parsed[0].response)])[None]
+    g = _moments_by_cells(df, design, parsed[0].response, levels)
+    if g is None:
+        g = gram_of(df, [*[design_column(parts, levels) for parts in design], value_of(parsed[0].response)])[None]
     return [solve(g, [place[n] for n in names], names, f, levels) for f, names in zip(parsed, own)]
 
 

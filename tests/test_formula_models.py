@@ -345,3 +345,26 @@ def test_amounts_beyond_a_bigint(spark):
     from domus.functions.scalar import fingerprint, price_after_currency
     row = spark.createDataFrame([("CHF 12345678901234567890", "k", 1e30)], "t string, k string, p double").select(price_after_currency("t").alias("a"), fingerprint("k", "p").alias("f")).first()
     assert row["a"] is None and row["f"] is None
+
+
+def test_a_ladder_by_cells_equals_the_matrix_of_rows(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = [(rng.choice(["a", "b", "c", None]), rng.choice(["k", "l", None]), float(rng.integers(0, 9)), float(rng.choice([1.5, 2.5, float("nan"), 40.0])), float(rng.normal(1e6, 3))) for _ in range(400)]
+    rows = [(*r[:3], None if i % 17 == 0 else r[3], None if i % 23 == 0 else r[4]) for i, r in enumerate(rows)]
+    df = spark.createDataFrame([tuple(None if x is None else x if isinstance(x, float) else str(x) for x in r) for r in rows], "g string, h string, q double, d double, y double")
+    formulas = ["y ~ C(g) * C(h) * q", "y ~ C(g) * log(q)", "y ~ C(h) + d", "y ~ q * d", "y ~ C(g) - 1"]
+    by_cells = M.fit_formulas(df, formulas)
+    scans = []
+    monkeypatch.setattr(M, "_moments_by_cells", lambda *a: scans.append(a))
+    by_rows = M.fit_formulas(df, formulas)
+    assert len(scans) == 1
+    for a, b in zip(by_cells, by_rows):
+        assert (a.names, a.n, a.k) == (b.names, b.n, b.k)
+        assert a.coef == pytest.approx(b.coef, rel=1e-6, abs=1e-6) and (a.r2, a.llf) == pytest.approx((b.r2, b.llf), rel=1e-7, abs=1e-9)
+
+
+def test_a_ladder_sends_no_rows_to_python(spark, monkeypatch):
+    from domus.operators import gram as G
+    df, _ = _orders(spark, 300, 5)
+    monkeypatch.setattr(G, "matrix_sums", lambda *a, **k: pytest.fail("rows were sent"))
+    assert M.formula_ladder(df, LADDER).count() == 13
