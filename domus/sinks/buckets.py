@@ -43,6 +43,7 @@ from domus.session import create_text, list_dir, read_text
 BUCKET_COL, HASH_COL = "_bucket", "_hash"
 VERSION_PREFIX, COMMITS = "version=", "_commits"
 ROWS_PER_BUCKET = 1_000_000
+ROWS_PER_TASK = 500_000
 #: Of rows that wait: they replace the key's stored row whatever its price; the version they came with.
 SURE_COL, AT_COL = "_sure", "_version"
 #: Waiting rows are merged into their bucket when they reach this share of its rows.
@@ -89,14 +90,16 @@ class _Record:
     """The newest record of a table. ``owner[b]``: version that holds bucket b (-1: no rows yet);
     ``sizes[v]``: number of buckets when version v was written; ``rows[b]``: rows of bucket b;
     ``waiting[b]``: [version, rows] of those that wait for it, oldest first, counted in ``rows`` too;
+    ``folders[v]``: number of buckets with rows that version v wrote;
     ``by``: key and price by which they are to be merged."""
 
-    def __init__(self, version=-1, buckets=1, owner=None, rows=None, sizes=None, streams=None, schema=None, waiting=None, by=None):
+    def __init__(self, version=-1, buckets=1, owner=None, rows=None, sizes=None, streams=None, schema=None, waiting=None, by=None, folders=None):
         self.version, self.buckets = version, buckets
         self.owner, self.rows = owner or [-1] * buckets, rows or [0] * buckets
         self.sizes, self.streams = {int(v): n for v, n in (sizes or {}).items()}, streams or {}
         self.schema = schema
         self.waiting, self.by = waiting or [[] for _ in range(buckets)], by or [None, None]
+        self.folders = {int(v): n for v, n in (folders or {}).items()}
 
     @staticmethod
     def newest(spark: SparkSession, path: str) -> "_Record":
@@ -105,11 +108,12 @@ class _Record:
             return _Record()
         d = json.loads(read_text(spark, f"{path}/{COMMITS}/{found[-1]}"))
         return _Record(d["version"], d["buckets"], d["owner"], d["rows"], d["sizes"], d["streams"], T.StructType.fromJson(d["schema"]),
-                       d.get("waiting"), d.get("by"))
+                       d.get("waiting"), d.get("by"), d.get("folders"))
 
     def commit(self, spark: SparkSession, path: str) -> None:
         used = {*self.owner, *(v for w in self.waiting for v, _ in w)}
         record = {"version": self.version, "buckets": self.buckets, "owner": self.owner, "rows": self.rows, "streams": self.streams, "schema": self.schema.jsonValue(), "waiting": self.waiting, "by": self.by,
+                  "folders": {v: n for v, n in self.folders.items() if v in used},
                   "sizes": {v: n for v, n in self.sizes.items() if v in used or v == self.version}}
         if not create_text(spark, f"{path}/{COMMITS}/{self.version:06d}.json", json.dumps(record)):
             raise RuntimeError(f"version {self.version} of {path} was written by another merge")
@@ -152,7 +156,16 @@ def _rows_of(spark: SparkSession, path: str, record: _Record, schema: T.StructTy
     """The rows of the wanted buckets in each version that has some."""
     out = {}
     for v, folders in _folders(record, path, held).items():
-        there = _present(spark, path, {p for p, _ in folders})
+        root = f"{path}/{VERSION_PREFIX}{v:06d}"
+        there, every = {p for p, _ in folders}, record.folders.get(v)
+        if every is None:  # an older record: buckets without rows have no folder
+            there &= (found := {f"{root}/{name}" for name in list_dir(spark, root)})
+            every = sum(p.rsplit("/", 1)[1].startswith(f"{BUCKET_COL}=") for p in found)
+        if there and len(there) == every:
+            # the folder as one path: thousands of them are looked up one by one
+            df = spark.read.schema(schema).parquet(root).select(*[F.col(f"`{c}`") for c in schema.names])
+            out[v] = df.where(_in(record.buckets, held[v])) if any(own for _, own in folders) else df
+            continue
         whole = [p for p, own in folders if own is None and p in there]
         parts = [(p, own) for p, own in folders if own is not None and p in there]
         frames = [spark.read.schema(schema).parquet(*whole)] if whole else []
@@ -228,27 +241,26 @@ def _read(spark: SparkSession, path: str, record: _Record, only: set[int] | None
     return _merged(found, _folded(rows, key, price), key, price).select(*[F.col(f"`{c}`") for c in found.columns])
 
 
-def _present(spark: SparkSession, path: str, folders: set[str]) -> set[str]:
-    """Of the wanted folders those that exist (a bucket without rows has none)."""
-    versions = {p.rsplit("/", 1)[0] for p in folders}
-    return {f"{v}/{name}" for v in versions for name in list_dir(spark, v)} & folders
-
-
 def read_bucketed(spark: SparkSession, path: str) -> DataFrame | None:
     """The table as of its newest version, by its own columns; None if there is none yet."""
     found = _read(spark, path, _Record.newest(spark, path))
     return None if found is None else found.drop(HASH_COL)
 
 
-def _write(rows: DataFrame, path: str, record: _Record, version: int, touched: list[int], later: dict[int, list] | None = None) -> None:
-    """The rows of the touched buckets as a version folder, a task for each bucket (10,000 at most). The
-    rows of the buckets ``later`` wait, after the waiting versions that it gives."""
+def _write(rows: DataFrame, path: str, record: _Record, version: int, touched: list[int], expected: int, later: dict[int, list] | None = None) -> None:
+    """The rows of the touched buckets (about ``expected``) as a version folder. A task writes a bucket
+    of many rows, or many small buckets one after another. The rows of the buckets ``later`` wait, after
+    the waiting versions that it gives.
+
+    Tasks put their files in place themselves: a version counts by its record only, and the job's one
+    thread would move each bucket's file in turn."""
     spark = rows.sparkSession
     place = f"{path}/{VERSION_PREFIX}{version:06d}"
-    rows = rows.withColumn(BUCKET_COL, _bucket(record.buckets)).repartition(max(1, min(len(touched), 10_000)), BUCKET_COL)
-    rows.write.mode("overwrite").partitionBy(BUCKET_COL).parquet(place)
+    tasks = max(1, min(len(touched), max(4 * spark.sparkContext.defaultParallelism, expected // ROWS_PER_TASK)))
+    rows = rows.withColumn(BUCKET_COL, _bucket(record.buckets)).repartition(tasks, BUCKET_COL)
+    rows.write.mode("overwrite").option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy(BUCKET_COL).parquet(place)
     schema = T.StructType([T.StructField(HASH_COL, T.LongType()), T.StructField(BUCKET_COL, T.IntegerType())])
-    counts = {r[0]: r[1] for r in spark.read.schema(schema).parquet(place).groupBy(BUCKET_COL).count().collect()} if list_dir(spark, place) != ["_SUCCESS"] else {}
+    counts = {r[0]: r[1] for r in spark.read.schema(schema).parquet(place).groupBy(BUCKET_COL).count().collect() if r[0] is not None}
     for b in touched:
         n = counts.get(b, 0)
         if later and b in later:
@@ -256,7 +268,8 @@ def _write(rows: DataFrame, path: str, record: _Record, version: int, touched: l
             record.waiting[b] = [*later[b], *([[version, n]] if n else [])]
             record.rows[b] = held + sum(r for _, r in record.waiting[b])
         else:
-            record.owner[b], record.rows[b], record.waiting[b] = version, n, []
+            record.owner[b], record.rows[b], record.waiting[b] = version if n else -1, n, []
+    record.folders[version] = len(counts)
     record.sizes[version] = record.buckets
     record.version = version
 
@@ -267,8 +280,9 @@ def write_bucketed(df: DataFrame, path: str, key: str, rows_per_bucket: int = RO
     if _Record.newest(spark, path).version >= 0:
         raise ValueError(f"{path} is a table already")
     record = _Record(schema=merged_schema(T.StructType(), df.schema))
-    record.doubled(max(0, -(-df.count() // rows_per_bucket) - 1).bit_length())
-    _write(_hashed(df, key), path, record, 0, list(range(record.buckets)))
+    n = df.count()
+    record.doubled(max(0, -(-n // rows_per_bucket) - 1).bit_length())
+    _write(_hashed(df, key), path, record, 0, list(range(record.buckets)), n)
     record.commit(spark, path)
     return record.buckets
 
@@ -322,7 +336,8 @@ def merge_bucketed(spark: SparkSession, source: DataFrame, path: str, key: str,
                 if old is not None:
                     wait = _folded(old.unionByName(wait.withColumn(AT_COL, F.lit(version))), key, price)
                 rows = wait if rows is None else rows.unionByName(wait, allowMissingColumns=True)
-            _write(rows, path, record, version, touched, later)
+            expected = sum(coming.values()) + sum(record.rows[b] for b in now) + sum(n for b in later for _, n in record.waiting[b][len(later[b]):])
+            _write(rows, path, record, version, touched, expected, later)
             record.by = [key, price]
         else:
             touched = []

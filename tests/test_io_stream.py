@@ -225,3 +225,21 @@ def test_rows_of_old_folders_stay_out(spark, tmp):
     merge(of(0, 32)[:20], 5)
     rows = B.read_bucketed(spark, f"{tmp}/t").collect()
     assert {r["id"]: r["price"] for r in rows} == want and len(rows) == len(want)
+
+
+def test_small_buckets_are_written_by_few_tasks_and_read_as_one_folder(spark, tmp, monkeypatch):
+    from domus.sinks import buckets as B
+    listed = []
+    real = B.list_dir
+    monkeypatch.setattr(B, "list_dir", lambda s, p: listed.append(p) or real(s, p))
+    df = spark.range(3000).select("id", (F.col("id") % 5).alias("price"))
+    assert B.write_bucketed(df, f"{tmp}/t", "id", 10) == 512
+    rows = B.read_bucketed(spark, f"{tmp}/t")
+    assert rows.count() == 3000 and not [p for p in listed if "version=" in p]
+    files = spark.read.parquet(f"{tmp}/t/version=000000").select(F.input_file_name().alias("f"), "_bucket").distinct().collect()
+    assert len({r["_bucket"] for r in files}) == len({r["f"] for r in files}) > 400
+    tasks = {r["f"].rsplit("/", 1)[1][:10] for r in files}
+    assert len(tasks) <= 4 * spark.sparkContext.defaultParallelism
+    assert B.write_bucketed(df.where("id < 0"), f"{tmp}/none", "id", 10) == 1 and B.read_bucketed(spark, f"{tmp}/none").count() == 0
+    B.merge_bucketed(spark, df.limit(3), f"{tmp}/none", "id", order_by=["price"], price="price")
+    assert B.read_bucketed(spark, f"{tmp}/none").count() == 3
